@@ -181,7 +181,11 @@ def validate(df, cfg: Config):
     listed = (people != "") & ~F.lower(people).isin("unknown", "n/a")
 
     canonical = any_of([F.contains(F.lower(proof), F.lit(s)) for s in CANONICAL_SOURCES])
-    sources = F.size(F.coalesce(F.col("all_sources"), F.array().cast("array<string>"))) if "all_sources" in have else F.lit(0)
+    sources = F.lit(0)
+    if "n_sources" in have:
+        sources = F.col("n_sources")
+    elif "all_sources" in have:
+        sources = F.size(F.coalesce(F.col("all_sources"), F.array().cast("array<string>")))
     multi = sources >= 2
     credibility = col("source_credibility").cast("int")
 

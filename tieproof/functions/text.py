@@ -23,6 +23,11 @@ def ci(pattern: str) -> str:
     return "(?iU)" + pattern
 
 
+def let(c: Column, body) -> Column:
+    """``body(c)`` with ``c`` computed once, for chains that use a value many times."""
+    return F.get(F.transform(F.array(c), body), F.lit(0))
+
+
 def text(c: Column) -> Column:
     """The text, with null read as the empty string."""
     return F.coalesce(c.cast("string"), F.lit(""))

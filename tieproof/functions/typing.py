@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tieproof.functions.text import ci, first_match, mapped, quoted, strip, text
+from tieproof.functions.text import ci, first_match, let, mapped, quoted, strip, text
 
 # Spellings of "missing" and limits of each field.
 MISSING_WORDS = ("", "Unknown", "unknown", "N/A", "n/a")
@@ -75,37 +75,42 @@ def float_text(c: Column) -> Column:
     ).otherwise(c.cast("string"))
 
 
-def money_lenient(c: Column, field: str = "funding_total_usd") -> Column:
+def money_lenient(c: Column, field: str = "") -> Column:
     """Dollars as a double out of "$12M", "12.5 million", "~1.2B"; struct(value, issue)."""
     raw = text(c)
     s = F.lower(strip(raw))
     for token in ("$", ",", "usd"):
         s = F.replace(s, F.lit(token), F.lit(""))
-    s = strip(s)
-    nothing = is_missing(c) | (s == "")
-    s = F.regexp_replace(s, r"[+~]+", "")
-    s = strip(F.regexp_replace(s, r"\b(?:approx|around|over|under|about|circa)\b", ""))
-    amount, factor = s, F.lit(1.0)
-    # The last unit wins in this nesting, so the units are applied from t back to k.
-    for letter, word, f in (
-        ("t", " trillion", 1e12), ("b", " billion", 1e9), ("m", " million", 1e6), ("k", " thousand", 1e3),
-    ):
-        hit = F.endswith(s, F.lit(letter)) | F.endswith(s, F.lit(word))
-        cut = strip(F.replace(F.regexp_replace(s, letter + "+$", ""), F.lit(word), F.lit("")))
-        amount = F.when(hit, cut).otherwise(amount)
-        factor = F.when(hit, F.lit(f)).otherwise(factor)
-    value = F.when(amount.rlike(NUMBER), amount.try_cast("double") * factor)
-    out_of_range = (value < 0) | (value > FUNDING_MAX)
-    issue = (
-        F.when(nothing, F.lit(None).cast("string"))
-        .when(value.isNull(), F.concat(F.lit("could not parse funding_total_usd: "), quoted(raw)))
-        .when(out_of_range, F.concat(F.lit("funding_total_usd out of plausible range: "), float_text(value)))
-    )
-    return F.struct(
-        F.when(~nothing & ~out_of_range, value).alias("value"),
-        F.when(issue.isNotNull(), F.concat(F.lit(f"{field}: "), issue) if field != "funding_total_usd" else issue)
-        .alias("issue"),
-    )
+    words = r"\b(?:approx|around|over|under|about|circa)\b"
+
+    def parse(stripped: Column) -> Column:
+        bare = strip(F.regexp_replace(F.regexp_replace(stripped, r"[+~]+", ""), words, ""))
+        return F.struct((is_missing(c) | (stripped == "")).alias("nothing"), let(bare, scaled).alias("value"))
+
+    def scaled(bare: Column) -> Column:
+        amount, factor = bare, F.lit(1.0)
+        # The outermost unit of the nesting wins: thousands are looked for first.
+        for letter, word, f in (
+            ("t", " trillion", 1e12), ("b", " billion", 1e9), ("m", " million", 1e6), ("k", " thousand", 1e3),
+        ):
+            hit = F.endswith(bare, F.lit(letter)) | F.endswith(bare, F.lit(word))
+            cut = strip(F.replace(F.regexp_replace(bare, letter + "+$", ""), F.lit(word), F.lit("")))
+            amount = F.when(hit, cut).otherwise(amount)
+            factor = F.when(hit, F.lit(f)).otherwise(factor)
+        return let(amount, lambda a: F.when(a.rlike(NUMBER), a.try_cast("double"))) * factor
+
+    def judge(p: Column) -> Column:
+        value = p["value"]
+        wrong = (value < 0) | (value > FUNDING_MAX)
+        issue = (
+            F.when(p["nothing"], F.lit(None).cast("string"))
+            .when(value.isNull(), F.concat(F.lit("could not parse funding_total_usd: "), quoted(raw)))
+            .when(wrong, F.concat(F.lit("funding_total_usd out of plausible range: "), float_text(value)))
+        )
+        prefixed = F.concat(F.lit(f"{field}: "), issue) if field else issue
+        return F.struct(F.when(~p["nothing"] & ~wrong, value).alias("value"), prefixed.alias("issue"))
+
+    return let(let(strip(s), parse), judge)
 
 
 def _whole(c: Column) -> Column:

@@ -224,6 +224,15 @@ FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey
 """
 
 
+# Pages with outbound links: repeats, a denied host, and more than ten of them on some.
+SHAPES["link_pages"] = (
+    "SELECT page_id, url, concat('<a href=\"', url, '\">1</a><a class=\"x\" href=\"https://www.google.com/s\">g</a>', "
+    "'<a href=\"', url, '\">again</a><a href=\"/local\">l</a>', CASE WHEN page_id % 3 = 0 THEN concat("
+    + ", ".join(f"'<a href=\"', url, '&n={i}\">{i}</a>'" for i in range(12))
+    + ") ELSE '' END, html) AS html FROM {pages}"
+)
+
+
 def depends_on(sql: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"\{(\w+)\}", sql)))
 
