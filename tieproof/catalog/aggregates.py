@@ -322,7 +322,7 @@ def ag_store_stats(t):
 @query("ag_engine_health", "fetch_log", """
 x AS (SELECT * FROM fetch_log QUALIFY row_number() OVER (PARTITION BY path ORDER BY ts DESC, event_id DESC) <= 50)
 SELECT path, count(*) AS n, round(avg(CASE WHEN outcome = 'ok' THEN 1.0 ELSE 0.0 END), 3) AS success_rate,
-  quantile_cont(CAST(latency_ms AS DOUBLE), 0.5) AS p50, quantile_cont(CAST(latency_ms AS DOUBLE), 0.95) AS p95 FROM x GROUP BY path""")
+  round(quantile_cont(CAST(latency_ms AS DOUBLE), 0.5), 3) AS p50, round(quantile_cont(CAST(latency_ms AS DOUBLE), 0.95), 3) AS p95 FROM x GROUP BY path""")
 def ag_engine_health(t):
     return stats.engine_health(t.fetch_log)
 
@@ -420,8 +420,8 @@ def so_union_lists(t):
 
 
 @query("so_union_by_name", "affiliations", """
-SELECT company, person, arg_min(role, pos) AS role, arg_min(school, pos) AS school, min(pos) AS pos
-FROM affiliations WHERE person <> '' GROUP BY ALL""")
+SELECT company, person, pos, role, school FROM affiliations WHERE person <> ''
+QUALIFY row_number() OVER (PARTITION BY company, person ORDER BY pos, role, school) = 1""")
 def so_union_by_name(t):
     from tieproof.operators.lists import union_by_name
 

@@ -172,8 +172,8 @@ def validate(df, cfg: Config):
         [(lower == t) | F.startswith(lower, F.lit(t + " ")) | F.endswith(lower, F.lit(" " + t)) for t in GENERIC_TOKENS]
     )
     bracketed = F.startswith(name, F.lit("[")) | F.endswith(name, F.lit("]"))
-    amounts = {f: money_lenient(col(f)) for f in AMOUNT_FIELDS}
-    years = {f: year_lenient(col(f)) for f in YEAR_FIELDS}
+    amounts = {f: money_lenient(col(f)) for f in AMOUNT_FIELDS if f in have}
+    years = {f: year_lenient(col(f)) for f in YEAR_FIELDS if f in have}
 
     people = strip(text(col("founders")))
     tokens = F.filter(F.transform(F.split(people, ","), strip), lambda x: x != "")
@@ -236,7 +236,7 @@ def validate(df, cfg: Config):
         .when(canonical | multi, "high")
         .otherwise("provisional")
     )
-    typed = {f: s["value"] for f, s in {**amounts, **years}.items() if f in have}
+    typed = {f: s["value"] for f, s in {**amounts, **years}.items()}
     if "is_public" in have:
         typed["is_public"] = bool3(F.col("is_public").cast("string"))
     # Tier first needs the issue list, the typed columns must not disturb either.

@@ -15,9 +15,8 @@ def union_values(df: DataFrame, key: str, value: str, pos: str) -> DataFrame:
 
 def union_by_name(df: DataFrame, key: str, name: str, pos: str, fields: list[str]) -> DataFrame:
     """Union of entries by name, the first entry wins."""
-    return df.where(text(F.col(name)) != "").groupBy(key, name).agg(
-        *[F.min_by(f, pos).alias(f) for f in fields], F.min(pos).alias(pos)
-    )
+    first = F.min(F.struct(pos, *fields)).alias("_f")
+    return df.where(text(F.col(name)) != "").groupBy(key, name).agg(first).select(key, name, "_f.*")
 
 
 def both_or_only(df: DataFrame, key: str, a: str, b: str, only: tuple[str, str]) -> DataFrame:

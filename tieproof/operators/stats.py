@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tieproof.functions import rules
@@ -198,15 +198,13 @@ def engine_health(fetches: DataFrame, last: int = 50) -> DataFrame:
     The rank filter runs on the map side too, so a path with most of the rows
     ships ``last`` rows per task.
     """
-    from pyspark.sql import Window
-
     rn = F.row_number().over(Window.partitionBy("path").orderBy(F.desc("ts"), F.desc("event_id")))
     recent = fetches.withColumn("_rn", rn).where(F.col("_rn") <= last)
     return recent.groupBy("path").agg(
         F.count("*").alias("n"),
         F.round(F.avg((F.col("outcome") == "ok").cast("double")), 3).alias("success_rate"),
-        F.expr("percentile(latency_ms, 0.5)").alias("p50"),
-        F.expr("percentile(latency_ms, 0.95)").alias("p95"),
+        F.round(F.expr("percentile(latency_ms, 0.5)"), 3).alias("p50"),
+        F.round(F.expr("percentile(latency_ms, 0.95)"), 3).alias("p95"),
     )
 
 
