@@ -27,13 +27,12 @@ def top_ancestors(procs: DataFrame, is_top: Column, max_rounds: int = 40) -> Dat
     ).checkpoint()
     for _ in range(max_rounds):
         far = state.select(F.col("pid").alias("ptr"), F.col("ptr").alias("_far"), F.col("done").alias("_far_done"))
-        step = state.join(far, "ptr", "left").select(
-            "pid",
-            F.when(F.col("done"), F.col("ptr")).otherwise(F.col("_far")).alias("ptr"),
-            (F.col("done") | F.coalesce("_far_done", F.lit(False))).alias("done"),
+        open_end = ~F.col("done") & F.col("ptr").isNotNull()
+        moved = state.where(open_end).join(far, "ptr", "left").select(
+            "pid", F.col("_far").alias("ptr"), F.coalesce("_far_done", F.lit(False)).alias("done")
         )
-        state = step.checkpoint()
-        if state.where(~F.col("done") & F.col("ptr").isNotNull()).isEmpty():
+        state = state.where(~open_end).union(moved).checkpoint()
+        if state.where(open_end).isEmpty():
             break
     return state.select("pid", F.when(F.col("done"), F.col("ptr")).alias("top"))
 

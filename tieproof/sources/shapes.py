@@ -224,6 +224,56 @@ FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey
 """
 
 
+# Verdicts by company name, the second look at the unclear ones, and outside lookups.
+SHAPES["verdict_log"] = """
+SELECT r.rec_seq AS seq, r.company_name, v.verdict
+FROM {raw_records} r JOIN {verdicts} v ON v.doc_id = r.rec_seq
+"""
+
+SHAPES["recovery_log"] = """
+SELECT seq, company_name, CASE WHEN seq % 2 = 0 THEN 'FOUNDER' ELSE 'NOT' END AS verdict
+FROM {verdict_log} WHERE verdict = 'UNCLEAR'
+"""
+
+SHAPES["bindings"] = """
+SELECT rec_seq, company_name AS company,
+       CASE WHEN rec_seq % 2 = 0 THEN 'Carla Diaz' ELSE 'Bo Park' END AS founder
+FROM {raw_records} WHERE status IN ('acquired', 'ipo')
+"""
+
+SHAPES["registry"] = """
+SELECT s_suppkey AS reg_seq, lower(concat('Firm ', CAST(CAST(floor(s_suppkey / 2) AS BIGINT) AS STRING))) AS lookup_name,
+       concat(s_name, ' / ', n_name, ' / ', CAST(s_suppkey AS STRING)) AS detail
+FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey
+"""
+
+# Replies that carry one record each, several per page.
+SHAPES["page_replies"] = """
+SELECT c.doc_id, concat('https://', d.source, '.example.org/') AS page_url, c.source_text,
+       concat('Found:', chr(10), '```json', chr(10), '{"company_name":"Firm ', CAST(c.doc_id % 7 AS STRING), ', Inc.","person":"P',
+              CAST(c.doc_id AS STRING), '","span":"', translate(c.span, concat(chr(34), chr(92), chr(10)), '   '), '"}',
+              chr(10), '```') AS reply
+FROM {claims} c JOIN {documents} d ON d.doc_id = c.doc_id
+"""
+
+SHAPES["second_replies"] = """
+SELECT doc_id, source_text,
+       concat('{"company_name":"Firm","industry":"I', CAST(doc_id % 5 AS STRING), '","industry_evidence_span":"',
+              translate(span, concat(chr(34), chr(92), chr(10)), '   '), '","headquarters":"H', CAST(doc_id % 3 AS STRING),
+              '","headquarters_evidence_span":"","founded_year":', CASE WHEN doc_id % 4 = 0 THEN 'null' ELSE '1999' END,
+              ',"website_url":""}') AS reply
+FROM {claims}
+"""
+
+# What a targeted search found for a record.
+SHAPES["found_facts"] = """
+SELECT rec_seq, CASE rec_seq % 4 WHEN 0 THEN 'Dana Fox, Eli Ray' WHEN 1 THEN 'unknown' WHEN 2 THEN ' Fay Low ' ELSE '' END AS found_founders,
+       CASE rec_seq % 3 WHEN 0 THEN '' WHEN 1 THEN 'https://found.example.net/a' ELSE 'n/a' END AS found_url,
+       concat('https://page', CAST(rec_seq % 4 AS STRING), '.example.net/') AS page_url,
+       concat('Page about ', company_name) AS page_text
+FROM {legacy_records} WHERE status <> 'ipo'
+"""
+
 # Pages with outbound links: repeats, a denied host, and more than ten of them on some.
 SHAPES["link_pages"] = (
     "SELECT page_id, url, concat('<a href=\"', url, '\">1</a><a class=\"x\" href=\"https://www.google.com/s\">g</a>', "
