@@ -111,8 +111,23 @@ gate_query("sc_confidence", "confidence", "publishable", "provenance")
 gate_query("sc_contradiction", "founder", "evidence", "contradiction")
 gate_query("sc_decide", "state", "reason")
 gate_query("sc_entity_note", "entity_verified", "entity_note")
-gate_query("sc_source_tier", "proof_url", "source_tier")
-gate_query("sc_tie", "affiliation_type", "tie")
+
+
+@query("sc_source_tier", "raw_records", f"""
+SELECT 'record' AS src, rec_seq AS n, {s_tier('proof_url')} AS source_tier FROM raw_records
+UNION ALL SELECT 'page', page_id, {s_tier('url')} FROM pages""")
+def sc_source_tier(t):
+    def part(df, src, key, url):
+        return df.select(F.lit(src).alias("src"), C(key).alias("n"), scoring.source_tier(C(url), CFG).alias("source_tier"))
+
+    return part(t.raw_records, "record", "rec_seq", "proof_url").union(part(t.pages, "page", "page_id", "url"))
+
+
+@query("sc_tie", "legacy_records", f"SELECT rec_seq, affiliation_type, {s_tie('affiliation_type')} AS tie FROM legacy_records")
+def sc_tie(t):
+    return t.legacy_records.select("rec_seq", "affiliation_type", scoring.tie(C("affiliation_type")).alias("tie"))
+
+
 gate_query("sc_provenance_text", "confidence_provenance")
 
 

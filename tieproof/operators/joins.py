@@ -23,9 +23,9 @@ def one_per_key(df: DataFrame, key: str, order: str, latest: bool = True) -> Dat
     return df.groupBy(key).agg(pick(F.struct(*rest), order).alias("_r")).select(key, "_r.*")
 
 
-def with_verdict(records: DataFrame, verdicts: DataFrame, key: str) -> DataFrame:
-    """Records with their verdict, UNADJUDICATED when there is none."""
-    v = verdicts.groupBy(key).agg(F.max("verdict").alias("verdict"))
+def with_verdict(records: DataFrame, verdicts: DataFrame, key: str, order: str | None = None) -> DataFrame:
+    """Records with their last verdict, UNADJUDICATED when there is none."""
+    v = verdicts.groupBy(key).agg(F.max_by("verdict", order or "verdict").alias("verdict"))
     return records.join(v, key, "left").withColumn("verdict", F.coalesce("verdict", F.lit("UNADJUDICATED")))
 
 

@@ -283,6 +283,14 @@ SHAPES["link_pages"] = (
 )
 
 
+def _escaped(sql: str) -> str:
+    """Braces that are JSON text, not placeholders, doubled for string formatting."""
+    return re.sub(r"\{(\w+)\}|[{}]", lambda m: m[0] if m[1] else m[0] * 2, sql)
+
+
+SHAPES.update({name: _escaped(sql) for name, sql in SHAPES.items()})
+
+
 def depends_on(sql: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"\{(\w+)\}", sql)))
 
