@@ -13,7 +13,19 @@ from tieproof.operators import requests as rq
 C = F.col
 
 
-@query("tx_html_text")
+_UNESCAPE = "replace(replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&amp;', '&')"
+
+
+@query("tx_html_text", "", f"""
+a AS (SELECT page_id, url, {s_strip(_UNESCAPE.format(x="regexp_extract(html, '(?s)<title>(.*?)</title>', 1)"))} AS title,
+  regexp_extract(html, '(?s)<article>(.*)</article>', 1) AS body FROM pages),
+b AS (SELECT *, regexp_replace(body, '(?s)<!--.*?-->', chr(1), 'g') AS b1 FROM a),
+c AS (SELECT *, list_transform(string_split(regexp_replace(b1, '<[^>]+>', chr(1), 'g'), chr(1)),
+  lambda x: {s_strip(_UNESCAPE.format(x='x'))}) AS pieces FROM b),
+d AS (SELECT *, regexp_replace(array_to_string(list_filter(pieces, lambda x: x <> ''), chr(10)), '\\n{{3,}}', chr(10) || chr(10), 'g') AS txt FROM c)
+SELECT page_id, url, CASE WHEN length(txt) < 50 THEN '' WHEN title = '' THEN txt
+   ELSE concat('[Page title: ', title, ']', chr(10), '[URL: ', url, ']', chr(10), chr(10), txt) END AS text,
+  CASE WHEN length(txt) < 50 THEN 'empty' ELSE 'ok' END AS status FROM d""")
 def tx_html_text(t):
     return pg.html_to_text(t.pages)
 

@@ -81,6 +81,7 @@ class _PageText(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.title, self.in_title = [], False
         self.dropped = 0
+        self.pending: list[str] = []
         self.open_tags: list[tuple[str, str | None]] = []
         self.taken: dict[str, list[str]] = {}
         self.closed: set[str] = set()
@@ -93,7 +94,19 @@ class _PageText(HTMLParser):
             return "role"
         return None
 
+    def _flush(self):
+        """End of a run of text: one piece, however many events it came in."""
+        run, self.pending = "".join(self.pending), []
+        if self.in_title:
+            self.title.append(run)
+        piece = run.strip()
+        if piece and not self.dropped:
+            for kind, pieces in self.taken.items():
+                if kind not in self.closed:
+                    pieces.append(piece)
+
     def handle_starttag(self, tag, attrs):
+        self._flush()
         if tag in VOID_TAGS:
             return
         if tag == "title" and not self.title:
@@ -108,6 +121,7 @@ class _PageText(HTMLParser):
         self.open_tags.append((tag, kind))
 
     def handle_endtag(self, tag):
+        self._flush()
         if tag == "title":
             self.in_title = False
         if not any(t == tag for t, _ in self.open_tags):
@@ -122,14 +136,14 @@ class _PageText(HTMLParser):
                 break
 
     def handle_data(self, data):
-        if self.in_title:
-            self.title.append(data)
-        piece = data.strip()
-        if not piece or self.dropped:
-            return
-        for kind, pieces in self.taken.items():
-            if kind not in self.closed:
-                pieces.append(piece)
+        self.pending.append(data)
+
+    def handle_comment(self, data):
+        self._flush()
+
+    def close(self):
+        super().close()
+        self._flush()
 
 
 def page_text(html: str, url: str, max_chars: int | None = None) -> tuple[str, str]:
