@@ -1 +1,197 @@
+"""Readers and writers, on content derived from the tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tieproof.catalog.aggregates import S_OVERLAY, overlaid
+from tieproof.catalog.base import CFG, query, s_bool3, s_name_key, s_text
+from tieproof.catalog.joins import GATE_SHAPES, S_GATE, gated
+from tieproof.operators import graph
+from tieproof.plans.migrate import migrate
+from tieproof.session import scratch
+from tieproof.sources import readers, writers
+
+C = F.col
+_SCHEMA = "rec_seq:bigint,company_name:string,founder:string,status:string"
+
+
+@query("src_records", "raw_records", f"""
+k AS (SELECT {s_name_key('company_name')} AS name_key, rec_seq, company_name, founder, status FROM raw_records)
+SELECT * FROM k WHERE name_key <> '' QUALIFY row_number() OVER (PARTITION BY name_key ORDER BY rec_seq DESC) = 1""")
+def src_records(t):
+    # Documents of a thousand records in the three layouts, in turn.
+    row = F.to_json(F.struct("rec_seq", "company_name", "founder", "status"))
+    docs = t.raw_records.groupBy(F.floor(C("rec_seq") / 1000).alias("doc_no")).agg(
+        F.array_sort(F.collect_list(F.struct("rec_seq", "company_name", row.alias("j")))).alias("rows"))
+    plain = F.array_join(F.transform("rows", lambda r: r["j"]), ",")
+    named = F.array_join(
+        F.transform("rows", lambda r: F.concat(F.lit('"'), r["company_name"], F.lit('":'), r["j"])), ",")
+    content = (
+        F.when(C("doc_no") % 3 == 0, F.concat(F.lit("["), plain, F.lit("]")))
+        .when(C("doc_no") % 3 == 1, F.concat(F.lit('{"records":['), plain, F.lit('],"count":1}')))
+        .otherwise(F.concat(F.lit("{"), named, F.lit("}")))
+    )
+    return readers.parse_record_files(docs.select("doc_no", content.alias("content")), _SCHEMA)
+
+
+@query("src_verdict_log", "verdicts", """
+SELECT concat('Firm ', CAST(floor(doc_id / 3) AS BIGINT)) AS company_name, arg_max(verdict, doc_id) AS verdict FROM verdicts GROUP BY 1""")
+def src_verdict_log(t):
+    name = F.concat(F.lit("Firm "), F.floor(C("doc_id") / 3).cast("string"))
+    line = F.to_json(F.struct(name.alias("company_name"), "verdict"))
+    lines = t.verdicts.select(C("doc_id").alias("seq"), line.alias("line"))
+    blank = t.verdicts.select((C("doc_id") + 0.5).cast("long").alias("seq"), F.lit("  ").alias("line"))
+    return readers.last_verdicts(lines.union(blank))
+
+
+@query("src_page_cache", "visits", """
+SELECT DISTINCT url, CAST(date_trunc('second', ts) AS TIMESTAMP) AS captured_at, concat('Body of', chr(10), url) AS text FROM visits""")
+def src_page_cache(t):
+    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    content = F.concat(
+        F.lit("URL: "), "url", F.lit("\nCAPTURED: "), stamp, F.lit("\n\nBody of\n"), "url")
+    good = t.visits.select(content.alias("content"))
+    bad = t.visits.select(F.concat(F.lit("no header "), "url").alias("content"))
+    return readers.parse_page_files(good.union(bad)).distinct()
+
+
+@query("src_overlay", "raw_records", S_OVERLAY + "SELECT * FROM o")
+def src_overlay(t):
+    return overlaid(t)
+
+
+@query("src_graph_reply", "affiliations", "SELECT DISTINCT company, person AS founder FROM affiliations")
+def src_graph_reply(t):
+    value = lambda c: F.struct(C(c).alias("value"))
+    binding = F.struct(value("company").alias("companyLabel"), value("person").alias("founderLabel"))
+    reply = F.to_json(F.struct(F.struct(F.array(binding, binding).alias("bindings")).alias("results")))
+    return readers.parse_bindings(t.affiliations.select(reply.alias("reply")))
+
+
+@query("src_category_reply", "titles", "SELECT DISTINCT title FROM titles")
+def src_category_reply(t):
+    member = F.array(F.struct("title"))
+    reply = F.to_json(F.struct(F.struct(member.alias("categorymembers")).alias("query")))
+    return readers.parse_members(t.titles.select(reply.alias("reply")))
+
+
+@query("src_snapshot", "procs", "SELECT pid, ppid, name FROM procs")
+def src_snapshot(t):
+    good = t.procs.select(F.concat_ws("\t", C("pid").cast("string"), C("ppid").cast("string"), "name").alias("line"))
+    bad = t.procs.select(F.concat(F.lit("x"), C("pid").cast("string"), F.lit("\t1\tname")).alias("line"))
+    short = t.procs.select(F.concat(C("pid").cast("string"), F.lit("\tname")).alias("line"))
+    return readers.parse_snapshot(good.union(bad).union(short))
+
+
+@query("snk_json", "raw_records", "SELECT rec_seq, company_name, status FROM raw_records")
+def snk_json(t):
+    path = scratch(t.spark)
+    writers.write_json(t.raw_records.select("rec_seq", "company_name", "status"), path)
+    return t.spark.read.schema("rec_seq long, company_name string, status string").json(path)
+
+
+@query("snk_store", "raw_records", "SELECT rec_seq, company_name, validation_tier FROM raw_records")
+def snk_store(t):
+    path = scratch(t.spark)
+    df = t.raw_records.select("rec_seq", "company_name", "validation_tier")
+    writers.publish(df.where("validation_tier = 'high'"), path)
+    writers.publish(df, path)
+    return writers.current(t.spark, path)
+
+
+def _s_full(field: str, have: set[str]) -> str:
+    if field == "is_public":
+        return f"CASE WHEN {s_bool3(field)} THEN 'Yes' WHEN NOT {s_bool3(field)} THEN 'No' ELSE 'Unknown' END"
+    if field == "verified":
+        return "CASE WHEN verified THEN 'Yes' ELSE 'No' END"
+    return s_text(field) if field in have else "''"
+
+
+_LEGACY = {
+    "company_name", "founder", "founders", "description", "proof_url", "affiliation_type", "evidence", "industry",
+    "status", "founded_year", "funding_total_usd", "funding_stage", "employee_count", "headquarters", "exit_year",
+    "acquirer", "source_url", "source_credibility", "validation_tier",
+}
+_FULL = ", ".join(f'{_s_full(f, _LEGACY)} AS "{n}"' for n, f in writers.FULL_COLUMNS.items())
+
+
+@query("snk_csv_full", "legacy_records", f"SELECT {_FULL} FROM legacy_records ORDER BY lower(company_name), rec_seq")
+def snk_csv_full(t):
+    return writers.full_export(t.legacy_records.orderBy(F.lower("company_name"), "rec_seq"))
+
+
+def _company_records(t):
+    return t.orders.select(
+        F.concat(F.lit("C"), C("o_orderkey").cast("string")).alias("company_name"),
+        C("o_orderstatus").alias("status"), C("o_orderpriority").alias("validation_tier"),
+        F.floor("o_totalprice").cast("long").alias("funding_total_usd"),
+    )
+
+
+_COMPANIES = """co AS (SELECT concat('C', o_orderkey) AS company, o_orderstatus AS status, o_orderpriority AS validation_tier,
+  CAST(floor(o_totalprice) AS BIGINT) AS funding_total_usd FROM orders)"""
+
+
+@query("snk_csv_company", "affiliations", _COMPANIES + """,
+a AS (SELECT company, count(*) AS member_count, array_to_string(list_sort(list_distinct(list(school))), '; ') AS schools,
+  string_agg(person, '; ' ORDER BY pos, person) AS names FROM affiliations GROUP BY company)
+SELECT co.company, status, validation_tier, funding_total_usd, 0::BIGINT AS part, coalesce(member_count, 0) AS member_count,
+  coalesce(schools, '') AS schools, coalesce(names, '') AS names FROM co LEFT JOIN a ON a.company = co.company""")
+def snk_csv_company(t):
+    return writers.companies_flat(_company_records(t), t.affiliations)
+
+
+@query("snk_csv_edges", "affiliations", _COMPANIES + """
+SELECT a.person, a.company, a.role, a.school, a.pos, substr(concat(a.role, ' of ', repeat(a.school, 40)), 1, 300) AS evidence_span,
+  validation_tier AS company_tier, status AS company_status, funding_total_usd AS company_funding_usd
+FROM affiliations a LEFT JOIN co ON co.company = a.company""")
+def snk_csv_edges(t):
+    people = t.affiliations.withColumn("evidence_span", F.concat("role", F.lit(" of "), F.repeat("school", 40)))
+    return writers.edges_long(_company_records(t), people)
+
+
+@query("snk_graph", "affiliations raw_records", """
+SELECT 'nodes_people' AS name, count(DISTINCT person) AS n FROM affiliations
+UNION ALL SELECT 'nodes_companies', count(DISTINCT company_name) FROM raw_records
+UNION ALL SELECT 'edges_person_company', count(*) FROM affiliations""")
+def snk_graph(t):
+    path = scratch(t.spark)
+    order = F.struct("company", "pos", "role")
+    counts = writers.write_graph({
+        "nodes_people": graph.people(t.affiliations, order),
+        "nodes_companies": graph.companies(t.raw_records),
+        "edges_person_company": graph.person_company(t.affiliations, order),
+        "nothing": t.affiliations.where("person IS NULL"),
+    }, path)
+    back = [
+        t.spark.read.csv(f"{path}/{n}", header=True).agg(F.count("*").alias("n")).select(F.lit(n).alias("name"), "n")
+        for n, rows in counts.items() if rows
+    ]
+    return back[0].union(back[1]).union(back[2])
+
+
+@query("snk_by_state", GATE_SHAPES, S_GATE + "SELECT rec_seq, confidence, state FROM gated")
+def snk_by_state(t):
+    path = scratch(t.spark)
+    writers.write_by_state(gated(t).select("rec_seq", "confidence", "state"), path)
+    return t.spark.read.parquet(path).select("rec_seq", "confidence", "state")
+
+
+@query("snk_by_failure")
+def snk_by_failure(t):
+    path = scratch(t.spark)
+    failed = migrate(t.legacy_records, CFG).where("reason IS NOT NULL").select(
+        "company_name", "reason", F.regexp_replace(F.split("reason", ":")[0], " ", "_").alias("status"))
+    writers.write_failures(failed, path)
+    return t.spark.read.json(path).select("company_name", "reason", "status")
+
+
+@query("snk_page_cache", "visits", """
+SELECT substr(sha256(url), 1, 16) AS url_key, url, max(ts) AS captured_at, arg_max(concat('round ', round), ts) AS text
+FROM visits GROUP BY url""")
+def snk_page_cache(t):
+    return writers.cache_pages(t.visits.select(
+        "url", C("ts").alias("captured_at"), F.concat(F.lit("round "), C("round").cast("string")).alias("text")))
+
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tieproof.config import Config
 from tieproof.functions.names import is_human_name, name_key
 from tieproof.functions.text import ci, is_blank, quoted, strip, text
-from tieproof.functions.typing import bool3, money_lenient, year_lenient
+from tieproof.functions.typing import bool3, money_lenient, money_number, year_lenient, year_number
 from tieproof.functions.urls import is_url
 
 # Substrings that give away a programme or a fund.
@@ -151,6 +151,25 @@ AMOUNT_FIELDS = ("funding_total_usd", "last_round_amount_usd", "valuation_usd",
 YEAR_FIELDS = ("founded_year", "funding_last_round_year", "exit_year", "grad_year")
 
 
+NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def _typed(df) -> dict[str, Column]:
+    """struct(value, issue) of every amount and year field the table has."""
+    kinds = dict(df.dtypes)
+    amounts = {f: (money_number if kinds[f] in NUMERIC else money_lenient)(F.col(f)) for f in AMOUNT_FIELDS if f in kinds}
+    years = {f: (year_number if kinds[f] in NUMERIC else year_lenient)(F.col(f)) for f in YEAR_FIELDS if f in kinds}
+    return {**amounts, **years}
+
+
+def coerce(df):
+    """Amounts as doubles, years as ints, ``is_public`` as a three-valued flag; bad values become null."""
+    values = {f: s["value"] for f, s in _typed(df).items()}
+    if "is_public" in df.columns:
+        values["is_public"] = bool3(F.col("is_public").cast("string"))
+    return df.withColumns(values) if values else df
+
+
 def validate(df, cfg: Config):
     """Coerce the typed fields of a record and set ``validation_tier`` / ``validation_issues``.
 
@@ -172,8 +191,6 @@ def validate(df, cfg: Config):
         [(lower == t) | F.startswith(lower, F.lit(t + " ")) | F.endswith(lower, F.lit(" " + t)) for t in GENERIC_TOKENS]
     )
     bracketed = F.startswith(name, F.lit("[")) | F.endswith(name, F.lit("]"))
-    amounts = {f: money_lenient(col(f)) for f in AMOUNT_FIELDS if f in have}
-    years = {f: year_lenient(col(f)) for f in YEAR_FIELDS if f in have}
 
     people = strip(text(col("founders")))
     tokens = F.filter(F.transform(F.split(people, ","), strip), lambda x: x != "")
@@ -212,7 +229,7 @@ def validate(df, cfg: Config):
             F.concat(F.lit("affiliation_evidence too short: "), quoted(evidence)),
         ),
     ]
-    fields = [F.when(s["issue"].isNotNull(), F.concat(F.lit(f + ": "), s["issue"])) for f, s in {**amounts, **years}.items()]
+    fields = [F.when(s["issue"].isNotNull(), F.concat(F.lit(f + ": "), s["issue"])) for f, s in _typed(df).items()]
     names = note(
         listed & (F.size(odd) > 0),
         F.concat(F.lit("founders contain non-name tokens: ["), F.array_join(F.transform(odd, quoted), ", "), F.lit("]")),
@@ -236,13 +253,8 @@ def validate(df, cfg: Config):
         .when(canonical | multi, "high")
         .otherwise("provisional")
     )
-    typed = {f: s["value"] for f, s in {**amounts, **years}.items()}
-    if "is_public" in have:
-        typed["is_public"] = bool3(F.col("is_public").cast("string"))
-    # Tier first needs the issue list, the typed columns must not disturb either.
-    out = df.withColumn("validation_issues", issues)
-    out = out.withColumn("validation_tier", tier)
-    return out.withColumns(typed) if typed else out
+    # The tier reads the list, the list reads the fields as they came.
+    return coerce(df.withColumn("validation_issues", issues).withColumn("validation_tier", tier))
 
 
 def ambiguous(founder: Column, evidence: Column, proof: Column) -> Column:

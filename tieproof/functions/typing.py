@@ -113,6 +113,20 @@ def money_lenient(c: Column, field: str = "") -> Column:
     return let(let(strip(s), parse), judge)
 
 
+def money_number(c: Column) -> Column:
+    """The same struct for a column that is a number already."""
+    value = c.cast("double")
+    wrong = (value < 0) | (value > FUNDING_MAX)
+    issue = F.when(wrong, F.concat(F.lit("funding_total_usd out of plausible range: "), float_text(value)))
+    return F.struct(F.when(~wrong, value).alias("value"), issue.alias("issue"))
+
+
+def year_number(c: Column) -> Column:
+    ok = c.between(1800, 2030)
+    issue = F.when(~ok, F.concat(F.lit("year out of plausible range (1800-2030): "), c.cast("string")))
+    return F.struct(F.when(ok, c.cast("int")).alias("value"), issue.alias("issue"))
+
+
 def _whole(c: Column) -> Column:
     s = strip(text(c))
     return F.when(s.rlike(INTEGER), s.try_cast("long"))

@@ -51,8 +51,8 @@ def pair_edges(edges: DataFrame, dense_limit: int = DENSE_LIMIT) -> DataFrame:
     lists = small.groupBy("company").agg(F.array_sort(F.collect_set("person")).alias("people"))
     pairs = (
         lists.where(F.size("people") > 1)
-        .select("company", F.explode(_pairs_of(F.col("people"))).alias("p"))
-        .select(F.lit("pair").alias("kind"), "p.source", "p.target", "company")
+        .select("company", F.explode(_pairs_of(F.col("people"))).alias("_p"))
+        .select(F.lit("pair").alias("kind"), "_p.source", "_p.target", "company")
     )
     hubs = large.select(F.lit("hub").alias("kind"), F.col("person").alias("source"),
                         F.col("company").alias("target"), "company")
@@ -92,9 +92,9 @@ def people(edges: DataFrame, order: Column) -> DataFrame:
     """One vertex per person with the attributes of its first edge."""
     return (
         edges.where(is_named(F.col("person"))).groupBy(strip(F.col("person")).alias("label"))
-        .agg(F.min_by(F.struct("school", "role"), order).alias("a"))
+        .agg(F.min_by(F.struct("school", "role"), order).alias("_a"))
         .select(F.concat(F.lit("P:"), F.col("label")).alias("id"), "label", F.lit("person").alias("type"),
-                "a.school", "a.role")
+                "_a.school", "_a.role")
     )
 
 
@@ -104,10 +104,10 @@ def companies(records: DataFrame) -> DataFrame:
               "headquarters", "proof_url"]
     return (
         records.groupBy(F.concat(F.lit("C:"), strip(F.col("company_name"))).alias("id"))
-        .agg(F.max_by(F.struct(*fields), "rec_seq").alias("a"))
-        .select("id", F.col("a.company_name").alias("label"), F.lit("company").alias("type"),
-                F.col("a.validation_tier").alias("tier"), "a.status", "a.founded_year", "a.funding_total_usd",
-                "a.industry", "a.headquarters", F.col("a.proof_url").alias("url"))
+        .agg(F.max_by(F.struct(*fields), "rec_seq").alias("_a"))
+        .select("id", F.col("_a.company_name").alias("label"), F.lit("company").alias("type"),
+                F.col("_a.validation_tier").alias("tier"), "_a.status", "_a.founded_year", "_a.funding_total_usd",
+                "_a.industry", "_a.headquarters", F.col("_a.proof_url").alias("url"))
     )
 
 

@@ -195,26 +195,13 @@ def upsert_merge(df: DataFrame, order: str = "rec_seq") -> DataFrame:
     return merged.withColumn("verified", F.col("_verified") | (F.col("n_sources") >= 2)).drop("_verified")
 
 
-def upsert(store: DataFrame, batch: DataFrame, cfg: Config) -> DataFrame:
-    """Merge a batch into the store and validate the result.
-
-    The store comes first in the order of preference. Names the rules reject do
-    not enter, names already stored stay.
-    """
-    both = store.withColumn("_from", F.lit(0)).unionByName(
-        admitted(batch, cfg).withColumn("_from", F.lit(1)), allowMissingColumns=True
-    )
-    ordered = both.withColumn("_order", F.struct("_from", "rec_seq"))
-    return rules.validate(upsert_merge(ordered, "_order").drop("_order"), cfg)
-
-
 def conflicts(df: DataFrame, fields=CONFLICT_FIELDS, order: str = "rec_seq") -> DataFrame:
     """Values that lost against an earlier, different one: key, field, kept, rejected, count."""
     fields = [f for f in fields if f in df.columns]
     pairs = F.explode(F.array(*[
         F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in fields
     ]))
-    long = df.select("name_key", F.col(order).alias("_o"), pairs.alias("p")).select("name_key", "_o", "p.*")
+    long = df.select("name_key", F.col(order).alias("_o"), pairs.alias("_p")).select("name_key", "_o", "_p.*")
     values = (
         long.where(F.col("value").isNotNull() & ~F.col("value").isin("", "unknown"))
         .groupBy("name_key", "field", "value")

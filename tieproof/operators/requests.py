@@ -75,9 +75,9 @@ DECISIONS = "decisions array<struct<company_name:string,verdict:string,reason:st
 
 def names_to_remove(df: DataFrame, reply: str) -> DataFrame:
     """Names a keep / remove reply wants removed, one row each."""
-    parsed = df.select("*", F.explode(F.from_json(reply, DECISIONS)["decisions"]).alias("d"))
-    return parsed.where((F.lower(text(F.col("d.verdict"))) == "remove") & (text(F.col("d.company_name")) != "")).select(
-        *df.columns, F.col("d.company_name").alias("company_name"), F.col("d.reason").alias("reason")
+    parsed = df.select("*", F.explode(F.from_json(reply, DECISIONS)["decisions"]).alias("_d"))
+    return parsed.where((F.lower(text(F.col("_d.verdict"))) == "remove") & (text(F.col("_d.company_name")) != "")).select(
+        *df.columns, F.col("_d.company_name").alias("company_name"), F.col("_d.reason").alias("reason")
     )
 
 

@@ -20,7 +20,7 @@ CALL_OUTCOMES = (
 def distribution(df: DataFrame, *fields: str) -> DataFrame:
     """Counts of every value of several fields in one pass: field, value, n."""
     pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in fields]))
-    return df.select(pairs.alias("p")).groupBy("p.field", "p.value").agg(F.count("*").alias("n"))
+    return df.select(pairs.alias("_p")).groupBy("_p.field", "_p.value").agg(F.count("*").alias("n"))
 
 
 def totals(df: DataFrame) -> DataFrame:
@@ -185,8 +185,8 @@ def tier_shift(df: DataFrame, before: str, after: str) -> DataFrame:
                      F.lit(0).cast("long").alias("changed_to")),
             F.struct(F.col("a").alias("tier"), F.lit(0).cast("long").alias("before"), F.col("n").alias("after"),
                      F.when(F.col("a") != F.col("b"), F.col("n")).otherwise(F.lit(0)).cast("long").alias("changed_to")),
-        )).alias("s")
-    ).select("s.*")
+        )).alias("_s")
+    ).select("_s.*")
     return sides.groupBy("tier").agg(
         *[F.sum(c).alias(c) for c in ("before", "after", "changed_to")]
     )

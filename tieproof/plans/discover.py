@@ -39,13 +39,13 @@ def enrichment_summary(records: DataFrame, articles: DataFrame) -> DataFrame:
     names = records.select("company_name").where(text(C("company_name")) != "").distinct()
     found = find_articles(records, articles)
     facts = article_facts(C("extract"))
-    hits = found.select("company_name", F.lit(True).alias("hit"), facts.alias("f"))
+    hits = found.select("company_name", F.lit(True).alias("hit"), facts.alias("_f"))
     return names.join(hits, "company_name", "left").agg(
         F.count("*").alias("queried"),
         F.count("hit").alias("hits"),
         (F.count("*") - F.count("hit")).alias("misses"),
         F.round(F.count("hit") / F.greatest(F.count("*"), F.lit(1)), 3).alias("hit_rate"),
-        F.count("f.status").alias("status_found"),
-        F.count("f.headquarters").alias("headquarters_found"),
-        F.count("f.founded_year").alias("founded_year_found"),
+        F.count("_f.status").alias("status_found"),
+        F.count("_f.headquarters").alias("headquarters_found"),
+        F.count("_f.founded_year").alias("founded_year_found"),
     )

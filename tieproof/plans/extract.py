@@ -24,15 +24,15 @@ def extract_gate(replies: DataFrame, cfg: Config) -> DataFrame:
         return F.from_json(b, RECORD)["company_name"].isNotNull()
 
     parsed = replies.withColumn("_p", typed_reply(C("reply"), cfg.prompt_marker, has_name)).where("_p.payload IS NOT NULL")
-    rows = parsed.select("doc_id", "page_url", "source_text", F.from_json("_p.payload", RECORD).alias("r"))
-    proven = rows.where(span_present(C("r.span"), C("source_text"))).select(
-        "doc_id", "page_url", "r.company_name", "r.person", name_key(C("r.company_name")).alias("name_key")
+    rows = parsed.select("doc_id", "page_url", "source_text", F.from_json("_p.payload", RECORD).alias("_r"))
+    proven = rows.where(span_present(C("_r.span"), C("source_text"))).select(
+        "doc_id", "page_url", "_r.company_name", "_r.person", name_key(C("_r.company_name")).alias("name_key")
     ).where("name_key <> ''")
     first = proven.groupBy("page_url", "name_key").agg(
-        F.min_by(F.struct("doc_id", "company_name", "person"), "doc_id").alias("r")
+        F.min_by(F.struct("doc_id", "company_name", "person"), "doc_id").alias("_r")
     )
     return first.select(
-        "name_key", "r.*", C("page_url").alias("source_url"),
+        "name_key", "_r.*", C("page_url").alias("source_url"),
         source_score(C("page_url"), cfg.source_tiers, cfg.default_source_tier).alias("source_credibility"),
         netloc(C("page_url")).alias("source_domain"),
     )
@@ -48,10 +48,10 @@ def second_pass(records: DataFrame, replies: DataFrame, fields=SECOND_FIELDS) ->
     occurs in the page.
     """
     schema = ", ".join(f"{f} string, {f}_evidence_span string" for f in fields)
-    said = replies.select("doc_id", "source_text", F.from_json("reply", schema).alias("r"))
+    said = replies.select("doc_id", "source_text", F.from_json("reply", schema).alias("_r"))
     values = {}
     for f in fields:
-        value, span = C("r." + f), C(f"r.{f}_evidence_span")
+        value, span = C("_r." + f), C(f"_r.{f}_evidence_span")
         proven = (text(span) == "") | span_present(span, C("source_text"))
         values["_" + f] = F.when((text(value) != "") & proven, value)
     applied = said.select("doc_id", *[c.alias(n) for n, c in values.items()])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -34,3 +35,8 @@ def shared_folder(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder under the shared one."""
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"

@@ -308,7 +308,8 @@ class Tables:
         if name not in self._frames:
             if name in SHAPES:
                 parts = {d: getattr(self, d) for d in depends_on(SHAPES[name])}
-                self._frames[name] = self.spark.sql(SHAPES[name], **parts)
+                # The alias hides the table aliases used inside the shape.
+                self._frames[name] = self.spark.sql(SHAPES[name], **parts).alias(name)
             elif name in TABLES:
                 self._frames[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
             else:
