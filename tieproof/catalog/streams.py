@@ -1 +1,133 @@
+"""Streams and stateful log analysis."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tieproof.catalog.base import CFG, query
+from tieproof.catalog.jobs import S_STORE, UPSERT_OUT
+from tieproof.catalog.aggregates import s_upsert
+from tieproof.catalog.rules import s_validate
+from tieproof.operators import graph, logs, process_tree, stats
+from tieproof.operators.merge import last_per_key
+from tieproof.session import scratch
+from tieproof.sources.shapes import Tables
+from tieproof.streaming import jobs, ladder, run
+
+C = F.col
+
+
+class Streamed(Tables):
+    """The same shapes with one table read as a stream."""
+
+    def __init__(self, t: Tables, *streamed: str):
+        super().__init__(t.spark, t.folder)
+        for name in streamed:
+            schema = t.spark.read.parquet(f"{t.folder}/{name}.parquet").schema
+            self._frames[name] = t.spark.readStream.schema(schema).parquet(f"{t.folder}/{name}*.parquet")
+
+
+@query("st_ladder")
+def st_ladder(t):
+    s = Streamed(t, "events")
+    return run.drain_to_table(ladder.levels(ladder.observations(s.call_log, s.fetch_log)))
+
+
+@query("st_visited", "visits", "SELECT DISTINCT url, CAST(floor(round / 20) AS INTEGER) AS epoch FROM visits")
+def st_visited(t):
+    return run.drain_to_table(jobs.visited(Streamed(t, "events").visits))
+
+
+@query("st_round_metrics", "call_log", "SELECT CAST(ts AS DATE) AS day, count(*) AS calls, " + ", ".join(
+    f"count(*) FILTER (outcome = '{o}') AS {o}" for o in stats.CALL_OUTCOMES)
+    + ", CAST(floor(sum(latency_ms) / count(*)) AS BIGINT) AS avg_latency_ms FROM call_log GROUP BY 1")
+def st_round_metrics(t):
+    return run.drain_updates(jobs.round_metrics(Streamed(t, "events").call_log), ["day"])
+
+
+@query("st_upsert", "legacy_records", S_STORE.replace("CASE WHEN verified THEN 0 ELSE 1000000000000 END", "0")
+       + s_upsert("ord") + "," + s_validate("store", "n_sources")
+       + f"SELECT {', '.join(UPSERT_OUT)}, n_sources, tier, issue_text FROM validated")
+def st_upsert(t):
+    sink = jobs.StoreSink(scratch(t.spark), CFG)
+    run.drain_each_batch(Streamed(t, "customer").legacy_records, sink)
+    return sink.result(t.spark).select(
+        *UPSERT_OUT, "n_sources", C("validation_tier").alias("tier"),
+        F.array_join("validation_issues", "; ").alias("issue_text"))
+
+
+S_WATCH = """
+x AS (SELECT *, TRY_CAST(regexp_extract(line, 'elapsed=(\\d+)s', 1) AS BIGINT) AS waited,
+  TRY_CAST(regexp_extract(line, 'DB total:\\s*(\\d+)', 1) AS BIGINT) AS total FROM log_lines),
+r AS (SELECT run_id, bool_or(line = 'SESSION ENDED') AS clean, coalesce(max(waited), 0) AS longest_wait_s,
+  coalesce(max(seq) FILTER (line = 'CAPTCHA detected'), -1) > coalesce(max(seq) FILTER (line = 'CAPTCHA cleared'), -1) AS wall_pending,
+  arg_max(total, seq) FILTER (total IS NOT NULL) AS store_total, max(ts) AS last FROM x GROUP BY run_id)"""
+
+
+@query("st_log_watch", "log_lines", S_WATCH + """
+SELECT run_id, CASE WHEN clean THEN 'clean' ELSE 'unknown' END AS exit_kind, longest_wait_s, wall_pending, store_total,
+  CASE WHEN epoch_us((SELECT max(ts) FROM log_lines)) - epoch_us(last) >= 900000000 THEN 'frozen' WHEN longest_wait_s >= 600 THEN 'hang'
+       WHEN wall_pending THEN 'wall' ELSE 'healthy' END AS state FROM r""")
+def st_log_watch(t):
+    return logs.run_report(t.log_lines)
+
+
+@query("st_log_watch_stream", "log_lines", S_WATCH + "SELECT run_id, longest_wait_s, wall_pending, store_total FROM r")
+def st_log_watch_stream(t):
+    return run.drain_updates(jobs.watch(Streamed(t, "events").log_lines), ["run_id"])
+
+
+@query("st_process_tree", "procs", """RECURSIVE
+c AS (SELECT * FROM procs WHERE name = 'chrome.exe'),
+roots AS (SELECT pid FROM c WHERE NOT EXISTS (SELECT 1 FROM procs p WHERE p.pid = c.ppid)),
+tree(pid, root) AS (SELECT pid, pid FROM roots UNION SELECT c.pid, tree.root FROM c JOIN tree ON c.ppid = tree.pid)
+SELECT pid, root FROM tree""")
+def st_process_tree(t):
+    return process_tree.orphans(t.procs, CFG.watched_process)
+
+
+@query("st_process_count", "procs", """RECURSIVE
+tree(pid) AS (SELECT pid FROM procs WHERE pid = 3 UNION SELECT p.pid FROM procs p JOIN tree ON p.ppid = tree.pid)
+SELECT count(*) AS n, count(*) >= 90 AS alarm FROM tree JOIN procs ON procs.pid = tree.pid WHERE name = 'chrome.exe' AND tree.pid <> 3""")
+def st_process_count(t):
+    below = process_tree.descendants(t.procs, 3, CFG.watched_process)
+    return below.agg(F.count("*").alias("n")).withColumn("alarm", C("n") >= 90)
+
+
+@query("st_candidates", "fetch_log", """
+p AS (SELECT session_id, count(*) FILTER (outcome <> 'ok') AS attempts, arg_max(outcome, epoch_us(ts)) AS last_outcome, max(ts) AS last
+      FROM fetch_log GROUP BY session_id)
+SELECT session_id, attempts, last_outcome, CASE WHEN last_outcome = 'ok' THEN 'promoted' WHEN attempts > 5 THEN 'parked'
+  WHEN epoch_us((SELECT max(ts) FROM fetch_log)) - epoch_us(last) < 3600000000 THEN 'cooling' ELSE 'eligible' END AS state
+FROM p WHERE attempts > 0""")
+def st_candidates(t):
+    return logs.candidates(t.fetch_log)
+
+
+_STATE = "CASE verdict WHEN 'FOUNDER' THEN 'verified' WHEN 'UNCLEAR' THEN 'needs_human' ELSE 'rejected' END"
+
+
+@query("st_states", "verdicts", f"""
+h AS (SELECT doc_id, 1 AS step, 'new' AS state FROM documents UNION ALL SELECT doc_id, 2, 'queued' FROM documents WHERE lang <> 'de'
+  UNION ALL SELECT doc_id, 3, 'verifying' FROM verdicts UNION ALL SELECT doc_id, 4, {_STATE} FROM verdicts)
+SELECT doc_id, arg_max(state, step) AS state, arg_max(state, step) = 'verified' AS published FROM h GROUP BY doc_id""")
+def st_states(t):
+    def step(df, n, state):
+        return df.select("doc_id", F.lit(n).alias("step"), state.alias("state"))
+
+    history = (
+        step(t.documents, 1, F.lit("new"))
+        .union(step(t.documents.where("lang <> 'de'"), 2, F.lit("queued")))
+        .union(step(t.verdicts, 3, F.lit("verifying")))
+        .union(step(t.verdicts, 4, F.expr(_STATE)))
+    )
+    return last_per_key(history, "doc_id", "step").select("doc_id", "state", (C("state") == "verified").alias("published"))
+
+
+@query("st_expand", "affiliations", """
+s AS (SELECT DISTINCT person FROM affiliations WHERE school = 'NATION_1'),
+c1 AS (SELECT DISTINCT company FROM affiliations WHERE person IN (SELECT person FROM s)),
+h1 AS (SELECT DISTINCT person FROM affiliations WHERE company IN (SELECT company FROM c1) AND person NOT IN (SELECT person FROM s))
+SELECT person, 0 AS hop FROM s UNION ALL SELECT person, 1 FROM h1""")
+def st_expand(t):
+    return graph.expand(t.affiliations, t.affiliations.where("school = 'NATION_1'").select("person"), hops=1)

@@ -14,6 +14,10 @@ WAITING = r"Still waiting\.\.\. elapsed=(\d+)s"
 STORE_TOTAL = r"DB total:\s*(\d+)"
 WALL_SEEN, WALL_GONE = "CAPTCHA detected", "CAPTCHA cleared"
 
+def seconds_between(later: Column, earlier: Column) -> Column:
+    return (F.unix_micros(later.cast("timestamp")) - F.unix_micros(earlier.cast("timestamp"))) / 1_000_000
+
+
 SESSION = ["session_id"]
 IN_TIME = ["ts", "event_id"]
 
@@ -107,7 +111,7 @@ def run_report(lines: DataFrame, frozen_s: int = 900, waiting_s: int = 600) -> D
         F.max("ts").alias("_last"),
     )
     pending = F.col("_seen").isNotNull() & (F.col("_seen") > F.coalesce("_gone", F.lit(-1)))
-    frozen = (F.unix_micros(clock) - F.unix_micros("_last")) / 1_000_000 >= frozen_s
+    frozen = seconds_between(clock, F.col("_last")) >= frozen_s
     return out.select(
         "run_id",
         F.when(F.col("_clean"), "clean").when(F.col("_trace"), "crash").otherwise("unknown").alias("exit_kind"),
@@ -133,7 +137,7 @@ def candidates(attempts: DataFrame, park_after: int = 5, cool_s: int = 3600) ->
         F.max_by("outcome", F.struct("ts", "event_id")).alias("last_outcome"),
         F.max("ts").alias("_last"),
     ).where("attempts > 0")
-    fresh = (F.unix_micros(clock) - F.unix_micros("_last")) / 1_000_000 < cool_s
+    fresh = seconds_between(clock, F.col("_last")) < cool_s
     promoted = F.col("last_outcome") == "ok"
     state = (
         F.when(promoted, "promoted").when(F.col("attempts") > park_after, "parked")
