@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tieproof.catalog.aggregates import S_OVERLAY, overlaid
 from tieproof.catalog.base import CFG, query, s_bool3, s_name_key, s_text
+from tieproof.catalog.jobs import S_MIGRATE
 from tieproof.catalog.joins import GATE_SHAPES, S_GATE, gated
 from tieproof.operators import graph
 from tieproof.plans.migrate import migrate
@@ -178,7 +179,8 @@ def snk_by_state(t):
     return t.spark.read.parquet(path).select("rec_seq", "confidence", "state")
 
 
-@query("snk_by_failure")
+@query("snk_by_failure", "legacy_records", S_MIGRATE + """
+SELECT company_name, reason, replace(string_split(reason, ':')[1], ' ', '_') AS status FROM mig WHERE reason IS NOT NULL""")
 def snk_by_failure(t):
     path = scratch(t.spark)
     failed = migrate(t.legacy_records, CFG).where("reason IS NOT NULL").select(

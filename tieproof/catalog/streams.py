@@ -27,7 +27,42 @@ class Streamed(Tables):
             self._frames[name] = t.spark.readStream.schema(schema).parquet(f"{t.folder}/{name}*.parquet")
 
 
-@query("st_ladder")
+# The ladder replayed row by row: one recursion step per observation of a session.
+S_LADDER = """RECURSIVE
+obs AS (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY ts, event_id, kind) AS n,
+    epoch_us(ts) / 1e6 AS now FROM (
+  SELECT session_id, event_id, ts, round, 'call' AS kind, outcome FROM call_log
+  UNION ALL SELECT session_id, event_id, ts, round, 'fetch', outcome FROM fetch_log)),
+steps(session_id, n, event_id, kind, round, level, since, healthy, resets, calls, fetches) AS (
+  SELECT DISTINCT session_id, 0::BIGINT, NULL::BIGINT, NULL::VARCHAR, NULL::INTEGER, 1, NULL::DOUBLE, NULL::DOUBLE, 0, '', '' FROM obs
+  UNION ALL
+  SELECT session_id, n, event_id, kind, round, level,
+    CASE WHEN level = 1 THEN NULL ELSE coalesce(since, now) END,
+    CASE WHEN level = 1 THEN now ELSE healthy END,
+    CASE WHEN level > 1 AND since IS NULL AND now - healthy > 900 THEN 0 ELSE resets END, calls, fetches
+  FROM (SELECT *, CASE
+      WHEN kind = 'call' AND letter = 'e' AND right(calls, 5) = 'eeeee' AND t_level < 3 THEN 3
+      WHEN kind = 'call' AND length(calls) = 20 AND length(replace(calls, 'p', '')) > 6 THEN greatest(t_level, 2)
+      WHEN kind = 'fetch' AND length(fetches) = 20 AND length(replace(fetches, 'x', '')) < 10 THEN greatest(t_level, 4)
+      ELSE t_level END AS level
+    FROM (SELECT session_id, n, event_id, kind, round, now, letter,
+        CASE WHEN stop THEN 5 WHEN reset THEN 1 ELSE level END AS t_level,
+        CASE WHEN reset THEN NULL ELSE since END AS since, CASE WHEN reset THEN now ELSE healthy END AS healthy,
+        resets + CAST(reset AS INTEGER) AS resets,
+        right(concat(CASE WHEN reset THEN '' ELSE calls END, CASE WHEN kind = 'call' THEN letter ELSE '' END), 20) AS calls,
+        right(concat(CASE WHEN reset THEN '' ELSE fetches END, CASE WHEN kind = 'fetch' THEN letter ELSE '' END), 20) AS fetches
+      FROM (SELECT *, due AND (now - since > 3600 OR resets >= 3) AS stop,
+          due AND NOT (now - since > 3600 OR resets >= 3) AND now - since > 900 AS reset
+        FROM (SELECT o.session_id, o.n, o.event_id, o.kind, o.round, o.now, s.level, s.since,
+            coalesce(s.healthy, o.now) AS healthy, s.resets, s.calls, s.fetches,
+            coalesce(s.round <> o.round, false) AND s.level > 1 AND s.since IS NOT NULL AS due,
+            CASE WHEN o.kind = 'fetch' THEN CASE WHEN o.outcome = 'ok' THEN 'o' ELSE 'x' END
+                 WHEN o.outcome = 'parsed' THEN 'p' WHEN o.outcome = 'prompt_echoed' THEN 'e' ELSE 'x' END AS letter
+          FROM steps s JOIN obs o ON o.session_id = s.session_id AND o.n = s.n + 1)))))
+SELECT session_id, event_id, kind, level, resets FROM steps WHERE n > 0"""
+
+
+@query("st_ladder", "call_log fetch_log", S_LADDER)
 def st_ladder(t):
     s = Streamed(t, "events")
     return run.drain_to_table(ladder.levels(ladder.observations(s.call_log, s.fetch_log)))
