@@ -94,7 +94,7 @@ def ag_degree(t):
 
 S_PAIRS = f"""
 m AS (SELECT DISTINCT company, person FROM affiliations),
-z AS (SELECT company, count(*) AS n FROM m GROUP BY company),
+z AS (SELECT company, count(*) AS n FROM affiliations GROUP BY company),
 pairs AS (SELECT 'pair' AS kind, a.person AS source, b.person AS target, a.company
   FROM m a JOIN m b ON a.company = b.company AND a.person < b.person
   JOIN z ON z.company = a.company WHERE z.n <= {graph.DENSE_LIMIT}

@@ -159,7 +159,7 @@ UNION ALL SELECT 'edges_person_company', count(*) FROM affiliations""")
 def snk_graph(t):
     path = scratch(t.spark)
     order = F.struct("company", "pos", "role")
-    counts = writers.write_graph({
+    written = writers.write_graph({
         "nodes_people": graph.people(t.affiliations, order),
         "nodes_companies": graph.companies(t.raw_records),
         "edges_person_company": graph.person_company(t.affiliations, order),
@@ -167,7 +167,7 @@ def snk_graph(t):
     }, path)
     back = [
         t.spark.read.csv(f"{path}/{n}", header=True).agg(F.count("*").alias("n")).select(F.lit(n).alias("name"), "n")
-        for n, rows in counts.items() if rows
+        for n in written
     ]
     return back[0].union(back[1]).union(back[2])
 

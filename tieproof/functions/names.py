@@ -57,8 +57,9 @@ def lower_key(c: Column) -> Column:
 
 
 def is_human_name(c: Column) -> Column:
+    """Two or more capitalised words; the placeholder words are single and so never pass."""
     n = strip(text(c))
-    return (n != "") & ~F.lower(n).isin(*NOT_A_PERSON) & F.contains(n, F.lit(" ")) & n.rlike(HUMAN_NAME)
+    return F.contains(n, F.lit(" ")) & n.rlike(HUMAN_NAME)
 
 
 def last_name(c: Column) -> Column:

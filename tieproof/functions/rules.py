@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tieproof.config import Config
 from tieproof.functions.names import is_human_name, name_key
-from tieproof.functions.text import ci, is_blank, quoted, strip, text
+from tieproof.functions.text import ci, is_blank, let, quoted, strip, text
 from tieproof.functions.typing import bool3, money_lenient, money_number, year_lenient, year_number
 from tieproof.functions.urls import is_url
 
@@ -67,8 +67,9 @@ TIERS = ("high", "provisional", "weak")
 TIER_RANK = {"high": 3, "provisional": 2, "weak": 1}
 
 
-def any_of(tests) -> Column:
-    return reduce(lambda a, b: a | b, tests)
+def one_of_texts(words) -> str:
+    """Pattern that finds any of the literal words."""
+    return "(?:" + "|".join(re.escape(w) for w in words) + ")"
 
 
 def own_entity_pattern(cfg: Config) -> str:
@@ -77,8 +78,6 @@ def own_entity_pattern(cfg: Config) -> str:
 
 def store_key_of(name: str) -> str:
     """The store key of one configuration entry."""
-    import re
-
     n = re.sub(r"\s*,?\s*(inc\.?|llc\.?|ltd\.?|corp\.?|co\.?|plc\.?)$", "", name.strip().lower())
     return " ".join(re.sub(r"[^\w\s]", "", n).split())
 
@@ -101,7 +100,7 @@ def non_company_reason(name: Column, cfg: Config) -> Column:
             F.concat(F.lit("placeholder entry: '"), n, F.lit("'")),
         )
         .when(
-            any_of([F.contains(lower, F.lit(s)) for s in ORG_SIGNALS]),
+            lower.rlike(one_of_texts(ORG_SIGNALS)),
             F.concat(F.lit("looks like org/program/fund, not a startup: '"), n, F.lit("'")),
         )
     )
@@ -173,88 +172,77 @@ def coerce(df):
 def validate(df, cfg: Config):
     """Coerce the typed fields of a record and set ``validation_tier`` / ``validation_issues``.
 
-    Fields a table does not have are read as missing. Amounts become doubles,
-    years ints, ``is_public`` a three-valued flag.
+    Fields a table does not have are read as missing. The cleaned inputs are
+    columns of their own, so that each is worked out once per row.
     """
     have = set(df.columns)
 
     def col(name: str) -> Column:
         return F.col(name) if name in have else F.lit(None).cast("string")
 
-    name, founder = strip(text(col("company_name"))), strip(text(col("founder")))
-    proof, evidence = strip(text(col("proof_url"))), strip(text(col("evidence")))
-    lower = F.lower(name)
-    licensed = F.lower(strip(text(col("affiliation_type")))) == "licensed tech"
-    in_list = blocklisted(name, cfg)
-    named = (name != "") & ~in_list
-    generic = any_of(
-        [(lower == t) | F.startswith(lower, F.lit(t + " ")) | F.endswith(lower, F.lit(" " + t)) for t in GENERIC_TOKENS]
-    )
-    bracketed = F.startswith(name, F.lit("[")) | F.endswith(name, F.lit("]"))
-
-    people = strip(text(col("founders")))
+    cleaned = {"name": "company_name", "founder": "founder", "proof": "proof_url", "evidence": "evidence", "people": "founders"}
+    base = df.withColumns({
+        **{"_" + k: strip(text(col(f))) for k, f in cleaned.items()},
+        "_licensed": F.lower(strip(text(col("affiliation_type")))) == "licensed tech",
+        "_blocked": blocklisted(col("company_name"), cfg),
+        "_canonical": F.lower(text(col("proof_url"))).rlike(one_of_texts(CANONICAL_SOURCES)),
+    })
+    name, founder, proof, evidence, people = (F.col("_" + k) for k in cleaned)
+    named, canonical = (name != "") & ~F.col("_blocked"), F.col("_canonical")
+    token = one_of_texts(GENERIC_TOKENS)
+    generic = F.lower(name).rlike(f"^{token}$|^{token} | {token}$")
     tokens = F.filter(F.transform(F.split(people, ","), strip), lambda x: x != "")
     odd = F.filter(tokens, lambda x: ~is_human_name(x))
-    listed = (people != "") & ~F.lower(people).isin("unknown", "n/a")
-
-    canonical = any_of([F.contains(F.lower(proof), F.lit(s)) for s in CANONICAL_SOURCES])
     sources = F.lit(0)
     if "n_sources" in have:
         sources = F.col("n_sources")
     elif "all_sources" in have:
         sources = F.size(F.coalesce(F.col("all_sources"), F.array().cast("array<string>")))
-    multi = sources >= 2
-    credibility = col("source_credibility").cast("int")
-
-    def note(cond: Column, message) -> Column:
-        return F.when(cond, message if isinstance(message, Column) else F.lit(message))
-
-    hard = [
-        note(name == "", "missing company_name"),
-        note((name != "") & in_list, "name matches non-startup blocklist (fund/program/placeholder)"),
-    ]
-    soft = [
-        note(named & generic, F.concat(F.lit("company_name looks generic/placeholder: "), quoted(name))),
-        note(named & bracketed, F.concat(F.lit("company_name looks like a placeholder: "), quoted(name))),
-        note((founder == "") & ~licensed, "missing founder (required unless Licensed Tech)"),
-        note(
-            (founder != "") & ~is_human_name(founder),
-            F.concat(F.lit("founder doesn't look like a full human name: "), quoted(founder)),
-        ),
-        note(proof == "", "missing proof_url"),
-        note((proof != "") & ~is_url(proof), F.concat(F.lit("proof_url malformed: "), quoted(proof))),
-        note(evidence == "", "missing affiliation_evidence"),
-        note(
-            (evidence != "") & (F.length(evidence) < 15),
-            F.concat(F.lit("affiliation_evidence too short: "), quoted(evidence)),
-        ),
-    ]
-    fields = [F.when(s["issue"].isNotNull(), F.concat(F.lit(f + ": "), s["issue"])) for f, s in _typed(df).items()]
-    names = note(
-        listed & (F.size(odd) > 0),
-        F.concat(F.lit("founders contain non-name tokens: ["), F.array_join(F.transform(odd, quoted), ", "), F.lit("]")),
-    )
-    credible = note(
-        (credibility <= 2) & ~multi & ~canonical,
-        F.concat(
-            F.lit("single-source from low-credibility origin (source_credibility="),
-            credibility.cast("string"),
-            F.lit("); cross-reference recommended"),
+    multi, credibility = sources >= 2, col("source_credibility").cast("int")
+
+    def note(cond: Column, *message) -> Column:
+        parts = [m if isinstance(m, Column) else F.lit(m) for m in message]
+        return F.when(cond, F.concat(*parts) if len(parts) > 1 else parts[0])
+
+    issues = F.filter(
+        F.array(
+            note(name == "", "missing company_name"),
+            note((name != "") & F.col("_blocked"), "name matches non-startup blocklist (fund/program/placeholder)"),
+            note(named & generic, "company_name looks generic/placeholder: ", quoted(name)),
+            note(named & name.rlike(r"^\[|\]$"), "company_name looks like a placeholder: ", quoted(name)),
+            note((founder == "") & ~F.col("_licensed"), "missing founder (required unless Licensed Tech)"),
+            note((founder != "") & ~is_human_name(founder), "founder doesn't look like a full human name: ", quoted(founder)),
+            note(proof == "", "missing proof_url"),
+            note((proof != "") & ~is_url(proof), "proof_url malformed: ", quoted(proof)),
+            note(evidence == "", "missing affiliation_evidence"),
+            note((evidence != "") & (F.length(evidence) < 15), "affiliation_evidence too short: ", quoted(evidence)),
+            *[note(s["issue"].isNotNull(), f + ": ", s["issue"]) for f, s in _typed(df).items()],
+            note(
+                (people != "") & ~F.lower(people).isin("unknown", "n/a") & (F.size(odd) > 0),
+                "founders contain non-name tokens: [", F.array_join(F.transform(odd, quoted), ", "), "]",
+            ),
+            note(
+                (credibility <= 2) & ~multi & ~canonical,
+                "single-source from low-credibility origin (source_credibility=", credibility.cast("string"),
+                "); cross-reference recommended",
+            ),
         ),
+        lambda x: x.isNotNull(),
     )
-    issues = F.filter(F.array(*hard, *soft, *fields, names, credible), lambda x: x.isNotNull())
-    required = F.exists(
-        F.col("validation_issues"),
-        lambda i: F.startswith(i, F.lit("missing ")) | F.startswith(i, F.lit("name matches")),
-    )
-    tier = (
-        F.when(required, "weak")
-        .when(F.size("validation_issues") > 0, "provisional")
-        .when(canonical | multi, "high")
-        .otherwise("provisional")
-    )
-    # The tier reads the list, the list reads the fields as they came.
-    return coerce(df.withColumn("validation_issues", issues).withColumn("validation_tier", tier))
+
+    def judged(found: Column) -> Column:
+        required = F.exists(found, lambda i: i.rlike("^missing |^name matches"))
+        tier = (
+            F.when(required, "weak").when(F.size(found) > 0, "provisional")
+            .when(canonical | multi, "high").otherwise("provisional")
+        )
+        return F.struct(found.alias("issues"), tier.alias("tier"))
+
+    out = base.withColumn("_judged", let(issues, judged)).withColumns({
+        "validation_issues": F.col("_judged.issues"), "validation_tier": F.col("_judged.tier"),
+    })
+    # The list reads the fields as they came, so they are coerced last.
+    return coerce(out.drop("_judged", "_licensed", "_blocked", "_canonical", *["_" + k for k in cleaned]))
 
 
 def ambiguous(founder: Column, evidence: Column, proof: Column) -> Column:

@@ -27,12 +27,6 @@ def members(edges: DataFrame) -> DataFrame:
     return edges.where(is_named(F.col("person"))).select("company", "person").distinct()
 
 
-def split_by_size(m: DataFrame, dense_limit: int = DENSE_LIMIT) -> tuple[DataFrame, DataFrame]:
-    """Memberships of small companies, and of hubs."""
-    hubs = m.groupBy("company").agg(F.count("*").alias("n")).where(F.col("n") > dense_limit).select("company")
-    return m.join(hubs, "company", "left_anti"), m.join(hubs, "company", "left_semi")
-
-
 def _pairs_of(people: Column) -> Column:
     """All ordered pairs of a short sorted array."""
     n = F.size(people)
@@ -46,17 +40,28 @@ def _pairs_of(people: Column) -> Column:
 
 
 def pair_edges(edges: DataFrame, dense_limit: int = DENSE_LIMIT) -> DataFrame:
-    """``kind = 'pair'``: two people and a company they share; ``kind = 'hub'``: member and company."""
-    small, large = split_by_size(members(edges), dense_limit)
-    lists = small.groupBy("company").agg(F.array_sort(F.collect_set("person")).alias("people"))
-    pairs = (
-        lists.where(F.size("people") > 1)
-        .select("company", F.explode(_pairs_of(F.col("people"))).alias("_p"))
-        .select(F.lit("pair").alias("kind"), "_p.source", "_p.target", "company")
+    """``kind = 'pair'``: two people and a company they share; ``kind = 'hub'``: member and company.
+
+    One grouping serves both: small companies group by company, hub rows by
+    company and person, so a hub is spread over all tasks. Hubs are few by
+    their nature (each takes more than ``dense_limit`` rows); whether their list
+    is small enough to broadcast is decided on its measured size.
+    """
+    rows = edges.where(is_named(F.col("person"))).select("company", "person")
+    hubs = rows.groupBy("company").agg(F.count("*").alias("_n")).where(F.col("_n") > dense_limit).select(
+        "company", F.lit(True).alias("_hub")
+    )
+    spread = rows.join(hubs, "company", "left").withColumn("_member", F.when(F.col("_hub"), F.col("person")))
+    groups = spread.groupBy("company", "_member").agg(F.collect_set("person").alias("_people"))
+    hub = F.array(F.struct(F.lit("hub").alias("kind"), F.col("_member").alias("source"), F.col("company").alias("target")))
+    pairs = F.transform(
+        _pairs_of(F.array_sort("_people")),
+        lambda p: F.struct(F.lit("pair").alias("kind"), p["source"].alias("source"), p["target"].alias("target")),
+    )
+    edges_of = F.when(F.col("_member").isNotNull(), hub).otherwise(pairs)
+    return groups.select("company", F.explode(edges_of).alias("_e")).select(
+        "_e.kind", "_e.source", "_e.target", "company"
     )
-    hubs = large.select(F.lit("hub").alias("kind"), F.col("person").alias("source"),
-                        F.col("company").alias("target"), "company")
-    return pairs.union(hubs)
 
 
 def pair_weights(edges: DataFrame, dense_limit: int = DENSE_LIMIT) -> DataFrame:

@@ -169,7 +169,7 @@ def backfill_founder(df: DataFrame) -> DataFrame:
 
 
 def upsert_merge(df: DataFrame, order: str = "rec_seq") -> DataFrame:
-    """One row per ``name_key``: blanks filled in input order, sources counted.
+    """One row per ``name_key``: blanks filled in the order of a whole number, sources counted.
 
     A real value beats "Unknown"; "Unknown" beats nothing, and the last spelling
     of it stays.
@@ -179,16 +179,10 @@ def upsert_merge(df: DataFrame, order: str = "rec_seq") -> DataFrame:
     for f in STORE_FIELDS:
         if f not in have:
             continue
-        c = F.col(f)
-        truthy = c.isNotNull() & ~c.cast("string").isin("", "0", "false")
-        vague = c.cast("string").isin("Unknown", "unknown")
-        aggs.append(
-            F.coalesce(
-                first_where(c, truthy & ~vague, o),
-                F.max_by(F.when(truthy, c), F.when(truthy, o)),
-                first_where(c, F.lit(True), o),
-            ).alias(f)
-        )
+        c, shown = F.col(f), F.col(f).cast("string")
+        rank = F.when(shown.isin("", "0", "0.0", "false"), 2).when(shown.isin("Unknown", "unknown"), 1).otherwise(0)
+        preference_ = F.struct(rank, F.when(rank == 1, -o).otherwise(o))
+        aggs.append(F.min_by(c, F.when(c.isNotNull(), preference_)).alias(f))
     source = F.when(~is_blank(F.col("source_url")), F.col("source_url"))
     aggs += [F.count_distinct(source).alias("n_sources"), F.max(F.coalesce("verified", F.lit(False))).alias("_verified")]
     merged = df.groupBy("name_key").agg(*aggs)

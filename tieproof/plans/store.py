@@ -32,12 +32,12 @@ def upsert(
     if store is not None:
         both = store.withColumn("_from", F.lit(0)).unionByName(new, allowMissingColumns=True)
         rows = sources.union(rows).distinct()
-    ordered = both.withColumn("_order", F.struct("_from", "rec_seq"))
+    ordered = both.withColumn("_order", F.shiftleft(C("_from").cast("long"), 60) + C("rec_seq"))
     merged = upsert_merge(ordered, "_order").drop("n_sources", "n_merged")
     counts = rows.groupBy("name_key").agg(F.count("*").alias("n_sources"))
     merged = merged.join(counts, "name_key", "left").withColumns({
         "n_sources": F.coalesce("n_sources", F.lit(0)),
-        "rec_seq": C("_order.rec_seq"),
+        "rec_seq": C("_order").bitwiseAND(F.lit((1 << 60) - 1)),
     }).drop("_order")
     merged = merged.withColumn("verified", C("verified") | (C("n_sources") >= 2))
     return rules.validate(merged, cfg), rows, conflicts(ordered, order="_order")

@@ -122,14 +122,12 @@ def edges_long(records: DataFrame, people: DataFrame) -> DataFrame:
     return people.join(attrs, "company", "left").withColumn("evidence_span", F.substring(text(C("evidence_span")), 1, 300))
 
 
-def write_graph(tables: dict[str, DataFrame], path: str) -> dict[str, int]:
-    """CSV folders of the graph; an empty table writes nothing. Returns the row counts."""
-    counts = {}
-    for name, df in tables.items():
-        counts[name] = df.count()
-        if counts[name]:
-            df.write.mode("overwrite").csv(f"{path}/{name}", header=True)
-    return counts
+def write_graph(tables: dict[str, DataFrame], path: str) -> list[str]:
+    """CSV folders of the graph; an empty table writes nothing. Returns the names written."""
+    written = [name for name, df in tables.items() if not df.isEmpty()]
+    for name in written:
+        tables[name].write.mode("overwrite").csv(f"{path}/{name}", header=True)
+    return written
 
 
 def write_by_state(df: DataFrame, path: str) -> None:
