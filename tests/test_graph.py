@@ -74,7 +74,7 @@ def test_rank_filters_run_before_the_shuffle(spark):
     from tieproof.operators.stats import engine_health
 
     df = spark.range(100).select(
-        F.lit("hot").alias("path"), F.lit("ok").alias("outcome"), F.col("id").alias("event_id"),
+        F.concat(F.lit("h"), F.col("id") % 1).alias("path"), F.lit("ok").alias("outcome"), F.col("id").alias("event_id"),
         F.timestamp_seconds("id").alias("ts"), F.col("id").alias("latency_ms"))
     plan = engine_health(df)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan

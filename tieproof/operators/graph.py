@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tieproof.functions.text import strip, text
+from tieproof.session import shared_folder
 
 DENSE_LIMIT = 64
 NOT_NAMED = ("(unspecified)", "unknown")
@@ -132,18 +133,22 @@ def expand(edges: DataFrame, seeds: DataFrame, hops: int = 1) -> DataFrame:
     """People reachable from ``seeds`` over shared companies, with the hop they appear at.
 
     Each hop joins the new people to companies not met before, and those to
-    people not met before; visited sets are anti joins.
+    people not met before; visited sets are anti joins. What a hop finds is
+    checkpointed: the next hop reads it several times.
     """
+    shared_folder(edges.sparkSession)
     m = members(edges)
-    seen = seeds.select("person").distinct().withColumn("hop", F.lit(0))
-    frontier, met = seen.select("person"), None
+    frontier, met = seeds.select("person").distinct().checkpoint(), None
+    seen = frontier.withColumn("hop", F.lit(0))
     for hop in range(1, hops + 1):
         reached = m.join(frontier, "person", "left_semi").select("company").distinct()
         if met is not None:
             reached = reached.join(met, "company", "left_anti")
+        reached = reached.checkpoint()
         met = reached if met is None else met.union(reached)
         fresh = m.join(reached, "company", "left_semi").select("person").distinct()
-        fresh = fresh.join(seen, "person", "left_anti")
-        seen = seen.union(fresh.withColumn("hop", F.lit(hop)))
-        frontier = fresh
+        frontier = fresh.join(seen, "person", "left_anti").checkpoint()
+        seen = seen.union(frontier.withColumn("hop", F.lit(hop)))
+        if frontier.isEmpty():
+            break
     return seen

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tieproof.session import shared_folder
 
 
-def top_ancestors(procs: DataFrame, is_top: Column, max_rounds: int = 40) -> DataFrame:
+def top_ancestors(procs: DataFrame, is_top: Column) -> DataFrame:
     """``pid`` and the first ancestor (or itself) for which ``is_top`` holds; null if none.
 
     ``procs`` has ``pid, ppid`` and whatever ``is_top`` reads.
@@ -25,9 +25,11 @@ def top_ancestors(procs: DataFrame, is_top: Column, max_rounds: int = 40) -> Dat
         F.when(is_top, F.col("pid")).when(F.col("_known"), F.col("ppid")).alias("ptr"),
         is_top.alias("done"),
     ).checkpoint()
-    for _ in range(max_rounds):
+    open_end = ~F.col("done") & F.col("ptr").isNotNull()
+    # No chain is longer than the rows on it: after log2 of them only cycles are open.
+    rounds = state.where(open_end).count().bit_length() + 1
+    for _ in range(rounds):
         far = state.select(F.col("pid").alias("ptr"), F.col("ptr").alias("_far"), F.col("done").alias("_far_done"))
-        open_end = ~F.col("done") & F.col("ptr").isNotNull()
         moved = state.where(open_end).join(far, "ptr", "left").select(
             "pid", F.col("_far").alias("ptr"), F.coalesce("_far_done", F.lit(False)).alias("done")
         )
