@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tieproof.operators import logs, ordered
+from tieproof.operators import logs, ordered, requests
 
 
 @pytest.fixture(scope="module")
@@ -31,8 +31,9 @@ def by_session(rows):
     return groups
 
 
-def test_position(log, rows):
-    got = {r["event_id"]: r["pos"] for r in logs.positioned(log).collect()}
+@pytest.mark.parametrize("size", [5, 40, 100_000])
+def test_position(log, rows, size):
+    got = {r["event_id"]: r["pos"] for r in logs.positioned(log, size).collect()}
     want = {r[2]: i for g in by_session(rows).values() for i, r in enumerate(g)}
     assert got == want
 
@@ -85,13 +86,22 @@ def test_alarm_hysteresis(log, rows):
     assert got == want
 
 
-def test_trailing_count(spark, rows):
+@pytest.mark.parametrize("size", [9, 100_000])
+def test_trailing_count(spark, rows, size):
     df = spark.createDataFrame([(r[2], r[1]) for r in rows], "seq long, us long").withColumn("ts", F.timestamp_micros("us"))
-    got = {r["seq"]: r["n"] for r in ordered.trailing_count(df, [], "ts", 900, F.lit(True), "n", 1800).collect()}
-    want = {r[2]: sum(1 for x in rows if 0 < r[1] - x[1] < 900_000_000) for r in rows}
+    got = {r["seq"]: r["n"] for r in ordered.trailing_count(df, [], "ts", "seq", 900, "n", size).collect()}
+    want = {r[2]: sum(1 for x in rows if (x[1], x[2]) < (r[1], r[2]) and r[1] - x[1] < 900_000_000) for r in rows}
     assert got == want
 
 
+@pytest.mark.parametrize("size", [6, 100_000])
+def test_batches_of_requests(spark, size):
+    df = spark.range(45).withColumn("doc_id", F.col("id") * F.col("id")).repartition(3)
+    got = requests.batch_requests(df, "doc_id", {"n": F.col("id")}, 20, size).orderBy("batch_no").collect()
+    assert [r["n_rows"] for r in got] == [20, 20, 5]
+    assert got[2]["request"].split("\n")[0] == '{"idx":0,"n":40}'
+
+
 def test_backoff_delays(spark):
     t = [(1, i, i, s) for i, s in enumerate([503, 503, 200, 429, 429, 429, 429, 429, 503])]
     df = spark.createDataFrame(t, "session_id long, event_id long, s long, http_status int").withColumn("ts", F.timestamp_seconds("s"))

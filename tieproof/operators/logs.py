@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tieproof.operators.ordered import last_n, rolling, running, time_bucket, trailing_count, with_position
+from tieproof.operators.ordered import BLOCK, last_n, micros, rolling, running, trailing_count, with_position
 
 # Markers in the log of a run.
 CLEAN_MARKERS = ("SESSION ENDED", "Max rounds")
@@ -22,15 +22,15 @@ SESSION = ["session_id"]
 IN_TIME = ["ts", "event_id"]
 
 
-def positioned(log: DataFrame, keys=SESSION, order=IN_TIME) -> DataFrame:
+def positioned(log: DataFrame, size: int = BLOCK) -> DataFrame:
     """Log rows with their rank in the session."""
-    return with_position(log, list(keys), list(order), time_bucket(order[0]))
+    return with_position(log, SESSION, IN_TIME, micros(IN_TIME[0]), size=size)
 
 
-def last_n_rate(log: DataFrame, hit: Column, name: str, n: int = 20, size: int | None = None) -> DataFrame:
+def last_n_rate(log: DataFrame, hit: Column, name: str, n: int = 20, size: int = BLOCK) -> DataFrame:
     """Share of hits among the last ``n`` rows; null before ``n`` were seen."""
-    kw = {} if size is None else {"size": size}
-    out = rolling(positioned(log), SESSION, n, {"_hits": F.count_if(hit), "_seen": F.count(F.lit(1))}, **kw)
+    frames = {"_hits": F.count_if(hit), "_seen": F.count(F.lit(1))}
+    out = rolling(positioned(log, size), SESSION, n, frames, size=size)
     rate = F.when(F.col("_seen") == n, F.col("_hits") / n)
     return out.withColumn(name, rate).drop("_hits", "_seen")
 
@@ -39,13 +39,12 @@ def recent_count(log: DataFrame, hit: Column, name: str, n: int = 5) -> DataFram
     return rolling(positioned(log), SESSION, n, {name: F.count_if(hit)})
 
 
-def fail_streaks(log: DataFrame, ok: Column, trip: int = 5, size: int | None = None) -> DataFrame:
+def fail_streaks(log: DataFrame, ok: Column, trip: int = 5, size: int = BLOCK) -> DataFrame:
     """Failures since the last success, and whether the breaker is open (it stays open)."""
-    kw = {} if size is None else {"size": size}
-    rows = running(positioned(log), SESSION, {"_ok": ("max", F.when(ok, F.col("pos")))}, **kw)
+    rows = running(positioned(log, size), SESSION, {"_ok": ("max", F.when(ok, F.col("pos")))}, size=size)
     rows = rows.withColumn("fail_streak", F.col("pos") - F.coalesce("_ok", F.lit(-1))).drop("_ok")
     tripped = F.when(F.col("fail_streak") >= trip, F.col("pos"))
-    return running(rows, SESSION, {"_trip": ("min", tripped)}, **kw).withColumn(
+    return running(rows, SESSION, {"_trip": ("min", tripped)}, size=size).withColumn(
         "breaker_open", F.col("_trip").isNotNull()
     ).drop("_trip")
 
@@ -66,14 +65,14 @@ def restarts(lines: DataFrame, seconds: int = 900, most: int = 3) -> DataFrame:
     """Exits of runs with the number of recent ones, and whether a relaunch is allowed."""
     clean = F.col("line").contains(CLEAN_MARKERS[0])
     exits = lines.where(clean | (F.col("line") == WALL_SEEN)).withColumn("clean", clean)
-    out = trailing_count(exits, [], "ts", seconds, F.lit(True), "recent")
+    out = trailing_count(exits, [], "ts", "seq", seconds, "recent")
     return out.withColumn("allowed", F.col("clean") | (F.col("recent") < most))
 
 
 def dry_streaks(calls: DataFrame, base: float = 300.0, factor: float = 1.5, longest: float = 3600.0) -> DataFrame:
     """Rounds without a new row in a row, and the pause that follows."""
     rounds = calls.groupBy("session_id", "round").agg(F.count_if(F.col("outcome") == "parsed").alias("new_rows"))
-    rows = with_position(rounds, SESSION, ["round"], F.floor(F.col("round") / 100_000))
+    rows = with_position(rounds, SESSION, ["round"], F.col("round"))
     rows = running(rows, SESSION, {"_hit": ("max", F.when(F.col("new_rows") > 0, F.col("pos")))})
     streak = F.col("pos") - F.coalesce("_hit", F.lit(-1))
     pause = F.when(

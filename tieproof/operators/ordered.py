@@ -1,16 +1,18 @@
 """Ordered computations per key that survive a key with most of the rows.
 
-A plain window sorts a whole key in one task. Here a key is cut into buckets
-along its order (a bucket is a column: a span of time, of ids, of positions);
-each bucket is one window, and what earlier buckets contribute comes from a
-small summary with one row per key and bucket:
+A plain window sorts a whole key in one task. Here a key with more rows than a
+block is cut into buckets along its order; each bucket is one window, and what
+earlier buckets contribute comes from a small summary with one row per key and
+bucket:
 
 * ``with_position``  rank of every row within its key;
 * ``running``        running min / max / sum, own row included or not;
 * ``rolling``        frames of the last n rows, by repeating the n-1 rows before
   each bucket inside it;
-* ``trailing_count`` frames over a span of time, by repeating the end of the
-  bucket before.
+* ``trailing_count`` frames over a span of time, as a running sum of rows that
+  enter and leave.
+
+Once positions are known, blocks of positions are even by construction.
 """
 
 from __future__ import annotations
@@ -19,15 +21,29 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK = 100_000
-DAY = 86_400
 
 
 def micros(ts: str) -> Column:
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
-def time_bucket(ts: str, seconds: int = DAY) -> Column:
-    return F.floor(micros(ts) / (seconds * 1_000_000)).cast("long")
+def _bucketed(df: DataFrame, keys: list[str], along: Column, size: int) -> DataFrame:
+    """Add ``_b``: keys of up to ``size`` rows stay whole, larger ones are cut evenly along ``along``.
+
+    Only the large keys are looked up, so that side is small; its measured size
+    decides how it is joined.
+    """
+    rows = df.withColumn("_a", along)
+    measured = [F.count("*").alias("_n"), F.min("_a").alias("_lo"), F.max("_a").alias("_hi")]
+    if keys:
+        large = rows.groupBy(*keys).agg(*measured).where(F.col("_n") > size)
+        rows = rows.join(large, keys, "left")
+    else:
+        whole = rows.agg(F.struct(*measured).alias("_m")).scalar()
+        rows = rows.withColumn("_m", whole).select("*", "_m.*").drop("_m")
+    width = F.greatest((F.col("_hi") - F.col("_lo") + 1) * (size / F.col("_n")), F.lit(1.0))
+    bucket = F.floor((F.col("_a") - F.col("_lo")) / width).cast("long")
+    return rows.withColumn("_b", F.coalesce(bucket, F.lit(0))).drop("_a", "_n", "_lo", "_hi")
 
 
 def _offsets(per_bucket: DataFrame, keys: list[str], bucket: str, aggs: dict[str, Column]) -> DataFrame:
@@ -36,13 +52,14 @@ def _offsets(per_bucket: DataFrame, keys: list[str], bucket: str, aggs: dict[str
     return per_bucket.select(*keys, bucket, *[c.over(w).alias(n) for n, c in aggs.items()])
 
 
-def with_position(df: DataFrame, keys: list[str], order: list[str], bucket: Column, name: str = "pos") -> DataFrame:
+def with_position(
+    df: DataFrame, keys: list[str], order: list[str], along: Column, name: str = "pos", size: int = BLOCK
+) -> DataFrame:
     """Zero-based rank of each row in the order of its key.
 
-    ``bucket`` must grow with the order and keep the rows of one key and bucket
-    few enough for one sort.
+    ``along`` is a number that grows with ``order``, such as the time in microseconds.
     """
-    rows = df.withColumn("_b", bucket)
+    rows = _bucketed(df, keys, along, size)
     counts = rows.groupBy(*keys, "_b").agg(F.count("*").alias("_n"))
     before = _offsets(counts, keys, "_b", {"_before": F.sum("_n")})
     local = F.row_number().over(Window.partitionBy(*keys, "_b").orderBy(*order)) - 1
@@ -109,19 +126,22 @@ def rolling(
 
 
 def trailing_count(
-    df: DataFrame, keys: list[str], ts: str, seconds: int, flag: Column, name: str, bucket_seconds: int = DAY
+    df: DataFrame, keys: list[str], ts: str, seq: str, seconds: int, name: str, size: int = BLOCK
 ) -> DataFrame:
-    """How many earlier flagged rows of the key lie less than ``seconds`` back."""
-    if seconds > bucket_seconds:
-        raise ValueError("the span must not be longer than a bucket")
-    span, step = seconds * 1_000_000, bucket_seconds * 1_000_000
-    own = F.floor(F.col("_us") / step).cast("long")
-    near_end = F.col("_us") % step >= step - span
-    rows = df.withColumn("_us", micros(ts)).withColumn("_own", own)
-    rows = rows.withColumn("_b", F.explode(F.when(near_end, F.array(own, own + 1)).otherwise(F.array(own))))
-    w = Window.partitionBy(*keys, "_b").orderBy("_us").rangeBetween(-(span - 1), -1)
-    out = rows.withColumn(name, F.count_if(flag).over(w))
-    return out.where(F.col("_b") == F.col("_own")).drop("_b", "_own", "_us")
+    """How many earlier rows of the key lie less than ``seconds`` back.
+
+    Every row enters at its time and leaves ``seconds`` later; the count is the
+    running sum of both before the row.
+    """
+    span = seconds * 1_000_000
+    change = F.explode(F.array(
+        F.struct(F.lit(True).alias("enters"), micros(ts).alias("us"), F.lit(1).alias("by")),
+        F.struct(F.lit(False).alias("enters"), (micros(ts) + span).alias("us"), F.lit(-1).alias("by")),
+    ))
+    moves = df.withColumn("_c", change).select("*", F.col("_c.us").alias("_us"), F.col("_c.enters").alias("_enters"))
+    rows = with_position(moves, keys, ["_us", "_enters", seq], F.col("_us"), "_pos", size)
+    out = running(rows, keys, {name: ("sum", F.col("_c.by"))}, "_pos", upto=-1, size=size)
+    return out.where("_enters").drop("_c", "_us", "_enters", "_pos")
 
 
 def last_n(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
