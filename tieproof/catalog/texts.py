@@ -8,6 +8,7 @@ from tieproof.catalog.base import CFG, lit, query
 from tieproof.catalog.base import s_strip
 from tieproof.functions import pages as pg
 from tieproof.functions import replies as rp
+from tieproof.functions.text import once
 from tieproof.operators import requests as rq
 
 C = F.col
@@ -74,7 +75,7 @@ SELECT event_id, CASE WHEN {s_strip('reply')} = '' THEN 'empty' WHEN NOT contain
     WHEN starts_with(reply, '{{') THEN 'parsed' ELSE 'payload_extracted' END AS outcome,
   TRY_CAST(regexp_extract(reply, '"k": (\\d+)', 1) AS BIGINT) AS k FROM replies""")
 def tx_reply_parse(t):
-    p = t.replies.withColumn("p", rp.typed_reply(C("reply"), CFG.prompt_marker, has_k))
+    p = t.replies.withColumn("p", once(rp.typed_reply(C("reply"), CFG.prompt_marker, has_k)))
     return p.select("event_id", "p.outcome", F.from_json("p.payload", "k long")["k"].alias("k"))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tieproof.config import Config
 from tieproof.functions.names import is_human_name, name_key
-from tieproof.functions.text import ci, is_blank, let, quoted, strip, text
+from tieproof.functions.text import ci, is_blank, once, quoted, strip, text
 from tieproof.functions.typing import bool3, money_lenient, money_number, year_lenient, year_number
 from tieproof.functions.urls import is_url
 
@@ -230,19 +230,16 @@ def validate(df, cfg: Config):
         lambda x: x.isNotNull(),
     )
 
-    def judged(found: Column) -> Column:
-        required = F.exists(found, lambda i: i.rlike("^missing |^name matches"))
-        tier = (
-            F.when(required, "weak").when(F.size(found) > 0, "provisional")
-            .when(canonical | multi, "high").otherwise("provisional")
-        )
-        return F.struct(found.alias("issues"), tier.alias("tier"))
-
-    out = base.withColumn("_judged", let(issues, judged)).withColumns({
-        "validation_issues": F.col("_judged.issues"), "validation_tier": F.col("_judged.tier"),
-    })
+    out = base.withColumn("validation_issues", once(issues))
+    found = F.col("validation_issues")
+    required = F.exists(found, lambda i: i.rlike("^missing |^name matches"))
+    out = out.withColumn(
+        "validation_tier",
+        F.when(required, "weak").when(F.size(found) > 0, "provisional")
+        .when(canonical | multi, "high").otherwise("provisional"),
+    )
     # The list reads the fields as they came, so they are coerced last.
-    return coerce(out.drop("_judged", "_licensed", "_blocked", "_canonical", *["_" + k for k in cleaned]))
+    return coerce(out.drop("_licensed", "_blocked", "_canonical", *["_" + k for k in cleaned]))
 
 
 def ambiguous(founder: Column, evidence: Column, proof: Column) -> Column:

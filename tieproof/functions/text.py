@@ -28,6 +28,16 @@ def let(c: Column, body) -> Column:
     return F.get(F.transform(F.array(c), body), F.lit(0))
 
 
+def once(c: Column) -> Column:
+    """``c`` as a generated column.
+
+    For costly expressions that later filters refer to: a filter is not pushed
+    below a generator it reads from, so the value is worked out once per row
+    instead of once more in every filter.
+    """
+    return F.explode(F.array(c))
+
+
 def text(c: Column) -> Column:
     """The text, with null read as the empty string."""
     return F.coalesce(c.cast("string"), F.lit(""))

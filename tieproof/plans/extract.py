@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tieproof.config import Config
 from tieproof.functions.names import name_key
 from tieproof.functions.replies import typed_reply
-from tieproof.functions.text import span_present, text
+from tieproof.functions.text import once, span_present, text
 from tieproof.functions.urls import netloc, source_score
 
 C = F.col
@@ -23,8 +23,8 @@ def extract_gate(replies: DataFrame, cfg: Config) -> DataFrame:
     def has_name(b):
         return F.from_json(b, RECORD)["company_name"].isNotNull()
 
-    parsed = replies.withColumn("_p", typed_reply(C("reply"), cfg.prompt_marker, has_name)).where("_p.payload IS NOT NULL")
-    rows = parsed.select("doc_id", "page_url", "source_text", F.from_json("_p.payload", RECORD).alias("_r"))
+    parsed = replies.withColumn("_p", once(typed_reply(C("reply"), cfg.prompt_marker, has_name))).where("_p.payload IS NOT NULL")
+    rows = parsed.select("doc_id", "page_url", "source_text", once(F.from_json("_p.payload", RECORD)).alias("_r"))
     proven = rows.where(span_present(C("_r.span"), C("source_text"))).select(
         "doc_id", "page_url", "_r.company_name", "_r.person", name_key(C("_r.company_name")).alias("name_key")
     ).where("name_key <> ''")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tieproof.config import Config
 from tieproof.functions import rules, scoring
 from tieproof.functions.names import last_name
-from tieproof.functions.text import text
+from tieproof.functions.text import once, text
 from tieproof.functions.urls import domain
 from tieproof.operators.joins import effective_verdict, one_per_key, registry_check
 
@@ -41,13 +41,13 @@ def decided(rows: DataFrame, cfg: Config) -> DataFrame:
     """Score, contradiction test, decision and entity note."""
     sources = F.when(C("api_confirmed"), 2).otherwise(1)
     out = rows.withColumn(
-        "_s", scoring.score(C("source_tier"), sources, C("api_confirmed"), C("tie"), C("verdict"), cfg)
+        "_s", once(scoring.score(C("source_tier"), sources, C("api_confirmed"), C("tie"), C("verdict"), cfg))
     ).withColumn("contradiction", ~scoring.consistent(C("founder"), C("evidence")))
     out = out.withColumn("confidence", C("_s.confidence")).withColumn(
         "_d",
-        scoring.decide(
+        once(scoring.decide(
             C("verdict"), C("company_real"), C("entity_type"), C("tie"), C("confidence"), C("contradiction"), cfg
-        ),
+        )),
     )
     note = scoring.entity_note(C("company_real"), C("source"), C("entity_type"), C("api_confirmed"))
     return out.withColumns({

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tieproof.config import Config
 from tieproof.functions import typing
 from tieproof.functions.names import NOT_A_FOUNDER, lower_key, split_people
-from tieproof.functions.text import is_blank, strip, text
+from tieproof.functions.text import is_blank, once, strip, text
 from tieproof.operators.enrich import migration_evidence
 
 C = F.col
@@ -79,7 +79,7 @@ def migrate(df: DataFrame, cfg: Config) -> DataFrame:
         typing.status(C("status_text"), public).alias("status"),
         exit_year["value"].alias("exit_year"),
         "acquirer", "acquisition_amount_usd", "validation_tier",
-        reason.alias("reason"),
+        once(reason).alias("reason"),
     )
 
 
