@@ -73,7 +73,7 @@ def not_known(new: DataFrame, known: DataFrame, new_key: Column, known_key: Colu
 
 
 def pages_to_recheck(verdicts: DataFrame, pages: DataFrame, key: str) -> DataFrame:
-    """UNCLEAR records with the text of their cached page, or their evidence."""
+    """UNCLEAR records with the text of their cached page (one per key), or their evidence."""
     unclear = verdicts.where("verdict = 'UNCLEAR'")
     cached = pages.select(key, F.col("text").alias("_page"))
     joined = unclear.join(cached, key, "left")

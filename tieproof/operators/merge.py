@@ -108,8 +108,8 @@ def dedup_report(df: DataFrame, n: int = 25) -> DataFrame:
 def dedup_people(df: DataFrame, people: DataFrame) -> DataFrame:
     """Affiliations of merged records: one row per canonical name and person, first wins.
 
-    ``people`` has ``rec_seq, pos, person`` and any further fields; unnamed
-    entries survive only on the base record.
+    ``people`` has ``rec_seq, pos, person`` and any further fields; of unnamed
+    entries only the last one of the base record survives.
     """
     keyed = _grouped_by_canonical(df).select("rec_seq", "canonical", "_solo", preference().alias("_order"))
     base = keyed.groupBy("canonical", "_solo").agg(F.min("_order").alias("_base"))
@@ -118,12 +118,11 @@ def dedup_people(df: DataFrame, people: DataFrame) -> DataFrame:
     named = rows.where(~is_blank(F.col("person"))).groupBy("canonical", "_solo", "person").agg(
         *[F.min_by(c, "_rank").alias(c) for c in extra]
     )
+    same_group = rows["canonical"].eqNullSafe(base["canonical"]) & rows["_solo"].eqNullSafe(base["_solo"])
     unnamed = (
-        rows.where(is_blank(F.col("person")))
-        .join(base, (rows["canonical"].eqNullSafe(base["canonical"])) & rows["_solo"].eqNullSafe(base["_solo"]))
-        .where(F.col("_order") == F.col("_base"))
-        .select(rows["canonical"], rows["_solo"], "person", *extra)
-        .dropDuplicates(["canonical", "_solo"])
+        rows.where(is_blank(F.col("person"))).join(base, same_group).where(F.col("_order") == F.col("_base"))
+        .groupBy(rows["canonical"], rows["_solo"]).agg(F.max_by(F.struct("person", *extra), "pos").alias("_u"))
+        .select("canonical", "_solo", "_u.*")
     )
     return named.unionByName(unnamed).drop("_solo")
 

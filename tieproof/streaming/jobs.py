@@ -15,12 +15,21 @@ C = F.col
 EPOCH_ROUNDS = 20
 
 
-def visited(visits: DataFrame, horizon: str = "40 days") -> DataFrame:
-    """First visit of each url per epoch of twenty rounds; state older than the horizon is dropped."""
+def visited(visits: DataFrame, horizon: str = "40 days", salts: int = 16) -> DataFrame:
+    """First visit of each url per epoch of twenty rounds; state older than the horizon is dropped.
+
+    Repeats are dropped per salt first, so that a url with a third of all visits
+    is spread over several tasks and reaches the last step a few times only.
+    """
     return (
-        visits.withColumn("ts", C("ts").cast("timestamp"))
-        .withColumn("epoch", F.floor(C("round") / EPOCH_ROUNDS).cast("int"))
+        visits.withColumns({
+            "ts": C("ts").cast("timestamp"),
+            "epoch": F.floor(C("round") / EPOCH_ROUNDS).cast("int"),
+            "salt": F.pmod(F.hash("event_id"), F.lit(salts)),
+        })
+        .select("url", "epoch", "salt", "ts")
         .withWatermark("ts", horizon)
+        .dropDuplicatesWithinWatermark(["url", "epoch", "salt"])
         .dropDuplicatesWithinWatermark(["url", "epoch"])
         .select("url", "epoch")
     )
