@@ -17,7 +17,7 @@ def parse(value, text):
     return value(lambda c: replies.typed_reply(c, MARK, has_records), text)
 
 
-GOOD = '{"records": [{"company_name": "Citi"}], "notes": ""}'
+GOOD = '{"records": [{"company_name": "Borough"}], "notes": ""}'
 
 
 @pytest.mark.parametrize("text, outcome", [
@@ -35,7 +35,7 @@ def test_typed_outcomes(value, text, outcome):
 
 def test_largest_fitting_fence_wins(value):
     text = "```json\n{\"long\": \"" + "x" * 200 + "\"}\n```\n```\n" + GOOD + "\n```"
-    assert json.loads(parse(value, text)["payload"])["records"] == [{"company_name": "Citi"}]
+    assert json.loads(parse(value, text)["payload"])["records"] == [{"company_name": "Borough"}]
 
 
 @pytest.mark.parametrize("text, span", [
@@ -47,9 +47,9 @@ def test_balanced_span(text, span):
 
 
 def test_quote_repair():
-    assert json.loads(replies.escape_inner_quotes('[\n""Anaconda" site:x organization"\n]')) == ['"Anaconda" site:x organization']
-    fixed = json.loads(replies.escape_inner_quotes('{\n"founders": "Emin, Maofan "Ted" Yin",\n"ok": true\n}'))
-    assert fixed == {"founders": 'Emin, Maofan "Ted" Yin', "ok": True}
+    assert json.loads(replies.escape_inner_quotes('[\n""Mamba" site:x organization"\n]')) == ['"Mamba" site:x organization']
+    fixed = json.loads(replies.escape_inner_quotes('{\n"founders": "Omar, Theo "Tip" Ray",\n"ok": true\n}'))
+    assert fixed == {"founders": 'Omar, Theo "Tip" Ray', "ok": True}
     clean = '{\n"company_name": "Acme",\n"ok": true\n}'
     assert replies.escape_inner_quotes(clean) == clean
 

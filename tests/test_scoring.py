@@ -33,10 +33,10 @@ def test_two_authorities_lift_to_the_threshold(spark):
 
 
 @pytest.mark.parametrize("founder, evidence, ok", [
-    ("Kevin Sekniqi", "the founder Emin Sirer of the firm", False),
-    ("Emin Sirer", "founded by Emin Gun Sirer", True),
-    ("Kevin Sekniqi", "worked on the protocol", True),
-    ("Kevin Sekniqi", "founder X. Later Sekniqi joined", True),
+    ("Kim Solano", "the founder Omar Pratt of the firm", False),
+    ("Omar Pratt", "founded by Omar Lee Pratt", True),
+    ("Kim Solano", "worked on the protocol", True),
+    ("Kim Solano", "founder X. Later Solano joined", True),
     ("", "founder X", True), (None, None, True),
 ])
 def test_contradiction(value, founder, evidence, ok):
@@ -75,8 +75,8 @@ def gate_one(spark, record, verdict=None, recovery=None, edge=None, registry=Non
 
 
 def test_recovery_overrides_and_graph_confirms(spark):
-    row = gate_one(spark, dict(company_name="Ava", founder="Emin Gun Sirer", evidence="co-founded", proof_url="https://news.example.org/x",
-                               affiliation_type="Alumnus"), "UNCLEAR", "FOUNDER", edge="E. Sirer")
+    row = gate_one(spark, dict(company_name="Lava", founder="Omar Lee Pratt", evidence="co-founded", proof_url="https://news.example.org/x",
+                               affiliation_type="Alumnus"), "UNCLEAR", "FOUNDER", edge="O. Pratt")
     assert row["state"] == "verified" and row["confidence"] >= 0.7 and "api-confirmed" in row["provenance"]
     assert row["entity_verified"] is True and "graph" in row["entity_note"]
 
@@ -89,6 +89,6 @@ def test_unproven_entity_is_no_reason_to_reject(spark):
 
 
 def test_executives_stay_out(spark):
-    row = gate_one(spark, dict(company_name="Citi", founder="Sandy Weill", evidence="former chairman", proof_url="x",
-                               affiliation_type="Alumnus"), "EXECUTIVE", registry="Citi / US / 1")
+    row = gate_one(spark, dict(company_name="Borough", founder="Dana Marlow", evidence="former chairman", proof_url="x",
+                               affiliation_type="Alumnus"), "EXECUTIVE", registry="Borough / US / 1")
     assert row["state"] == "rejected" and row["entity_note"] == "entity confirmed (registry)"

@@ -230,7 +230,7 @@ def job_apply_verdicts(t):
     return gate.apply_verdicts(t.raw_records, t.verdict_log)
 
 
-@query("job_ecosystem", "raw_records affiliations", S_DECADE.join(("d AS (", """),
+@query("job_ecosystem", "raw_records affiliations", "d AS (" + S_DECADE + """),
 multi AS (SELECT person FROM affiliations GROUP BY person HAVING count(*) > 1)
 SELECT 'tier' AS section, validation_tier AS key, count(*) AS n FROM raw_records GROUP BY ALL
 UNION ALL SELECT 'status', status, count(*) FROM raw_records GROUP BY ALL
@@ -242,7 +242,7 @@ UNION ALL SELECT 'decade', CAST(decade AS VARCHAR), n FROM d
 UNION ALL SELECT 'total', 'records', count(*) FROM raw_records
 UNION ALL SELECT 'total', 'funded', count(*) FILTER (funding_total_usd <> 0) FROM raw_records
 UNION ALL SELECT 'total', 'funding', CAST(sum(funding_total_usd) AS BIGINT) FROM raw_records
-UNION ALL SELECT 'total', 'people_in_several', count(*) FROM multi""")))
+UNION ALL SELECT 'total', 'people_in_several', count(*) FROM multi""")
 def job_ecosystem(t):
     r, a = t.raw_records, t.affiliations
     sections = stats.distribution(

@@ -5,14 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tieproof.catalog.base import CFG, lit, query
-from tieproof.catalog.base import in_list, s_blocklisted, s_bool3, s_count, s_entity, s_get, s_grad_year, s_has, s_human
-from tieproof.catalog.base import s_is_url, s_missing_founder, s_money_typed, s_netloc, s_non_company, s_rank, s_role
-from tieproof.catalog.base import s_school, s_stage, s_status, s_strip, s_text, s_triage_bucket, s_year
+from tieproof.catalog.base import in_list, s_blocklisted, s_bool3, s_count, s_entity, s_get, s_has, s_human, s_is_url
+from tieproof.catalog.base import s_money_typed, s_non_company, s_status, s_strip, s_text, s_triage_bucket, s_year
 from tieproof.catalog.scalars import s_money_lenient
 from tieproof.functions import pages as pg
 from tieproof.functions import rules
-from tieproof.functions.names import is_human_name
-from tieproof.functions.text import strip, text
 from tieproof.functions.typing import STAGES
 from tieproof.operators.records import (
     ambiguous_records, check_schema, health_candidates, heuristic_verify, list_records, typed_fields,

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tieproof.catalog.base import *  # noqa: F403
-from tieproof.catalog.base import CFG, lit, query
-from tieproof.catalog.base import s_bool3, s_canonical, s_company_role, s_count, s_domain, s_get, s_grad_year, s_has
-from tieproof.catalog.base import s_human, s_is_url, s_last_name, s_money_typed, s_name_key, s_norm, s_role, s_school
-from tieproof.catalog.base import s_source_score, s_stage, s_status, s_strip, s_text, s_whole, s_year
+from tieproof.catalog.base import CFG, query
+from tieproof.catalog.base import s_bool3, s_canonical, s_company_role, s_count, s_domain, s_get, s_grad_year, s_human
+from tieproof.catalog.base import s_is_url, s_last_name, s_money_typed, s_name_key, s_norm, s_role, s_school
+from tieproof.catalog.base import s_source_score, s_stage, s_status, s_strip, s_whole, s_year
 from tieproof.functions import names, typing, urls
-from tieproof.functions.text import normalize_text, short_hash, strip, text
+from tieproof.functions.text import normalize_text, short_hash
 from tieproof.operators.enrich import article_facts, migration_evidence
 
 C = F.col

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tieproof.functions.text import NOT_WORD_OR_WS, WORD, WS, squeeze, strip, text
+from tieproof.functions.text import NOT_WORD_OR_WS, WS, squeeze, strip, text
 
 # Legal-form suffixes of each key.
 TRAILING_FORM = WS + r"*,?" + WS + r"*(?:inc\.?|llc\.?|ltd\.?|corp\.?|co\.?|plc\.?)$"
@@ -75,9 +75,3 @@ def split_people(c: Column) -> Column:
 
 def to_tags(c: Column) -> Column:
     return F.filter(F.transform(F.split(text(c), "[,;/]"), strip), lambda t: t != "")
-
-
-__all__ = [
-    "WORD", "canonical_name", "canonical_name_short", "is_human_name", "last_name",
-    "lower_key", "name_key", "split_people", "to_tags",
-]

@@ -14,7 +14,6 @@ WS_CHARS = (
     + "\u2028\u2029\u202f\u205f\u3000"
 )
 WS = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\p{Z}]"
-WORD = r"[\p{L}\p{N}_]"
 NOT_WORD_OR_WS = r"[^\p{L}\p{N}_\s\x{0B}\x{1C}-\x{1F}\x{85}\p{Z}]"
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tieproof.functions.text import ci, first_match, let, mapped, quoted, strip, text
+from tieproof.functions.text import first_match, let, mapped, quoted, strip, text
 
 # Spellings of "missing" and limits of each field.
 MISSING_WORDS = ("", "Unknown", "unknown", "N/A", "n/a")
@@ -231,6 +231,3 @@ def http_class(c: Column) -> Column:
         .when(c.between(400, 499), "fatal")
         .otherwise("retryable")
     )
-
-
-__all__ = [n for n in dir() if not n.startswith("_") and n not in ("annotations", "Column", "F", "ci")]

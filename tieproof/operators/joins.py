@@ -168,6 +168,3 @@ def span_samples(claims: DataFrame, matched: Column, good: int = 3, bad: int = 5
     return ranked.where(F.col("_rn") <= max(good, bad)).where(
         F.col("_rn") <= F.when(F.col("ok"), good).otherwise(bad)
     ).drop("_rn")
-
-
-__all__ = [n for n in dir() if not n.startswith("_")]

@@ -206,6 +206,3 @@ def engine_health(fetches: DataFrame, last: int = 50) -> DataFrame:
         F.round(F.expr("percentile(latency_ms, 0.5)"), 3).alias("p50"),
         F.round(F.expr("percentile(latency_ms, 0.95)"), 3).alias("p95"),
     )
-
-
-__all__ = [n for n in dir() if not n.startswith("_")]
