@@ -14,7 +14,11 @@ from tieproof.operators import requests as rq
 C = F.col
 
 
-_UNESCAPE = "replace(replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&amp;', '&')"
+# Named references also count without their semicolon.
+_UNESCAPE = (
+    "regexp_replace(regexp_replace(regexp_replace(regexp_replace({x}, '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), "
+    "'&quot;?', chr(34), 'g'), '&amp;?', '&', 'g')"
+)
 
 
 @query("tx_html_text", "", f"""
