@@ -1,6 +1,17 @@
 """All queries of the operators, by import."""
 
-from tieproof.llm import chat_format, mixture, nearest, secrets, token_count, url_filter  # noqa: F401
+from tieproof.llm import (  # noqa: F401
+    chat_format,
+    decontaminate,
+    mixture,
+    near_copies,
+    nearest,
+    quality,
+    secrets,
+    token_count,
+    toxicity,
+    url_filter,
+)
 from tieproof.llm.tables import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
