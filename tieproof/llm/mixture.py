@@ -50,9 +50,23 @@ def targets(sizes: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float
         F.col("full"), F.col("capacity")).otherwise(F.col("weight") * level).alias("target"))
 
 
+def mixed_documents(documents: DataFrame, **options) -> DataFrame:
+    """The rows of ``documents`` that the mix takes, with all columns and ``mix_size``, ``mix_taken`` (words; former
+    columns of these names give way).
+
+    Rows that agree in id, source and size are taken alike.
+    """
+    documents = documents.drop("mix_size", "mix_taken")
+    picked = mix(documents, **options).where("taken > 0").groupBy("doc_id", "source", "size").agg(F.max("taken").alias("taken"))
+    picked = picked.toDF("mix_doc_id", "mix_source", "mix_size", "mix_taken")
+    same = (F.col("doc_id").eqNullSafe(F.col("mix_doc_id")) & F.col("source").eqNullSafe(F.col("mix_source"))
+            & (word_count(F.col("text")) == F.col("mix_size")))
+    return documents.join(picked, same).select(documents["*"], "mix_size", "mix_taken")
+
+
 def mix(documents: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, repeats: int = 2,
         per_slot: int = 20_000) -> DataFrame:
-    """``doc_id, size, source_size, target, taken`` of every row of ``documents`` (``doc_id``, ``text``, ``source``).
+    """``doc_id, size, source_size, target, taken, source`` of every row of ``documents`` (``doc_id``, ``text``, ``source``).
 
     Size is the number of words (null text: 0), ``taken`` the words that the mix
     takes of the document: a whole number of times its size, ``repeats`` at most.
@@ -104,7 +118,7 @@ def mix(documents: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float
         mine = lambda k: F.struct(finish(k).alias("finish"), F.col("order"), F.col("doc_id"), F.lit(k).alias("again"))
         taken = sum((F.when(mine(k) <= key, F.col("size")).otherwise(0) for k in range(repeats)), F.lit(0))
     taken = F.when((F.col("size") > 0) & (F.col("target") > 0), taken).otherwise(0).cast("long")
-    return timed.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+    return timed.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "source")
 
 
 @query("op4_mix_sources")

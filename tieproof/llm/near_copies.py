@@ -242,6 +242,19 @@ def near_copy_components(documents: DataFrame, size: int = 5, percent: int = 80)
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def keep_one(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``documents`` with the smallest id of each component, all columns.
+
+    Of rows with one id that with the smallest text stays; rows without an id stay.
+    """
+    found = near_copy_components(documents, size, percent)
+    first = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    kept = documents.join(first, "doc_id", "left_semi")
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
+    kept = kept.groupBy("doc_id").agg(F.min_by(row, F.coalesce("text", F.lit(""))).alias("row")).select("row.*")
+    return kept.union(documents.where("doc_id IS NULL"))
+
+
 @query("op8_near_copies")
 def op8_near_copies(spark, folder):
     return near_copy_components(table(spark, folder, "documents", "doc_id", "text"))
