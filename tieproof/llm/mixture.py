@@ -75,13 +75,14 @@ def mix(documents: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float
     rows are documents of their own. With nothing to take, all is 0.
 
     Running sums are built from slots: a slot is a range of the hash with about
-    ``per_slot`` rows, so one source with most of the rows is summed by many tasks.
+    ``per_slot`` rows at most, and there are as many as shuffle partitions, so one
+    source with most of the rows is summed by many tasks.
     """
     spark = documents.sparkSession
     order = F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.lit("mix"))
     docs = saved(documents.select("doc_id", "source", word_count(F.col("text")).alias("size")).withColumn("order", order))
     sizes = saved(docs.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")))
-    slots = max(1, -(-(sizes.agg(F.sum("n")).first()[0] or 0) // per_slot))
+    slots = max(partitions(spark), -(-(sizes.agg(F.sum("n")).first()[0] or 0) // per_slot))
     goals = saved(targets(sizes.drop("n"), weights, share, repeats)).withColumnRenamed("source", "name")
 
     docs = docs.withColumn("slot", F.floor((F.shiftright("order", 32) + (1 << 31)) / (2.0 ** 32) * slots))
