@@ -81,7 +81,7 @@ class Index:
         # postings of a block as a dense table: terms x items of the block; by term the block maxima
         self.impact = np.zeros((len(every), max(1, self.blocks) * terms.block), np.float32)
         self.impact[t, d] = impact
-        self.most = self.impact.reshape(len(every), -1, terms.block).max(2)
+        self.most = self.impact.reshape(len(every), max(1, self.blocks), terms.block).max(2)
         self.question, self.answer = [], []
         for i, k in enumerate(kept):
             cut = self._answer_at(texts[k], hashes[i])
@@ -155,7 +155,7 @@ class Index:
         first = np.concatenate([[0], np.cumsum(hi - lo)])
         at = np.repeat(lo - first[:-1], hi - lo) + np.arange(first[-1])
         # a term that stands in several strides counts more than once here: still a bound, of each item
-        by_block = self.impact.reshape(len(self.vocabulary), -1, size)
+        by_block = self.impact.reshape(len(self.vocabulary), self.blocks, size)
         bound = np.add.reduceat(by_block[term[at], np.repeat(block, hi - lo)], first[:-1], axis=0)
         for c, j in np.argwhere(bound >= self.terms.threshold - 1e-4):
             item, text = int(block[c]) * size + int(j), int(text_of[passage[c]])
