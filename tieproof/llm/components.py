@@ -1,4 +1,4 @@
-"""Connected components of a large graph by alternating large and small stars."""
+"""Connected components of a large graph by contraction."""
 
 from __future__ import annotations
 
@@ -8,29 +8,35 @@ from pyspark.sql import functions as F
 from tieproof.llm.tables import saved
 
 
-def _mark(e: DataFrame) -> tuple:
-    return tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+def components(edges: DataFrame, hashed: bool = False) -> DataFrame:
+    """``node, component`` of every node of ``edges`` (``a``, ``b`` long) that has another as a neighbour.
 
-
-def components(edges: DataFrame) -> DataFrame:
-    """``node, component`` of every node of ``edges`` (``a``, ``b`` long): the smallest node it is linked with.
-
-    Each round hangs the larger neighbours of a node below its smallest one, then
-    all smaller ones; the rounds grow with the logarithm of the longest path. The
-    minima are aggregates and joins, so a node with most of the edges is split
-    like any skewed join; every round is written to the shared folder.
+    ``component`` is the smallest node that it is linked with. In each round every
+    node goes over to the first among its neighbours and itself, in a random
+    order, and the edges are drawn anew between where their ends went; edges that
+    became loops go, so a share of the nodes vanishes in every round, and stars
+    are done after two. ``hashed`` says that the nodes are hashes, which serve as
+    their own order. Minima are aggregates that combine before the shuffle, and
+    joins are split where a node is skewed.
     """
-    e = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    e = saved(e)
-    mark = _mark(e)
-    while mark[0]:
-        both = e.union(e.select("v", "u")).toDF("u", "v")
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = saved(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        below = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(below, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(below)
-        e = saved(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-        last, mark = mark, _mark(e)
-        if mark == last:
-            break
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(e.select("v", "v")).distinct()
+    order = F.col if hashed else F.xxhash64
+    real = edges.where("a <> b")
+    graph = saved(real.select("a", "b").union(real.select("b", "a")).toDF("u", "v").distinct())
+    steps = []
+    while not graph.isEmpty():
+        first = graph.groupBy("u").agg(F.min_by("v", order("v")).alias("m"))
+        moved = saved(first.select("u", F.when(order("m") < order("u"), F.col("m")).otherwise(F.col("u")).alias("m")))
+        steps.append(moved)
+        ends = graph.join(moved, "u").select("v", F.col("m").alias("u"))
+        ends = ends.join(moved.select(F.col("u").alias("v"), F.col("m").alias("w")), "v")
+        graph = saved(ends.where("u <> w").select("u", F.col("w").alias("v")).distinct())
+    if not steps:
+        return graph.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    out = steps[0].select(F.col("u").alias("node"), F.col("m").alias("component"))
+    for moved in steps[1:]:
+        later = moved.select(F.col("u").alias("component"), "m")
+        out = out.join(later, "component", "left").select("node", F.coalesce("m", "component").alias("component"))
+    if hashed:
+        return out
+    least = out.groupBy("component").agg(F.min("node").alias("least"))
+    return out.join(least, "component").select("node", F.col("least").alias("component"))

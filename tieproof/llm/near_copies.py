@@ -13,20 +13,20 @@
 5. Components of the links.
 
 Groups and units larger than a block are cut: blocks are walked by themselves,
-then every item is compared with a few hubs of its group, and only pairs of
-blocks that are not one component by then are walked as well. So a group of
-copies of any size costs about its own size, and every link that connects
-anything is kept.
+then every item is compared with a few hubs of its group, and only items that are
+not in the group's largest component by then are compared with all others, block
+by block. So a group of copies of any size costs about its own size, and every
+link that connects anything is kept.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,7 +46,7 @@ def _class_of(s: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def frequent_shingles(documents: DataFrame, size: int, one_in: int = 32, least: int = 6, most: int = 65_536) -> np.ndarray:
+def frequent_shingles(documents: DataFrame, size: int, one_in: int = 16, least: int = 4, most: int = 65_536) -> np.ndarray:
     """Hashes of shingles that ``least`` documents of a sample hold, the commonest ``most`` of them, sorted.
 
     The sample is the documents whose hashed id is divisible by ``one_in``.
@@ -90,52 +90,72 @@ def signatures(documents: DataFrame, size: int, percent: int, frequent: np.ndarr
     return docs.mapInArrow(run, f"doc_id {key}, n long, cls long, head array<long>, bits binary")
 
 
-def _walk(exact: bool, percent: int) -> Callable[[pd.DataFrame], list[tuple[int, int]]]:
-    """Links among the rows of one block or pair of blocks; ``blk`` and ``comp`` say what to leave out."""
+class Walker:
+    """Links among the items of one block, or between two blocks."""
 
-    def run(rows: pd.DataFrame) -> list[tuple[int, int]]:
-        ids, sizes = rows.cls.to_numpy(), rows.n.to_numpy()
-        data = [np.frombuffer(x, np.uint64) for x in rows.data]
-        if exact:
-            bits = bits_for(int(np.median(sizes)))
-            maps = np.array([bitmap(s, bits) for s in data])
-        else:
-            bits = min(len(x) for x in data) * 64
-            maps = np.array([folded(x, bits) for x in data])
-
-        def test(i, j):
-            both = shared_elements(data[i], data[j])
-            return 100 * both >= percent * (len(data[i]) + len(data[j]) - both)
+    def __init__(self, exact: bool, percent: int):
+        self.exact, self.percent = exact, percent
 
-        blk, two = rows.blk.to_numpy(), rows.blk.nunique() > 1
-        wanted = (lambda i, j: blk[i] != blk[j]) if two else None
-        links = Tree(sizes, maps, percent).walk(Links(rows.comp.tolist()), test if exact else None, wanted)
-        return [(int(ids[i]), int(ids[j])) for i, j in links]
-
-    return run
+    def alike(self, a: np.ndarray, n: int, b: np.ndarray, m: int) -> bool:
+        """The exact test, or without whole sets whether the bitmaps leave a chance."""
+        if self.exact:
+            both = shared_elements(a, b)
+        else:
+            bits = 64 * min(len(a), len(b))
+            a, b = folded(a, bits), folded(b, bits)
+            both = int(np.bitwise_count(a & b).sum()) + min(n - int(np.bitwise_count(a).sum()), m - int(np.bitwise_count(b).sum()))
+            both = min(both, n, m)
+        return 100 * both >= self.percent * (n + m - both)
+
+    def stars(self, ids: np.ndarray, blk: np.ndarray, size: np.ndarray, comp: np.ndarray, data: list[bytes]) -> list[tuple[int, int]]:
+        """(smallest id of a component, other id) of what is linked, by what was before or now."""
+        sets = [np.frombuffer(x, np.uint64) for x in data]
+        if len(sets) == 2:
+            one = 100 * size.min() >= self.percent * size.max() and comp[0] != comp[1]
+            return [(int(ids.min()), int(ids.max()))] if one and self.alike(sets[0], int(size[0]), sets[1], int(size[1])) else []
+        linked = Links(comp.tolist())
+        bits = bits_for(int(np.median(size))) if self.exact else 64 * min(map(len, sets))
+        maps = np.array([bitmap(x, bits) if self.exact else folded(x, bits) for x in sets])
+        test = (lambda i, j: self.alike(sets[i], len(sets[i]), sets[j], len(sets[j]))) if self.exact else None
+        Tree(size, maps, self.percent).walk(linked, test, blk if len(np.unique(blk)) > 1 else None)
+        least: dict[int, int] = {}
+        roots = [linked.find(i) for i in range(len(sets))]
+        for r, i in zip(roots, ids.tolist()):
+            least[r] = min(i, least.get(r, i))
+        return [(least[r], i) for r, i in zip(roots, ids.tolist()) if i != least[r]]
 
 
 def _by_key(items: DataFrame, keys: list[str], exact: bool, percent: int) -> DataFrame:
     """``a, b`` of the links inside each group of ``keys``; groups come sorted, one at a time."""
-    walk = _walk(exact, percent)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None
-        for pdf in batches:
-            pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
-            change = np.flatnonzero((pdf[keys].to_numpy()[1:] != pdf[keys].to_numpy()[:-1]).any(1)) + 1
-            out = []
-            for lo, hi in zip([0, *change[:-1]], change):
+    n_keys = len(keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        walker, rest = Walker(exact, percent), None
+        for b in itertools.chain(batches, [None]):
+            if b is not None:
+                t = pa.Table.from_batches([b])
+                t = t if rest is None else pa.concat_tables([rest, t])
+            elif rest is not None:
+                t = rest
+            else:
+                return
+            key = np.column_stack([t.column(k).to_numpy() for k in range(n_keys)])
+            change = np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1
+            ends = [0, *change.tolist(), len(key)]
+            if b is not None:  # the last group may go on
+                ends.pop()
+            cols = [t.column(n_keys + k).to_numpy() for k in range(4)]
+            data, out = t.column(n_keys + 4).to_pylist(), []
+            for lo, hi in zip(ends, ends[1:]):
                 if hi - lo > 1:
-                    out += walk(pdf.iloc[lo:hi])
-            rest = pdf.iloc[change[-1] if len(change) else 0:]
+                    out += walker.stars(*(c[lo:hi] for c in cols), data[lo:hi])
+            rest = t.slice(ends[-1]).combine_chunks()
             if out:
-                yield pd.DataFrame(out, columns=["a", "b"])
-        if rest is not None and len(rest) > 1 and (out := walk(rest)):
-            yield pd.DataFrame(out, columns=["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["a", "b"])
 
-    ready = items.repartition(*keys).sortWithinPartitions(*keys, "cls")
-    return ready.select(*dict.fromkeys([*keys, "blk", "cls", "n", "comp", "data"])).mapInPandas(run, "a long, b long")
+    ready = items.repartition(*keys).sortWithinPartitions(*keys)
+    rows = [F.col(k).alias(f"key{i}") for i, k in enumerate(keys)] + [F.col(c) for c in ("cls", "blk", "n", "comp", "data")]
+    return ready.select(*rows).mapInArrow(run, "a long, b long")
 
 
 def links_in_groups(items: DataFrame, exact: bool, percent: int, block: int = BLOCK) -> DataFrame:
@@ -147,46 +167,44 @@ def links_in_groups(items: DataFrame, exact: bool, percent: int, block: int = BL
     sizes = items.groupBy("grp").agg(F.count("*").alias("members")).where("members > 1")
     sizes = saved(sizes.withColumn("blocks", F.ceil(F.col("members") / block).cast("int")))
     cut = items.join(sizes, "grp").withColumn("blk", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
-    alone = cut.withColumn("comp", F.col("cls"))
-    links = saved(_by_key(alone, ["grp", "blk"], exact, percent))
+    links = saved(_by_key(cut.withColumn("comp", F.col("cls")), ["grp", "blk"], exact, percent))
     large = sizes.where("blocks > 1")
     if large.isEmpty():
         return links
 
-    wide = saved(cut.join(large.select("grp"), "grp", "left_semi").select("grp", "blk", "cls", "n", "data"))
+    wide = saved(cut.where("blocks > 1").select("grp", "blk", "cls", "n", "data"))
     order = Window.partitionBy("grp").orderBy(F.xxhash64("cls"))
     hubs = wide.withColumn("k", F.row_number().over(order)).where(F.col("k") <= HUBS).select(
         "grp", F.col("cls").alias("hub"), F.col("n").alias("hub_n"), F.col("data").alias("hub_data"))
     apart = (100 * F.least("n", "hub_n") < percent * F.greatest("n", "hub_n")) | (F.col("cls") == F.col("hub"))
     tried = wide.join(hubs, "grp").where(~apart).select("cls", "n", "data", "hub", "hub_n", "hub_data")
 
-    def against_hubs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for c, n, d, h, m, e in pdf.itertuples(index=False):
-                d, e = np.frombuffer(d, np.uint64), np.frombuffer(e, np.uint64)
-                if exact:
-                    both = shared_elements(d, e)
-                else:
-                    bits = 64 * min(len(d), len(e))
-                    d, e = folded(d, bits), folded(e, bits)
-                    both = int(np.bitwise_count(d & e).sum()) + min(n - int(np.bitwise_count(d).sum()), m - int(np.bitwise_count(e).sum()))
-                    both = min(both, n, m)
-                if 100 * both >= percent * (n + m - both):
-                    out.append((c, h))
-            yield pd.DataFrame(out, columns=["a", "b"])
-
-    links = saved(links.union(tried.mapInPandas(against_hubs, "a long, b long").distinct()))
-    comp = components(links)
+    def against_hubs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        walker, view = Walker(exact, percent), lambda x: np.frombuffer(x, np.uint64)
+        for b in batches:
+            keep = [walker.alike(view(d), n, view(e), m) for n, d, m, e in zip(*(b.column(k).to_pylist() for k in (1, 2, 4, 5)))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(3)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    comp = saved(components(links.union(tried.mapInArrow(against_hubs, "a long, b long")), True))
     wide = wide.join(comp.select(F.col("node").alias("cls"), F.col("component").alias("comp")), "cls", "left").select(
-        "grp", "blk", "cls", "n", F.coalesce("comp", "cls").alias("comp"), "data")
-    ends = wide.groupBy("grp", "blk").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    left, right = (ends.select("grp", *[F.col(c).alias(f"{c}{k}") for c in ("blk", "lo", "hi")]) for k in (1, 2))
-    one = (F.col("lo1") == F.col("hi1")) & (F.col("lo2") == F.col("hi2")) & (F.col("lo1") == F.col("lo2"))
-    pairs = left.join(right, "grp").where((F.col("blk1") < F.col("blk2")) & ~one).select("grp", "blk1", "blk2")
-    sides = pairs.select("*", F.explode(F.array("blk1", "blk2")).alias("blk"))
-    both = sides.join(wide, ["grp", "blk"])
-    return links.union(_by_key(both, ["grp", "blk1", "blk2"], exact, percent))
+        "grp", "cls", "n", F.coalesce("comp", "cls").alias("comp"), "data")
+    # what is left: items outside a group's largest component, against all others of the group
+    tally = wide.groupBy("grp", "comp").agg(F.count("*").alias("k"))
+    tally = tally.groupBy("grp").agg(F.max_by("comp", "k").alias("major"), F.max("k").alias("inside"), F.sum("k").alias("all"))
+    tally = tally.where(F.col("all") > F.col("inside")).select(
+        "grp", "major", F.ceil(F.col("inside") / block).cast("int").alias("inner"),
+        F.ceil((F.col("all") - F.col("inside")) / block).cast("int").alias("outer"))
+    cell = lambda n: F.pmod(F.xxhash64("cls"), F.col(n)).cast("int")
+    placed = wide.join(tally, "grp").withColumn(
+        "blk", F.when(F.col("comp") == F.col("major"), -1 - cell("inner")).otherwise(cell("outer")))
+    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    pair = lambda p, q: F.struct(p.alias("p"), q.alias("q"))
+    visits = F.when(F.col("blk") < 0, F.transform(every("outer"), lambda o: pair(o, F.col("blk")))).otherwise(F.concat(
+        F.transform(every("outer"), lambda o: pair(F.least(o, F.col("blk")), F.greatest(o, F.col("blk")))),
+        F.transform(every("inner"), lambda i: pair(F.col("blk"), -1 - i))))
+    both = placed.select("grp", F.explode(visits).alias("at"), "cls", "blk", "n", "comp", "data").select(
+        "grp", "at.p", "at.q", "cls", "blk", "n", "comp", "data")
+    return comp.toDF("a", "b").union(_by_key(both, ["grp", "p", "q"], exact, percent))
 
 
 def near_copy_components(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -202,19 +220,20 @@ def near_copy_components(documents: DataFrame, size: int = 5, percent: int = 80)
     docs = documents.select("doc_id", "text")
     signed = saved(signatures(docs, size, percent, frequent_shingles(docs, size)))
     classes = signed.where("n > 0").groupBy("cls").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("head").alias("head"))
-    heads = classes.select("cls", F.explode("head").alias("element"))
+        F.first("n").alias("n"), F.first("head").alias("head"))
+    heads = classes.select("cls", "n", F.explode("head").alias("element"))
     own = Window.partitionBy("element")
     # groups with the same members have the same sum of hashes, and are kept once
-    shared = heads.select("cls", F.count("*").over(own).alias("members"), F.sum(F.xxhash64("cls") % (1 << 40)).over(own).alias("list"))
-    groups = shared.where("members > 1").select(F.xxhash64("members", "list").alias("grp"), "cls").distinct()
-    bits = signed.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("data"))
+    listed = lambda over: F.xxhash64(F.count("*").over(over), F.sum(F.xxhash64("cls") % (1 << 40)).over(over))
+    shared = heads.select("cls", "n", F.count("*").over(own).alias("members"), listed(own).alias("grp")).where("members > 1")
     # sets that overlap enough have sizes in the same class of sizes or the next
     width = F.floor(F.log("n") / F.lit(math.log(100 / percent) * (1 + 1e-9))).cast("int")
-    items = saved(groups.join(bits, "cls").select(
-        F.explode(F.array(width, width + 1)).alias("w"), "grp", "cls", "n", "data").select(
-        F.xxhash64("grp", "w").alias("grp"), "cls", "n", "data"))
-    unit = saved(components(links_in_groups(items, False, percent)).select(
+    sized = shared.select("grp", "cls", "n").distinct().select("grp", "cls", F.explode(F.array(width, width + 1)).alias("w"))
+    alike = Window.partitionBy("grp", "w")
+    groups = sized.select("cls", F.count("*").over(alike).alias("members"), listed(alike).alias("grp")).where("members > 1")
+    bits = signed.where("n > 0").groupBy("cls").agg(F.first("n").alias("n"), F.first("bits").alias("data"))
+    items = saved(groups.select("grp", "cls").distinct().join(bits, "cls").select("grp", "cls", "n", "data"))
+    unit = saved(components(links_in_groups(items, False, percent), True).select(
         F.col("node").alias("cls"), F.col("component").alias("grp")))
 
     named = signed.where("n > 0").select("doc_id", "cls").join(unit, "cls").groupBy("cls", "grp").agg(F.min("doc_id").alias("doc_id"))
@@ -233,7 +252,7 @@ def near_copy_components(documents: DataFrame, size: int = 5, percent: int = 80)
                     pa.array([sets[i].tobytes() for i in right], pa.binary())], ["grp", "cls", "n", "data"])
 
     sets = saved(texts.mapInArrow(whole_sets, "grp long, cls long, n long, data binary").dropDuplicates(["cls"]))
-    linked = components(links_in_groups(sets, True, percent))
+    linked = components(links_in_groups(sets, True, percent), True)
     named = signed.select("doc_id", F.col("n").alias("n_shingles"), "cls").join(
         linked.withColumnRenamed("node", "cls"), "cls", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "cls").alias("key"))

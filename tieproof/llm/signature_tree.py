@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 
-LEAF, FAN = 8, 4
+LEAF, FAN = 32, 4
 
 
 def bitmap(values: np.ndarray, bits: int) -> np.ndarray:
@@ -23,8 +23,8 @@ def bitmap(values: np.ndarray, bits: int) -> np.ndarray:
 
 
 def bits_for(size: int) -> int:
-    """Two to four bits for each element."""
-    return max(64, 1 << (2 * max(1, size) - 1).bit_length())
+    """One to two bits for each element."""
+    return max(64, 1 << (max(1, size) - 1).bit_length())
 
 
 def folded(words: np.ndarray, bits: int) -> np.ndarray:
@@ -36,13 +36,11 @@ def folded(words: np.ndarray, bits: int) -> np.ndarray:
 
 
 class Links:
-    """Which items are linked already."""
+    """Which items are linked already; those of one group are from the start."""
 
     def __init__(self, groups):
-        self.up = list(range(len(groups)))
         first: dict = {}
-        for i, g in enumerate(groups):
-            self.up[i] = first.setdefault(g, i)
+        self.up = [first.setdefault(g, i) for i, g in enumerate(groups)]
 
     def find(self, i: int) -> int:
         while self.up[i] != i:
@@ -84,10 +82,10 @@ class Tree:
         """A set of at most ``lo`` elements can't reach the share with one of at least ``hi``."""
         return 100 * lo < self.percent * hi
 
-    def walk(self, linked: Links, test, wanted=None) -> list[tuple[int, int]]:
-        """Pairs (item, item) that link what was not linked before. ``test(i, j)`` decides on a pair that the
-        bounds leave; without it (None) every such pair counts. ``wanted(i, j)`` leaves pairs out beforehand."""
-        found: list[tuple[int, int]] = []
+    def walk(self, linked: Links, test, side: np.ndarray | None = None) -> None:
+        """Links what belongs together. ``test(i, j)`` decides on a pair that the bounds leave; without it (None)
+        every such pair counts. With ``side``, only pairs of items of different sides are looked at."""
+        side = None if side is None else side[self.order]
         top = len(self.levels) - 1
         stack = [(top, 0, top, 0)]
         while stack:
@@ -106,29 +104,28 @@ class Tree:
             if roots is not None and len(roots) == 1:
                 continue
             if la == 0:
-                self._leaves(lo_a, hi_a, lo_b, hi_b, linked, test, wanted, found)
+                self._leaves(lo_a, hi_a, lo_b, hi_b, linked, test, side)
                 continue
             kids = lambda lo, hi: range(lo // (LEAF * FAN ** (la - 1)), -(-hi // (LEAF * FAN ** (la - 1))))
             pairs = [(la - 1, i, lb - 1, j) for i in kids(lo_a, hi_a) for j in kids(lo_b, hi_b) if i <= j]
             stack += reversed(pairs)
-        return found
 
-    def _leaves(self, lo_a, hi_a, lo_b, hi_b, linked, test, wanted, found) -> None:
+    def _leaves(self, lo_a, hi_a, lo_b, hi_b, linked, test, side) -> None:
         sizes = self.size[lo_a:hi_a, None] + self.size[None, lo_b:hi_b]
         shared = np.bitwise_count(self.maps[lo_a:hi_a, None] & self.maps[None, lo_b:hi_b]).sum(2, dtype=np.int64)
         most = np.minimum(shared + np.minimum(self.taken[lo_a:hi_a, None], self.taken[None, lo_b:hi_b]),
                           np.minimum(self.size[lo_a:hi_a, None], self.size[None, lo_b:hi_b]))
         # share of the union: percent * (sum - shared) <= 100 * shared
-        for i, j in np.argwhere(100 * most >= self.percent * (sizes - most)):
+        left = 100 * most >= self.percent * (sizes - most)
+        roots = np.array([linked.find(int(i)) for i in (*self.order[lo_a:hi_a], *self.order[lo_b:hi_b])])
+        left &= roots[:hi_a - lo_a, None] != roots[None, hi_a - lo_a:]
+        if side is not None:
+            left &= side[lo_a:hi_a, None] != side[None, lo_b:hi_b]
+        for i, j in np.argwhere(left):
             i, j = int(lo_a + i), int(lo_b + j)
-            if i >= j:
-                continue
             x, y = int(self.order[i]), int(self.order[j])
-            if linked.find(x) == linked.find(y) or wanted is not None and not wanted(x, y):
-                continue
-            if test is None or test(x, y):
+            if i < j and linked.find(x) != linked.find(y) and (test is None or test(x, y)):
                 linked.join(x, y)
-                found.append((x, y))
 
 
 def shared_elements(a: np.ndarray, b: np.ndarray) -> int:
