@@ -46,21 +46,24 @@ def test_balanced_span(text, span):
     assert replies.balanced_span(text) == span
 
 
-def test_quote_repair():
-    assert json.loads(replies.escape_inner_quotes('[\n""Mamba" site:x organization"\n]')) == ['"Mamba" site:x organization']
-    fixed = json.loads(replies.escape_inner_quotes('{\n"founders": "Omar, Theo "Tip" Ray",\n"ok": true\n}'))
+def test_quote_repair(value):
+    fix = lambda t: value(replies.repair_quotes, t)
+    assert json.loads(fix('[\n""Mamba" site:x organization"\n]')) == ['"Mamba" site:x organization']
+    fixed = json.loads(fix('{\n"founders": "Omar, Theo "Tip" Ray",\n"ok": true\n}'))
     assert fixed == {"founders": 'Omar, Theo "Tip" Ray', "ok": True}
-    clean = '{\n"company_name": "Acme",\n"ok": true\n}'
-    assert replies.escape_inner_quotes(clean) == clean
+    for clean in ('{\n"company_name": "Acme",\n"ok": true\n}', '"a": "b\\"c"', "", "no quotes", '"k": "three" bare"'):
+        assert fix(clean) == clean
+    assert fix('  "k" : x "a \\"b\\" "c" d" , y') == '  "k" : x "a \\"b\\" \\"c\\" d" , y'
 
 
-def test_untyped_search():
+def test_untyped_search(value):
+    find = lambda t, expect: value(lambda c: replies.recover_json(c, expect), t)
     prose = 'Here is my analysis.\n\n{\n"thinking": "t",\n"actions": [{"type": "d"}]\n}\n'
-    assert json.loads(replies.find_json(prose, "object"))["thinking"] == "t"
-    assert json.loads(replies.find_json(prose, "any")) == [{"type": "d"}]
-    assert replies.find_json("[1, 2, 3]", "object") is None
+    assert json.loads(find(prose, "object"))["thinking"] == "t"
+    assert json.loads(find(prose, "any")) == [{"type": "d"}]
+    assert find("[1, 2, 3]", "object") is None and find("[1, 2, 3]", "array") == "[1, 2, 3]" and find(None, "any") is None
     broken = 'plan:\n[\n{\n"queries": [\n""Liquid" founder "C""\n]\n}\n]\n'
-    assert json.loads(replies.find_json(broken, "any"))[0]["queries"] == ['"Liquid" founder "C"']
+    assert json.loads(find(broken, "any"))[0]["queries"] == ['"Liquid" founder "C"']
 
 
 def test_echo_codes_and_tokens(value):

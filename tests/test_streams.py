@@ -7,101 +7,121 @@ from tieproof.plans import store
 from tieproof.session import scratch
 from tieproof.sources import writers
 from tieproof.streaming import jobs, run
-from tieproof.streaming.ladder import (
-    BACKLOG, DEMOTED, NORMAL, RETRY_AFTER_S, SCRAPE_ONLY, STOPPED, Rung, levels, observations,
-)
+from tieproof.streaming.ladder import LogSink, levels, observations
 
 CFG = Config()
 
 
-def feed(rung, outcomes, now=0.0):
-    for o in outcomes:
-        rung.call(o, now)
-
-
-def burst(rung, now):
-    for o in ["captcha"] * 15 + ["ok"] * 5:
-        rung.fetch(o, now)
-
-
-def test_parse_rate_demotes():
-    r = Rung(healthy_at=0.0)
-    feed(r, ["parsed"] * 7 + ["schema_invalid"] * 12)
-    assert r.level == NORMAL
-    feed(r, ["schema_invalid"])
-    assert r.level == DEMOTED
-
-
-def test_echoes_stop_the_model():
-    r = Rung(healthy_at=0.0)
-    feed(r, ["prompt_echoed"] * 5)
-    assert r.level == SCRAPE_ONLY
-
-
-def test_promotions():
-    r = Rung(healthy_at=0.0)
-    feed(r, ["schema_invalid"] * 20)
-    for _ in range(10):
-        r.full_prompt_ok(1.0)
-    assert r.level == NORMAL
-    r = Rung(level=SCRAPE_ONLY, since=0.0, healthy_at=0.0)
-    r.sample_ok(1.0)
-    r.sample_ok(2.0)
-    assert r.level == DEMOTED
-
-
-def test_fetch_failures_go_to_backlog_and_reset():
-    r = Rung(healthy_at=0.0)
-    burst(r, 10.0)
-    assert r.level == BACKLOG
-    r.tick(10.0 + RETRY_AFTER_S + 1)
-    assert r.level == NORMAL and r.resets == 1 and r.fetches == ""
-
-
-def test_an_hour_is_the_end():
-    r = Rung(healthy_at=0.0)
-    feed(r, ["prompt_echoed"] * 5, 5.0)
-    r.tick(5.0 + 61 * 60)
-    assert r.level == STOPPED
-
-
-def test_resets_run_out():
-    r, now = Rung(healthy_at=0.0), 0.0
-    for _ in range(4):
-        burst(r, now)
-        assert r.level == BACKLOG
-        now += RETRY_AFTER_S + 1
-        r.tick(now)
-    assert r.level == STOPPED
-
-
-def test_health_restores_the_budget():
-    r = Rung(healthy_at=0.0, resets=1)
-    r.fetches = "x" * 19
-    r.fetch("captcha", 15 * 60 + 1.0)
-    assert r.level == BACKLOG and r.resets == 0
+def plain(rows):
+    """Levels of one session, row by row."""
+    level, since, healthy, resets, round_before = 1, None, None, 0, None
+    calls, fetches, streak = [], [], {"full_prompt": 0, "sample": 0}
+    out = []
+    for _, us, round_, kind, outcome in sorted(rows, key=lambda r: (r[1], r[0], r[3])):
+        now = us / 1e6
+        healthy = now if healthy is None else healthy
+        if round_before not in (None, round_) and level > 1:
+            if now - since > 3600 or resets >= 3:
+                level = 5
+            elif now - since > 900:
+                level, since, healthy, resets, calls, fetches = 1, None, now, resets + 1, [], []
+        round_before = round_
+        if kind == "call":
+            calls = [*calls, outcome][-20:]
+            if calls[-5:] == ["prompt_echoed"] * 5:
+                level = max(level, 3)
+            elif len(calls) == 20 and calls.count("parsed") < 14:
+                level = max(level, 2)
+        elif kind == "fetch":
+            fetches = [*fetches, outcome == "ok"][-20:]
+            if len(fetches) == 20 and sum(fetches) < 10:
+                level = max(level, 4)
+        elif outcome == "ok":
+            at, needed, to = {"full_prompt": (2, 10, 1), "sample": (3, 2, 2)}[kind]
+            streak[kind] += 1
+            if level == at and streak[kind] >= needed:
+                level, streak[kind] = to, 0
+        if level == 1:
+            since, healthy = None, now
+        elif since is None:
+            since = now
+            resets = 0 if now - healthy > 900 else resets
+        out.append((level, resets))
+    return out
+
+
+def played(spark, sessions, size=100_000):
+    schema = "session_id long, event_id long, us long, round int, kind string, outcome string"
+    log = spark.createDataFrame([(s, *r) for s, rows in sessions.items() for r in rows], schema)
+    at = {(s, r[0], r[3]): r[1] for s, rows in sessions.items() for r in rows}
+    got = {s: [] for s in sessions}
+    for r in sorted(levels(log, size).collect(), key=lambda r: (at[r.session_id, r.event_id, r.kind], r.event_id, r.kind)):
+        got[r.session_id].append((r.level, r.resets))
+    return got
+
+
+def steps(*parts):
+    """Rows of (seconds, round, kind, outcome, times)."""
+    rows = [(s, r, k, o) for s, r, k, o, n in parts for _ in range(n)]
+    return [(i, int(s * 1e6) + i, r, k, o) for i, (s, r, k, o) in enumerate(rows)]
+
+
+def test_levels_of_known_logs(spark):
+    bad, hour = ("captcha", 15), 3600
+    spells = [x for k in range(5) for x in ((k * 901, k, "fetch", *bad), (k * 901, k, "fetch", "ok", 5))]
+    cases = {
+        1: (steps((0, 0, "call", "parsed", 7), (0, 0, "call", "empty", 12)), (1, 0)),
+        2: (steps((0, 0, "call", "parsed", 7), (0, 0, "call", "empty", 13)), (2, 0)),
+        3: (steps((0, 0, "call", "prompt_echoed", 5)), (3, 0)),
+        4: (steps((0, 0, "call", "empty", 20), (1, 0, "full_prompt", "ok", 10)), (1, 0)),
+        5: (steps((0, 0, "call", "prompt_echoed", 5), (1, 0, "sample", "ok", 2)), (2, 0)),
+        6: (steps((10, 0, "fetch", *bad), (10, 0, "fetch", "ok", 5)), (4, 0)),
+        7: (steps((10, 0, "fetch", *bad), (10, 0, "fetch", "ok", 5), (920, 1, "fetch", "ok", 1)), (1, 1)),
+        8: (steps((5, 0, "call", "prompt_echoed", 5), (hour + 60, 1, "call", "parsed", 1)), (5, 0)),
+        9: (steps(*spells), (5, 3)),
+        10: (steps((0, 0, "fetch", *bad), (0, 0, "fetch", "ok", 5), (902, 1, "fetch", "ok", 1), (902, 1, "fetch", "ok", 4),
+                   (903, 1, "fetch", "captcha", 14), (4000, 1, "fetch", "captcha", 1)), (4, 0)),
+    }
+    got = played(spark, {k: rows for k, (rows, _) in cases.items()}, size=20)
+    assert {k: v[-1] for k, v in got.items()} == {k: last for k, (_, last) in cases.items()}
+    assert all(got[k] == plain(rows) for k, (rows, _) in cases.items())
+
+
+def random_log(rnd, n):
+    us, rows = 0, []
+    for i in range(n):
+        us += rnd.choice([0, 1, 10, 60, 400, 1000]) * 1_000_000
+        good = rnd.random() < (0.9 if i // 40 % 2 else 0.2)
+        kind = rnd.choice(["call", "call", "fetch", "fetch", "full_prompt", "sample"])
+        outcome = rnd.choice(["parsed", "ok"]) if good else rnd.choice(["prompt_echoed"] * 8 + ["empty", "timeout"])
+        rows.append((i, us, i // 7, kind, outcome if kind in ("call", "fetch") else "ok"))
+    return rows
+
+
+def test_levels_of_random_logs(spark):
+    rnd = random.Random(5)
+    sessions = {s: random_log(rnd, 400 if s else 1) for s in range(12)}
+    got = played(spark, sessions, size=64)
+    assert all(got[s] == plain(rows) for s, rows in sessions.items())
+    seen = {x for v in got.values() for x in v}
+    assert {level for level, _ in seen} == {1, 2, 3, 4, 5} and {resets for _, resets in seen} >= {0, 1, 2, 3}
 
 
-def test_stream_keeps_state_between_batches(spark):
-    rnd = random.Random(5)
-    rows = [(s, i, 1_000_000 * 600 * i, i // 10, rnd.choice(["parsed", "prompt_echoed", "empty", "schema_invalid"]),
-             rnd.choice(["ok", "timeout"])) for s in (1, 2) for i in range(120)]
+def test_levels_do_not_depend_on_batches(spark):
+    rnd = random.Random(6)
     schema = "session_id long, event_id long, us long, round int, call string, fetch string"
-    path = scratch(spark)
-    for part in ([r for r in rows if r[1] < 50], [r for r in rows if r[1] >= 50]):
-        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(path)
-    stream = run.follow(spark, path, schema, maxFilesPerTrigger="1").withColumn("ts", F.timestamp_micros("us"))
-    log = observations(stream.withColumn("outcome", F.col("call")), stream.withColumn("outcome", F.col("fetch")))
-    got = {(r["session_id"], r["event_id"], r["kind"]): (r["level"], r["resets"])
-           for r in run.drain_to_table(levels(log)).collect()}
-    want = {}
-    for s in (1, 2):
-        rung = Rung()
-        for _, i, us, rnd_, call, fetch in sorted(r for r in rows if r[0] == s):
-            for kind, outcome in (("call", call), ("fetch", fetch)):
-                rung.observe(kind, outcome, rnd_, us / 1e6)
-                want[s, i, kind] = (rung.level, rung.resets)
-    assert got == want and len({v[0] for v in want.values()}) > 2
+    rows = [(s, i, 1_000_000 * 300 * i, i // 10, rnd.choice(["parsed", "prompt_echoed", "empty"]), rnd.choice(["ok", "timeout"]))
+            for s in (1, 2) for i in range(90)]
+    found = []
+    for parts in (1, 4):
+        mixed, path = rnd.sample(rows, len(rows)), scratch(spark)  # earlier rows in later batches
+        for k in range(parts):
+            spark.createDataFrame(mixed[k::parts], schema).coalesce(1).write.mode("append").parquet(path)
+        stream = run.follow(spark, path, schema, maxFilesPerTrigger="1").withColumn("ts", F.timestamp_micros("us"))
+        sink = LogSink(scratch(spark))
+        run.drain_each_batch(observations(stream.withColumn("outcome", F.col("call")), stream.withColumn("outcome", F.col("fetch"))), sink)
+        found.append(sorted(map(tuple, levels(sink.log(spark)).collect())))
+    assert found[0] == found[1] and len(found[0]) == 360
 
 
 def test_store_sink_over_three_batches_equals_one_merge(spark):

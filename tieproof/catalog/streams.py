@@ -64,8 +64,9 @@ SELECT session_id, event_id, kind, level, resets FROM steps WHERE n > 0"""
 
 @query("st_ladder", "call_log fetch_log", S_LADDER)
 def st_ladder(t):
-    s = Streamed(t, "events")
-    return run.drain_to_table(ladder.levels(ladder.observations(s.call_log, s.fetch_log)))
+    s, sink = Streamed(t, "events"), ladder.LogSink(scratch(t.spark))
+    run.drain_each_batch(ladder.observations(s.call_log, s.fetch_log), sink)
+    return ladder.levels(sink.log(t.spark))
 
 
 @query("st_visited", "visits", "SELECT DISTINCT url, CAST(floor(round / 20) AS INTEGER) AS epoch FROM visits")

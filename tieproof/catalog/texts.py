@@ -86,7 +86,7 @@ def tx_reply_parse(t):
 @query("tx_reply_untyped", "replies", """
 SELECT event_id, TRY_CAST(regexp_extract(reply, '"k": (\\d+)', 1) AS BIGINT) AS k FROM replies""")
 def tx_reply_untyped(t):
-    text = rp.recover_json(rp.cleaned_reply(C("reply"), CFG.prompt_marker), F.lit("object"))
+    text = rp.recover_json(rp.cleaned_reply(C("reply"), CFG.prompt_marker), "object")
     value = F.try_variant_get(F.try_parse_json(text), "$.k", "long")
     return t.replies.select("event_id", value.alias("k"))
 

@@ -1,142 +1,45 @@
-"""The degradation level of each session, as a stateful stream over its call and fetch log.
+"""The degradation level of each session, from its log of calls and fetches.
 
 Levels: 1 normal, 2 demoted, 3 scrape only, 4 backlog, 5 hard stop. Event time
-stands in for the wall clock; a round change of the session is its tick. The
-state per session is a few numbers and two short windows, so memory does not
-grow with the log; a micro-batch is the most of one session a task ever holds.
+stands in for the wall clock, and a change of the session's round is its tick.
+
+What the windows hold does not depend on the level, so it is counted for all rows
+at once by the ordered operators; the level only decides from which row on a
+window counts. What is left is a walk over the few rows at which something may
+happen (marks), with the level, the start of the bad spell, the resets and the
+places of the last reset as its state. The levels in between are those of the last
+mark. The log may arrive in any batches and any order: levels follow from the
+whole log, see ``LogSink``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-# Window length, thresholds and times of the ladder.
-WINDOW = 20
-PARSE_RATE_LOW = 0.70
-ECHOES = 5
-FAIL_RATE_HIGH = 0.50
-RETRY_AFTER_S = 15 * 60
-STOP_AFTER_S = 60 * 60
-HEALTHY_S = 15 * 60
-MAX_RESETS = 3
-FULL_PROMPTS_TO_PROMOTE = 10
-SAMPLES_TO_PROMOTE = 2
+
+from tieproof.operators.ordered import BLOCK, rolling, running, with_position
+
+# Levels, times and limits of the ladder.
 NORMAL, DEMOTED, SCRAPE_ONLY, BACKLOG, STOPPED = 1, 2, 3, 4, 5
+RETRY_AFTER_S, STOP_AFTER_S, HEALTHY_S = 15 * 60, 60 * 60, 15 * 60
+MAX_RESETS = 3
+#: What raises the level: kind of row, outcome that is counted, rows of the window, when it fires.
+RAISES = {
+    SCRAPE_ONLY: ("call", "prompt_echoed", 5, lambda n: n == 5),
+    DEMOTED: ("call", "parsed", 20, lambda n: n < 14),
+    BACKLOG: ("fetch", "ok", 20, lambda n: n < 10),
+}
+#: What lowers it: kind of row, level it holds at, successes needed, level reached.
+LOWERS = {"full_prompt": (DEMOTED, 10, NORMAL), "sample": (SCRAPE_ONLY, 2, DEMOTED)}
 
-OUTPUT = "session_id long, event_id long, kind string, level int, resets int"
-STATE = (
-    "level int, since double, healthy_at double, resets int, round int, "
-    "calls string, fetches string, full_streak int, sample_streak int"
-)
-
-
-@dataclass
-class Rung:
-    """State of one session. Windows are strings of one letter per outcome."""
-
-    level: int = NORMAL
-    since: float | None = None
-    healthy_at: float | None = None
-    resets: int = 0
-    round: int | None = None
-    calls: str = ""
-    fetches: str = ""
-    full_streak: int = 0
-    sample_streak: int = 0
-    _fields: tuple = field(
-        default=("level", "since", "healthy_at", "resets", "round", "calls", "fetches", "full_streak", "sample_streak"),
-        repr=False,
-    )
-
-    def as_tuple(self) -> tuple:
-        return tuple(getattr(self, f) for f in self._fields)
-
-    def _raise_to(self, level: int) -> None:
-        self.level = max(self.level, level)
-
-    def _settle(self, now: float) -> None:
-        """Note when a bad spell began, or that all is well."""
-        if self.level == NORMAL:
-            self.since, self.healthy_at = None, now
-        elif self.since is None:
-            self.since = now
-            if self.healthy_at is not None and now - self.healthy_at > HEALTHY_S:
-                self.resets = 0
-
-    def call(self, outcome: str, now: float) -> None:
-        letter = {"parsed": "p", "prompt_echoed": "e"}.get(outcome, "x")
-        self.calls = (self.calls + letter)[-WINDOW:]
-        echoing = letter == "e" and self.calls[-ECHOES:] == "e" * ECHOES
-        if echoing and self.level < SCRAPE_ONLY:
-            self.level = SCRAPE_ONLY
-        elif len(self.calls) == WINDOW and self.calls.count("p") / WINDOW < PARSE_RATE_LOW:
-            self._raise_to(DEMOTED)
-        self._settle(now)
-
-    def fetch(self, outcome: str, now: float) -> None:
-        self.fetches = (self.fetches + ("o" if outcome == "ok" else "x"))[-WINDOW:]
-        if len(self.fetches) == WINDOW and self.fetches.count("x") / WINDOW > FAIL_RATE_HIGH:
-            self._raise_to(BACKLOG)
-        self._settle(now)
-
-    def full_prompt_ok(self, now: float) -> None:
-        self.full_streak += 1
-        if self.level == DEMOTED and self.full_streak >= FULL_PROMPTS_TO_PROMOTE:
-            self.level, self.full_streak = NORMAL, 0
-            self._settle(now)
-
-    def sample_ok(self, now: float) -> None:
-        self.sample_streak += 1
-        if self.level == SCRAPE_ONLY and self.sample_streak >= SAMPLES_TO_PROMOTE:
-            self.level, self.sample_streak = DEMOTED, 0
-            self._settle(now)
-
-    def tick(self, now: float) -> None:
-        if self.level == NORMAL or self.since is None:
-            return
-        spell = now - self.since
-        if spell > STOP_AFTER_S or self.resets >= MAX_RESETS:
-            self.level = STOPPED
-        elif spell > RETRY_AFTER_S:
-            self.level, self.since, self.healthy_at = NORMAL, None, now
-            self.resets += 1
-            self.calls = self.fetches = ""
-
-    def observe(self, kind: str, outcome: str, round_: int, now: float) -> None:
-        if self.healthy_at is None:
-            self.healthy_at = now
-        if self.round is not None and round_ != self.round:
-            self.tick(now)
-        self.round = round_
-        if kind == "call":
-            self.call(outcome, now)
-        else:
-            self.fetch(outcome, now)
-
-
-def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    rung = Rung(*state.get) if state.exists else Rung()
-    rows = pd.concat(list(batches), ignore_index=True).sort_values(["us", "event_id", "kind"], kind="stable")
-    levels, resets = [], []
-    for kind, outcome, round_, us in zip(rows["kind"], rows["outcome"], rows["round"], rows["us"]):
-        rung.observe(kind, outcome, int(round_), us / 1e6)
-        levels.append(rung.level)
-        resets.append(rung.resets)
-    state.update(rung.as_tuple())
-    yield pd.DataFrame({
-        "session_id": key[0], "event_id": rows["event_id"].to_numpy(), "kind": rows["kind"].to_numpy(),
-        "level": pd.array(levels, dtype="int32"), "resets": pd.array(resets, dtype="int32"),
-    })
+KEY, ORDER = ["session_id"], ["us", "event_id", "kind"]
 
 
 def observations(calls: DataFrame, fetches: DataFrame) -> DataFrame:
-    """Both logs in one stream: session_id, event_id, us, round, kind, outcome."""
+    """Both logs in one: session_id, event_id, us, round, kind, outcome."""
     def part(df: DataFrame, kind: str) -> DataFrame:
         return df.select(
             "session_id", "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), "round",
@@ -146,8 +49,94 @@ def observations(calls: DataFrame, fetches: DataFrame) -> DataFrame:
     return part(calls, "call").union(part(fetches, "fetch"))
 
 
-def levels(log: DataFrame) -> DataFrame:
-    """Level and resets after every observation."""
-    return log.groupBy("session_id").applyInPandasWithState(
-        _advance, OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout
-    )
+def _is(kind: str) -> Column:
+    return F.col("kind") == kind
+
+
+def _placed(log: DataFrame, size: int) -> DataFrame:
+    """Rows with their place in the session, the calls and fetches so far, and the row before."""
+    rows = with_position(log, KEY, ORDER, F.col("us"), size=size)
+    rows = running(rows, KEY, {k: ("sum", _is(k).cast("long")) for k in ("call", "fetch")}, size=size)
+    return rolling(rows, KEY, 2, {"us_before": F.first("us"), "round_before": F.first("round")}, size=size)
+
+
+def _marks(rows: DataFrame, size: int) -> DataFrame:
+    """Rows at which the level may change: ``fires`` lists (level, rows its window needs)."""
+    parts = []
+    for kind in ("call", "fetch"):
+        own = rows.where(_is(kind)).withColumn("nth", F.col(kind) - 1)
+        fires = []
+        for level, (of, outcome, n, when) in RAISES.items():
+            if of == kind:
+                own = rolling(own, KEY, n, {f"in{level}": F.count_if(F.col("outcome") == outcome)}, pos="nth", size=size)
+                fires.append(F.when(when(F.col(f"in{level}")) & (F.col(kind) >= n), F.lit(level)))
+        parts.append(own.withColumn("fires", F.array_compact(F.array(*fires))))
+    rest = rows.where(~F.col("kind").isin("call", "fetch")).withColumn("fires", F.array().cast("array<int>"))
+    out = None
+    for p in (*parts, rest):
+        p = p.withColumn("tick", F.col("round") != F.col("round_before"))
+        asked = (F.size("fires") > 0) | F.col("tick") | ((F.col("outcome") == "ok") & F.col("kind").isin(*LOWERS))
+        p = p.where(asked).select(*KEY, "pos", "kind", "us", "us_before", "tick", "call", "fetch", "fires")
+        out = p if out is None else out.union(p)
+    return out
+
+
+def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Level and resets after each mark; sessions come one after the other, each in order."""
+    session, s = None, {}
+    for pdf in batches:
+        out = []
+        for key, pos, kind, us, before, tick, calls, fetches, fires in pdf.itertuples(index=False):
+            if key != session:
+                session, s = key, {"level": NORMAL, "spell": None, "resets": 0, "call": 0, "fetch": 0, "full_prompt": 0, "sample": 0}
+            now, healthy, level = us / 1e6, before / 1e6, s["level"]
+            if tick and s["spell"] is not None:
+                bad = now - s["spell"]
+                if bad > STOP_AFTER_S or s["resets"] >= MAX_RESETS:
+                    level = STOPPED
+                elif bad > RETRY_AFTER_S:
+                    level, healthy, s["spell"], s["resets"] = NORMAL, now, None, s["resets"] + 1
+                    s["call"], s["fetch"] = calls - (kind == "call"), fetches - (kind == "fetch")
+            so_far = {"call": calls, "fetch": fetches}
+            level = max([level, *(f for f in fires if so_far[kind] - s[kind] >= RAISES[f][2])])
+            if kind in LOWERS:
+                at, needed, to = LOWERS[kind]
+                s[kind] += 1
+                if level == at and s[kind] >= needed:
+                    level, s[kind] = to, 0
+            if level == NORMAL:
+                s["spell"] = None
+            elif s["spell"] is None:
+                s["spell"] = now
+                if now - healthy > HEALTHY_S:
+                    s["resets"] = 0
+            s["level"] = level
+            out.append((key, pos, level, s["resets"]))
+        yield pd.DataFrame(out, columns=["session_id", "pos", "level", "resets"])
+
+
+def levels(log: DataFrame, size: int = BLOCK) -> DataFrame:
+    """``session_id, event_id, kind, level, resets`` after every observation of ``log``."""
+    rows = _placed(log, size)
+    marks = _marks(rows, size).repartition(*KEY).sortWithinPartitions(*KEY, "pos")
+    key = log.schema["session_id"].dataType.simpleString()
+    known = marks.mapInPandas(_walk, f"session_id {key}, pos long, level int, resets int")
+    # the last mark so far, as one number: its place, its level, its resets
+    code = F.col("pos") * 64 + F.col("level") * 8 + F.col("resets")
+    rows = rows.select(*KEY, "event_id", "kind", "pos").join(known, [*KEY, "pos"], "left")
+    out = running(rows, KEY, {"code": ("max", code)}, size=size)
+    last = F.coalesce(F.col("code") % 64, F.lit(NORMAL * 8))
+    return out.select(*KEY, "event_id", "kind", F.shiftright(last.cast("int"), 3).alias("level"), (last % 8).cast("int").alias("resets"))
+
+
+class LogSink:
+    """Micro-batches kept as a log, one folder per batch, so that a repeated batch replaces its first try."""
+
+    def __init__(self, path: str):
+        self.path = path
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+
+    def log(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(self.path).drop("batch_id")
