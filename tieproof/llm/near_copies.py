@@ -6,8 +6,10 @@
    sample shows to be frequent come last in that order, so passages that many
    documents hold do not bring those together. (The sample decides the order
    alone; any order finds the same links.)
-3. Classes that share such an element are a group. Signature trees over bitmaps
-   of the sets leave the pairs of each group that may overlap enough.
+3. Classes that share such an element are a group. Those that share many of them
+   with the first of the group are candidates at once; in groups that this leaves
+   in several parts, signature trees over bitmaps of the sets leave the pairs
+   that may overlap enough.
 4. What these candidates connect is a unit. Its whole sets are read once more,
    and signature trees with an exact test on top give the links.
 5. Components of the links.
@@ -46,18 +48,21 @@ def _class_of(s: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def frequent_shingles(documents: DataFrame, size: int, one_in: int = 16, least: int = 4, most: int = 65_536) -> np.ndarray:
+def frequent_shingles(documents: DataFrame, size: int, one_in: int = 16, least: int = 4, most: int = 65_536,
+                      lowest: float = 0.3) -> np.ndarray:
     """Hashes of shingles that ``least`` documents of a sample hold, the commonest ``most`` of them, sorted.
 
-    The sample is the documents whose hashed id is divisible by ``one_in``.
+    The sample is the documents whose hashed id is divisible by ``one_in``. Only the ``lowest`` share of
+    hashes is counted: what is above hardly gets among the first elements of a set.
     """
     sample = documents.where(F.pmod(F.xxhash64("doc_id"), F.lit(one_in)) == 0).select("text")
+    limit = np.uint64(int(lowest * (1 << 64)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi in chunks(b.column(0)):
-                for s in shingles(split(b.column(0).slice(lo, hi - lo)), size):
-                    yield pa.RecordBatch.from_arrays([pa.array(s.view(np.int64))], ["shingle"])
+                found = [s[:np.searchsorted(s, limit)] for s in shingles(split(b.column(0).slice(lo, hi - lo)), size)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["shingle"])
 
     counts = sample.distinct().mapInArrow(run, "shingle long").groupBy("shingle").agg(F.count("*").alias("n"))
     rows = counts.where(F.col("n") >= least).orderBy(F.desc("n"), "shingle").limit(most).select("shingle").toPandas()
@@ -161,15 +166,14 @@ def _by_key(items: DataFrame, keys: list[str], exact: bool, percent: int) -> Dat
 def links_in_groups(items: DataFrame, exact: bool, percent: int, block: int = BLOCK) -> DataFrame:
     """``a, b``: pairs of items that link all that is linked inside the groups of ``items``.
 
-    ``items`` has ``grp, cls, n, data`` (written before: it is read several times).
-    Inside a group the pairs returned connect what all pairs that pass would connect.
+    ``items`` has ``grp, cls, n, data`` and the number of ``members`` of the group
+    (written before: it is read several times). Inside a group the pairs returned
+    connect what all pairs that pass would connect.
     """
-    sizes = items.groupBy("grp").agg(F.count("*").alias("members")).where("members > 1")
-    sizes = saved(sizes.withColumn("blocks", F.ceil(F.col("members") / block).cast("int")))
-    cut = items.join(sizes, "grp").withColumn("blk", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+    cut = items.where("members > 1").withColumn("blocks", F.ceil(F.col("members") / block).cast("int"))
+    cut = cut.withColumn("blk", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
     links = saved(_by_key(cut.withColumn("comp", F.col("cls")), ["grp", "blk"], exact, percent))
-    large = sizes.where("blocks > 1")
-    if large.isEmpty():
+    if items.where(F.col("members") > block).isEmpty():
         return links
 
     wide = saved(cut.where("blocks > 1").select("grp", "blk", "cls", "n", "data"))
@@ -225,19 +229,30 @@ def near_copy_components(documents: DataFrame, size: int = 5, percent: int = 80)
     own = Window.partitionBy("element")
     # groups with the same members have the same sum of hashes, and are kept once
     listed = lambda over: F.xxhash64(F.count("*").over(over), F.sum(F.xxhash64("cls") % (1 << 40)).over(over))
-    shared = heads.select("cls", "n", F.count("*").over(own).alias("members"), listed(own).alias("grp")).where("members > 1")
+    shared = heads.select("cls", "n", F.count("*").over(own).alias("members"), listed(own).alias("grp"), F.min("cls").over(own).alias("hub"))
+    lists = saved(shared.where("members > 1").groupBy("grp", "hub", "cls", "n").agg(F.count("*").alias("elements")))
+    # a class that shares half of its first elements with the first of its groups is a candidate without a walk
+    plain = lists.where("cls <> hub").groupBy(F.col("cls").alias("a"), F.col("hub").alias("b")).agg(
+        F.sum("elements").alias("both"), F.first("n").alias("n"))
+    plain = saved(plain.where(F.col("both") * 200 >= F.col("n") * (100 - percent)).select("a", "b"))
+    near = components(plain, True).toDF("cls", "comp")
     # sets that overlap enough have sizes in the same class of sizes or the next
     width = F.floor(F.log("n") / F.lit(math.log(100 / percent) * (1 + 1e-9))).cast("int")
-    sized = shared.select("grp", "cls", "n").distinct().select("grp", "cls", F.explode(F.array(width, width + 1)).alias("w"))
+    sized = lists.join(near, "cls", "left").select(
+        "grp", "cls", F.coalesce("comp", "cls").alias("comp"), F.explode(F.array(width, width + 1)).alias("w"))
     alike = Window.partitionBy("grp", "w")
-    groups = sized.select("cls", F.count("*").over(alike).alias("members"), listed(alike).alias("grp")).where("members > 1")
+    groups = sized.select("cls", (F.min("comp").over(alike) < F.max("comp").over(alike)).alias("open"), listed(alike).alias("grp"),
+                          F.count("*").over(alike).alias("members"))
     bits = signed.where("n > 0").groupBy("cls").agg(F.first("n").alias("n"), F.first("bits").alias("data"))
-    items = saved(groups.select("grp", "cls").distinct().join(bits, "cls").select("grp", "cls", "n", "data"))
-    unit = saved(components(links_in_groups(items, False, percent), True).select(
+    groups = groups.where("open").select("grp", "members", "cls").distinct()
+    items = saved(groups.join(bits, "cls").select("grp", "members", "cls", "n", "data"))
+    unit = saved(components(links_in_groups(items, False, percent).union(plain), True).select(
         F.col("node").alias("cls"), F.col("component").alias("grp")))
+    unit = unit.join(unit.groupBy("grp").agg(F.count("*").alias("members")), "grp")
 
-    named = signed.where("n > 0").select("doc_id", "cls").join(unit, "cls").groupBy("cls", "grp").agg(F.min("doc_id").alias("doc_id"))
-    texts = docs.join(named.hint("shuffle_hash"), "doc_id").select("cls", "grp", "text")
+    named = signed.where("n > 0").select("doc_id", "cls").join(unit, "cls").groupBy("cls", "grp", "members").agg(
+        F.min("doc_id").alias("doc_id"))
+    texts = docs.join(named.hint("shuffle_hash"), "doc_id").select("cls", "grp", "text", "members")
 
     def whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -248,10 +263,11 @@ def near_copy_components(documents: DataFrame, size: int = 5, percent: int = 80)
                 right = [i for i, (s, c) in enumerate(zip(sets, part.column(0).to_pylist())) if len(s) and _class_of(s) == c]
                 at = pa.array(right, pa.int64())
                 yield pa.RecordBatch.from_arrays([
-                    part.column(1).take(at), part.column(0).take(at), pa.array([len(sets[i]) for i in right], pa.int64()),
-                    pa.array([sets[i].tobytes() for i in right], pa.binary())], ["grp", "cls", "n", "data"])
+                    part.column(1).take(at), part.column(3).take(at), part.column(0).take(at),
+                    pa.array([len(sets[i]) for i in right], pa.int64()),
+                    pa.array([sets[i].tobytes() for i in right], pa.binary())], ["grp", "members", "cls", "n", "data"])
 
-    sets = saved(texts.mapInArrow(whole_sets, "grp long, cls long, n long, data binary").dropDuplicates(["cls"]))
+    sets = saved(texts.mapInArrow(whole_sets, "grp long, members long, cls long, n long, data binary").dropDuplicates(["cls"]))
     linked = components(links_in_groups(sets, True, percent), True)
     named = signed.select("doc_id", F.col("n").alias("n_shingles"), "cls").join(
         linked.withColumnRenamed("node", "cls"), "cls", "left").select(
