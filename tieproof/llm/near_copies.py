@@ -272,7 +272,8 @@ def near_copy_components(documents: DataFrame, size: int = 5, percent: int = 80)
     named = signed.select("doc_id", F.col("n").alias("n_shingles"), "cls").join(
         linked.withColumnRenamed("node", "cls"), "cls", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "cls").alias("key"))
-    least = named.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("component_id"))
+    # written, so that the join has an exchange of its own on either side and a large component can be split
+    least = saved(named.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("component_id")))
     return named.join(least, "key", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
