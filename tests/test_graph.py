@@ -1,6 +1,7 @@
 import itertools
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tieproof.operators import graph, joins, process_tree
@@ -10,9 +11,10 @@ def edges(spark, rows):
     return spark.createDataFrame(rows, "company string, person string")
 
 
-def test_small_companies_and_hubs_state_the_same_pairs(spark):
+@pytest.mark.parametrize("start", [3, 512])
+def test_pairs_of_companies_of_any_size(spark, start):
     rnd = random.Random(3)
-    rows = [("hot", f"P{i}") for i in range(30)] + [(f"C{rnd.randrange(12)}", f"P{rnd.randrange(30)}") for _ in range(60)]
+    rows = [("hot", f"P{i}") for i in range(70)] * 2 + [(f"C{rnd.randrange(12)}", f"P{rnd.randrange(30)}") for _ in range(60)]
     rows += [("C1", "(unspecified)"), ("C1", " ")]
     e = edges(spark, rows)
     teams = {}
@@ -23,14 +25,16 @@ def test_small_companies_and_hubs_state_the_same_pairs(spark):
     for c, people in teams.items():
         for a, b in itertools.combinations(sorted(people), 2):
             want[a, b] = want.get((a, b), 0) + 1
-    flat = {(r["source"], r["target"]): r["weight"] for r in graph.pair_weights(e, dense_limit=1000).collect()}
-    assert flat == want
-    split = graph.pair_edges(e, dense_limit=20).collect()
-    assert {r["source"] for r in split if r["kind"] == "hub"} == teams["hot"]
-    assert not any(r["company"] == "hot" for r in split if r["kind"] == "pair")
-    asked = spark.createDataFrame(list(want)[:40] + [("P0", "nobody")], "source string, target string")
+    listed = graph.shared_companies(e).collect()
+    assert {(r["company"], r["person"]) for r in listed} == {(c, p) for c, ps in teams.items() for p in ps if len(ps) > 1}
+    assert all(r["members"] == len(teams[r["company"]]) for r in listed)
+    asked = graph.pairs_with_first(e)
     got = {(r["source"], r["target"]): r["weight"] for r in graph.pair_weight(e, asked).collect()}
-    assert got == {**{k: want[k] for k in list(want)[:40]}, ("P0", "nobody"): 0}
+    assert got == {(a, b): w for (a, b), w in want.items() if any(a == min(ps) and b in ps for ps in teams.values())}
+    none = spark.createDataFrame([("P0", "nobody")], "source string, target string")
+    assert [r["weight"] for r in graph.pair_weight(e, none).collect()] == [0]
+    top = [tuple(r) for r in graph.top_pairs(e, 9, start).collect()]
+    assert top == [(*k, w) for k, w in sorted(want.items(), key=lambda x: (-x[1], x[0]))[:9]]
 
 
 def test_expansion_is_bounded_and_visits_once(spark):

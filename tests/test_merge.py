@@ -118,3 +118,27 @@ def test_overlay(spark, key):
     patch = spark.createDataFrame([("b", 9), ("c", 3)], "k string, v int")
     got = {r["k"]: (r["v"], r["origin"]) for r in merge.overlay(base, patch, "k").collect()}
     assert got == {"a": (1, "base"), "b": (9, "patch"), "c": (3, "patch")} and key in got
+
+
+def test_merges_lose_no_column(spark):
+    df = spark.createDataFrame(
+        [(1, "Acme Inc", "weak", "", "unknown", "f1", 5.0, ["a", "b"], ["i1"], "s1", False),
+         (2, "Acme", "high", "", "active", "", None, ["b", "c", ""], None, "s2", False)],
+        "rec_seq long, company_name string, validation_tier string, proof_url string, status string, founder string, "
+        "valuation_usd double, tags array<string>, validation_issues array<string>, source_url string, verified boolean")
+    row = merge.dedup_merge(df).first()
+    assert (row["founder"], row["valuation_usd"], row["source_url"]) == ("", None, "s2")  # of the base
+    stored = merge.upsert_merge(df.withColumn("name_key", F.lit("acme"))).first()
+    assert (stored["founder"], stored["valuation_usd"], stored["source_url"], stored["n_sources"]) == ("f1", 5.0, "s1", 2)
+    lists = merge.united(df.withColumn("k", F.lit("acme")), "k", F.col("rec_seq")).orderBy("field", "first").collect()
+    assert [(r["field"], r["value"]) for r in lists] == [("tags", "a"), ("tags", "b"), ("tags", "c"), ("validation_issues", "i1")]
+
+
+def test_nested_records_are_stored(spark):
+    batch = spark.createDataFrame(
+        [(1, "Acme", None, None, None, "https://s", "https://a.org/x", False, "d", [("Ann Lee", "faculty", "span of evidence here")])],
+        "rec_seq long, company_name string, founder string, evidence string, affiliation_type string, source_url string, proof_url string, "
+        "verified boolean, description string, people array<struct<name:string,role:string,evidence_span:string>>")
+    got = store.upsert(None, None, batch.withColumns({
+        "founders": F.lit(""), "status": F.lit("unknown"), "founded_year": F.lit("")}), CFG)[0].first()
+    assert (got["founder"], got["affiliation_type"], got["evidence"]) == ("Ann Lee", "Faculty", "span of evidence here")

@@ -117,10 +117,13 @@ def test_dry_rounds(spark):
 
 
 def test_restart_guard(spark):
-    lines = [(i, t, "CAPTCHA detected") for i, t in enumerate((0, 100, 200, 300, 2000))] + [(9, 310, "SESSION ENDED")]
-    df = spark.createDataFrame(lines, "seq long, s long, line string").withColumn("ts", F.timestamp_seconds("s"))
-    got = {r["seq"]: (r["recent"], r["allowed"]) for r in logs.restarts(df).collect()}
-    assert got == {0: (0, True), 1: (1, True), 2: (2, True), 3: (3, False), 9: (4, True), 4: (0, True)}
+    crash = "Traceback (most recent call last)"
+    lines = [(i, i, t, crash) for i, t in enumerate((0, 100, 200, 300, 2000))]
+    lines += [(9, 9, 310, "SESSION ENDED"), (10, 10, 311, "CAPTCHA detected"), (11, 10, 2100, "CAPTCHA cleared")]
+    df = spark.createDataFrame(lines, "seq long, run_id long, s long, line string").withColumn("ts", F.timestamp_seconds("s"))
+    got = {r["seq"]: (r["exit_kind"], r["recent"], r["allowed"]) for r in logs.restarts(df).collect()}
+    assert got == {0: ("crash", 0, True), 1: ("crash", 1, True), 2: ("crash", 2, True), 3: ("crash", 3, False), 9: ("clean", 4, True),
+                   4: ("crash", 0, True), 11: ("unknown", 1, True)}
 
 
 def test_run_report(spark):

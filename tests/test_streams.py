@@ -1,5 +1,7 @@
 import random
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tieproof.config import Config
@@ -7,7 +9,7 @@ from tieproof.plans import store
 from tieproof.session import scratch
 from tieproof.sources import writers
 from tieproof.streaming import jobs, run
-from tieproof.streaming.ladder import LogSink, levels, observations
+from tieproof.streaming.ladder import levels, observations
 
 CFG = Config()
 
@@ -118,9 +120,8 @@ def test_levels_do_not_depend_on_batches(spark):
         for k in range(parts):
             spark.createDataFrame(mixed[k::parts], schema).coalesce(1).write.mode("append").parquet(path)
         stream = run.follow(spark, path, schema, maxFilesPerTrigger="1").withColumn("ts", F.timestamp_micros("us"))
-        sink = LogSink(scratch(spark))
-        run.drain_each_batch(observations(stream.withColumn("outcome", F.col("call")), stream.withColumn("outcome", F.col("fetch"))), sink)
-        found.append(sorted(map(tuple, levels(sink.log(spark)).collect())))
+        log = run.drain_to_log(observations(stream.withColumn("outcome", F.col("call")), stream.withColumn("outcome", F.col("fetch"))))
+        found.append(sorted(map(tuple, levels(log).collect())))
     assert found[0] == found[1] and len(found[0]) == 360
 
 
@@ -140,19 +141,37 @@ def test_store_sink_over_three_batches_equals_one_merge(spark):
     assert got == sorted(tuple(r[c] for c in cols) for r in once.collect()) and len(got) == 7
 
 
-def test_publish_switches_versions(spark):
+def test_publish_counts_versions(spark):
     path = scratch(spark)
     writers.publish(spark.range(3), path)
     first = writers.current(spark, path)
-    writers.publish(spark.range(5), path)
+    assert writers.publish(spark.range(5), path) == 1
     assert first.count() == 3 and writers.current(spark, path).count() == 5
+    with pytest.raises(AnalysisException):
+        writers.publish(spark.range(7), path, version=1)
+    assert writers.current(spark, path).count() == 5
 
 
-def test_long_name_lists_go_on_in_further_rows(spark):
+def test_late_rows_count(spark):
+    days = [10, 11, 2]  # the last file is older than the others
+    path = scratch(spark)
+    for k, d in enumerate(days):
+        rows = [(k * 10 + i, f"u{i}", d // 10 * 20, f"2024-01-{d:02d} 01:00:00", "parsed" if i else "empty", "http", 10 * i) for i in range(3)]
+        spark.createDataFrame(rows, "event_id long, url string, round int, ts string, outcome string, path string, latency_ms long").withColumn(
+            "ts", F.to_timestamp("ts")).coalesce(1).write.mode("append").parquet(path)
+    schema = "event_id long, url string, round int, ts timestamp, outcome string, path string, latency_ms long"
+    stream = run.follow(spark, path, schema, maxFilesPerTrigger="1")
+    seen = {tuple(r) for r in jobs.visited(run.drain_to_log(stream, jobs.visits_of)).collect()}
+    assert seen == {(f"u{i}", e) for i in range(3) for e in (0, 1)}
+    got = jobs.round_metrics(run.drain_to_log(stream, jobs.call_sums), run.drain_to_log(stream, jobs.fetch_sums)).collect()
+    assert {(r.day.day, r.calls, r.parsed, r.avg_latency_ms, r.path_http) for r in got} == {(d, 3, 2, 10, 3) for d in days}
+
+
+def test_companies_of_any_size_are_rows(spark):
     people = spark.createDataFrame([("A", i + 1, f"P{i}", f"S{i % 2}") for i in range(5)] + [("B", 1, "Q", "")],
                                    "company string, pos int, person string, school string")
     records = spark.createDataFrame([("A", "high"), ("B", "weak"), ("C", "weak")], "company_name string, validation_tier string")
-    got = {(r["company"], r["part"]): (r["member_count"], r["schools"], r["names"])
-           for r in writers.companies_flat(records, people, per_cell=2).collect()}
-    assert got == {("A", 0): (5, "S0; S1", "P0; P1"), ("A", 1): (5, "S0; S1", "P2; P3"), ("A", 2): (5, "S0", "P4"),
-                   ("B", 0): (1, "", "Q"), ("C", 0): (0, "", "")}
+    flat = writers.companies_flat(records, people)
+    assert set(writers.COMPANY_COLUMNS[1:]) <= set(flat.columns)
+    got = {(r["company"], r["name"], r["pos"]): (r["member_count"], r["schools"]) for r in flat.collect()}
+    assert got == {**{("A", f"P{i}", i + 1): (5, "S0; S1") for i in range(5)}, ("B", "Q", 1): (1, ""), ("C", None, None): (0, "")}

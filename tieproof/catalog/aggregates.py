@@ -92,26 +92,24 @@ def ag_degree(t):
     return graph.degrees(t.affiliations).orderBy(F.desc("degree"), "person").limit(15)
 
 
-S_PAIRS = f"""
+S_PAIRS = """
 m AS (SELECT DISTINCT company, person FROM affiliations),
-z AS (SELECT company, count(*) AS n FROM affiliations GROUP BY company),
-pairs AS (SELECT 'pair' AS kind, a.person AS source, b.person AS target, a.company
-  FROM m a JOIN m b ON a.company = b.company AND a.person < b.person
-  JOIN z ON z.company = a.company WHERE z.n <= {graph.DENSE_LIMIT}
-  UNION ALL SELECT 'hub', person, m.company, m.company FROM m JOIN z ON z.company = m.company
-  WHERE z.n > {graph.DENSE_LIMIT}),
-w AS (SELECT kind, source, target, count(*) AS weight FROM pairs GROUP BY ALL)"""
+w AS (SELECT a.person AS source, b.person AS target, count(*) AS weight FROM m a JOIN m b ON a.company = b.company AND a.person < b.person
+  GROUP BY ALL)"""
 
 
-@query("ag_pair_weight", "affiliations", S_PAIRS + "SELECT * FROM w")
+@query("ag_pair_weight", "affiliations", S_PAIRS + """,
+f AS (SELECT company, min(person) AS first FROM m GROUP BY company),
+a AS (SELECT DISTINCT first, person FROM m JOIN f USING (company) WHERE person <> first)
+SELECT source, target, weight FROM w JOIN a ON first = source AND person = target""")
 def ag_pair_weight(t):
-    return graph.pair_weights(t.affiliations)
+    return graph.pair_weight(t.affiliations, graph.pairs_with_first(t.affiliations))
 
 
-def dedup_columns(df):
+def dedup_columns(df, *more):
     return df.select(
         "canonical", "rec_seq", "company_name", "validation_tier", "proof_url", "n_merged", "industry", "founded_year",
-        "headquarters", "status", "funding_total_usd", "employee_count",
+        "headquarters", "status", "funding_total_usd", "employee_count", *more,
     )
 
 
@@ -128,9 +126,10 @@ merged AS (SELECT canonical, arg_min(rec_seq, o) AS rec_seq, arg_min(company_nam
   FROM g GROUP BY canonical, CASE WHEN canonical = '' THEN rec_seq END)"""
 
 
-@query("ag_dedup_merge", "raw_records", S_DEDUP + "SELECT * FROM merged")
+@query("ag_dedup_merge", "raw_records", S_DEDUP + """
+SELECT merged.*, g.founder, g.evidence, g.funding_text FROM merged JOIN g ON g.rec_seq = merged.rec_seq""")
 def ag_dedup_merge(t):
-    return dedup_columns(merge.dedup_merge(t.raw_records))
+    return dedup_columns(merge.dedup_merge(t.raw_records), "founder", "evidence", "funding_text")
 
 
 S_DEDUP_REPORT = S_DEDUP + """,
@@ -145,6 +144,14 @@ def ag_dedup_report(t):
     return merge.dedup_report(t.raw_records)
 
 
+#: Every column of the store in the check, written out.
+STORED = (
+    "company_name", "founders", "founder", "description", "proof_url", "affiliation_type", "evidence", "industry", "status",
+    "founded_year", "funding_total_usd", "funding_stage", "employee_count", "is_public", "headquarters", "exit_year", "acquirer",
+    "source_url", "source_credibility", "acquisition_amount_usd",
+)
+
+
 def s_upsert(src: str, key: str = "name_key") -> str:
     """Merged store rows in SQL: first real value, else the last vague one, else the first."""
     def pick(f: str, text_type: bool = True) -> str:
@@ -155,7 +162,7 @@ def s_upsert(src: str, key: str = "name_key") -> str:
             f"arg_max({f}, rec_seq) FILTER ({truthy}), arg_min({f}, rec_seq) FILTER ({f} IS NOT NULL)) AS {f}"
         )
 
-    fields = ", ".join(pick(f) for f in merge.STORE_FIELDS)
+    fields = ", ".join(pick(f) for f in STORED)
     return f"""
 store AS (SELECT {key}, min(rec_seq) AS rec_seq, count(*) AS n_merged, {fields},
   count(DISTINCT CASE WHEN source_url <> '' THEN source_url END) AS n_sources,
@@ -166,7 +173,7 @@ store AS (SELECT {key}, min(rec_seq) AS rec_seq, count(*) AS n_merged, {fields},
 STORE_OUT = (
     "name_key", "rec_seq", "n_merged", "company_name", "founders", "founder", "description", "proof_url",
     "affiliation_type", "evidence", "status", "founded_year", "funding_total_usd", "funding_stage",
-    "employee_count", "is_public", "headquarters", "exit_year", "acquirer", "source_url", "n_sources", "verified",
+    "employee_count", "is_public", "headquarters", "exit_year", "acquirer", "acquisition_amount_usd", "source_url", "n_sources", "verified",
 )
 
 
@@ -177,7 +184,9 @@ def ag_upsert_merge(t):
     return merge.upsert_merge(keyed).select(*STORE_OUT)
 
 
-_CF = ", ".join(f"('{f}', CAST({f} AS VARCHAR))" for f in merge.CONFLICT_FIELDS)
+_CF = ", ".join(f"('{f}', CAST({f} AS VARCHAR))" for f in (
+    "description", "industry", "funding_total_usd", "funding_stage", "founded_year", "employee_count", "is_public", "headquarters",
+    "status", "exit_year", "acquirer", "acquisition_amount_usd"))
 
 
 @query("ag_conflicts", "legacy_records", f"""
@@ -186,7 +195,7 @@ l AS (SELECT name_key, rec_seq, field, value FROM k, LATERAL (VALUES {_CF}) AS v
       WHERE value IS NOT NULL AND value NOT IN ('', 'unknown')),
 f AS (SELECT name_key, field, arg_min(value, rec_seq) AS kept FROM l GROUP BY ALL)
 SELECT l.name_key, l.field, kept, value AS rejected, count(*) AS n FROM l JOIN f ON f.name_key = l.name_key AND f.field = l.field
-WHERE value <> kept AND value <> '0' AND kept <> '0' GROUP BY ALL""")
+WHERE value <> kept AND value NOT IN ('0', 'false') AND kept NOT IN ('0', 'false') GROUP BY ALL""")
 def ag_conflicts(t):
     return merge.conflicts(t.legacy_records.withColumn("name_key", name_key(C("company_name"))))
 
@@ -263,13 +272,14 @@ def ag_bucket_pct(t):
     return stats.bucket_percent(triaged(t.raw_records))
 
 
-@query("ag_verdict_tally", "verdicts", """
-SELECT coalesce(v.verdict, 'UNADJUDICATED') AS verdict, count(*) AS n FROM documents d LEFT JOIN verdicts v ON v.doc_id = d.doc_id
+@query("ag_verdict_tally", "verdict_lines", """
+v AS (SELECT doc_id, arg_max(verdict, seq) AS verdict FROM verdict_lines GROUP BY doc_id)
+SELECT coalesce(v.verdict, 'UNADJUDICATED') AS verdict, count(*) AS n FROM documents d LEFT JOIN v ON v.doc_id = d.doc_id
 GROUP BY 1""")
 def ag_verdict_tally(t):
     from tieproof.operators.joins import with_verdict
 
-    return with_verdict(t.documents.select("doc_id"), t.verdicts, "doc_id").groupBy("verdict").agg(
+    return with_verdict(t.documents.select("doc_id"), t.verdict_lines, "doc_id", "seq").groupBy("verdict").agg(
         F.count("*").alias("n")).orderBy(F.desc("n"), "verdict")
 
 
@@ -283,7 +293,7 @@ def ag_span_rate(t):
 
 
 @query("ag_span_samples", "claims", f"""
-m AS (SELECT lang, doc_id, substr(span, 1, 160) AS sample,
+m AS (SELECT lang, doc_id, span AS sample,
   {s_strip(s_text('span'))} <> '' AND contains({s_norm('source_text')}, {s_norm('span')}) AS ok FROM claims)
 SELECT lang, ok, doc_id, sample FROM m
 QUALIFY row_number() OVER (PARTITION BY lang, ok ORDER BY doc_id) <= CASE WHEN ok THEN 3 ELSE 5 END""")
@@ -351,7 +361,7 @@ def tk_acquired(t):
 S_FREQUENT = S_PAIRS + """,
 a1 AS (SELECT 'industry' AS kind, industry AS value, count(*) AS n FROM raw_records GROUP BY ALL ORDER BY n DESC, value LIMIT 20),
 a2 AS (SELECT 'place', headquarters AS value, count(*) AS n FROM raw_records GROUP BY ALL ORDER BY n DESC, value LIMIT 15),
-a3 AS (SELECT 'pair', concat(source, ' + ', target) AS value, weight FROM w WHERE kind = 'pair' ORDER BY weight DESC, value LIMIT 15),
+a3 AS (SELECT 'pair', concat(source, ' + ', target) AS value, weight FROM w ORDER BY weight DESC, source, target LIMIT 15),
 a4 AS (SELECT 'person', person AS value, count(*) AS n FROM affiliations GROUP BY ALL HAVING count(*) > 1 ORDER BY n DESC, value LIMIT 25)
 SELECT * FROM a1 UNION ALL SELECT * FROM a2 UNION ALL SELECT * FROM a3 UNION ALL SELECT * FROM a4"""
 
@@ -361,8 +371,7 @@ def frequent(t):
         return df.select(F.lit(kind).alias("kind"), C(value).alias("value"), C(n).alias("n")).orderBy(
             F.desc("n"), "value").limit(k)
 
-    pairs = graph.pair_weights(t.affiliations).where("kind = 'pair'").withColumn(
-        "pair", F.concat("source", F.lit(" + "), "target"))
+    pairs = graph.top_pairs(t.affiliations, 15).withColumn("pair", F.concat("source", F.lit(" + "), "target"))
     return (
         top(stats.top_counts(t.raw_records, "industry", 20), "industry", "industry", "n", 20)
         .union(top(stats.top_counts(t.raw_records, "headquarters", 15), "place", "headquarters", "n", 15))
@@ -458,14 +467,13 @@ def so_manifest_diff(t):
 x AS ({S_TRIAGE})
 SELECT company_name, rec_seq, 'NONCOMPANY' AS verdict, true AS rule_dropped, reason AS why, CAST(NULL AS VARCHAR) AS evidence
 FROM x WHERE bucket IN ('reject:own-entity', 'reject:investment')
-UNION ALL SELECT x.company_name, x.rec_seq, 'UNCLEAR', NULL, NULL, substr(r.evidence, 1, 160) FROM x JOIN raw_records r ON r.rec_seq = x.rec_seq
+UNION ALL SELECT x.company_name, x.rec_seq, 'UNCLEAR', NULL, NULL, r.evidence FROM x JOIN raw_records r ON r.rec_seq = x.rec_seq
 WHERE bucket NOT IN ('reject:own-entity', 'reject:investment')""")
 def so_append(t):
     from tieproof.operators.joins import append_logs, rule_dropped
 
     dropped, pending = rule_dropped(triaged(t.raw_records))
-    judged = pending.select("company_name", "rec_seq", F.lit("UNCLEAR").alias("verdict"),
-                            F.substring("evidence", 1, 160).alias("evidence"))
+    judged = pending.select("company_name", "rec_seq", F.lit("UNCLEAR").alias("verdict"), "evidence")
     return append_logs(dropped, judged)
 
 

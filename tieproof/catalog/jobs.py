@@ -39,7 +39,7 @@ aff0 AS (SELECT *, unnest(names) AS person, generate_subscripts(names, 1) - 1 AS
 aff AS (SELECT rec_seq, company_name, CAST(pos AS INTEGER) AS pos, person, {s_school('basis')} AS school,
    CASE WHEN named THEN {s_role("concat(evidence_all, ' ', affiliation_type)")} ELSE {s_role('basis')} END AS role,
    {s_grad_year('basis')} AS grad_year, CASE WHEN named THEN {s_company_role('basis')} ELSE 'founder' END AS role_at_company,
-   CASE WHEN basis <> '' THEN substr(basis, 1, 240) ELSE concat(person, ' (migrated)') END AS evidence_span,
+   CASE WHEN basis <> '' THEN basis ELSE concat(person, ' (migrated)') END AS evidence_span,
    source AS source_url, reason FROM aff0),
 migrated AS (SELECT lower(trim(company_name)) AS key, rec_seq, company_name, CAST(len(names) AS INTEGER) AS n_people, source AS proof_url,
    CASE WHEN description <> '' THEN description END AS description, industry, funding_total_usd, {s_stage('funding_stage')} AS funding_stage,
@@ -166,7 +166,7 @@ f0 AS (SELECT l.*, f.found_founders, f.found_url, f.page_url, f.page_text,
    {s_missing_text('proof_url')} AND lower({_FU}) NOT IN ('', 'unknown', 'n/a') AND starts_with({_FU}, 'http') AS tu,
    {_FN} <> '' OR {_FU} <> '' AS said FROM legacy_records l LEFT JOIN found_facts f ON f.rec_seq = l.rec_seq),
 f1 AS (SELECT * REPLACE (
-   CASE WHEN tn AND length(trim(evidence)) < 15 THEN concat('Found via targeted gap-fill search: ', trim(substr(page_text, 1, 200))) ELSE evidence END AS evidence,
+   CASE WHEN tn AND length(trim(evidence)) < 15 THEN concat('Found via targeted gap-fill search: ', trim(page_text)) ELSE evidence END AS evidence,
    CASE WHEN tn THEN trim(string_split({_FN}, ',')[1]) ELSE founder END AS founder,
    CASE WHEN tn THEN {_FN} ELSE founders END AS founders,
    CASE WHEN tu THEN {_FU} ELSE proof_url END AS proof_url),
@@ -225,7 +225,7 @@ def ag_state_counts(t):
 @query("job_apply_verdicts", "raw_records verdict_log", f"""
 SELECT r.rec_seq, r.company_name, r.founder, coalesce(v.verdict, 'UNADJUDICATED') AS verdict,
   CASE WHEN v.verdict = 'FOUNDER' THEN 'kept' ELSE 'rejected' END AS action, {s_domain('proof_url')} AS source_domain,
-  substr(evidence, 1, 200) AS evidence FROM raw_records r LEFT JOIN verdict_log v ON v.company_name = r.company_name""")
+  evidence FROM raw_records r LEFT JOIN verdict_log v ON v.company_name = r.company_name""")
 def job_apply_verdicts(t):
     return gate.apply_verdicts(t.raw_records, t.verdict_log)
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tieproof.catalog.aggregates import S_PAIRS
 from tieproof.catalog.base import CFG, lit, query
 from tieproof.catalog.base import in_list, s_canonical, s_domain, s_entity, s_get, s_last_name, s_name_key, s_netloc
 from tieproof.catalog.base import s_norm, s_strip, s_text, s_tie, s_tier
@@ -17,18 +16,25 @@ from tieproof.plans import gate
 C = F.col
 
 
-@query("jn_verdict", "verdicts", """
-SELECT d.doc_id, coalesce(v.verdict, 'UNADJUDICATED') AS verdict FROM documents d LEFT JOIN verdicts v ON v.doc_id = d.doc_id""")
+@query("jn_verdict", "verdict_lines", """
+v AS (SELECT doc_id, arg_max(verdict, seq) AS verdict FROM verdict_lines GROUP BY doc_id)
+SELECT d.doc_id, coalesce(v.verdict, 'UNADJUDICATED') AS verdict FROM documents d LEFT JOIN v ON v.doc_id = d.doc_id""")
 def jn_verdict(t):
-    return joins.with_verdict(t.documents.select("doc_id"), t.verdicts, "doc_id")
+    return joins.with_verdict(t.documents.select("doc_id"), t.verdict_lines, "doc_id", "seq")
 
 
 @query("jn_recovery", "verdict_log recovery_log raw_records", """
+lines AS (SELECT seq, company_name, verdict FROM verdict_log
+  UNION ALL SELECT seq - 1000000000, company_name, 'FOUNDER' FROM verdict_log WHERE seq % 3 = 0),
+a AS (SELECT company_name, arg_max(verdict, seq) AS verdict FROM lines GROUP BY 1),
+b AS (SELECT company_name, arg_max(verdict, seq) AS verdict FROM recovery_log GROUP BY 1)
 SELECT r.rec_seq, r.company_name, coalesce(b.verdict, a.verdict) AS verdict FROM raw_records r
-LEFT JOIN verdict_log a ON a.company_name = r.company_name LEFT JOIN recovery_log b ON b.company_name = r.company_name""")
+LEFT JOIN a ON a.company_name = r.company_name LEFT JOIN b ON b.company_name = r.company_name""")
 def jn_recovery(t):
+    earlier = t.verdict_log.where("seq % 3 = 0").select(
+        (C("seq") - 1_000_000_000).alias("seq"), "company_name", F.lit("FOUNDER").alias("verdict"))
     return joins.effective_verdict(
-        t.raw_records.select("rec_seq", "company_name"), t.verdict_log, t.recovery_log, "company_name"
+        t.raw_records.select("rec_seq", "company_name"), t.verdict_log.unionByName(earlier), t.recovery_log, "company_name", "seq"
     ).select("rec_seq", "company_name", "verdict")
 
 
@@ -181,8 +187,7 @@ w AS (SELECT rec_seq, company_name, CASE WHEN rec_seq % 11 = 0 THEN '' ELSE {_UR
 x AS (SELECT {_URL} AS url, upper(company_name) AS found_name, rec_seq AS pos FROM raw_records
       WHERE validation_tier <> 'weak' AND evidence <> ''),
 m AS (SELECT url, {s_name_key('found_name')} AS k, min(pos) AS match_pos FROM x GROUP BY ALL),
-f AS (SELECT url, string_agg(found_name, '; ' ORDER BY pos) AS found FROM (SELECT * FROM x
-      QUALIFY row_number() OVER (PARTITION BY url ORDER BY pos) <= 10) GROUP BY url)
+f AS (SELECT url, string_agg(found_name, '; ' ORDER BY pos) AS found FROM x GROUP BY url)
 SELECT rec_seq, w.company_name, match_pos, CASE WHEN w.url = '' THEN 'fetch_failed' WHEN match_pos IS NOT NULL THEN 'ok' ELSE 'unmatched' END AS status,
   CASE WHEN w.url <> '' AND match_pos IS NULL THEN coalesce(found, '') END AS found
 FROM w LEFT JOIN m ON m.url = w.url AND m.k = {s_name_key('w.company_name')} LEFT JOIN f ON f.url = w.url""")
@@ -197,7 +202,7 @@ def jn_match_back(t):
 
 
 _KW = " OR ".join(
-    f"contains(lower(concat(description, ' ', substr(extract, 1, 400))), {lit(w)})" for w in enrich.COMPANY_WORDS)
+    f"contains(lower(concat(description, ' ', extract)), {lit(w)})" for w in enrich.COMPANY_WORDS)
 _SHORT = f"trim(regexp_replace(trim(company_name), {lit('(?i)' + enrich.LEGAL_FORM_END)}, ''))"
 _VARIANTS = ", ".join(f"concat({n}, {lit(v)})" for v in enrich.TITLE_VARIANTS for n in ("trim(company_name)", _SHORT))
 S_VARIANTS = f"""
@@ -255,9 +260,11 @@ def jn_why_excluded(t):
     return joins.why_excluded(asked, rejects)
 
 
-@query("jn_pairs", "affiliations", S_PAIRS + "SELECT * FROM pairs")
+@query("jn_pairs", "affiliations", """
+m AS (SELECT DISTINCT company, person FROM affiliations), z AS (SELECT company, count(*) AS members FROM m GROUP BY company)
+SELECT company, person, members FROM m JOIN z USING (company) WHERE members > 1""")
 def jn_pairs(t):
-    return graph.pair_edges(t.affiliations)
+    return graph.shared_companies(t.affiliations)
 
 
 @query("jn_triage_drop", "raw_records", f"""

@@ -165,8 +165,7 @@ def flt_keep_remove(t):
 
 
 @query("flt_weak_with_proof", "legacy_records", s_validate("legacy_records") + """
-SELECT company_name, rec_seq, count(*) OVER () AS total FROM validated WHERE tier = 'weak' AND proof_url <> ''
-QUALIFY row_number() OVER (ORDER BY rec_seq) <= 200""")
+SELECT company_name, rec_seq, count(*) OVER () AS total FROM validated WHERE tier = 'weak' AND proof_url <> ''""")
 def flt_weak_with_proof(t):
     return health_candidates(rules.validate(t.legacy_records, CFG))
 
@@ -186,9 +185,8 @@ def flt_signal_word(t):
 
 
 def _s_field(name: str) -> str:
-    pattern, cut = pg.PAGE_FIELDS[name]
+    pattern = pg.PAGE_FIELDS[name]
     hit = f"trim({s_get('html', pattern, 1, '(?i)')})"
-    hit = f"substr({hit}, 1, {cut})" if cut else hit
     return f"CASE WHEN {s_has('html', pattern)} THEN {hit} END AS {name}"
 
 
@@ -212,8 +210,7 @@ _DENY = " AND ".join(f"NOT contains({s_get('u', '^[a-zA-Z][a-zA-Z0-9+.\\-]*://([
 x AS (SELECT page_id, list_filter(regexp_extract_all(html, '<a\\b[^>]*\\bhref="(http[^"]*)"', 1), lambda u: {_DENY}) AS l FROM link_pages),
 y AS (SELECT page_id, unnest(l) AS link, generate_subscripts(l, 1) AS i FROM x),
 z AS (SELECT page_id, link, min(i) AS i FROM y GROUP BY ALL)
-SELECT page_id, link, row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS pos FROM z
-QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY i) <= 10""")
+SELECT page_id, link, row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS pos FROM z""")
 def flt_links(t):
     return t.link_pages.select("page_id", F.posexplode(pg.outbound_links(C("html"))).alias("pos", "link")).withColumn(
         "pos", C("pos").cast("long")

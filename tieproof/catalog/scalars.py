@@ -280,8 +280,8 @@ def fn_text_facts(t):
 
 
 @query("fn_migrate_evidence", "legacy_records", """
-SELECT rec_seq, substr(trim(concat(evidence, ' | ', description, ' | type=', affiliation_type), ' |'), 1, 240) AS evidence
+SELECT rec_seq, trim(concat(evidence, ' | ', description, ' | type=', affiliation_type), ' |') AS evidence
 FROM legacy_records""")
 def fn_migrate_evidence(t):
     e = migration_evidence(C("evidence"), C("description"), C("affiliation_type"))
-    return t.legacy_records.select("rec_seq", F.substring(e, 1, 240).alias("evidence"))
+    return t.legacy_records.select("rec_seq", e.alias("evidence"))

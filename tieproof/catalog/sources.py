@@ -135,16 +135,18 @@ _COMPANIES = """co AS (SELECT concat('C', o_orderkey) AS company, o_orderstatus
 
 
 @query("snk_csv_company", "affiliations", _COMPANIES + """,
-a AS (SELECT company, count(*) AS member_count, array_to_string(list_sort(list_distinct(list(school))), '; ') AS schools,
-  string_agg(person, '; ' ORDER BY pos, person) AS names FROM affiliations GROUP BY company)
-SELECT co.company, status, validation_tier, funding_total_usd, 0::BIGINT AS part, coalesce(member_count, 0) AS member_count,
-  coalesce(schools, '') AS schools, coalesce(names, '') AS names FROM co LEFT JOIN a ON a.company = co.company""")
+a AS (SELECT company, count(*) AS member_count, array_to_string(list_sort(list_distinct(list(school))), '; ') AS schools
+  FROM affiliations GROUP BY company)
+SELECT co.company, status, validation_tier, funding_total_usd, CAST(NULL AS VARCHAR) AS acquirer, coalesce(member_count, 0) AS member_count,
+  coalesce(schools, '') AS schools, p.pos, p.person AS name
+FROM co LEFT JOIN a ON a.company = co.company LEFT JOIN affiliations p ON p.company = co.company""")
 def snk_csv_company(t):
-    return writers.companies_flat(_company_records(t), t.affiliations)
+    return writers.companies_flat(_company_records(t), t.affiliations).select(
+        "company", "status", "validation_tier", "funding_total_usd", "acquirer", "member_count", "schools", "pos", "name")
 
 
 @query("snk_csv_edges", "affiliations", _COMPANIES + """
-SELECT a.person, a.company, a.role, a.school, a.pos, substr(concat(a.role, ' of ', repeat(a.school, 40)), 1, 300) AS evidence_span,
+SELECT a.person, a.company, a.role, a.school, a.pos, concat(a.role, ' of ', repeat(a.school, 40)) AS evidence_span,
   validation_tier AS company_tier, status AS company_status, funding_total_usd AS company_funding_usd
 FROM affiliations a LEFT JOIN co ON co.company = a.company""")
 def snk_csv_edges(t):

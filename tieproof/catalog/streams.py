@@ -64,21 +64,25 @@ SELECT session_id, event_id, kind, level, resets FROM steps WHERE n > 0"""
 
 @query("st_ladder", "call_log fetch_log", S_LADDER)
 def st_ladder(t):
-    s, sink = Streamed(t, "events"), ladder.LogSink(scratch(t.spark))
-    run.drain_each_batch(ladder.observations(s.call_log, s.fetch_log), sink)
-    return ladder.levels(sink.log(t.spark))
+    s = Streamed(t, "events")
+    return ladder.levels(run.drain_to_log(ladder.observations(s.call_log, s.fetch_log)))
 
 
 @query("st_visited", "visits", "SELECT DISTINCT url, CAST(floor(round / 20) AS INTEGER) AS epoch FROM visits")
 def st_visited(t):
-    return run.drain_to_table(jobs.visited(Streamed(t, "events").visits))
+    return jobs.visited(run.drain_to_log(Streamed(t, "events").visits, jobs.visits_of))
 
 
-@query("st_round_metrics", "call_log", "SELECT CAST(ts AS DATE) AS day, count(*) AS calls, " + ", ".join(
+@query("st_round_metrics", "call_log fetch_log", "c AS (SELECT CAST(ts AS DATE) AS day, count(*) AS calls, " + ", ".join(
     f"count(*) FILTER (outcome = '{o}') AS {o}" for o in stats.CALL_OUTCOMES)
-    + ", CAST(floor(sum(latency_ms) / count(*)) AS BIGINT) AS avg_latency_ms FROM call_log GROUP BY 1")
+    + ", CAST(floor(sum(latency_ms) / count(*)) AS BIGINT) AS avg_latency_ms FROM call_log GROUP BY 1), "
+    "f AS (SELECT CAST(ts AS DATE) AS day, count(*) AS fetches, count(*) FILTER (path = 'cache') AS path_cache, "
+    "count(*) FILTER (path = 'http') AS path_http, count(*) FILTER (path = 'browser') AS path_browser, "
+    "count(*) FILTER (outcome = 'ok') AS fetch_ok FROM fetch_log GROUP BY 1) "
+    "SELECT *, round(fetch_ok / fetches, 3) AS fetch_ok_rate FROM c JOIN f USING (day)")
 def st_round_metrics(t):
-    return run.drain_updates(jobs.round_metrics(Streamed(t, "events").call_log), ["day"])
+    s = Streamed(t, "events")
+    return jobs.round_metrics(run.drain_to_log(s.call_log, jobs.call_sums), run.drain_to_log(s.fetch_log, jobs.fetch_sums))
 
 
 @query("st_upsert", "legacy_records", S_STORE.replace("CASE WHEN verified THEN 0 ELSE 1000000000000 END", "0")
@@ -95,13 +99,13 @@ def st_upsert(t):
 S_WATCH = """
 x AS (SELECT *, TRY_CAST(regexp_extract(line, 'elapsed=(\\d+)s', 1) AS BIGINT) AS waited,
   TRY_CAST(regexp_extract(line, 'DB total:\\s*(\\d+)', 1) AS BIGINT) AS total FROM log_lines),
-r AS (SELECT run_id, bool_or(line = 'SESSION ENDED') AS clean, coalesce(max(waited), 0) AS longest_wait_s,
+r AS (SELECT run_id, bool_or(line = 'SESSION ENDED') AS clean, bool_or(starts_with(line, 'Traceback')) AS trace, coalesce(max(waited), 0) AS longest_wait_s,
   coalesce(max(seq) FILTER (line = 'CAPTCHA detected'), -1) > coalesce(max(seq) FILTER (line = 'CAPTCHA cleared'), -1) AS wall_pending,
   arg_max(total, seq) FILTER (total IS NOT NULL) AS store_total, max(ts) AS last FROM x GROUP BY run_id)"""
 
 
 @query("st_log_watch", "log_lines", S_WATCH + """
-SELECT run_id, CASE WHEN clean THEN 'clean' ELSE 'unknown' END AS exit_kind, longest_wait_s, wall_pending, store_total,
+SELECT run_id, CASE WHEN clean THEN 'clean' WHEN trace THEN 'crash' ELSE 'unknown' END AS exit_kind, longest_wait_s, wall_pending, store_total,
   CASE WHEN epoch_us((SELECT max(ts) FROM log_lines)) - epoch_us(last) >= 900000000 THEN 'frozen' WHEN longest_wait_s >= 600 THEN 'hang'
        WHEN wall_pending THEN 'wall' ELSE 'healthy' END AS state FROM r""")
 def st_log_watch(t):

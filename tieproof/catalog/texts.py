@@ -161,12 +161,12 @@ def tx_decisions(t):
 @query("tx_batch_requests", "", """
 n AS (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS pos FROM documents),
 l AS (SELECT pos, CAST(floor(pos / 20) AS BIGINT) AS batch_no, to_json({idx: pos % 20, company: concat('Firm ', doc_id), person: source,
-  role: lang, evidence: substr(text, 1, 220), source: concat(source, '.example.org')}) AS line FROM n)
+  role: lang, evidence: text, source: concat(source, '.example.org')}) AS line FROM n)
 SELECT batch_no, count(*) AS n_rows, string_agg(line, chr(10) ORDER BY pos) AS request FROM l GROUP BY batch_no""")
 def tx_batch_requests(t):
     return rq.batch_requests(t.documents, "doc_id", {
         "company": F.concat(F.lit("Firm "), C("doc_id").cast("string")), "person": C("source"), "role": C("lang"),
-        "evidence": F.substring("text", 1, 220), "source": F.concat("source", F.lit(".example.org")),
+        "evidence": C("text"), "source": F.concat("source", F.lit(".example.org")),
     })
 
 

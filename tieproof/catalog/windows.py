@@ -48,12 +48,13 @@ def wn_fail_streak(t):
 
 
 @query("wn_recent_restarts", "log_lines", """
-x AS (SELECT seq, epoch_us(ts) AS us, line = 'SESSION ENDED' AS clean FROM log_lines
-      WHERE line IN ('SESSION ENDED', 'CAPTCHA detected')),
-y AS (SELECT seq, clean, count(*) OVER (ORDER BY us RANGE BETWEEN 899999999 PRECEDING AND 1 PRECEDING) AS recent FROM x)
-SELECT seq, clean, recent, clean OR recent < 3 AS allowed FROM y""")
+k AS (SELECT *, CASE WHEN line = 'SESSION ENDED' THEN 'clean' WHEN starts_with(line, 'Traceback') THEN 'crash' END AS kind FROM log_lines),
+x AS (SELECT seq, epoch_us(ts) AS us, kind AS exit_kind FROM k WHERE kind IS NOT NULL
+      UNION ALL SELECT max(seq), epoch_us(arg_max(ts, seq)), 'unknown' FROM k GROUP BY run_id HAVING count(kind) = 0),
+y AS (SELECT seq, exit_kind, exit_kind = 'clean' AS clean, count(*) OVER (ORDER BY us RANGE BETWEEN 899999999 PRECEDING AND 1 PRECEDING) AS recent FROM x)
+SELECT seq, exit_kind, clean, recent, clean OR recent < 3 AS allowed FROM y""")
 def wn_recent_restarts(t):
-    return logs.restarts(t.log_lines).select("seq", "clean", "recent", "allowed")
+    return logs.restarts(t.log_lines).select("seq", "exit_kind", "clean", "recent", "allowed")
 
 
 @query("wn_dry_streak", "call_log", """

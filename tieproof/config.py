@@ -68,7 +68,7 @@ class Config:
     #: url used as proof when a record has none
     fallback_proof_url: str = "https://directory.example.org/"
     #: text between the prompt and the reply of a captured model session
-    prompt_marker: str = "===END_PROMPT===GEMINI_RESPONSE_BELOW==="
+    prompt_marker: str = "===END_PROMPT===REPLY_BELOW==="
     #: name of the processes whose orphans are looked for
     watched_process: str = "chrome.exe"
 

@@ -9,12 +9,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tieproof.functions.text import strip, text
+from tieproof.functions.text import cut, strip, text
 
 # Tags whose content is never page text.
-DROPPED_TAGS = frozenset(
-    "script style nav footer header aside form noscript iframe svg button input select textarea".split()
-)
+DROPPED_TAGS = {
+    "script", "style", "nav", "footer", "header", "aside", "form", "noscript", "iframe", "svg", "button", "input", "select", "textarea",
+}
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # Hosts that are no result of a search.
 LINK_DENY = ("google.com", "google.", "gstatic", "googleapis", "youtube.com", "webcache")
@@ -25,19 +25,12 @@ AUTH_WALL = (
     r"we want to make sure it's you|join linkedin)"
 )
 CAPTCHA = r"(captcha|are you a robot|verify (?:you are|that you))"
-CAPTCHA_WIDE = (
-    r"(captcha|unusual traffic|are you a robot|verify (?:you are|that you)|"
-    r"to continue, please complete the security check|recaptcha|"
-    r"this page checks if|/sorry/index)"
-)
 PAGE_FIELDS = {
-    "page_title": (r"<title[^>]*>([^<]+)</title>", 120),
-    "og_description": (
-        r'<meta[^>]+(?:name|property)="(?:og:description|description)"[^>]+content="([^"]+)"', 200,
-    ),
-    "founded_year": (r"\bFounded\b\s*[:\-]?\s*(\d{4})", None),
-    "employees_signal": (r"(\d[\d,]*(?:\+| ?(?:employees|people on linkedin)))", None),
-    "hq_signal": (r"\b(?:Headquarter(?:s|ed)|Based in)\s*[:\-]?\s*([^\n<]{4,120})", 120),
+    "page_title": r"<title[^>]*>([^<]+)</title>",
+    "og_description": r'<meta[^>]+(?:name|property)="(?:og:description|description)"[^>]+content="([^"]+)"',
+    "founded_year": r"\bFounded\b\s*[:\-]?\s*(\d{4})",
+    "employees_signal": r"(\d[\d,]*(?:\+| ?(?:employees|people on linkedin)))",
+    "hq_signal": r"\b(?:Headquarter(?:s|ed)|Based in)\s*[:\-]?\s*([^\n<]{4,120})",
 }
 PROFILE_FIELDS = {
     "title": r"<title[^>]*>([^<]+)</title>",
@@ -181,34 +174,36 @@ def html_to_text(df: DataFrame, max_chars: int | None = None) -> DataFrame:
     )
 
 
-def first_group(c: Column, pattern: str, cut: int | None = None, flags: str = "(?iU)") -> Column:
-    """First capture of the pattern, trimmed; null when it does not occur."""
-    hit = strip(F.regexp_extract(c, flags + pattern, 1))
-    hit = F.substring(hit, 1, cut) if cut else hit
-    return F.when(c.rlike(flags + pattern), hit)
+def first_group(c: Column, pattern: str, max_chars: int | None = None, flags: str = "(?iU)") -> Column:
+    """First capture of the pattern, trimmed; null when it does not occur.
+
+    The patterns capture one character or more, so an empty capture is no hit: the page is scanned once.
+    """
+    hit = F.nullif(F.regexp_extract(c, flags + pattern, 1), F.lit(""))
+    return cut(strip(hit), max_chars)
 
 
-def page_signals(html: Column, final_url: Column) -> dict[str, Column]:
+def page_signals(html: Column, final_url: Column, max_chars: int | None = None) -> dict[str, Column]:
     """Wall flags and the first field set of a fetched page."""
     out = {
         "auth_wall": html.rlike("(?i)" + AUTH_WALL),
         "captcha": html.rlike("(?i)" + CAPTCHA),
         "login_redirect": F.contains(text(final_url), F.lit("/login")) | F.contains(text(final_url), F.lit("authwall")),
     }
-    for name, (pattern, cut) in PAGE_FIELDS.items():
-        out[name] = first_group(html, pattern, cut)
+    for name, pattern in PAGE_FIELDS.items():
+        out[name] = first_group(html, pattern, max_chars)
     return out
 
 
-def profile_fields(html: Column) -> dict[str, Column]:
+def profile_fields(html: Column, max_chars: int | None = None) -> dict[str, Column]:
     """The second field set, read from a page seen while signed in."""
-    out = {name: first_group(html, p, 300) for name, p in PROFILE_FIELDS.items()}
-    out["type"] = first_group(html, r"\bType\b\s*[:\-]?\s*([A-Z][^\n<]{3,60})", 300, flags="(?U)")
+    out = {name: first_group(html, p, max_chars) for name, p in PROFILE_FIELDS.items()}
+    out["type"] = first_group(html, r"\bType\b\s*[:\-]?\s*([A-Z][^\n<]{3,60})", max_chars, flags="(?U)")
     return out
 
 
-def outbound_links(html: Column, limit: int = 10) -> Column:
-    """Absolute links of a page in order, without repeats and denied hosts."""
+def outbound_links(html: Column, limit: int | None = None) -> Column:
+    """Absolute links of a page in order, without repeats and denied hosts; all, or the first ``limit``."""
     links = F.regexp_extract_all(html, F.lit(r'<a\b[^>]*\bhref="(http[^"]*)"'), 1)
 
     def allowed(u: Column) -> Column:
@@ -218,7 +213,8 @@ def outbound_links(html: Column, limit: int = 10) -> Column:
             ok = ok & ~F.contains(host, F.lit(bad))
         return ok
 
-    return F.slice(F.array_distinct(F.filter(links, allowed)), 1, limit)
+    found = F.array_distinct(F.filter(links, allowed))
+    return found if limit is None else F.slice(found, 1, limit)
 
 
 def embedded_fields(html: Column) -> dict[str, Column]:

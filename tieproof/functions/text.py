@@ -50,6 +50,11 @@ def squeeze(c: Column) -> Column:
     return strip(F.regexp_replace(c, WS + "+", " "))
 
 
+def cut(c: Column, max_chars: int | None) -> Column:
+    """The first ``max_chars`` characters; the whole text for None."""
+    return c if max_chars is None else F.substring(c, 1, max_chars)
+
+
 def is_blank(c: Column) -> Column:
     return strip(text(c)) == ""
 

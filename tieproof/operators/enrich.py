@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tieproof.functions.text import ci, strip, text
+from tieproof.functions.text import ci, cut, strip, text
 
 # Fact patterns of an article lead.
 FOUNDED = r"\b(?:founded|established|incorporated)\s+(?:in\s+)?(\d{4})"
@@ -48,11 +48,13 @@ def migration_evidence(evidence: Column, description: Column, kind: Column) -> C
     return F.when(empty, F.lit("")).otherwise(F.btrim(joined, F.lit(" |")))
 
 
-def find_articles(names: DataFrame, articles: DataFrame, name: str = "company_name") -> DataFrame:
+def find_articles(
+    names: DataFrame, articles: DataFrame, name: str = "company_name", lead_chars: int | None = None
+) -> DataFrame:
     """Best article per distinct name.
 
     Twelve title variants per name are looked up with one equi-join; among the
-    hits the first with a company word wins, else the first. Keeping one row per
+    hits the first with a company word (in its first ``lead_chars``, if asked) wins, else the first. Keeping one row per
     name is a rank filter, which Spark also applies before the shuffle.
     """
     cleaned = strip(F.col(name))
@@ -66,7 +68,7 @@ def find_articles(names: DataFrame, articles: DataFrame, name: str = "company_na
     one_per_title = usable.withColumn(
         "_rn", F.row_number().over(Window.partitionBy("title").orderBy("article_id"))
     ).where("_rn = 1").drop("_rn")
-    hay = F.concat(F.lower(text(F.col("description"))), F.lit(" "), F.substring(F.lower(text(F.col("extract"))), 1, 400))
+    hay = F.concat(F.lower(text(F.col("description"))), F.lit(" "), cut(F.lower(text(F.col("extract"))), lead_chars))
     about_company = F.lit(False)
     for w in COMPANY_WORDS:
         about_company = about_company | F.contains(hay, F.lit(w))

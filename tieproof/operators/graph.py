@@ -1,9 +1,7 @@
 """The person - company graph: vertices, edges, shared companies, bounded expansion.
 
-Companies with few members become plain pairs. A company with more than
-``dense_limit`` members is kept as a hub: one row per member pointing at the
-company. That states the same pairs without writing them out, and
-``pair_weight`` answers exactly for any pair from both forms.
+Pairs of people are never written out per company: rows of members state them,
+``pair_weight`` answers exactly for any pair, and ``top_pairs`` finds the heaviest.
 """
 
 from __future__ import annotations
@@ -14,7 +12,6 @@ from pyspark.sql import functions as F
 from tieproof.functions.text import strip, text
 from tieproof.session import shared_folder
 
-DENSE_LIMIT = 64
 NOT_NAMED = ("(unspecified)", "unknown")
 
 
@@ -28,50 +25,21 @@ def members(edges: DataFrame) -> DataFrame:
     return edges.where(is_named(F.col("person"))).select("company", "person").distinct()
 
 
-def _pairs_of(people: Column) -> Column:
-    """All ordered pairs of a short sorted array."""
-    n = F.size(people)
-    return F.flatten(F.transform(
-        people,
-        lambda a, i: F.transform(
-            F.slice(people, i + 2, F.greatest(n - i - 1, F.lit(0))),
-            lambda b: F.struct(a.alias("source"), b.alias("target")),
-        ),
-    ))
-
-
-def pair_edges(edges: DataFrame, dense_limit: int = DENSE_LIMIT) -> DataFrame:
-    """``kind = 'pair'``: two people and a company they share; ``kind = 'hub'``: member and company.
-
-    One grouping serves both: small companies group by company, hub rows by
-    company and person, so a hub is spread over all tasks. Hubs are few by
-    their nature (each takes more than ``dense_limit`` rows); whether their list
-    is small enough to broadcast is decided on its measured size.
-    """
-    rows = edges.where(is_named(F.col("person"))).select("company", "person")
-    hubs = rows.groupBy("company").agg(F.count("*").alias("_n")).where(F.col("_n") > dense_limit).select(
-        "company", F.lit(True).alias("_hub")
-    )
-    spread = rows.join(hubs, "company", "left").withColumn("_member", F.when(F.col("_hub"), F.col("person")))
-    groups = spread.groupBy("company", "_member").agg(F.collect_set("person").alias("_people"))
-    hub = F.array(F.struct(F.lit("hub").alias("kind"), F.col("_member").alias("source"), F.col("company").alias("target")))
-    pairs = F.transform(
-        _pairs_of(F.array_sort("_people")),
-        lambda p: F.struct(F.lit("pair").alias("kind"), p["source"].alias("source"), p["target"].alias("target")),
-    )
-    edges_of = F.when(F.col("_member").isNotNull(), hub).otherwise(pairs)
-    return groups.select("company", F.explode(edges_of).alias("_e")).select(
-        "_e.kind", "_e.source", "_e.target", "company"
-    )
+def shared_companies(edges: DataFrame) -> DataFrame:
+    """``company, person, members``: any two rows of a company are a pair; one form for companies of all sizes."""
+    m = members(edges)
+    return m.join(m.groupBy("company").agg(F.count("*").alias("members")), "company").where("members > 1")
 
 
-def pair_weights(edges: DataFrame, dense_limit: int = DENSE_LIMIT) -> DataFrame:
-    """Number of shared small companies per pair, hub rows with weight one."""
-    return pair_edges(edges, dense_limit).groupBy("kind", "source", "target").agg(F.count("*").alias("weight"))
+def pairs_with_first(edges: DataFrame) -> DataFrame:
+    """``source, target``: in each company its first member by name with every other; fewer pairs than members."""
+    m = members(edges)
+    first = m.groupBy("company").agg(F.min("person").alias("source"))
+    return m.join(first, "company").where("person <> source").select("source", F.col("person").alias("target")).distinct()
 
 
 def pair_weight(edges: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Exact number of shared companies of the given (source, target) pairs, hubs included."""
+    """Exact number of shared companies of the given (source, target) pairs."""
     m = members(edges)
     left = pairs.join(m.withColumnRenamed("person", "source"), "source")
     both = left.join(m.select(F.col("person").alias("target"), "company"), ["target", "company"], "left_semi")
@@ -81,6 +49,31 @@ def pair_weight(edges: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
+def top_pairs(edges: DataFrame, k: int, start: int = 512) -> DataFrame:
+    """``source, target, weight`` of the ``k`` pairs with most shared companies, ties by name.
+
+    A pair can't share more companies than either person has. Pairs are counted
+    among the people with the most companies only, and more of those are taken
+    until the k-th weight is above the degree of all the others.
+    """
+    m, degree = members(edges), degrees(edges)
+    order = [F.desc("weight"), F.col("source"), F.col("target")]
+    while True:
+        few = degree.orderBy(F.desc("degree"), "person").limit(start + 1).collect()
+        people = [r["person"] for r in few[:start]]
+        rest = few[start]["degree"] if len(few) > start else 0
+        some = m.where(F.col("person").isin(people)) if rest else m
+        left, right = some.withColumnRenamed("person", "source"), some.withColumnRenamed("person", "target")
+        pairs = left.join(right, "company").where("source < target").groupBy("source", "target").agg(F.count("*").alias("weight"))
+        top = pairs.orderBy(*order).limit(k)
+        if not rest:
+            return top
+        rows = top.collect()
+        if len(rows) == k and rows[-1]["weight"] > rest:
+            return edges.sparkSession.createDataFrame(rows, top.schema)
+        start *= 2
+
+
 def degrees(edges: DataFrame) -> DataFrame:
     """Distinct companies per person."""
     return members(edges).groupBy("person").agg(F.count("*").alias("degree"))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tieproof.functions.names import last_name, lower_key
-from tieproof.functions.text import is_blank, text
+from tieproof.functions.text import cut, is_blank, text
 
 REJECTED_BUCKETS = ("reject:own-entity", "reject:investment")
 
@@ -23,16 +23,16 @@ def one_per_key(df: DataFrame, key: str, order: str, latest: bool = True) -> Dat
     return df.groupBy(key).agg(pick(F.struct(*rest), order).alias("_r")).select(key, "_r.*")
 
 
-def with_verdict(records: DataFrame, verdicts: DataFrame, key: str, order: str | None = None) -> DataFrame:
-    """Records with their last verdict, UNADJUDICATED when there is none."""
-    v = verdicts.groupBy(key).agg(F.max_by("verdict", order or "verdict").alias("verdict"))
+def with_verdict(records: DataFrame, verdicts: DataFrame, key: str, order: str) -> DataFrame:
+    """Records with their last verdict by ``order``, UNADJUDICATED when there is none."""
+    v = verdicts.groupBy(key).agg(F.max_by("verdict", order).alias("verdict"))
     return records.join(v, key, "left").withColumn("verdict", F.coalesce("verdict", F.lit("UNADJUDICATED")))
 
 
-def effective_verdict(records: DataFrame, first: DataFrame, recovery: DataFrame, key: str) -> DataFrame:
-    """A recovery verdict overrides the first one."""
-    f = first.select(key, F.col("verdict").alias("_first"))
-    r = recovery.select(key, F.col("verdict").alias("_recovery"))
+def effective_verdict(records: DataFrame, first: DataFrame, recovery: DataFrame, key: str, order: str) -> DataFrame:
+    """The last recovery verdict of a key overrides its last first one; logs may repeat keys."""
+    f = first.groupBy(key).agg(F.max_by("verdict", order).alias("_first"))
+    r = recovery.groupBy(key).agg(F.max_by("verdict", order).alias("_recovery"))
     joined = records.join(f, key, "left").join(r, key, "left")
     return joined.withColumn("verdict", F.coalesce("_recovery", "_first")).drop("_recovery", "_first")
 
@@ -82,20 +82,23 @@ def pages_to_recheck(verdicts: DataFrame, pages: DataFrame, key: str) -> DataFra
     ).drop("_page")
 
 
-def match_back(wanted: DataFrame, extracted: DataFrame, key: Column, n_found: int = 10) -> DataFrame:
+def match_back(wanted: DataFrame, extracted: DataFrame, key: Column, n_found: int | None = None) -> DataFrame:
     """Status of each re-extracted record: ok, unmatched, or fetch_failed.
 
     ``wanted``: ``rec_seq, company_name, url``; ``extracted``: ``url, pos,
-    found_name``. An unmatched record lists the first names found instead.
+    found_name``. An unmatched record lists the names found instead, the first ``n_found``
+    or all of its page.
     """
     want = wanted.withColumn("_k", key)
     hits = extracted.select("url", F.col("found_name"), "pos")
     found_keys = hits.withColumn("company_name", F.col("found_name")).withColumn("_k", key)
     matched = found_keys.groupBy("url", "_k").agg(F.min("pos").alias("match_pos"))
-    rank = F.row_number().over(Window.partitionBy("url").orderBy("pos"))
+    if n_found is not None:
+        rank = F.row_number().over(Window.partitionBy("url").orderBy("pos"))
+        hits = hits.withColumn("_rn", rank).where(F.col("_rn") <= n_found)
     first = (
-        hits.withColumn("_rn", rank).where(F.col("_rn") <= n_found)
-        .groupBy("url").agg(F.array_sort(F.collect_list(F.struct("_rn", "found_name"))).alias("_f"))
+        hits.where(~is_blank(F.col("url")))
+        .groupBy("url").agg(F.array_sort(F.collect_list(F.struct("pos", "found_name"))).alias("_f"))
         .select("url", F.array_join(F.transform("_f", lambda f: f["found_name"]), "; ").alias("_found"))
     )
     joined = want.join(matched, ["url", "_k"], "left").join(first, "url", "left")
@@ -139,17 +142,15 @@ def pattern_tiers(pages: DataFrame, patterns: DataFrame, host: Column, default:
 
     Substring tests without a nested loop: hosts are cut into all grams of a
     fixed length and met by the first gram of each pattern, then the whole
-    pattern is tested. Every pattern must have at least ``gram`` characters.
+    pattern is tested. A shorter pattern is met by the grams of its own length.
     """
     hosts = pages.select(host.alias("host")).distinct()
-    last = F.length("host") - gram + 1
-    grams = hosts.where(last >= 1).select(
-        "host",
-        F.explode(F.array_distinct(F.transform(
-            F.sequence(F.lit(1), last), lambda i: F.substr(F.col("host"), i, F.lit(gram))
-        ))).alias("_g"),
+    pieces = F.transform(
+        F.sequence(F.lit(1), F.length("host")),
+        lambda i: F.transform(F.sequence(F.lit(1), F.lit(gram)), lambda k: F.substr(F.col("host"), i, k)),
     )
-    keyed = patterns.withColumn("_g", F.substring("pattern", 1, gram))
+    grams = hosts.where(F.length("host") > 0).select("host", F.explode(F.array_distinct(F.flatten(pieces))).alias("_g"))
+    keyed = patterns.where("pattern <> ''").withColumn("_g", F.substring("pattern", 1, gram))
     best = (
         grams.join(keyed, "_g").where(F.contains("host", "pattern"))
         .groupBy("host").agg(F.max_by("tier", F.struct(F.length("pattern"), "pattern")).alias("tier"))
@@ -160,9 +161,9 @@ def pattern_tiers(pages: DataFrame, patterns: DataFrame, host: Column, default:
     )
 
 
-def span_samples(claims: DataFrame, matched: Column, good: int = 3, bad: int = 5) -> DataFrame:
+def span_samples(claims: DataFrame, matched: Column, good: int = 3, bad: int = 5, max_chars: int | None = None) -> DataFrame:
     """A few matched and unmatched spans per language."""
-    ranked = claims.select("lang", "doc_id", F.substring("span", 1, 160).alias("sample"), matched.alias("ok")).withColumn(
+    ranked = claims.select("lang", "doc_id", cut(F.col("span"), max_chars).alias("sample"), matched.alias("ok")).withColumn(
         "_rn", F.row_number().over(Window.partitionBy("lang", "ok").orderBy("doc_id"))
     )
     return ranked.where(F.col("_rn") <= max(good, bad)).where(

@@ -62,9 +62,17 @@ def backoff(log: DataFrame, base: float = 2.0, longest: float = 60.0) -> DataFra
 
 
 def restarts(lines: DataFrame, seconds: int = 900, most: int = 3) -> DataFrame:
-    """Exits of runs with the number of recent ones, and whether a relaunch is allowed."""
-    clean = F.col("line").contains(CLEAN_MARKERS[0])
-    exits = lines.where(clean | (F.col("line") == WALL_SEEN)).withColumn("clean", clean)
+    """Exits of runs with their kind, the number of recent ones, and whether a relaunch is allowed.
+
+    A closing banner is a clean exit, a traceback a crash; a run that shows
+    neither ends with its last line, and how is unknown. A clean exit always allows a relaunch.
+    """
+    line = F.col("line")
+    kind = F.when(line.contains(CLEAN_MARKERS[0]) | line.contains(CLEAN_MARKERS[1]), "clean").when(line.contains(TRACEBACK), "crash")
+    marked = lines.withColumn("exit_kind", kind)
+    silent = marked.groupBy("run_id").agg(F.max("seq").alias("seq"), F.count("exit_kind").alias("_n")).where("_n = 0")
+    silent = marked.drop("exit_kind").join(silent.drop("_n"), ["run_id", "seq"], "left_semi").withColumn("exit_kind", F.lit("unknown"))
+    exits = marked.where("exit_kind IS NOT NULL").unionByName(silent).withColumn("clean", F.col("exit_kind") == "clean")
     out = trailing_count(exits, [], "ts", "seq", seconds, "recent")
     return out.withColumn("allowed", F.col("clean") | (F.col("recent") < most))
 

@@ -44,7 +44,10 @@ def preference() -> Column:
 
 
 def dedup_merge(df: DataFrame) -> DataFrame:
-    """One row per canonical name."""
+    """One row per canonical name.
+
+    Columns that no rule fills are those of the base row; lists are ``united``, as rows.
+    """
     have, order = set(df.columns), preference()
     always = F.lit(True)
     aggs = [
@@ -61,6 +64,8 @@ def dedup_merge(df: DataFrame) -> DataFrame:
     for f in MAX_FIELDS:
         if f in have:
             aggs.append(F.max(f).alias(f))
+    done = {"rec_seq", "company_name", "validation_tier", "proof_url", "status", "canonical", "n_merged", *FILL_FIELDS, *MAX_FIELDS}
+    aggs += [F.min_by(f, order).alias(f) for f, kind in df.dtypes if f not in done and not is_list(kind)]
     known = first_where(F.col("status"), F.col("status") != "unknown", order)
     aggs.append(F.coalesce(known, F.lit("unknown")).alias("status"))
     return _grouped_by_canonical(df).groupBy("canonical", "_solo").agg(*aggs).drop("_solo")
@@ -129,15 +134,30 @@ def dedup_people(df: DataFrame, people: DataFrame) -> DataFrame:
 
 # --- store merge ---------------------------------------------------------------
 
-STORE_FIELDS = (
-    "company_name", "founders", "founder", "description", "proof_url", "affiliation_type", "evidence",
-    "industry", "status", "founded_year", "funding_total_usd", "funding_stage", "employee_count",
-    "is_public", "headquarters", "exit_year", "acquirer", "source_url", "source_credibility",
-)
+#: Fields whose differing values are reported.
 CONFLICT_FIELDS = (
-    "description", "industry", "funding_total_usd", "funding_stage", "founded_year", "employee_count",
-    "headquarters", "status", "acquirer", "acquisition_amount_usd",
+    "description", "industry", "funding_total_usd", "funding_stage", "funding_last_round_year", "founded_year", "employee_count",
+    "is_public", "headquarters", "status", "exit_year", "acquirer", "acquisition_amount_usd", "website_url",
+    "linkedin_company_url", "crunchbase_url",
 )
+#: Columns that a merge sets by itself.
+OWN = ("name_key", "rec_seq", "verified", "n_sources", "n_merged", "_from")
+
+
+def is_list(kind: str) -> bool:
+    return kind.startswith(("array", "map", "struct"))
+
+
+def united(df: DataFrame, key: str, order: Column, fields=("tags", "validation_issues")) -> DataFrame:
+    """``key, field, value, first``: the values of list columns of all rows of a key, each once, in the order they came."""
+    def values(f: str) -> Column:
+        cells = F.coalesce(F.col(f), F.array().cast("array<string>"))
+        return F.transform(cells, lambda v: F.struct(F.lit(f).alias("field"), v.cast("string").alias("value")))
+
+    lists = [values(f) for f in fields if f in df.columns]
+    rows = df.select(key, order.alias("_o"), F.posexplode(F.concat(*lists)).alias("_at", "_v"))
+    return rows.where(text(F.col("_v.value")) != "").groupBy(key, "_v.field", "_v.value").agg(
+        F.min(F.struct("_o", "_at")).alias("first"))
 
 
 def admitted(df: DataFrame, cfg: Config) -> DataFrame:
@@ -171,12 +191,12 @@ def upsert_merge(df: DataFrame, order: str = "rec_seq") -> DataFrame:
     """One row per ``name_key``: blanks filled in the order of a whole number, sources counted.
 
     A real value beats "Unknown"; "Unknown" beats nothing, and the last spelling
-    of it stays.
+    of it stays. All columns but lists are merged; lists are ``united``, as rows.
     """
-    have, o = set(df.columns), F.col(order)
+    o = F.col(order)
     aggs = [F.min(order).alias(order), F.count("*").alias("n_merged")]
-    for f in STORE_FIELDS:
-        if f not in have:
+    for f, kind in df.dtypes:
+        if f in OWN or f == order or is_list(kind):
             continue
         c, shown = F.col(f), F.col(f).cast("string")
         rank = F.when(shown.isin("", "0", "0.0", "false"), 2).when(shown.isin("Unknown", "unknown"), 1).otherwise(0)

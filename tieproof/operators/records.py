@@ -49,21 +49,15 @@ def heuristic_verify(df: DataFrame, cfg: Config) -> DataFrame:
     return out.withColumn("action", F.when(F.col("reason").isNull(), "keep").otherwise("remove"))
 
 
-def remove_by_name(df: DataFrame, doomed: DataFrame, key) -> DataFrame:
-    """Records whose key is not among the names to remove."""
-    keys = doomed.select(key(F.col("company_name")).alias("_k")).distinct()
-    return df.withColumn("_k", key(F.col("company_name"))).join(keys, "_k", "left_anti").drop("_k")
-
-
 def ambiguous_records(df: DataFrame) -> DataFrame:
     return df.where(rules.ambiguous(F.col("founder"), F.col("evidence"), F.col("proof_url")))
 
 
-def health_candidates(df: DataFrame, n: int = 200) -> DataFrame:
-    """Weak records that do have a proof url: their number and the first ``n`` names."""
+def health_candidates(df: DataFrame) -> DataFrame:
+    """Weak records that do have a proof url, with their number."""
     weak = df.where((F.col("validation_tier") == "weak") & ~is_blank(F.col("proof_url")))
     total = weak.agg(F.count("*")).scalar()
-    return weak.select("company_name", "rec_seq").orderBy("rec_seq").limit(n).withColumn("total", total)
+    return weak.select("company_name", "rec_seq").withColumn("total", total)
 
 
 def list_records(

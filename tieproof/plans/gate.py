@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tieproof.config import Config
 from tieproof.functions import rules, scoring
 from tieproof.functions.names import last_name
-from tieproof.functions.text import once, text
+from tieproof.functions.text import cut, once, text
 from tieproof.functions.urls import domain
 from tieproof.operators.joins import effective_verdict, one_per_key, registry_check
 
@@ -22,12 +22,10 @@ def signals(
 
     Verdict logs may repeat a name; the last line counts.
     """
-    first = one_per_key(verdicts, "company_name", "seq").select("company_name", "verdict")
-    second = one_per_key(recovery, "company_name", "seq").select("company_name", "verdict")
     known = bindings.select(
         C("company").alias("company_name"), last_name(C("founder")).alias("_last"), F.lit(True).alias("_edge")
     ).where("_last <> ''").distinct()
-    rows = effective_verdict(records, first, second, "company_name")
+    rows = effective_verdict(records, verdicts, recovery, "company_name", "seq")
     rows = rows.withColumn("_last", last_name(C("founder"))).join(known, ["company_name", "_last"], "left")
     rows = registry_check(rows, registry, rules.entity_type(C("company_name"), cfg))
     return rows.withColumns({
@@ -72,7 +70,7 @@ def published(gated: DataFrame, state: str) -> DataFrame:
     return out.orderBy(F.desc("confidence"), "company_name") if state == "verified" else out
 
 
-def apply_verdicts(records: DataFrame, verdicts: DataFrame) -> DataFrame:
+def apply_verdicts(records: DataFrame, verdicts: DataFrame, max_chars: int | None = None) -> DataFrame:
     """Founders are kept; all other records go to the reject table with verdict and evidence."""
     v = one_per_key(verdicts, "company_name", "seq").select("company_name", "verdict")
     joined = records.join(v, "company_name", "left").withColumn(
@@ -82,5 +80,5 @@ def apply_verdicts(records: DataFrame, verdicts: DataFrame) -> DataFrame:
         "rec_seq", "company_name", "founder", "verdict",
         F.when(C("verdict") == "FOUNDER", "kept").otherwise("rejected").alias("action"),
         domain(C("proof_url")).alias("source_domain"),
-        F.substring(text(C("evidence")), 1, 200).alias("evidence"),
+        cut(text(C("evidence")), max_chars).alias("evidence"),
     )

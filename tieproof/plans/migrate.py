@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tieproof.config import Config
 from tieproof.functions import typing
 from tieproof.functions.names import NOT_A_FOUNDER, lower_key, split_people
-from tieproof.functions.text import is_blank, once, strip, text
+from tieproof.functions.text import cut, is_blank, once, strip, text
 from tieproof.operators.enrich import migration_evidence
 
 C = F.col
@@ -33,12 +33,12 @@ def with_people(df: DataFrame, cfg: Config) -> DataFrame:
     })
 
 
-def affiliations(df: DataFrame, cfg: Config) -> DataFrame:
-    """One row per record and person with school, role, year and evidence."""
+def affiliations(df: DataFrame, cfg: Config, max_chars: int | None = None) -> DataFrame:
+    """One row per record and person with school, role, year and evidence (whole, or its first ``max_chars``)."""
     rows = with_people(df, cfg).select("*", F.posexplode("names").alias("pos", "person"))
     basis = F.when(C("_named"), C("evidence_all")).otherwise(text(C("evidence")))
     role_text = F.when(C("_named"), F.concat(C("evidence_all"), F.lit(" "), text(C("affiliation_type")))).otherwise(basis)
-    span = F.when(basis != "", F.substring(basis, 1, 240)).otherwise(F.concat("person", F.lit(" (migrated)")))
+    span = F.when(basis != "", cut(basis, max_chars)).otherwise(F.concat("person", F.lit(" (migrated)")))
     return rows.select(
         "rec_seq", "company_name", "pos", "person",
         typing.school(basis, cfg.school_patterns, cfg.school_default).alias("school"),

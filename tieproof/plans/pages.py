@@ -28,7 +28,7 @@ def organisations(pages: DataFrame) -> DataFrame:
     }
     rows = nodes.select(
         "page_id", "pos", *[get(p).alias(n) for n, p in first.items()], *[get(p, k).alias(n) for n, (p, k) in last.items()]
-    ).withColumn("description", F.substring("description", 1, 500))
+    )
     return rows.groupBy("page_id").agg(
         *[F.min_by(n, F.when(F.col(n).isNotNull(), F.col("pos"))).alias(n) for n in first],
         *[F.max_by(n, F.when(F.col(n).isNotNull(), F.col("pos"))).alias(n) for n in last],

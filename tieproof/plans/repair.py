@@ -8,17 +8,18 @@ from pyspark.sql import functions as F
 from tieproof.config import Config
 from tieproof.functions import rules
 from tieproof.functions.names import is_human_name
-from tieproof.functions.text import is_blank, quoted, strip, text
+from tieproof.functions.text import cut, is_blank, quoted, strip, text
 from tieproof.operators.stats import gap_counts
 
 C = F.col
 
 
-def fill_apply(records: DataFrame, found: DataFrame, cfg: Config) -> DataFrame:
+def fill_apply(records: DataFrame, found: DataFrame, cfg: Config, max_chars: int | None = None) -> DataFrame:
     """Apply found founders and urls to records that lack them, then revalidate.
 
     ``found``: ``rec_seq, found_founders, found_url, page_url, page_text``. A page
-    that said anything counts as one more source.
+    that said anything counts as one more source. Thin evidence becomes the page's
+    text, whole or its first ``max_chars``.
     """
     out = records.join(found, "rec_seq", "left")
     names, url = strip(text(C("found_founders"))), strip(text(C("found_url")))
@@ -32,7 +33,7 @@ def fill_apply(records: DataFrame, found: DataFrame, cfg: Config) -> DataFrame:
     out = out.withColumns({
         "evidence": F.when(
             C("_name") & thin,
-            F.concat(F.lit("Found via targeted gap-fill search: "), strip(F.substring(C("page_text"), 1, 200))),
+            F.concat(F.lit("Found via targeted gap-fill search: "), strip(cut(C("page_text"), max_chars))),
         ).otherwise(C("evidence")),
         "founder": F.when(C("_name"), strip(F.get(F.split(names, ","), F.lit(0)))).otherwise(C("founder")),
         "founders": F.when(C("_name"), names).otherwise(C("founders")),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tieproof.config import Config
 from tieproof.functions import rules
 from tieproof.functions.text import is_blank
-from tieproof.operators.merge import admitted, conflicts, upsert_merge
+from tieproof.operators.merge import admitted, backfill_founder, conflicts, upsert_merge
 
 C = F.col
 
@@ -25,8 +25,11 @@ def upsert(
 
     Stored values come first in the order of preference, batch rows follow in
     the order of ``rec_seq``. The list of sources of a record stays a table of
-    rows; the store carries its size.
+    rows; the store carries its size. Records in the nested layout (with ``people``)
+    get their flat founder fields first.
     """
+    if "people" in batch.columns:
+        batch = backfill_founder(batch)
     new = rules.coerce(admitted(batch, cfg)).withColumn("_from", F.lit(1))
     both, rows = new, source_rows(new)
     if store is not None:

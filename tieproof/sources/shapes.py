@@ -93,7 +93,7 @@ FROM {events}
 
 SHAPES["fetch_log"] = """
 SELECT event_id, ts, user_id AS session_id,
-       CASE event_id % 3 WHEN 0 THEN 'cache' WHEN 1 THEN 'http' ELSE 'selenium' END AS path,
+       CASE event_id % 3 WHEN 0 THEN 'cache' WHEN 1 THEN 'http' ELSE 'browser' END AS path,
        CASE event_type WHEN 'error' THEN 'timeout' WHEN 'signup' THEN 'empty' ELSE 'ok' END AS outcome,
        CASE event_type WHEN 'error' THEN 503 WHEN 'signup' THEN 429 WHEN 'purchase' THEN 404 ELSE 200 END AS http_status,
        CAST(floor(value * 10) AS BIGINT) AS latency_ms,
@@ -109,6 +109,13 @@ SELECT doc_id,
 FROM {labels}
 """
 
+# The log behind the verdicts: a third of the documents were judged once before.
+SHAPES["verdict_lines"] = """
+SELECT doc_id, doc_id * 2 + 1 AS seq, verdict FROM {verdicts}
+UNION ALL
+SELECT doc_id, doc_id * 2, CASE verdict WHEN 'UNCLEAR' THEN 'FOUNDER' ELSE 'UNCLEAR' END FROM {verdicts} WHERE doc_id % 3 = 0
+"""
+
 SHAPES["claims"] = """
 SELECT d.doc_id, d.lang, d.text AS source_text,
        CASE WHEN d.doc_id % 3 = 0 THEN translate(substr(d.text, 2, 40), 'aeinrst', 'AEINRST')
@@ -122,7 +129,7 @@ SELECT event_id,
        CASE event_id % 6 WHEN 0 THEN props
          WHEN 1 THEN concat('Here it is:', chr(10), '```json', chr(10), props, chr(10), '```')
          WHEN 2 THEN concat('JSON', props)
-         WHEN 3 THEN concat('echo ===END_PROMPT===GEMINI_RESPONSE_BELOW===', props)
+         WHEN 3 THEN concat('echo ===END_PROMPT===REPLY_BELOW===', props)
          WHEN 4 THEN 'no json here' ELSE '' END AS reply
 FROM {events}
 """
@@ -136,10 +143,11 @@ FROM {part}
 """
 
 SHAPES["log_lines"] = """
-SELECT event_id AS seq, user_id AS run_id, ts,
+SELECT event_id AS seq, CAST(floor(event_id / 6) AS BIGINT) AS run_id, ts,
        CASE event_type WHEN 'click' THEN concat('DB total: ', CAST(event_id AS STRING))
          WHEN 'view' THEN concat('Still waiting... elapsed=', CAST(event_id % 700 AS STRING), 's')
-         WHEN 'error' THEN 'CAPTCHA detected' WHEN 'purchase' THEN 'CAPTCHA cleared'
+         WHEN 'error' THEN CASE WHEN event_id % 2 = 0 THEN 'Traceback (most recent call last) in run' ELSE 'CAPTCHA detected' END
+         WHEN 'purchase' THEN 'CAPTCHA cleared'
          ELSE 'SESSION ENDED' END AS line
 FROM {events}
 """

@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tieproof.functions.text import text
+from tieproof.functions.text import cut, text
 from tieproof.functions.typing import bool3, yes_no_unknown
 from tieproof.functions.urls import url_key
 
 C = F.col
-NAMES_PER_CELL = 1000
 
 # Columns of the full export and the fields behind them.
 FULL_COLUMNS = {
@@ -42,26 +40,35 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def publish(df: DataFrame, path: str) -> str:
+def publish(df: DataFrame, path: str, version: int | None = None) -> int:
     """Write a new version beside the old ones, then make it current.
 
-    Readers follow the manifest, so they see the old version or the new one and
-    never a part. A failed write leaves a folder nobody points to.
+    Versions are counted; readers follow the highest that the manifest lists, so
+    they see the old version or the new one and never a part. A failed write
+    leaves a folder nobody points to, and a version that two writers took at the
+    same time fails for the second, whose folder exists already.
     """
-    version = uuid.uuid4().hex
-    df.write.parquet(f"{path}/{version}")
-    line = df.sparkSession.range(1).select(
-        F.concat_ws("\t", F.unix_micros(F.current_timestamp()).cast("string"), F.lit(version)).alias("value")
-    )
-    line.coalesce(1).write.mode("append").text(f"{path}/manifest")
+    spark = df.sparkSession
+    if version is None:
+        version = 1 + max((r["version"] for r in versions(spark, path)), default=-1)
+    df.write.mode("error").parquet(f"{path}/{version}")
+    spark.range(version, version + 1).withColumnRenamed("id", "version").coalesce(1).write.mode("append").parquet(f"{path}/manifest")
     return version
 
 
+def versions(spark: SparkSession, path: str) -> list:
+    """The published versions; none before the first."""
+    try:
+        return spark.read.schema("version long").parquet(f"{path}/manifest").collect()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+
+
 def current(spark: SparkSession, path: str) -> DataFrame:
     """The current version of a published table."""
-    parts = F.split("value", "\t")
-    row = spark.read.text(f"{path}/manifest").agg(F.max_by(parts[1], parts[0].cast("long")).alias("v")).first()
-    return spark.read.parquet(f"{path}/{row['v']}")
+    return spark.read.parquet(f"{path}/{max(r['version'] for r in versions(spark, path))}")
 
 
 def full_export(df: DataFrame) -> DataFrame:
@@ -88,45 +95,44 @@ def write_full_csv(df: DataFrame, path: str) -> None:
     full_export(df.orderBy(F.lower("company_name"), "rec_seq")).write.mode("overwrite").csv(path, header=True)
 
 
-def companies_flat(records: DataFrame, people: DataFrame, per_cell: int = NAMES_PER_CELL) -> DataFrame:
-    """One row per company with its schools, names and member count.
+def companies_flat(records: DataFrame, people: DataFrame) -> DataFrame:
+    """The company columns with each of its people: one row per company and person, and one for a company without.
 
-    A cell holds at most ``per_cell`` names; a company with more of them goes on
-    in further rows (``part``), so no name is lost and no task holds a whole
-    group. ``people``: ``company, pos, person, school``.
+    ``schools`` (distinct, a short list by nature) and ``member_count`` are those of the
+    whole company in each of its rows. People stay rows, so a company of any size is no
+    cell of its own. Columns that ``records`` lacks are empty. ``people``: ``company, pos, person, school``.
     """
-    parts = people.groupBy("company", F.floor((C("pos") - 1) / per_cell).cast("long").alias("part")).agg(
-        F.count("*").alias("_n"),
+    total = people.groupBy("company").agg(
+        F.count("*").alias("member_count"),
         F.array_join(F.array_sort(F.collect_set(F.when(text(C("school")) != "", C("school")))), "; ").alias("schools"),
-        F.array_sort(F.collect_list(F.when(text(C("person")) != "", F.struct("pos", "person")))).alias("_p"),
     )
-    total = parts.groupBy("company").agg(F.sum("_n").alias("member_count"))
-    cells = parts.join(total, "company").select(
-        "company", "part", "member_count", "schools",
-        F.array_join(F.transform("_p", lambda p: p["person"]), "; ").alias("names"),
-    )
-    have = [c for c in COMPANY_COLUMNS if c in records.columns]
-    left = records.select(*have).withColumnRenamed("company_name", "company")
-    return left.join(cells, "company", "left").withColumns({
-        "part": F.coalesce("part", F.lit(0)), "member_count": F.coalesce("member_count", F.lit(0)),
-        "schools": F.coalesce("schools", F.lit("")), "names": F.coalesce("names", F.lit("")),
-    })
+    left = records.select(*[C(c) if c in records.columns else F.lit(None).cast("string").alias(c) for c in COMPANY_COLUMNS])
+    left = left.withColumnRenamed("company_name", "company").join(total, "company", "left")
+    named = people.where(text(C("person")) != "").select("company", "pos", C("person").alias("name"))
+    return left.withColumns({
+        "member_count": F.coalesce("member_count", F.lit(0)), "schools": F.coalesce("schools", F.lit("")),
+    }).join(named, "company", "left")
 
 
-def edges_long(records: DataFrame, people: DataFrame) -> DataFrame:
-    """One row per person and company; evidence cut to 300 characters."""
+def edges_long(records: DataFrame, people: DataFrame, max_chars: int | None = None) -> DataFrame:
+    """One row per person and company with the whole evidence, or its first ``max_chars``."""
     attrs = records.select(
         C("company_name").alias("company"), C("validation_tier").alias("company_tier"),
         C("status").alias("company_status"), C("funding_total_usd").alias("company_funding_usd"),
     )
-    return people.join(attrs, "company", "left").withColumn("evidence_span", F.substring(text(C("evidence_span")), 1, 300))
+    return people.join(attrs, "company", "left").withColumn("evidence_span", cut(text(C("evidence_span")), max_chars))
 
 
 def write_graph(tables: dict[str, DataFrame], path: str) -> list[str]:
-    """CSV folders of the graph; an empty table writes nothing. Returns the names written."""
-    written = [name for name, df in tables.items() if not df.isEmpty()]
-    for name in written:
-        tables[name].write.mode("overwrite").csv(f"{path}/{name}", header=True)
+    """CSV folders of the graph; an empty table leaves none. Returns the names written.
+
+    What is written tells whether it is empty, so no table is computed twice.
+    """
+    written = []
+    for name, df in tables.items():
+        df.write.mode("overwrite").csv(f"{path}/{name}", header=True)
+        if not df.sparkSession.read.schema(df.schema).csv(f"{path}/{name}", header=True).isEmpty():
+            written.append(name)
     return written
 
 
@@ -141,7 +147,7 @@ def write_failures(df: DataFrame, path: str) -> None:
 
 
 def cache_pages(fetched: DataFrame) -> DataFrame:
-    """Page cache rows: file key, url, latest capture and its text."""
+    """Page cache rows: file key, url, latest capture and its text; of captures at one time the greatest text."""
     return fetched.groupBy("url").agg(
-        F.max_by(F.struct("captured_at", "text"), "captured_at").alias("_p")
+        F.max(F.struct("captured_at", "text")).alias("_p")
     ).select(url_key(C("url")).alias("url_key"), "url", "_p.*")

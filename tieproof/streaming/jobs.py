@@ -13,40 +13,47 @@ from tieproof.sources import writers
 
 C = F.col
 EPOCH_ROUNDS = 20
+# Ways to fetch a page.
+FETCH_PATHS = ("cache", "http", "browser")
 
 
-def visited(visits: DataFrame, horizon: str = "40 days", salts: int = 16) -> DataFrame:
-    """First visit of each url per epoch of twenty rounds; state older than the horizon is dropped.
+def visits_of(visits: DataFrame) -> DataFrame:
+    """``url, epoch`` of a batch of visits, once each; an epoch is twenty rounds."""
+    return visits.select("url", F.floor(C("round") / EPOCH_ROUNDS).cast("int").alias("epoch")).distinct()
 
-    Repeats are dropped per salt first, so that a url with a third of all visits
-    is spread over several tasks and reaches the last step a few times only.
-    """
-    return (
-        visits.withColumns({
-            "ts": C("ts").cast("timestamp"),
-            "epoch": F.floor(C("round") / EPOCH_ROUNDS).cast("int"),
-            "salt": F.pmod(F.hash("event_id"), F.lit(salts)),
-        })
-        .select("url", "epoch", "salt", "ts")
-        .withWatermark("ts", horizon)
-        .dropDuplicatesWithinWatermark(["url", "epoch", "salt"])
-        .dropDuplicatesWithinWatermark(["url", "epoch"])
-        .select("url", "epoch")
+
+def visited(log: DataFrame) -> DataFrame:
+    """First visits over all batches of ``visits_of``, however late they came."""
+    return log.select("url", "epoch").distinct()
+
+
+def call_sums(calls: DataFrame) -> DataFrame:
+    """Sums per day of a batch of calls."""
+    return calls.groupBy(C("ts").cast("date").alias("day")).agg(
+        F.count("*").alias("calls"),
+        *[F.count_if(C("outcome") == o).alias(o) for o in CALL_OUTCOMES],
+        F.sum("latency_ms").alias("latency_ms"),
     )
 
 
-def round_metrics(calls: DataFrame, late: str = "1 hour") -> DataFrame:
-    """Running call metrics per day window."""
-    return (
-        calls.withColumn("ts", C("ts").cast("timestamp")).withWatermark("ts", late)
-        .groupBy(F.window("ts", "1 day").alias("w"))
-        .agg(
-            F.count("*").alias("calls"),
-            *[F.count_if(C("outcome") == o).alias(o) for o in CALL_OUTCOMES],
-            F.sum("latency_ms").alias("latency_ms"),
-        )
-        .select(F.col("w.start").cast("date").alias("day"), "calls", *CALL_OUTCOMES,
-                F.expr("latency_ms div greatest(calls, 1)").alias("avg_latency_ms"))
+def fetch_sums(fetches: DataFrame) -> DataFrame:
+    """Sums per day of a batch of fetches, by path and outcome."""
+    return fetches.groupBy(C("ts").cast("date").alias("day")).agg(
+        F.count("*").alias("fetches"),
+        *[F.count_if(C("path") == p).alias(f"path_{p}") for p in FETCH_PATHS],
+        F.count_if(C("outcome") == "ok").alias("fetch_ok"),
+    )
+
+
+def round_metrics(calls: DataFrame, fetches: DataFrame) -> DataFrame:
+    """Metrics per day from the sums of all batches; a late row adds to its day like any other."""
+    add = lambda df: df.groupBy("day").agg(*[F.sum(c).alias(c) for c in df.columns if c != "day"])
+    both = add(calls).join(add(fetches), "day", "full")
+    counts = ["calls", *CALL_OUTCOMES, "fetches", *[f"path_{p}" for p in FETCH_PATHS], "fetch_ok"]
+    return both.select(
+        "day", *[F.coalesce(c, F.lit(0)).alias(c) for c in counts],
+        F.expr("latency_ms div greatest(calls, 1)").alias("avg_latency_ms"),
+        F.when(C("fetches") > 0, F.round(C("fetch_ok") / C("fetches"), 3)).alias("fetch_ok_rate"),
     )
 
 
@@ -79,11 +86,16 @@ class StoreSink:
             old = writers.current(spark, f"{self.path}/store-{batch_id - 1}")
             old = old.drop("validation_tier", "validation_issues")
             sources = writers.current(spark, f"{self.path}/sources-{batch_id - 1}")
-        merged, rows, _ = store_plan.upsert(old, sources, batch, self.cfg)
+        merged, rows, clash = store_plan.upsert(old, sources, batch, self.cfg)
+        clash.write.mode("overwrite").parquet(f"{self.path}/conflicts/batch_id={batch_id}")
         writers.publish(rows, f"{self.path}/sources-{batch_id}")
         writers.publish(merged, f"{self.path}/store-{batch_id}")
         spark.range(batch_id, batch_id + 1).write.mode("append").parquet(f"{self.path}/batches")
 
+    def conflicts(self, spark: SparkSession) -> DataFrame:
+        """Conflicts of each batch."""
+        return spark.read.parquet(f"{self.path}/conflicts")
+
     def result(self, spark: SparkSession) -> DataFrame:
         """The store after the last finished batch."""
         last = spark.read.parquet(f"{self.path}/batches").agg(F.max("id").alias("id")).first()["id"]

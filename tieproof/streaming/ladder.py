@@ -9,7 +9,7 @@ window counts. What is left is a walk over the few rows at which something may
 happen (marks), with the level, the start of the bad spell, the resets and the
 places of the last reset as its state. The levels in between are those of the last
 mark. The log may arrive in any batches and any order: levels follow from the
-whole log, see ``LogSink``.
+whole log, see ``run.LogSink``.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tieproof.operators.ordered import BLOCK, rolling, running, with_position
@@ -127,16 +127,3 @@ def levels(log: DataFrame, size: int = BLOCK) -> DataFrame:
     out = running(rows, KEY, {"code": ("max", code)}, size=size)
     last = F.coalesce(F.col("code") % 64, F.lit(NORMAL * 8))
     return out.select(*KEY, "event_id", "kind", F.shiftright(last.cast("int"), 3).alias("level"), (last % 8).cast("int").alias("resets"))
-
-
-class LogSink:
-    """Micro-batches kept as a log, one folder per batch, so that a repeated batch replaces its first try."""
-
-    def __init__(self, path: str):
-        self.path = path
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
-
-    def log(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path).drop("batch_id")

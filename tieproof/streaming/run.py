@@ -39,6 +39,30 @@ def drain_each_batch(
     query.awaitTermination()
 
 
+class LogSink:
+    """Micro-batches kept as a log, one folder per batch, so that a repeated batch replaces its first try.
+
+    ``each`` reduces a batch before it is kept. What is read back does not depend on
+    how rows were split into batches, nor on their order.
+    """
+
+    def __init__(self, path: str, each: Callable[[DataFrame], DataFrame] = lambda batch: batch):
+        self.path, self.each = path, each
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        self.each(batch).write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+
+    def log(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(self.path).drop("batch_id")
+
+
+def drain_to_log(stream: DataFrame, each: Callable[[DataFrame], DataFrame] = lambda batch: batch) -> DataFrame:
+    """All available input as a log in the shared folder."""
+    sink = LogSink(scratch(stream.sparkSession), each)
+    drain_each_batch(stream, sink)
+    return sink.log(stream.sparkSession)
+
+
 def drain_updates(stream: DataFrame, keys: list[str]) -> DataFrame:
     """Updates of a running aggregate collected into a table: the latest row per key."""
     spark, path = stream.sparkSession, scratch(stream.sparkSession)
