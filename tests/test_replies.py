@@ -96,3 +96,20 @@ def test_embedded_address_is_near_the_flag(value):
     get = lambda k: value(lambda c: pages.embedded_fields(c)[k], html)
     assert get("hq_city") == "Near" and get("hq_country") == "US" and get("hq_region") is None
     assert value(lambda c: pages.embedded_fields(c)["company_url"], '"url":"https://www.linkedin.com/x","url":"https://a.b/"') == "https://a.b/"
+
+
+def test_records_of_every_layout_are_gated_by_person(spark):
+    from tieproof.config import Config
+    from tieproof.plans.extract import extract_gate
+
+    good, bad = "Ann Lee founded  Acme", "never said"
+    person = lambda n, s: {"name": n, "evidence_span": s}
+    acme = {"company_name": "Acme", "people": [person("Bo", bad), person("Ann", good), person("Cy", good)]}
+    none = {"company_name": "Nobody", "people": [person("Bo", bad)]}
+    said = [acme, [none, acme], {"records": [acme, dict(acme, company_name="Beta")]}, {"company_name": "Flat", "person": "Ann", "span": good},
+            [none], {"records": []}, "text"]
+    rows = [(i, f"https://p{i}.org/", "x ann lee FOUNDED acme y", json.dumps(s)) for i, s in enumerate(said)]
+    df = spark.createDataFrame(rows, "doc_id long, page_url string, source_text string, reply string")
+    got = {(r["doc_id"], r["company_name"], tuple(p["name"] for p in r["people"])) for r in extract_gate(df, Config()).collect()}
+    both = ("Ann", "Cy")
+    assert got == {(0, "Acme", both), (1, "Acme", both), (2, "Acme", both), (2, "Beta", both), (3, "Flat", ("Ann",))}

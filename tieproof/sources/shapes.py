@@ -257,11 +257,17 @@ FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey
 
 # Replies that carry one record each, several per page.
 SHAPES["page_replies"] = """
-SELECT c.doc_id, concat('https://', d.source, '.example.org/') AS page_url, c.source_text,
-       concat('Found:', chr(10), '```json', chr(10), '{"company_name":"Firm ', CAST(c.doc_id % 7 AS STRING), ', Inc.","person":"P',
-              CAST(c.doc_id AS STRING), '","span":"', translate(c.span, concat(chr(34), chr(92), chr(10)), '   '), '"}',
-              chr(10), '```') AS reply
-FROM {claims} c JOIN {documents} d ON d.doc_id = c.doc_id
+SELECT doc_id, page_url, source_text, concat('Found:', chr(10), '```json', chr(10),
+         CASE doc_id % 3 WHEN 0 THEN concat('{"company_name":"Firm ', firm, ', Inc.","person":"P', id, '","span":"', span, '"}')
+           WHEN 1 THEN concat('[', nested, ',', other, ']') ELSE concat('{"records":[', other, ',', nested, ']}') END,
+         chr(10), '```') AS reply
+FROM (SELECT *, concat('{"company_name":"Firm ', firm, ', Inc.","people":[{"name":"Q', id, '","evidence_span":"not on the page, no"},',
+                       '{"name":"P', id, '","evidence_span":"', span, '"}]}') AS nested,
+             '{"company_name":"Other","people":[{"name":"X","evidence_span":"zzz not there"}]}' AS other
+      FROM (SELECT c.doc_id, concat('https://', d.source, '.example.org/') AS page_url, c.source_text,
+                   CAST(c.doc_id % 7 AS STRING) AS firm, CAST(c.doc_id AS STRING) AS id,
+                   translate(c.span, concat(chr(34), chr(92), chr(10)), '   ') AS span
+            FROM {claims} c JOIN {documents} d ON d.doc_id = c.doc_id) AS a) AS b
 """
 
 SHAPES["second_replies"] = """
