@@ -31,13 +31,28 @@ def by_session(rows):
     return groups
 
 
-@pytest.mark.parametrize("size", [5, 40, 100_000])
-def test_position(log, rows, size):
-    got = {r["event_id"]: r["pos"] for r in logs.positioned(log, size).collect()}
+@pytest.mark.parametrize("parts", [1, 9, 60])
+def test_position(log, rows, parts):
+    got = {r["event_id"]: r["pos"] for r in logs.positioned(log, parts).collect()}
     want = {r[2]: i for g in by_session(rows).values() for i, r in enumerate(g)}
     assert got == want
 
 
+def test_a_burst_is_cut_into_even_parts(spark):
+    n = 4000  # nine tenths of one session inside one second, half of those at one time
+    df = spark.range(n).select(
+        F.when(F.col("id") % 20 == 0, 2).otherwise(1).alias("session_id"), F.col("id").alias("event_id"),
+        F.when(F.col("id") % 10 == 0, F.col("id") * 1_000_000).when(F.col("id") % 2 == 0, 5_000_000_000).otherwise(5_000_000_000 + F.col("id"))
+        .alias("us"))
+    df = df.withColumn("ts", F.timestamp_micros("us"))
+    got = {r["event_id"]: (r["session_id"], r["us"], r["pos"]) for r in logs.positioned(df, 16).collect()}
+    for s in (1, 2):
+        own = sorted((us, e) for e, (key, us, _) in got.items() if key == s)
+        assert [got[e][2] for _, e in own] == list(range(len(own)))
+    dealt = df.repartitionByRange(16, "session_id", "ts", "event_id").groupBy(F.spark_partition_id()).count().collect()
+    assert len(dealt) == 16 and max(r["count"] for r in dealt) < 2 * n / 16
+
+
 @pytest.mark.parametrize("size", [7, 25, 100_000])
 def test_rolling(log, rows, size):
     got = {r["event_id"]: r["n"] for r in ordered.rolling(
@@ -94,10 +109,9 @@ def test_trailing_count(spark, rows, size):
     assert got == want
 
 
-@pytest.mark.parametrize("size", [6, 100_000])
-def test_batches_of_requests(spark, size):
+def test_batches_of_requests(spark):
     df = spark.range(45).withColumn("doc_id", F.col("id") * F.col("id")).repartition(3)
-    got = requests.batch_requests(df, "doc_id", {"n": F.col("id")}, 20, size).orderBy("batch_no").collect()
+    got = requests.batch_requests(df, "doc_id", {"n": F.col("id")}, 20).orderBy("batch_no").collect()
     assert [r["n_rows"] for r in got] == [20, 20, 5]
     assert got[2]["request"].split("\n")[0] == '{"idx":0,"n":40}'
 

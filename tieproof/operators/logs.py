@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tieproof.operators.ordered import BLOCK, last_n, micros, rolling, running, trailing_count, with_position
+from tieproof.operators.ordered import BLOCK, last_n, rolling, running, trailing_count, with_position
 
 # Markers in the log of a run.
 CLEAN_MARKERS = ("SESSION ENDED", "Max rounds")
@@ -22,15 +22,15 @@ SESSION = ["session_id"]
 IN_TIME = ["ts", "event_id"]
 
 
-def positioned(log: DataFrame, size: int = BLOCK) -> DataFrame:
+def positioned(log: DataFrame, parts: int | None = None) -> DataFrame:
     """Log rows with their rank in the session."""
-    return with_position(log, SESSION, IN_TIME, micros(IN_TIME[0]), size=size)
+    return with_position(log, SESSION, IN_TIME, parts=parts)
 
 
 def last_n_rate(log: DataFrame, hit: Column, name: str, n: int = 20, size: int = BLOCK) -> DataFrame:
     """Share of hits among the last ``n`` rows; null before ``n`` were seen."""
     frames = {"_hits": F.count_if(hit), "_seen": F.count(F.lit(1))}
-    out = rolling(positioned(log, size), SESSION, n, frames, size=size)
+    out = rolling(positioned(log), SESSION, n, frames, size=size)
     rate = F.when(F.col("_seen") == n, F.col("_hits") / n)
     return out.withColumn(name, rate).drop("_hits", "_seen")
 
@@ -41,7 +41,7 @@ def recent_count(log: DataFrame, hit: Column, name: str, n: int = 5) -> DataFram
 
 def fail_streaks(log: DataFrame, ok: Column, trip: int = 5, size: int = BLOCK) -> DataFrame:
     """Failures since the last success, and whether the breaker is open (it stays open)."""
-    rows = running(positioned(log, size), SESSION, {"_ok": ("max", F.when(ok, F.col("pos")))}, size=size)
+    rows = running(positioned(log), SESSION, {"_ok": ("max", F.when(ok, F.col("pos")))}, size=size)
     rows = rows.withColumn("fail_streak", F.col("pos") - F.coalesce("_ok", F.lit(-1))).drop("_ok")
     tripped = F.when(F.col("fail_streak") >= trip, F.col("pos"))
     return running(rows, SESSION, {"_trip": ("min", tripped)}, size=size).withColumn(
@@ -80,7 +80,7 @@ def restarts(lines: DataFrame, seconds: int = 900, most: int = 3) -> DataFrame:
 def dry_streaks(calls: DataFrame, base: float = 300.0, factor: float = 1.5, longest: float = 3600.0) -> DataFrame:
     """Rounds without a new row in a row, and the pause that follows."""
     rounds = calls.groupBy("session_id", "round").agg(F.count_if(F.col("outcome") == "parsed").alias("new_rows"))
-    rows = with_position(rounds, SESSION, ["round"], F.col("round"))
+    rows = with_position(rounds, SESSION, ["round"])
     rows = running(rows, SESSION, {"_hit": ("max", F.when(F.col("new_rows") > 0, F.col("pos")))})
     streak = F.col("pos") - F.coalesce("_hit", F.lit(-1))
     pause = F.when(
@@ -94,11 +94,11 @@ def alarm_edges(log: DataFrame, value: str, high: int = 90, low: int = 75) -> Da
     """Alarm with hysteresis: raised at ``high``, cleared below ``low``, one edge per episode."""
     v = F.col(value)
     mark = F.when(v >= high, F.col("pos") * 2 + 1).when(v < low, F.col("pos") * 2)
-    rows = running(positioned(log), SESSION, {"_now": ("max", mark)})
-    rows = running(rows, SESSION, {"_was": ("max", mark)}, upto=-1)
-    on, was = F.coalesce(F.col("_now") % 2, F.lit(0)) == 1, F.coalesce(F.col("_was") % 2, F.lit(0)) == 1
+    rows = running(positioned(log), SESSION, {"_was": ("max", mark)}, upto=-1)
+    now = F.greatest("_was", mark)  # the mark of the row itself is the latest, if it has one
+    on, was = F.coalesce(now % 2, F.lit(0)) == 1, F.coalesce(F.col("_was") % 2, F.lit(0)) == 1
     edge = F.when(on & ~was, "raised").when(~on & was, "cleared")
-    return rows.withColumns({"alarm": on, "edge": edge}).drop("_now", "_was")
+    return rows.withColumns({"alarm": on, "edge": edge}).drop("_was")
 
 
 def run_report(lines: DataFrame, frozen_s: int = 900, waiting_s: int = 600) -> DataFrame:

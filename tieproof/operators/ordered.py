@@ -1,18 +1,16 @@
 """Ordered computations per key that survive a key with most of the rows.
 
-A plain window sorts a whole key in one task. Here a key with more rows than a
-block is cut into buckets along its order; each bucket is one window, and what
-earlier buckets contribute comes from a small summary with one row per key and
-bucket:
+A plain window sorts a whole key in one task. Here rows are first ranked over the
+whole cluster; blocks of ranks are even by construction, each block is one window,
+and what earlier blocks contribute comes from a small summary with one row per key
+and block:
 
 * ``with_position``  rank of every row within its key;
 * ``running``        running min / max / sum, own row included or not;
 * ``rolling``        frames of the last n rows, by repeating the n-1 rows before
-  each bucket inside it;
+  each block inside it;
 * ``trailing_count`` frames over a span of time, as a running sum of rows that
   enter and leave.
-
-Once positions are known, blocks of positions are even by construction.
 """
 
 from __future__ import annotations
@@ -20,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tieproof.session import written
+
 BLOCK = 100_000
 
 
@@ -27,48 +27,35 @@ def micros(ts: str) -> Column:
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
-def _bucketed(df: DataFrame, keys: list[str], along: Column, size: int) -> DataFrame:
-    """Add ``_b``: keys of up to ``size`` rows stay whole, larger ones are cut evenly along ``along``.
-
-    Only the large keys are looked up, so that side is small; its measured size
-    decides how it is joined.
-    """
-    rows = df.withColumn("_a", along)
-    measured = [F.count("*").alias("_n"), F.min("_a").alias("_lo"), F.max("_a").alias("_hi")]
-    if keys:
-        large = rows.groupBy(*keys).agg(*measured).where(F.col("_n") > size)
-        rows = rows.join(large, keys, "left")
-    else:
-        whole = rows.agg(F.struct(*measured).alias("_m")).scalar()
-        rows = rows.withColumn("_m", whole).select("*", "_m.*").drop("_m")
-    width = F.greatest((F.col("_hi") - F.col("_lo") + 1) * (size / F.col("_n")), F.lit(1.0))
-    bucket = F.floor((F.col("_a") - F.col("_lo")) / width).cast("long")
-    return rows.withColumn("_b", F.coalesce(bucket, F.lit(0))).drop("_a", "_n", "_lo", "_hi")
-
-
-def _offsets(per_bucket: DataFrame, keys: list[str], bucket: str, aggs: dict[str, Column]) -> DataFrame:
+def _offsets(per_bucket: DataFrame, keys: list[str], bucket: str, aggs: dict[str, Column], *more: str) -> DataFrame:
     """Combine the summaries of all earlier buckets of a key; one row per key and bucket."""
     w = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    return per_bucket.select(*keys, bucket, *[c.over(w).alias(n) for n, c in aggs.items()])
+    return per_bucket.select(*keys, bucket, *more, *[c.over(w).alias(n) for n, c in aggs.items()])
 
 
-def with_position(
-    df: DataFrame, keys: list[str], order: list[str], along: Column, name: str = "pos", size: int = BLOCK
-) -> DataFrame:
+def with_position(df: DataFrame, keys: list[str], order: list[str], name: str = "pos", parts: int | None = None) -> DataFrame:
     """Zero-based rank of each row in the order of its key.
 
-    ``along`` is a number that grows with ``order``, such as the time in microseconds.
+    All rows are dealt out by ranges of (key, order), whose bounds Spark takes
+    from a sample: a burst, or many rows at one time, is cut along the later
+    columns of the order. The dealt rows are written, so that their places are the
+    same wherever they are read; what a key has in earlier ranges is a sum over
+    one row per key and range. Rows that agree in key and whole order are ranked
+    in any order. Null keys are keys too.
     """
-    rows = _bucketed(df, keys, along, size)
-    counts = rows.groupBy(*keys, "_b").agg(F.count("*").alias("_n"))
-    before = _offsets(counts, keys, "_b", {"_before": F.sum("_n")})
-    local = F.row_number().over(Window.partitionBy(*keys, "_b").orderBy(*order)) - 1
-    return (
-        rows.withColumn("_local", local)
-        .join(before, [*keys, "_b"])
-        .withColumn(name, (F.coalesce("_before", F.lit(0)) + F.col("_local")).cast("long"))
-        .drop("_b", "_local", "_before")
-    )
+    spark = df.sparkSession
+    n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(n, *keys, *order).sortWithinPartitions(*keys, *order)
+    rows = written(dealt.withColumn("_at", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_at", 33)))
+    runs = rows.groupBy(*keys, "_part").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    before = _offsets(runs, keys, "_part", {"_before": F.sum("_n")}, "_first")
+    names = [f"_k{i}" for i in range(len(keys))]
+    runs = before.select(*[F.col(k).alias(m) for k, m in zip(keys, names)], F.col("_part").alias("_p"), "_first", "_before")
+    same = F.col("_part") == F.col("_p")
+    for k, m in zip(keys, names):
+        same = same & F.col(k).eqNullSafe(F.col(m))
+    pos = F.coalesce("_before", F.lit(0)) + F.col("_at") - F.col("_first")
+    return rows.join(runs, same).withColumn(name, pos.cast("long")).drop("_at", "_part", "_p", "_first", "_before", *names)
 
 
 def blocks(pos: str = "pos", size: int = BLOCK) -> Column:
@@ -139,7 +126,7 @@ def trailing_count(
         F.struct(F.lit(False).alias("enters"), (micros(ts) + span).alias("us"), F.lit(-1).alias("by")),
     ))
     moves = df.withColumn("_c", change).select("*", F.col("_c.us").alias("_us"), F.col("_c.enters").alias("_enters"))
-    rows = with_position(moves, keys, ["_us", "_enters", seq], F.col("_us"), "_pos", size)
+    rows = with_position(moves, keys, ["_us", "_enters", seq], "_pos")
     out = running(rows, keys, {name: ("sum", F.col("_c.by"))}, "_pos", upto=-1, size=size)
     return out.where("_enters").drop("_c", "_us", "_enters", "_pos")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tieproof.functions.replies import code_tokens
 from tieproof.functions.text import text
-from tieproof.operators.ordered import BLOCK, with_position
+from tieproof.operators.ordered import with_position
 
 
 def chunk(df: DataFrame, col: str, size: int, overlap: int, most: int | None = None) -> DataFrame:
@@ -39,16 +39,14 @@ def request_parts(df: DataFrame, col: str, overhead: int, cap: int, reserve: int
     return cut.withColumn("request_text", F.substr(F.col(col), F.col("_at") + 1, width)).drop("_at")
 
 
-def batch_requests(
-    df: DataFrame, key: str, fields: dict[str, Column], batch: int = 20, size: int = BLOCK
-) -> DataFrame:
+def batch_requests(df: DataFrame, key: str, fields: dict[str, Column], batch: int = 20) -> DataFrame:
     """One request text per ``batch`` rows in key order: a JSON line per row.
 
-    Rows are numbered bucket by bucket, so no task sees the whole table; a batch
-    is the only thing collected.
+    Rows are numbered range by range, so no task sees the whole table; a batch is
+    the only thing collected.
     """
     picked = df.select(key, *[c.alias("_f_" + n) for n, c in fields.items()])
-    rows = with_position(picked, [], [key], F.col(key), size=size)
+    rows = with_position(picked, [], [key])
     line = F.to_json(
         F.struct((F.col("pos") % batch).alias("idx"), *[F.col("_f_" + n).alias(n) for n in fields]),
         {"ignoreNullFields": "false"},

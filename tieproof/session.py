@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(app: str, cpus: str | int = 8) -> SparkSession:
@@ -42,3 +42,10 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch(spark: SparkSession) -> str:
     """A new folder under the shared one."""
     return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read again: what later steps read several times is the same each time."""
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

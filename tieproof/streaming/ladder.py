@@ -55,7 +55,7 @@ def _is(kind: str) -> Column:
 
 def _placed(log: DataFrame, size: int) -> DataFrame:
     """Rows with their place in the session, the calls and fetches so far, and the row before."""
-    rows = with_position(log, KEY, ORDER, F.col("us"), size=size)
+    rows = with_position(log, KEY, ORDER)
     rows = running(rows, KEY, {k: ("sum", _is(k).cast("long")) for k in ("call", "fetch")}, size=size)
     return rolling(rows, KEY, 2, {"us_before": F.first("us"), "round_before": F.first("round")}, size=size)
 
