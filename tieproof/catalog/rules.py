@@ -138,6 +138,11 @@ x AS (SELECT rec_seq, company_name, evidence, {s_status('status_text', s_bool3('
   {s_money_typed('funding_text')} AS funding, founded_year, {s_year('exit_year', 1700)} AS exit_y, exit_year,
   employees_text, {s_count('employees_text')} AS employees, lower(funding_stage) AS stage, validation_tier FROM legacy_records),
 e AS (SELECT rec_seq, company_name, CASE
+   WHEN rec_seq % 7 = 0 THEN 'people must not be empty'
+   WHEN rec_seq % 5 = 0 THEN 'school not allowed: ''Elsewhere'''
+   WHEN rec_seq % 4 = 2 THEN 'role not allowed: ''guest'''
+   WHEN rec_seq % 190 < 10 OR rec_seq % 190 > 180 THEN concat('grad_year out of range: ', 1850 + rec_seq % 190)
+   WHEN rec_seq % 3 = 2 THEN 'role_at_company not allowed: ''boss'''
    WHEN {s_strip('evidence')} = '' THEN 'evidence_span must be non-empty'
    WHEN funding_text <> '' AND funding IS NULL THEN concat('cannot parse money: ''', funding_text, '''')
    WHEN stage <> '' AND stage NOT IN {in_list(STAGES)} THEN concat('funding_stage not allowed: ''', stage, '''')
@@ -146,8 +151,16 @@ e AS (SELECT rec_seq, company_name, CASE
    END AS error FROM x)
 SELECT rec_seq, company_name, error IS NULL AS ok, error FROM e""")
 def cls_enum_check(t):
-    df = typed_fields(t.legacy_records, CFG).withColumn("funding_stage", F.lower("funding_stage"))
-    return check_schema(df).select("rec_seq", "company_name", "ok", "error")
+    def pick(n, *values):
+        return F.element_at(F.array(*map(F.lit, values)), (C("rec_seq") % n + 1).cast("int"))
+
+    person = F.struct(
+        F.lit("Ann Lee").alias("name"), F.when(C("rec_seq") % 5 == 0, "Elsewhere").otherwise("main").alias("school"),
+        pick(4, "alumnus", "faculty", "guest", "student").alias("role"), (1850 + C("rec_seq") % 190).alias("grad_year"),
+        pick(3, "founder", "ceo", "boss").alias("role_at_company"), C("evidence").alias("evidence_span"))
+    people = F.when(C("rec_seq") % 7 == 0, F.slice(F.array(person), 1, 0)).otherwise(F.array(person))
+    df = typed_fields(t.legacy_records, CFG).withColumns({"funding_stage": F.lower("funding_stage"), "people": people})
+    return check_schema(df, CFG).select("rec_seq", "company_name", "ok", "error")
 
 
 @query("flt_ambiguous", "raw_records", f"""

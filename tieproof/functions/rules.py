@@ -61,6 +61,7 @@ TRIAGE_ORDER = (
 
 # Allowed values of the typed schema.
 ROLES = ("alumnus", "faculty", "student", "postdoc", "researcher")
+GRAD_YEARS = (1860, 2030)
 COMPANY_ROLES = ("founder", "cofounder", "ceo", "cto", "early_employee", "board", "investor", "advisor")
 STATUSES = ("active", "acquired", "shutdown", "ipo", "unknown")
 TIERS = ("high", "provisional", "weak")

@@ -23,16 +23,42 @@ def typed_fields(df: DataFrame, cfg: Config) -> DataFrame:
     })
 
 
-def check_schema(df: DataFrame) -> DataFrame:
-    """Add ``ok`` and the first ``error``: required text, allowed values, typed errors."""
-    stage = text(F.col("funding_stage"))
-
-    def not_allowed(name: str, value: Column, allowed) -> Column:
-        return F.when(~value.isin(*allowed), F.concat(F.lit(f"{name} not allowed: "), quoted(value)))
-
+def _not_allowed(name: str, value: Column, allowed) -> Column:
+    return F.when(~text(value).isin(*allowed), F.concat(F.lit(f"{name} not allowed: "), quoted(text(value))))
+
+
+def people_error(people: Column, schools) -> Column:
+    """The first error of the people of a record, null if all are right. There must be one at least."""
+    def of(p: Column) -> Column:
+        year = p["grad_year"]
+        low, high = rules.GRAD_YEARS
+        return F.coalesce(
+            F.when(is_blank(p["name"]), F.lit("name must be non-empty")),
+            _not_allowed("school", p["school"], schools),
+            _not_allowed("role", p["role"], rules.ROLES),
+            F.when((year < low) | (year > high), F.concat(F.lit("grad_year out of range: "), year.cast("string"))),
+            _not_allowed("role_at_company", p["role_at_company"], rules.COMPANY_ROLES),
+            F.when(is_blank(p["evidence_span"]), F.lit("evidence_span must be non-empty")),
+        )
+
+    first = F.get(F.array_compact(F.transform(people, of)), F.lit(0))
+    return F.when(F.coalesce(F.size(people), F.lit(0)) < 1, F.lit("people must not be empty")).otherwise(first)
+
+
+def check_schema(df: DataFrame, cfg: Config) -> DataFrame:
+    """Add ``ok`` and the first ``error``: required text, people, allowed values, typed errors.
+
+    Records without a column ``people`` are in the flat layout and need evidence of their own.
+    """
+    stage, not_allowed = text(F.col("funding_stage")), _not_allowed
+    schools = {"unknown", cfg.school_default[1], *(name for _, name in cfg.school_patterns)}
+    if "people" in df.columns:
+        tie = people_error(F.col("people"), sorted(schools))
+    else:
+        tie = F.when(is_blank(F.col("evidence")), F.lit("evidence_span must be non-empty"))
     error = F.coalesce(
         F.when(is_blank(F.col("company_name")), F.lit("company_name must be non-empty")),
-        F.when(is_blank(F.col("evidence")), F.lit("evidence_span must be non-empty")),
+        tie,
         F.col("funding_error"),
         F.when(stage != "", not_allowed("funding_stage", stage, typing.STAGES)),
         F.col("exit_error"),
