@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tieproof.catalog.aggregates import S_OVERLAY, overlaid
@@ -155,23 +158,31 @@ def snk_csv_edges(t):
 
 
 @query("snk_graph", "affiliations raw_records", """
-SELECT 'nodes_people' AS name, count(DISTINCT person) AS n FROM affiliations
-UNION ALL SELECT 'nodes_companies', count(DISTINCT company_name) FROM raw_records
-UNION ALL SELECT 'edges_person_company', count(*) FROM affiliations""")
+c AS (SELECT company_name, arg_max(validation_tier, rec_seq) AS tier, arg_max(status, rec_seq) AS status FROM raw_records GROUP BY 1),
+m AS (SELECT DISTINCT company, person FROM affiliations), z AS (SELECT company, count(*) AS members FROM m GROUP BY company)
+SELECT 'nodes_people' AS name, concat('P:', person) AS row FROM (SELECT DISTINCT person FROM affiliations)
+UNION ALL SELECT 'nodes_companies', concat('C:', company_name, '|', tier, '|', status) FROM c
+UNION ALL SELECT 'edges_person_company', concat('P:', person, '|C:', company) FROM affiliations
+UNION ALL SELECT 'edges_shared_company', concat(company, '|', person, '|', members) FROM m JOIN z USING (company) WHERE members > 1""")
 def snk_graph(t):
     path = scratch(t.spark)
     order = F.struct("company", "pos", "role")
+    shown = {
+        "nodes_people": ["id"], "nodes_companies": ["id", "tier", "status"], "edges_person_company": ["source", "target"],
+        "edges_shared_company": ["company", "person", "members"],
+    }
     written = writers.write_graph({
         "nodes_people": graph.people(t.affiliations, order),
         "nodes_companies": graph.companies(t.raw_records),
         "edges_person_company": graph.person_company(t.affiliations, order),
+        "edges_shared_company": graph.shared_companies(t.affiliations),
         "nothing": t.affiliations.where("person IS NULL"),
     }, path)
     back = [
-        t.spark.read.csv(f"{path}/{n}", header=True).agg(F.count("*").alias("n")).select(F.lit(n).alias("name"), "n")
+        t.spark.read.csv(f"{path}/{n}", header=True).select(F.lit(n).alias("name"), F.concat_ws("|", *shown[n]).alias("row"))
         for n in written
     ]
-    return back[0].union(back[1]).union(back[2])
+    return reduce(DataFrame.unionByName, back)
 
 
 @query("snk_by_state", GATE_SHAPES, S_GATE + "SELECT rec_seq, confidence, state FROM gated")
