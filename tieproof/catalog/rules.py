@@ -197,23 +197,20 @@ def flt_signal_word(t):
     return t.documents.select("doc_id", F.contains(hay, F.lit(CFG.institution_word)).alias("signal"))
 
 
-def _s_field(name: str) -> str:
-    pattern = pg.PAGE_FIELDS[name]
-    hit = f"trim({s_get('html', pattern, 1, '(?i)')})"
-    return f"CASE WHEN {s_has('html', pattern)} THEN {hit} END AS {name}"
+def _s_field(pattern: str, name: str, flags: str = "(?i)") -> str:
+    return f"nullif(trim({s_get('html', pattern, 1, flags)}), '') AS {name}"
 
 
-@query("flt_page_wall", "", f"""
+@query("flt_page_wall", "profile_pages", f"""
 SELECT page_id, {s_has('html', pg.AUTH_WALL)} AS auth_wall, {s_has('html', pg.CAPTCHA)} AS captcha,
   contains(url, '/login') OR contains(url, 'authwall') AS login_redirect,
-  {', '.join(_s_field(f) for f in pg.PAGE_FIELDS)},
-  CASE WHEN {s_has('html', pg.PROFILE_FIELDS['employees_exact'])}
-       THEN trim({s_get('html', pg.PROFILE_FIELDS['employees_exact'], 1, '(?i)')}) END AS employees_exact
-FROM pages""")
+  {', '.join(_s_field(p, f) for f, p in pg.PAGE_FIELDS.items())},
+  {', '.join(_s_field(p, 'profile_' + f) for f, p in pg.PROFILE_FIELDS.items())}, {_s_field(pg.PROFILE_TYPE, 'profile_type', '')}
+FROM profile_pages""")
 def flt_page_wall(t):
     signals = pg.page_signals(C("html"), C("url"))
-    signals["employees_exact"] = pg.profile_fields(C("html"))["employees_exact"]
-    return t.pages.select("page_id", *[c.alias(n) for n, c in signals.items()])
+    signals.update({"profile_" + n: c for n, c in pg.profile_fields(C("html")).items()})
+    return t.profile_pages.select("page_id", *[c.alias(n) for n, c in signals.items()])
 
 
 _DENY = " AND ".join(f"NOT contains({s_get('u', '^[a-zA-Z][a-zA-Z0-9+.\\-]*://([^/?#]*)')}, {lit(d)})" for d in pg.LINK_DENY)

@@ -43,6 +43,7 @@ PROFILE_FIELDS = {
     "industry": r"\bIndustry\b\s*[:\-]?\s*([^\n<]{4,80})",
     "company_size": r"\bCompany size\b\s*[:\-]?\s*([^\n<]{4,80})",
 }
+PROFILE_TYPE = r"\bType\b\s*[:\-]?\s*([A-Z][^\n<]{3,60})"
 # Fields of the data a company page embeds.
 EMBEDDED_FIELDS = {
     "employee_count": r'"employeeCount"\s*:\s*(\d{1,8})\b',
@@ -198,7 +199,7 @@ def page_signals(html: Column, final_url: Column, max_chars: int | None = None)
 def profile_fields(html: Column, max_chars: int | None = None) -> dict[str, Column]:
     """The second field set, read from a page seen while signed in."""
     out = {name: first_group(html, p, max_chars) for name, p in PROFILE_FIELDS.items()}
-    out["type"] = first_group(html, r"\bType\b\s*[:\-]?\s*([A-Z][^\n<]{3,60})", max_chars, flags="(?U)")
+    out["type"] = first_group(html, PROFILE_TYPE, max_chars, flags="(?U)")
     return out
 
 

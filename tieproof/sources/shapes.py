@@ -256,6 +256,17 @@ FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey
 """
 
 # Replies that carry one record each, several per page.
+# Fetched company pages: walls on some of them, every field of both sets on most.
+SHAPES["profile_pages"] = """
+SELECT page_id, concat('https://pages.example.org/', CASE WHEN page_id % 5 = 0 THEN 'login' WHEN page_id % 7 = 0 THEN 'authwall' ELSE 'c' END) AS url,
+  concat('<html><title> Firm ', id, ' | Pages</title><meta property="og:description" content="About firm ', id, '">',
+    CASE WHEN page_id % 3 = 0 THEN '<p>Sign in to view the page</p>' ELSE '' END, CASE WHEN page_id % 4 = 1 THEN '<p>Are you a robot</p>' ELSE '' END,
+    CASE WHEN page_id % 6 = 0 THEN '' ELSE concat('<p>Founded: ', CAST(1950 + page_id % 70 AS STRING), '</p><p>', CAST(100 + page_id % 900 AS STRING), ' employees</p>') END,
+    '<p>Headquarters: Town ', id, '</p><p>Specialties: tools, parts ', id, '</p><p>Industry: Trade ', id, '</p><p>Company size: 11-', id,
+    ' people</p><p>Type: Held by ', id, '</p><a href="https://firm', id, '.example.org/"><span class="l">Website</span></a></html>') AS html
+FROM (SELECT page_id, CAST(page_id AS STRING) AS id FROM {pages}) AS a
+"""
+
 SHAPES["page_replies"] = """
 SELECT doc_id, page_url, source_text, concat('Found:', chr(10), '```json', chr(10),
          CASE doc_id % 3 WHEN 0 THEN concat('{"company_name":"Firm ', firm, ', Inc.","person":"P', id, '","span":"', span, '"}')
