@@ -17,15 +17,17 @@ from tieproof.operators import graph, merge, stats
 C = F.col
 
 
-@query("ag_dist", "raw_records affiliations", """
+@query("ag_dist", "raw_records legacy_records affiliations", """
 SELECT 'record' AS src, 'validation_tier' AS field, validation_tier AS value, count(*) AS n FROM raw_records GROUP BY ALL
 UNION ALL SELECT 'record', 'status', status, count(*) FROM raw_records GROUP BY ALL
+UNION ALL SELECT 'record', 'funding_stage', funding_stage, count(*) FROM legacy_records GROUP BY ALL
 UNION ALL SELECT 'edge', 'school', school, count(*) FROM affiliations GROUP BY ALL
 UNION ALL SELECT 'edge', 'role', role, count(*) FROM affiliations GROUP BY ALL""")
 def ag_dist(t):
     a = stats.distribution(t.raw_records, "validation_tier", "status").select(F.lit("record").alias("src"), "*")
-    b = stats.distribution(t.affiliations, "school", "role").select(F.lit("edge").alias("src"), "*")
-    return a.union(b)
+    b = stats.distribution(t.legacy_records, "funding_stage").select(F.lit("record").alias("src"), "*")
+    c = stats.distribution(t.affiliations, "school", "role").select(F.lit("edge").alias("src"), "*")
+    return a.union(b).union(c)
 
 
 S_TOTALS = """SELECT count(*) AS n_records, count(*) FILTER (status = 'ipo') AS n_public,

@@ -227,7 +227,13 @@ def job_apply_verdicts(t):
     return gate.apply_verdicts(t.raw_records, t.verdict_log)
 
 
-@query("job_ecosystem", "raw_records affiliations", "d AS (" + S_DECADE + """),
+@query("job_ecosystem", "raw_records legacy_records affiliations", "d AS (" + S_DECADE + """),
+m AS (SELECT DISTINCT company, person FROM affiliations),
+w AS (SELECT a.person AS source, b.person AS target, count(*) AS n FROM m a JOIN m b ON a.company = b.company AND a.person < b.person
+  GROUP BY ALL),
+tf AS (SELECT company_name, funding_total_usd AS n FROM raw_records WHERE funding_total_usd <> 0 ORDER BY 2 DESC, 1 DESC LIMIT 20),
+ta AS (SELECT company_name, acquisition_amount_usd AS n FROM legacy_records WHERE acquisition_amount_usd <> 0 ORDER BY 2 DESC, 1 DESC LIMIT 10),
+tp AS (SELECT concat(source, ' + ', target) AS pair, n FROM w ORDER BY n DESC, source, target LIMIT 15),
 multi AS (SELECT person FROM affiliations GROUP BY person HAVING count(*) > 1)
 SELECT 'tier' AS section, validation_tier AS key, count(*) AS n FROM raw_records GROUP BY ALL
 UNION ALL SELECT 'status', status, count(*) FROM raw_records GROUP BY ALL
@@ -239,7 +245,10 @@ UNION ALL SELECT 'decade', CAST(decade AS VARCHAR), n FROM d
 UNION ALL SELECT 'total', 'records', count(*) FROM raw_records
 UNION ALL SELECT 'total', 'funded', count(*) FILTER (funding_total_usd <> 0) FROM raw_records
 UNION ALL SELECT 'total', 'funding', CAST(sum(funding_total_usd) AS BIGINT) FROM raw_records
-UNION ALL SELECT 'total', 'people_in_several', count(*) FROM multi""")
+UNION ALL SELECT 'total', 'people_in_several', count(*) FROM multi
+UNION ALL SELECT 'stage', funding_stage, count(*) FROM legacy_records WHERE funding_stage <> '' GROUP BY ALL
+UNION ALL SELECT 'top_funded', company_name, n FROM tf UNION ALL SELECT 'top_acquired', company_name, n FROM ta
+UNION ALL SELECT 'top_pair', pair, n FROM tp""")
 def job_ecosystem(t):
     r, a = t.raw_records, t.affiliations
     sections = stats.distribution(
@@ -252,7 +261,19 @@ def job_ecosystem(t):
     ])).alias("_t")).select("_t.*")
     several = graph.repeat_counts(a).agg(F.count("*").alias("n")).select(
         F.lit("total").alias("section"), F.lit("people_in_several").alias("key"), "n")
-    return sections.union(decades).union(total).union(several)
+    stages = stats.distribution(t.legacy_records.where("funding_stage <> ''").withColumnRenamed("funding_stage", "stage"), "stage")
+
+    def top(df, section, key, n, most):
+        rows = df.select(F.lit(section).alias("section"), key.alias("key"), C(n).cast("long").alias("n")).where("n <> 0")
+        return rows.orderBy(F.desc("n"), F.desc("key")).limit(most)
+
+    pairs = graph.top_pairs(a, 15).select(
+        F.lit("top_pair").alias("section"), F.concat("source", F.lit(" + "), "target").alias("key"), C("weight").alias("n"))
+    return (
+        sections.union(decades).union(total).union(several).union(stages)
+        .union(top(r, "top_funded", C("company_name"), "funding_total_usd", 20))
+        .union(top(t.legacy_records, "top_acquired", C("company_name"), "acquisition_amount_usd", 10)).union(pairs)
+    )
 
 
 def edge_order():
