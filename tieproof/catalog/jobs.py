@@ -320,13 +320,14 @@ SELECT r.rec_seq, r.company_name, CASE WHEN r.status IN ('', 'unknown') AND f.st
   CASE WHEN r.headquarters IN ('', 'unknown') AND f.headquarters IS NOT NULL THEN f.headquarters ELSE r.headquarters END AS headquarters,
   CASE WHEN r.acquirer IN ('', 'unknown') AND f.acquirer IS NOT NULL THEN f.acquirer ELSE r.acquirer END AS acquirer,
   CASE WHEN f.is_public THEN true END AS is_public, h.title IS NOT NULL AS enriched,
+  CASE WHEN h.title IS NOT NULL THEN 'wikipedia-enriched' ELSE '' END AS issues,
   CASE WHEN h.title IS NOT NULL THEN concat('https://en.wikipedia.org/wiki/', url_encode(h.title)) END AS wikipedia_url
 FROM legacy_records r LEFT JOIN hit h ON h.company_name = r.company_name LEFT JOIN facts f ON f.article_id = h.article_id""")
 def job_enrich(t):
     records = t.legacy_records.withColumn("is_public", F.lit(None).cast("boolean"))
     return discover.enrich(records, t.articles).select(
         "rec_seq", "company_name", "status", "founded_year", "headquarters", "acquirer", "is_public", "enriched",
-        "wikipedia_url")
+        F.array_join("validation_issues", "; ").alias("issues"), "wikipedia_url")
 
 
 @query("jn_enrich", "legacy_records articles", S_ENRICH + """

@@ -188,8 +188,9 @@ x AS (SELECT {_URL} AS url, upper(company_name) AS found_name, rec_seq AS pos FR
       WHERE validation_tier <> 'weak' AND evidence <> ''),
 m AS (SELECT url, {s_name_key('found_name')} AS k, min(pos) AS match_pos FROM x GROUP BY ALL),
 f AS (SELECT url, string_agg(found_name, '; ' ORDER BY pos) AS found FROM x GROUP BY url)
-SELECT rec_seq, w.company_name, match_pos, CASE WHEN w.url = '' THEN 'fetch_failed' WHEN match_pos IS NOT NULL THEN 'ok' ELSE 'unmatched' END AS status,
-  CASE WHEN w.url <> '' AND match_pos IS NULL THEN coalesce(found, '') END AS found
+SELECT rec_seq, w.company_name, match_pos, CASE WHEN w.url = '' THEN 'fetch_failed'
+    WHEN rec_seq % 11 <> 0 AND CAST(floor(rec_seq / 24) AS BIGINT) % 9 = 4 THEN 'schema_failed' WHEN match_pos IS NOT NULL THEN 'ok' ELSE 'unmatched' END AS status,
+  CASE WHEN w.url <> '' AND match_pos IS NULL AND CAST(floor(rec_seq / 24) AS BIGINT) % 9 <> 4 THEN coalesce(found, '') END AS found
 FROM w LEFT JOIN m ON m.url = w.url AND m.k = {s_name_key('w.company_name')} LEFT JOIN f ON f.url = w.url""")
 def jn_match_back(t):
     page = F.concat(F.lit("https://page.example.net/"), F.floor(C("rec_seq") / 24).cast("string"))
@@ -197,7 +198,8 @@ def jn_match_back(t):
         "rec_seq", "company_name", F.when(C("rec_seq") % 11 == 0, "").otherwise(page).alias("url"))
     found = t.raw_records.where("validation_tier <> 'weak' AND evidence <> ''").select(
         page.alias("url"), F.upper("company_name").alias("found_name"), C("rec_seq").alias("pos"))
-    return joins.match_back(wanted, found, names.name_key(C("company_name"))).select(
+    failed = t.raw_records.where(F.floor(C("rec_seq") / 24) % 9 == 4).select(page.alias("url"))
+    return joins.match_back(wanted, found, names.name_key(C("company_name")), failed=failed).select(
         "rec_seq", "company_name", "match_pos", "status", "found")
 
 

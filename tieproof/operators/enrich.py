@@ -22,6 +22,9 @@ COMPANY_WORDS = (
     "biotech", "pharmaceuticals", "labs",
 )
 LEGAL_FORM_END = r",?\s*(?:Inc\.?|LLC|Ltd\.?|Corp\.?|Corporation)$"
+# Fixed value: the issue of a record that an article was found for.
+ENRICHED = "wikipedia-enriched"
+# Fields that an article may fill.
 FILLABLE = ("status", "founded_year", "headquarters", "acquirer")
 
 
@@ -83,7 +86,7 @@ def find_articles(
 
 
 def fill_from_articles(records: DataFrame, found: DataFrame, name: str = "company_name") -> DataFrame:
-    """Fill empty fields of the records from the article found under their name."""
+    """Fill empty fields of the records from the article found under their name, and note that in their issues."""
     facts = article_facts(F.col("extract"))
     info = found.select(
         name,
@@ -94,6 +97,10 @@ def fill_from_articles(records: DataFrame, found: DataFrame, name: str = "compan
         facts["is_public"].alias("_is_public"),
     )
     out = records.join(info, name, "left")
+    issues = F.col("validation_issues") if "validation_issues" in records.columns else F.array().cast("array<string>")
+    issues = F.coalesce(issues, F.array().cast("array<string>"))
+    out = out.withColumn("validation_issues", F.when(
+        F.col("_hit"), F.array_sort(F.array_union(issues, F.array(F.lit(ENRICHED))))).otherwise(issues))
     for f in FILLABLE:
         old = F.col(f)
         empty = old.isNull() | old.cast("string").isin("", "unknown", "0")

@@ -82,12 +82,14 @@ def pages_to_recheck(verdicts: DataFrame, pages: DataFrame, key: str) -> DataFra
     ).drop("_page")
 
 
-def match_back(wanted: DataFrame, extracted: DataFrame, key: Column, n_found: int | None = None) -> DataFrame:
-    """Status of each re-extracted record: ok, unmatched, or fetch_failed.
+def match_back(
+    wanted: DataFrame, extracted: DataFrame, key: Column, n_found: int | None = None, failed: DataFrame | None = None
+) -> DataFrame:
+    """Status of each re-extracted record: ok, unmatched, schema_failed, or fetch_failed.
 
     ``wanted``: ``rec_seq, company_name, url``; ``extracted``: ``url, pos,
     found_name``. An unmatched record lists the names found instead, the first ``n_found``
-    or all of its page.
+    or all of its page. ``failed`` has the urls of pages whose replies broke the schema.
     """
     want = wanted.withColumn("_k", key)
     hits = extracted.select("url", F.col("found_name"), "pos")
@@ -101,15 +103,19 @@ def match_back(wanted: DataFrame, extracted: DataFrame, key: Column, n_found: in
         .groupBy("url").agg(F.array_sort(F.collect_list(F.struct("pos", "found_name"))).alias("_f"))
         .select("url", F.array_join(F.transform("_f", lambda f: f["found_name"]), "; ").alias("_found"))
     )
-    joined = want.join(matched, ["url", "_k"], "left").join(first, "url", "left")
+    joined = want.join(matched, ["url", "_k"], "left").join(first, "url", "left").withColumn("_broken", F.lit(False))
+    if failed is not None:
+        broken = failed.select("url").distinct().withColumn("_yes", F.lit(True))
+        joined = joined.join(broken, "url", "left").withColumn("_broken", F.coalesce("_yes", F.lit(False))).drop("_yes")
     status = (
         F.when(is_blank(F.col("url")), "fetch_failed")
+        .when(F.col("_broken"), "schema_failed")
         .when(F.col("match_pos").isNotNull(), "ok")
         .otherwise("unmatched")
     )
     return joined.withColumn("status", status).withColumn(
         "found", F.when(F.col("status") == "unmatched", F.coalesce("_found", F.lit("")))
-    ).drop("_k", "_found")
+    ).drop("_k", "_found", "_broken")
 
 
 def why_excluded(names: DataFrame, rejects: DataFrame) -> DataFrame:
