@@ -138,6 +138,9 @@ def job_extract_gate(t):
     return extract.extract_gate(t.page_replies, CFG).drop("people")
 
 
+_SECOND = ("industry", "headquarters", "founded_year", "website_url")
+
+
 def _s_second(f: str) -> str:
     v = f"coalesce(json_extract_string(reply, '$.{f}'), '')"
     sp = f"coalesce(json_extract_string(reply, '$.{f}_evidence_span'), '')"
@@ -148,7 +151,7 @@ def _s_second(f: str) -> str:
 @query("job_second_pass", "second_replies", f"""
 x AS (SELECT s.*, d.lang AS old_industry, d.source AS old_headquarters, CAST(NULL AS VARCHAR) AS old_founded_year, '' AS old_website_url
   FROM second_replies s JOIN documents d ON d.doc_id = s.doc_id)
-SELECT doc_id, {', '.join(_s_second(f) for f in extract.SECOND_FIELDS)} FROM x""")
+SELECT doc_id, {', '.join(_s_second(f) for f in _SECOND)} FROM x""")
 def job_second_pass(t):
     records = t.documents.select(
         "doc_id", C("lang").alias("industry"), C("source").alias("headquarters"),

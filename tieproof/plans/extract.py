@@ -66,15 +66,22 @@ def extract_gate(replies: DataFrame, cfg: Config) -> DataFrame:
     )
 
 
-SECOND_FIELDS = ("industry", "headquarters", "founded_year", "website_url")
+# Fields that a second reply may give.
+SECOND_FIELDS = (
+    "description", "industry", "funding_total_usd", "funding_stage", "funding_last_round_year", "founded_year", "employee_count",
+    "is_public", "headquarters", "status", "exit_year", "acquirer", "acquisition_amount_usd", "website_url",
+    "linkedin_company_url", "crunchbase_url",
+)
 
 
 def second_pass(records: DataFrame, replies: DataFrame, fields=SECOND_FIELDS) -> DataFrame:
-    """Apply the fields of a second reply.
+    """Apply the fields of a second reply that the records have.
 
     A value counts when it is not empty and its own span, if one is given,
     occurs in the page.
     """
+    kinds = dict(records.dtypes)
+    fields = [f for f in fields if f in kinds]
     schema = ", ".join(f"{f} string, {f}_evidence_span string" for f in fields)
     said = replies.select("doc_id", "source_text", F.from_json("reply", schema).alias("_r"))
     values = {}
@@ -84,4 +91,4 @@ def second_pass(records: DataFrame, replies: DataFrame, fields=SECOND_FIELDS) ->
         values["_" + f] = F.when((text(value) != "") & proven, value)
     applied = said.select("doc_id", *[c.alias(n) for n, c in values.items()])
     out = records.join(applied, "doc_id", "left")
-    return out.withColumns({f: F.coalesce("_" + f, C(f)) for f in fields}).drop(*["_" + f for f in fields])
+    return out.withColumns({f: F.coalesce(C("_" + f).try_cast(kinds[f]), C(f)) for f in fields}).drop(*["_" + f for f in fields])
