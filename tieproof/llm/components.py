@@ -21,15 +21,15 @@ def components(edges: DataFrame, hashed: bool = False) -> DataFrame:
     """
     order = F.col if hashed else F.xxhash64
     real = edges.where("a <> b")
-    graph = saved(real.select("a", "b").union(real.select("b", "a")).toDF("u", "v").distinct())
+    graph = saved(real.select("a", "b").union(real.select("b", "a")).toDF("u", "v").distinct(), light=True)
     steps = []
     while not graph.isEmpty():
         first = graph.groupBy("u").agg(F.min_by("v", order("v")).alias("m"))
-        moved = saved(first.select("u", F.when(order("m") < order("u"), F.col("m")).otherwise(F.col("u")).alias("m")))
+        moved = saved(first.select("u", F.when(order("m") < order("u"), F.col("m")).otherwise(F.col("u")).alias("m")), light=True)
         steps.append(moved)
         ends = graph.join(moved, "u").select("v", F.col("m").alias("u"))
         ends = ends.join(moved.select(F.col("u").alias("v"), F.col("m").alias("w")), "v")
-        graph = saved(ends.where("u <> w").select("u", F.col("w").alias("v")).distinct())
+        graph = saved(ends.where("u <> w").select("u", F.col("w").alias("v")).distinct(), light=True)
     if not steps:
         return graph.select(F.col("u").alias("node"), F.col("v").alias("component"))
     out = steps[0].select(F.col("u").alias("node"), F.col("m").alias("component"))

@@ -70,31 +70,29 @@ def frequent_shingles(documents: DataFrame, size: int, one_in: int = 16, least:
 
 
 def signatures(documents: DataFrame, size: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """``doc_id, n, cls, head, late, bits``: size of the set, its class, its first elements, how many of those at
-    the end are frequent ones, and its bitmap."""
+    """``doc_id, n, cls, head, bits``: size of the set, its class, its first elements, and its bitmap."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi in chunks(b.column(1)):
                 part = b.slice(lo, hi - lo)
-                n, cls, head, ends, bits = [], [], [], [], []
+                n, cls, head, bits = [], [], [], []
                 for s in shingles(split(part.column(1)), size):
                     n.append(len(s))
                     cls.append(_class_of(s) if len(s) else None)
                     late = np.isin(s, frequent, assume_unique=True) if len(frequent) else np.zeros(len(s), bool)
                     first = len(s) + percent * len(s) // -100 + 1
                     head.append(np.concatenate([s[~late], s[late]])[:first].view(np.int64) if len(s) else np.zeros(0, np.int64))
-                    ends.append(max(0, len(head[-1]) - int((~late).sum())))
                     bits.append(bitmap(s, bits_for(len(s))).tobytes() if len(s) else None)
                 heads = pa.ListArray.from_arrays(
                     pa.array(np.concatenate([[0], np.cumsum([len(x) for x in head])]), pa.int32()), pa.array(np.concatenate(head)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), heads, pa.array(ends, pa.int32()),
-                     pa.array(bits, pa.binary())], ["doc_id", "n", "cls", "head", "late", "bits"])
+                    [part.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), heads, pa.array(bits, pa.binary())],
+                    ["doc_id", "n", "cls", "head", "bits"])
 
     docs = documents.select("doc_id", "text")
     key = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {key}, n long, cls long, head array<long>, late int, bits binary")
+    return docs.mapInArrow(run, f"doc_id {key}, n long, cls long, head array<long>, bits binary")
 
 
 class Walker:
@@ -191,7 +189,7 @@ def links_in_groups(items: DataFrame, exact: bool, percent: int, block: int = BL
             keep = [walker.alike(view(d), n, view(e), m) for n, d, m, e in zip(*(b.column(k).to_pylist() for k in (1, 2, 4, 5)))]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(3)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    comp = saved(components(links.union(tried.mapInArrow(against_hubs, "a long, b long")), True))
+    comp = saved(components(links.union(tried.mapInArrow(against_hubs, "a long, b long")), True), light=True)
     wide = wide.join(comp.select(F.col("node").alias("cls"), F.col("component").alias("comp")), "cls", "left").select(
         "grp", "cls", "n", F.coalesce("comp", "cls").alias("comp"), "data")
     # what is left: items outside a group's largest component, against all others of the group
@@ -226,37 +224,30 @@ def near_copy_components(documents: DataFrame, size: int = 5, percent: int = 80)
     docs = documents.select("doc_id", "text")
     signed = saved(signatures(docs, size, percent, frequent_shingles(docs, size)))
     classes = signed.where("n > 0").groupBy("cls").agg(
-        F.first("n").alias("n"), F.first("head").alias("head"), F.first("late").alias("late"))
-    rare = F.slice("head", F.lit(1), F.size("head") - F.col("late"))
-    frequent = F.slice("head", F.size("head") - F.col("late") + 1, F.greatest("late", F.lit(1)))
-    # groups with the same members have the same sum of hashes, and are kept once
-    members, listed = F.count("*"), F.sum(F.xxhash64("cls") % (1 << 40))
-    same = F.xxhash64("members", "list").alias("grp")
+        F.first("n").alias("n"), F.first("head").alias("head"))
+    heads = classes.select("cls", "n", F.explode("head").alias("element"))
     own = Window.partitionBy("element")
-    few = classes.select("cls", "n", F.explode(rare).alias("element")).select(
-        "cls", "n", members.over(own).alias("members"), listed.over(own).alias("list"), F.min("cls").over(own).alias("hub"))
-    # the members of frequent elements are counted before the shuffle, and joined with what was counted
-    many = classes.where("late > 0").select("cls", "n", F.explode(frequent).alias("element"))
-    counted = saved(many.groupBy("element").agg(members.alias("members"), listed.alias("list"), F.min("cls").alias("hub")).where("members > 1"))
-    shared = few.where("members > 1").union(many.join(counted, "element").select("cls", "n", "members", "list", "hub"))
-    lists = saved(shared.select("cls", "n", same, "hub").groupBy("grp", "hub", "cls", "n").agg(F.count("*").alias("elements")))
+    # groups with the same members have the same sum of hashes, and are kept once
+    listed = lambda over: F.xxhash64(F.count("*").over(over), F.sum(F.xxhash64("cls") % (1 << 40)).over(over))
+    shared = heads.select("cls", "n", F.count("*").over(own).alias("members"), listed(own).alias("grp"), F.min("cls").over(own).alias("hub"))
+    lists = saved(shared.where("members > 1").groupBy("grp", "hub", "cls", "n").agg(F.count("*").alias("elements")))
     # a class that shares half of its first elements with the first of its groups is a candidate without a walk
     plain = lists.where("cls <> hub").groupBy(F.col("cls").alias("a"), F.col("hub").alias("b")).agg(
         F.sum("elements").alias("both"), F.first("n").alias("n"))
-    plain = saved(plain.where(F.col("both") * 200 >= F.col("n") * (100 - percent)).select("a", "b"))
+    plain = saved(plain.where(F.col("both") * 200 >= F.col("n") * (100 - percent)).select("a", "b"), light=True)
     near = components(plain, True).toDF("cls", "comp")
     # sets that overlap enough have sizes in the same class of sizes or the next
     width = F.floor(F.log("n") / F.lit(math.log(100 / percent) * (1 + 1e-9))).cast("int")
     sized = lists.join(near, "cls", "left").select(
         "grp", "cls", F.coalesce("comp", "cls").alias("comp"), F.explode(F.array(width, width + 1)).alias("w"))
-    still = sized.groupBy("grp", "w").agg(members.alias("members"), listed.alias("list"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    still = saved(still.where("lo < hi").select("grp", "w", "members", "list"))
-    groups = sized.join(still, ["grp", "w"]).select("cls", "members", same)
+    alike = Window.partitionBy("grp", "w")
+    groups = sized.select("cls", (F.min("comp").over(alike) < F.max("comp").over(alike)).alias("open"), listed(alike).alias("grp"),
+                          F.count("*").over(alike).alias("members"))
     bits = signed.where("n > 0").groupBy("cls").agg(F.first("n").alias("n"), F.first("bits").alias("data"))
-    groups = groups.select("grp", "members", "cls").distinct()
+    groups = groups.where("open").select("grp", "members", "cls").distinct()
     items = saved(groups.join(bits, "cls").select("grp", "members", "cls", "n", "data"))
     unit = saved(components(links_in_groups(items, False, percent).union(plain), True).select(
-        F.col("node").alias("cls"), F.col("component").alias("grp")))
+        F.col("node").alias("cls"), F.col("component").alias("grp")), light=True)
     unit = unit.join(unit.groupBy("grp").agg(F.count("*").alias("members")), "grp")
 
     named = signed.where("n > 0").select("doc_id", "cls").join(unit, "cls").groupBy("cls", "grp", "members").agg(
@@ -282,7 +273,7 @@ def near_copy_components(documents: DataFrame, size: int = 5, percent: int = 80)
         linked.withColumnRenamed("node", "cls"), "cls", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "cls").alias("key"))
     # written, so that the join has an exchange of its own on either side and a large component can be split
-    least = saved(named.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("component_id")))
+    least = saved(named.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("component_id")), light=True)
     return named.join(least, "key", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
