@@ -102,6 +102,25 @@ def test_recall(spark, folder):
     assert hits / n >= 0.9
 
 
+@pytest.mark.parametrize("kind", ["copies", "groups", "dense"])
+def test_recall_beside_copies_and_dense_clusters(spark, kind):
+    r = np.random.default_rng(5)
+    base = r.normal(size=(1200, 24))
+    more = {"copies": np.repeat(base[:1], 600, 0), "groups": np.repeat(base[:40], 15, 0),
+            "dense": base[:1] + 0.001 * r.normal(size=(2400, 24))}[kind]
+    x = np.concatenate([base, more]).astype(np.float32)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<float>")
+    got = collections.defaultdict(set)
+    for q, v in nearest.search(df, F.col("vec_id") % 10 == 0, 10).select("query_id", "vec_id").collect():
+        got[q].add(v)
+    x, hits = x.astype(float), []
+    for q in range(100, 1200, 10):  # vectors outside the copies and clusters
+        d = ((x - x[q]) ** 2).sum(1)
+        d[q] = np.inf
+        hits.append(len(set(np.lexsort((np.arange(len(x)), d))[:10].tolist()) & got[q]) / 10)
+    assert np.mean(hits) >= 0.9
+
+
 # --- mixture ------------------------------------------------------------------
 
 

@@ -25,7 +25,10 @@ from tieproof.llm.tables import query, saved, table
 
 @dataclass(frozen=True)
 class Grid:
-    """``dim`` components, ``tables`` tables of ``depth`` directions, cells of ``width``, ``probes`` cells per table and query."""
+    """``dim`` components, ``tables`` tables of ``depth`` directions, cells of ``width``, ``probes`` cells per table and query.
+
+    The width serves queries whose ``k``-th neighbour is no farther than ``near`` (by default half a width).
+    """
 
     dim: int
     width: float
@@ -34,6 +37,10 @@ class Grid:
     probes: int = 128
     most_moved: int = 4
     seed: int = 7
+    near: float = 0.0
+
+    def reach(self) -> float:
+        return self.near or self.width / 2
 
     def directions(self) -> tuple[np.ndarray, np.ndarray]:
         rng = np.random.default_rng(self.seed)
@@ -76,22 +83,28 @@ def usable(vector: Column, dim: int | None = None) -> Column:
     return right if dim is None else right & (F.size(vector) == dim)
 
 
-def fit_grid(vectors: DataFrame, sample: int = 2000, k: int = 10, cell: float = 2.0, **options) -> Grid | None:
-    """A grid whose width is ``cell`` times the mean distance to the ``k``-th neighbour inside a sample.
+def fit_grid(vectors: DataFrame, sample: int = 2000, k: int = 10, cell: float = 2.0, quantile: float = 0.95,
+             **options) -> Grid | None:
+    """A grid whose width is ``cell`` times the distance that reaches the ``k``-th neighbour of a share ``quantile``
+    of a sample.
 
-    The sample is the ``sample`` usable vectors with the smallest hashes of their
-    ids; the dimension is the most frequent one in it. None without vectors.
+    The sample is the ``sample`` distinct usable vectors with the smallest hashes,
+    so copies count once however many there are; the dimension is the most
+    frequent one in it. A high quantile, not a mean: vectors in dense clusters
+    must not make the cells too small for the others. None without vectors.
     """
-    rows = vectors.where(usable(F.col("embedding"))).select("vec_id", "embedding")
-    rows = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("embedding").collect()
+    rows = vectors.where(usable(F.col("embedding"))).select("embedding", F.xxhash64("embedding").alias("hash"))
+    least = rows.select("hash").distinct().orderBy("hash").limit(sample)
+    rows = rows.join(least, "hash", "left_semi").groupBy("hash").agg(F.min("embedding").alias("embedding"))
+    rows = rows.orderBy("hash").select("embedding").collect()
     if not rows:
         return None
     sizes = pd.Series([len(r[0]) for r in rows]).mode()
     x = np.array([r[0] for r in rows if len(r[0]) == sizes[0]], float)
     square = (x * x).sum(1)
     d = np.sort(np.maximum(square[:, None] + square[None] - 2 * (x @ x.T), 0), axis=1)
-    near = float(np.sqrt(d[:, min(k, len(x) - 1)]).mean())
-    return Grid(int(sizes[0]), cell * (near or float(np.sqrt(square.mean()))), **options)
+    near = float(np.quantile(np.sqrt(d[:, min(k, len(x) - 1)]), quantile))
+    return Grid(int(sizes[0]), cell * (near or float(np.sqrt(square.mean()))), near=near, **options)
 
 
 def _rows(batch: pa.RecordBatch, at: int, dim: int) -> np.ndarray:
@@ -106,8 +119,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, grid: Grid | None
     another length, or hold null or non-finite components take no part, nor do
     null ids. Rows with an id that was there before count once, with the smallest
     vector. A query finds each other id once; ties go to the smaller id; with
-    fewer than ``k`` others it finds all (should the cells visited hold fewer
-    than ``k``, the query is compared with every vector instead).
+    fewer than ``k`` others it finds all. Should the cells visited hold fewer than
+    ``k`` within the distance that the grid is made for, the query lies where
+    vectors are sparser than the cells suit, and is compared with every vector.
 
     Copies: of equal vectors only the ``k + 1`` smallest ids can ever be among
     the nearest, so only those are indexed. Cells with more than ``block``
@@ -195,8 +209,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, grid: Grid | None
         answer, "query_id long, vec_id long, score double")
     found = saved(found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score")))
 
-    # a query whose cells hold too few vectors is compared with all of them, block by block
-    full = found.groupBy("query_id").agg(F.count("*").alias("n")).where(F.col("n") >= k)
+    # a query whose cells hold too few vectors near it is compared with all of them, block by block
+    full = found.where(F.col("score") <= grid.reach()).groupBy("query_id").agg(F.count("*").alias("n")).where(F.col("n") >= k)
     short = queries.join(full, queries["vec_id"] == full["query_id"], "left_anti").select(
         F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
     blocks = indexed.withColumn("share", F.pmod(F.xxhash64("vec_id"), F.lit(shares)).cast("int"))
