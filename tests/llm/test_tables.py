@@ -8,6 +8,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -264,6 +265,29 @@ def test_leaks(spark):
     assert decontaminate.find_leaks(df.limit(0), known).count() == 0
 
 
+def test_leaks_with_one_word_changed():
+    """Every word of an item in turn, and pairs of them; a question whose answer is another stays no leak."""
+    items = pq.read_table("/root/testdata/sf0.1/benchmark.parquet")["text"].to_pylist()
+    index = decontaminate.Index(list(range(len(items))), items, decontaminate.Terms())
+    split = lambda t: decontaminate.split(pa.array(t), space=decontaminate.BREAK)
+    r = random.Random(3)
+    texts, want = [], []
+    for i, text in enumerate(items):
+        words = text.split()
+        for at in [*((k,) for k in range(len(words))), tuple(r.sample(range(len(words)), 2))]:
+            if len(at) * 5 <= len(words):
+                changed = ["qqxx" + "." * w.endswith(".") if k in at else w for k, w in enumerate(words)]
+                texts.append(" ".join(["zzq"] * r.randrange(90) + changed + ["zzq"] * r.randrange(90)))
+                want.append(i)
+    got = {(t, index.ids[i]) for t, i, *_ in index.leaks(split(texts))}
+    assert [(i, texts[t]) for t, i in enumerate(want) if (t, i) not in got] == []
+    for i, text in zip(index.ids, index.words):
+        cut = index.cut[index.ids.index(i)]
+        if len(text) - cut > 3:
+            asked = " ".join(re.findall(r"[0-9A-Za-z\x80-\uffff]+", items[i])[:cut] + ["qqxx"] * (len(text) - cut))
+            assert not index.leaks(split([asked])), asked
+
+
 def test_retrieval_is_the_plain_score():
     """All passages that reach the threshold are retrieved, before overlap is asked for."""
     r = random.Random(9)

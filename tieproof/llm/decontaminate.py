@@ -6,11 +6,15 @@ all. Items lie in blocks; a block keeps the largest impact of each term. Every
 passage of every document is a query. Its terms' block maxima add up to a bound
 for each block, and only blocks whose bound reaches the threshold are scored
 item by item, exactly. What is retrieved counts as a leak if it holds enough of
-the item's question and of its answer, word sequences in order.
+the item's question and of its answer, word sequences in order. Where an answer
+is short, few runs of words decide, so the words of the passage that lie beside
+the question count for the answer too, and an item of which all but a few words
+stand there in order counts whole.
 """
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,11 +33,14 @@ BREAK = SPACE | np.array([c < 48 or 58 <= c < 65 or 91 <= c < 97 or 123 <= c < 1
 @dataclass(frozen=True)
 class Terms:
     """How leaks are judged. ``threshold``: share of an item's own BM25 score that a passage must reach;
-    ``overlap``: share of the question's and of the answer's runs of ``run`` words that its text must hold."""
+    ``overlap``: share of the question's and of the answer's runs of ``run`` words that its text must hold, or,
+    of the answer, of its words in order beside the question. ``edits``: words of an item that may differ, if
+    they are no more than a fifth of it, wherever they stand."""
 
     threshold: float = 0.6
     overlap: float = 0.6
     run: int = 3
+    edits: int = 2
     k1: float = 1.2
     b: float = 0.75
     block: int = 8
@@ -49,6 +56,15 @@ def _runs(h: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+def _in_order(i: np.ndarray, j: np.ndarray) -> int:
+    """The most pairs of which both places rise."""
+    last: list[int] = []
+    for b in j[np.lexsort((-j, i))].tolist():
+        at = bisect.bisect_left(last, b)
+        last[at:at + 1] = [b]
+    return len(last)
+
+
 class Index:
     """Impacts of the terms of ``texts`` (never null or empty), by term and by block of items."""
 
@@ -66,7 +82,7 @@ class Index:
         self.ids, hashes = [ids[i] for i in kept], [hashes[i] for i in kept]
         self.vocabulary = every
         lengths = np.array([len(w) for w in hashes], float)
-        self.width = int(lengths.max(initial=1)) + terms.stride
+        self.width = int(lengths.max(initial=1)) + terms.edits + terms.stride
         t, d, tf = [], [], []
         for i, w in enumerate(hashes):
             u, n = np.unique(np.searchsorted(every, w), return_counts=True)
@@ -82,9 +98,10 @@ class Index:
         self.impact = np.zeros((len(every), max(1, self.blocks) * terms.block), np.float32)
         self.impact[t, d] = impact
         self.most = self.impact.reshape(len(every), max(1, self.blocks), terms.block).max(2)
-        self.question, self.answer = [], []
+        self.words, self.cut, self.question, self.answer = hashes, [], [], []
         for i, k in enumerate(kept):
             cut = self._answer_at(texts[k], hashes[i])
+            self.cut.append(cut)
             self.question.append(np.unique(_runs(hashes[i][:cut], terms.run)))
             self.answer.append(np.unique(_runs(hashes[i][cut:], terms.run)))
         # a direct table over the low bits of the hashes; few words share a slot with a term
@@ -164,10 +181,32 @@ class Index:
                 continue
             start = int(passage[c] - offset[text]) * stride
             begins = words.first[text] + start
-            shares = self._shares(h[begins:min(begins + reach * stride, words.first[text + 1])], item)
-            if min(shares) >= self.terms.overlap:
+            shares = self._judged(h[begins:min(begins + reach * stride, words.first[text + 1])], item)
+            if shares:
                 found[text, item] = (score, *shares, start)
 
+    def _judged(self, h: np.ndarray, item: int) -> tuple[float, float] | None:
+        """Question and answer share of a passage that leaks the item, else None."""
+        question, answer = self._shares(h, item)
+        if min(question, answer) >= self.terms.overlap:
+            return question, answer
+        w, cut, edits = self.words[item], self.cut[item], self.terms.edits
+        # places (in the item, in the passage) of equal words; the item lies along the diagonal with most of them
+        order = np.argsort(h, kind="stable")
+        lo, hi = (np.searchsorted(h[order], w, side) for side in ("left", "right"))
+        i = np.repeat(np.arange(len(w)), hi - lo)
+        if not len(i):
+            return None
+        j = order[np.repeat(lo - np.concatenate([[0], np.cumsum(hi - lo)[:-1]]), hi - lo) + np.arange(len(i))]
+        near = np.convolve(np.bincount(j - i + len(w), minlength=len(w) + len(h)), np.ones(2 * edits + 1, int), "same")
+        band = np.abs(j - i + len(w) - int(near.argmax())) <= edits
+        i, j = i[band], j[band]
+        differ = len(w) - _in_order(i, j)
+        tail = _in_order(i[i >= cut], j[i >= cut]) / (len(w) - cut)
+        if differ <= min(edits, len(w) // 5) or question >= self.terms.overlap and tail >= self.terms.overlap:
+            return question, max(answer, tail)
+        return None
+
     def _shares(self, h: np.ndarray, item: int) -> tuple[float, float]:
         out = []
         for want in (self.question[item], self.answer[item]):
