@@ -5,6 +5,7 @@ import hashlib
 import json
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -310,6 +311,38 @@ def test_retrieval_is_the_plain_score():
     assert len(want) > 50 and got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-5 for k in want)
 
 
+def test_index_follows_the_postings():
+    r = random.Random(2)
+    items = [" ".join(f"w{r.randrange(90_000)}" for _ in range(30)) for _ in range(3000)]
+    split = lambda t: decontaminate.split(pa.array(t), space=decontaminate.BREAK)
+    tracemalloc.start()
+    index = decontaminate.Index(list(range(3000)), items, decontaminate.Terms())
+    got = {(t, index.ids[i]) for t, i, *_ in index.leaks(split([f"w1 {t} w2" for t in items[::10]]))}
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got >= {(k, 10 * k) for k in range(300)} and peak < 300e6  # a table of words x items has about 700 MB
+
+
+def test_leaks_do_not_depend_on_slices(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet")
+    texts = [r.text for r in rows.orderBy("item_id").collect()][:40]
+    split = decontaminate.split(pa.array([f"{a} x {b}" for a, b in zip(texts, texts[1:])]), space=decontaminate.BREAK)
+
+    def found(slices):
+        out = {}
+        for ids, items, known in slices:
+            index = decontaminate.Index(ids, items, decontaminate.Terms(), known)
+            out |= {(t, index.ids[i]): v for t, i, *v in index.leaks(split)}
+        return out
+
+    whole = found(decontaminate.known_slices(rows))
+    for bounds in ({"most": 7}, {"size": 3000}):
+        slices = decontaminate.known_slices(rows, **bounds)
+        assert len(slices) > 5 and all(len(i) <= 7 or sum(len(t.encode()) for t in x) <= 3000 for i, x, _ in slices)
+        got = found(slices)
+        assert set(got) == set(whole) and all(got[k] == pytest.approx(whole[k]) for k in got)
+
+
 def test_leaks_of_the_tables(spark):
     got = {(r.doc_id, r.item_id) for r in decontaminate.op10_decontamination(spark, FOLDER).collect()}
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").collect()

@@ -2,10 +2,12 @@
 
 The test items are the indexed side: an inverted index of BM25 impacts, divided
 by each item's score against itself, so that one threshold means the same for
-all. Items lie in blocks; a block keeps the largest impact of each term. Every
-passage of every document is a query. Its terms' block maxima add up to a bound
-for each block, and only blocks whose bound reaches the threshold are scored
-item by item, exactly. What is retrieved counts as a leak if it holds enough of
+all. Items lie in blocks; a block keeps the largest impact of each of its terms.
+Every passage of every document is a query. Its terms are ordered by their
+largest impact anywhere; the weakest, which together stay below the threshold,
+open no block (the MaxScore form of WAND). The blocks of the others are bounded
+by their maxima, and only those whose bound reaches the threshold are scored
+item by item, exactly. Postings and maxima are sparse arrays. What is retrieved counts as a leak if it holds enough of
 the item's question and of its answer, word sequences in order. Where an answer
 is short, few runs of words decide, so the words of the passage that lie beside
 the question count for the answer too, and an item of which all but a few words
@@ -47,6 +49,17 @@ class Terms:
     stride: int = 32
 
 
+@dataclass(frozen=True)
+class Known:
+    """Of all items: their number, words in all and of the longest; of each word of a slice, sorted, how many hold it."""
+
+    items: int
+    length: float
+    longest: int
+    words: np.ndarray
+    df: np.ndarray
+
+
 def _runs(h: np.ndarray, size: int) -> np.ndarray:
     """Hashes of all runs of ``size`` words; of a shorter text, of the whole."""
     size = min(size, len(h))
@@ -56,6 +69,24 @@ def _runs(h: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+def _ranges(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """All numbers of all ranges, one range after the other."""
+    n = hi - lo
+    return np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+
+
+def _groups(counts: np.ndarray, of: np.ndarray | None = None, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of rows whose counts add up to about ``most``, at least one row; rows with equal ``of`` stay together."""
+    upto = np.cumsum(counts)
+    lo = 0
+    while lo < len(counts):
+        hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + most, side="right")))
+        if of is not None and hi < len(counts):
+            hi = int(np.searchsorted(of, of[hi - 1], side="right"))
+        yield lo, hi
+        lo = hi
+
+
 def _in_order(i: np.ndarray, j: np.ndarray) -> int:
     """The most pairs of which both places rise."""
     last: list[int] = []
@@ -68,7 +99,7 @@ def _in_order(i: np.ndarray, j: np.ndarray) -> int:
 class Index:
     """Impacts of the terms of ``texts`` (never null or empty), by term and by block of items."""
 
-    def __init__(self, ids: list, texts: list[str], terms: Terms):
+    def __init__(self, ids: list, texts: list[str], terms: Terms, known: Known | None = None):
         self.terms = terms
         words = split(pa.array(texts), space=BREAK)
         h = words.hashes()
@@ -82,22 +113,39 @@ class Index:
         self.ids, hashes = [ids[i] for i in kept], [hashes[i] for i in kept]
         self.vocabulary = every
         lengths = np.array([len(w) for w in hashes], float)
-        self.width = int(lengths.max(initial=1)) + terms.edits + terms.stride
         t, d, tf = [], [], []
         for i, w in enumerate(hashes):
             u, n = np.unique(np.searchsorted(every, w), return_counts=True)
             t.append(u), d.append(np.full(len(u), i)), tf.append(n)
         t, d, tf = (np.concatenate([*x, np.zeros(0, np.int64)]).astype(np.int64) for x in (t, d, tf))
-        df = np.bincount(t, minlength=len(every))
-        idf = np.log(1 + (len(hashes) - df + 0.5) / (df + 0.5))
-        impact = idf[t] * tf * (terms.k1 + 1) / (tf + terms.k1 * (1 - terms.b + terms.b * lengths[d] / max(lengths.mean() if len(lengths) else 1, 1)))
+        known = known or Known(len(hashes), float(lengths.sum()), int(lengths.max(initial=1)), every, np.bincount(t, minlength=len(every)))
+        self.width = known.longest + terms.edits + terms.stride
+        df = known.df[np.searchsorted(known.words, every)]
+        idf = np.log(1 + (known.items - df + 0.5) / (df + 0.5))
+        mean = max(known.length / max(known.items, 1), 1)
+        impact = idf[t] * tf * (terms.k1 + 1) / (tf + terms.k1 * (1 - terms.b + terms.b * lengths[d] / mean))
         own = np.bincount(d, impact, len(hashes))
-        impact = impact / own[d] if len(d) else impact
-        self.blocks = -(-len(hashes) // terms.block)
-        # postings of a block as a dense table: terms x items of the block; by term the block maxima
-        self.impact = np.zeros((len(every), max(1, self.blocks) * terms.block), np.float32)
-        self.impact[t, d] = impact
-        self.most = self.impact.reshape(len(every), max(1, self.blocks), terms.block).max(2)
+        impact = (impact / own[d] if len(d) else impact).astype(np.float32)
+        self.blocks = max(1, -(-len(hashes) // terms.block))
+        # terms are numbered by their largest impact, the weakest first
+        most = np.zeros(len(every), np.float32)
+        np.maximum.at(most, t, impact)
+        self.number = np.empty(len(every), np.int64)
+        self.number[np.argsort(most, kind="stable")] = np.arange(len(every))
+        self.most = np.sort(most).astype(float)
+        # postings by term and item; where each (term, block) begins in them, and its maximum
+        order = np.lexsort((d, self.number[t]))
+        self.item, self.weight = d[order].astype(np.int32), impact[order]
+        place = self.number[t][order] * self.blocks + d[order] // terms.block
+        self.place, at = np.unique(place, return_index=True)
+        self.posting = np.append(at, len(place)).astype(np.int64)
+        self.place_most = np.maximum.reduceat(self.weight, at) if len(at) else self.weight
+        # places of a small index are looked up directly (at most 16 MB), others by search
+        self.direct = None
+        if len(every) * self.blocks <= 4 << 20:
+            self.direct = np.full(len(every) * self.blocks, -1, np.int32)
+            self.direct[self.place] = np.arange(len(self.place))
+        self.list = np.searchsorted(self.place, np.arange(len(every) + 1) * self.blocks)
         self.words, self.cut, self.question, self.answer = hashes, [], [], []
         for i, k in enumerate(kept):
             cut = self._answer_at(texts[k], hashes[i])
@@ -109,6 +157,14 @@ class Index:
         self.maybe = np.zeros(1 << self.bits, bool)
         self.maybe[every & np.uint64((1 << self.bits) - 1)] = True
 
+    @property
+    def impact(self) -> np.ndarray:
+        """The impacts as a table, words in the order of ``vocabulary`` x items: for small indexes."""
+        out = np.zeros((len(self.vocabulary), self.blocks * self.terms.block), np.float32)
+        term = np.repeat(self.place // self.blocks, np.diff(self.posting))
+        out[np.argsort(self.number)[term], self.item] = self.weight
+        return out
+
     @staticmethod
     def _answer_at(text: str, h: np.ndarray) -> int:
         """Where the answer begins, in words: the last sentence, at most half of the item, or else its last quarter."""
@@ -125,7 +181,7 @@ class Index:
         at = np.flatnonzero(self.maybe[h & np.uint64((1 << self.bits) - 1)])
         term = np.minimum(np.searchsorted(self.vocabulary, h[at]), len(self.vocabulary) - 1)
         hit = self.vocabulary[term] == h[at]
-        return at[hit], term[hit]
+        return at[hit], self.number[term[hit]]
 
     def leaks(self, words: Words) -> list[tuple[int, int, float, float, float, int]]:
         """(text, item, score, question share, answer share, first word of the passage) of each pair found."""
@@ -144,46 +200,84 @@ class Index:
         stretch, term = pairs // len(self.vocabulary), pairs % len(self.vocabulary)
         if not len(stretch):
             return []
-        used, first = np.unique(stretch, return_index=True)
         reach = -(-self.width // stride)
-        bound = np.zeros((offset[-1] + reach, self.most.shape[1]), np.float32)
-        bound[used] = np.add.reduceat(self.most[term], first, axis=0)
-        total = bound[:offset[-1]].copy()
+        begin = np.searchsorted(stretch, np.arange(offset[-1] + 1))
         text_of = np.repeat(np.arange(len(n)), per_text)
-        for k in range(1, reach):
-            same = np.append(text_of, np.full(reach, -1))[k:k + offset[-1]] == text_of
-            total += bound[k:k + offset[-1]] * same[:, None]
-        begin = np.searchsorted(stretch, np.arange(offset[-1] + reach + 1))
-        passage, block = np.nonzero(total >= self.terms.threshold - 1e-4)
-        for some in np.array_split(np.arange(len(passage)), len(passage) // 20_000 + 1):
-            self._score_blocks(words, h, passage[some], block[some], text_of, offset, begin, reach, term, found)
+        passage = np.arange(offset[-1])
+        lo, hi = begin[passage], begin[np.minimum(passage + reach, offset[text_of + 1])]
+        for a, b in _groups(hi - lo):
+            # distinct terms of each passage, the weakest first
+            pairs = np.unique(np.repeat(passage[a:b], (hi - lo)[a:b]) * len(self.vocabulary) + term[_ranges(lo[a:b], hi[a:b])])
+            self._visit(words, h, pairs // len(self.vocabulary), pairs % len(self.vocabulary), text_of, offset, reach, found)
         return [(t, i, *v) for (t, i), v in sorted(found.items())]
 
-    def _score_blocks(self, words, h, passage, block, text_of, offset, begin, reach, term, found) -> None:
-        """Scores the items of each (passage, block) and verifies those that reach the threshold."""
-        if not len(passage):
+    def _places(self, want: np.ndarray) -> np.ndarray:
+        """Where each (term, block) is among the places, or -1."""
+        if self.direct is not None:
+            return self.direct[want]
+        at = np.minimum(np.searchsorted(self.place, want), len(self.place) - 1)
+        return np.where(self.place[at] == want, at, -1)
+
+    def _visit(self, words, h, passage, term, text_of, offset, reach, found) -> None:
+        """Bounds the blocks that the strong terms of each passage open, scores those that may reach the threshold."""
+        least = self.terms.threshold - 1e-4
+        used, first = np.unique(passage, return_index=True)
+        after = np.append(first[1:], len(passage))
+        upto = np.cumsum(self.most[term])
+        upto -= np.repeat(np.concatenate([[0], upto])[first], after - first)
+        strong = np.flatnonzero(upto >= least)
+        lists = np.diff(self.list)[term[strong]]
+        for a, b in _groups(lists, np.searchsorted(used, passage[strong])):
+            some = strong[a:b]
+            at = _ranges(self.list[term[some]], self.list[term[some] + 1])
+            key = np.repeat(passage[some], lists[a:b]) * self.blocks + self.place[at] % self.blocks
+            key, of = np.unique(key, return_inverse=True)
+            bound = np.bincount(of, self.place_most[at], len(key))
+            p = np.searchsorted(used, key // self.blocks)
+            # the weak terms of a passage add less than the last sum before its first strong one
+            s = np.searchsorted(strong, first[p])
+            weak = np.where(strong[s] > first[p], upto[strong[s] - 1], 0.0)
+            may = bound + weak >= least
+            key, p = key[may], p[may]
+            for c, e in _groups(after[p] - first[p]):
+                self._score_blocks(words, h, key[c:e], first[p[c:e]], after[p[c:e]], term, upto, text_of, offset, reach, found)
+
+    def _score_blocks(self, words, h, key, lo, hi, term, upto, text_of, offset, reach, found) -> None:
+        """Scores the items of each passage and block and verifies those that reach the threshold."""
+        if not len(key) or not len(self.place):
             return
         size, stride = self.terms.block, self.terms.stride
-        lo, hi = begin[passage], begin[np.minimum(passage + reach, offset[text_of[passage] + 1])]
-        some = lo < hi
-        passage, block, lo, hi = passage[some], block[some], lo[some], hi[some]
-        if not len(passage):
-            return
-        first = np.concatenate([[0], np.cumsum(hi - lo)])
-        at = np.repeat(lo - first[:-1], hi - lo) + np.arange(first[-1])
-        # a term that stands in several strides counts more than once here: still a bound, of each item
-        by_block = self.impact.reshape(len(self.vocabulary), self.blocks, size)
-        bound = np.add.reduceat(by_block[term[at], np.repeat(block, hi - lo)], first[:-1], axis=0)
-        for c, j in np.argwhere(bound >= self.terms.threshold - 1e-4):
-            item, text = int(block[c]) * size + int(j), int(text_of[passage[c]])
-            score = float(self.impact[np.unique(term[lo[c]:hi[c]]), item].astype(float).sum())
-            if score < self.terms.threshold - 1e-6 or (text, item) in found and found[text, item][0] >= score:
+        # the strongest terms first; a block is left as soon as the others can't lift it to the threshold
+        left, bound, ats, ofs, end = np.arange(len(key)), np.zeros(len(key)), [], [], hi
+        while len(left):
+            begin = np.maximum(lo[left], end - np.maximum(8, (hi - lo)[left] // 4))
+            want = term[_ranges(begin, end)] * self.blocks + np.repeat(key[left] % self.blocks, end - begin)
+            of = np.repeat(left, end - begin)
+            at = self._places(want)
+            hit = at >= 0
+            ats.append(at[hit]), ofs.append(of[hit])
+            bound += np.bincount(ofs[-1], self.place_most[ats[-1]], len(key))
+            more = begin > lo[left]
+            rest = np.where(more, upto[begin - 1], 0.0)
+            bound[left[bound[left] + rest < self.terms.threshold - 1e-4]] = -1e9
+            some = more & (bound[left] >= 0)
+            left, end = left[some], begin[some]
+        at, of = np.concatenate(ats), np.concatenate(ofs)
+        may = bound >= 0
+        at, of = at[may[of]], of[may[of]]
+        posting = _ranges(self.posting[at], self.posting[at + 1])
+        of = np.repeat(of, self.posting[at + 1] - self.posting[at])
+        score = np.bincount(of * size + self.item[posting] % size, self.weight[posting].astype(float), len(key) * size)
+        for c in np.flatnonzero(score >= self.terms.threshold - 1e-6):
+            passage, block = divmod(int(key[c // size]), self.blocks)
+            item, text, best = block * size + int(c % size), int(text_of[passage]), float(score[c])
+            if (text, item) in found and found[text, item][0] >= best:
                 continue
-            start = int(passage[c] - offset[text]) * stride
+            start = int(passage - offset[text]) * stride
             begins = words.first[text] + start
             shares = self._judged(h[begins:min(begins + reach * stride, words.first[text + 1])], item)
             if shares:
-                found[text, item] = (score, *shares, start)
+                found[text, item] = (best, *shares, start)
 
     def _judged(self, h: np.ndarray, item: int) -> tuple[float, float] | None:
         """Question and answer share of a passage that leaks the item, else None."""
@@ -223,13 +317,47 @@ class Index:
         return out[0], out[1]
 
 
-def item_slices(items: DataFrame, most: int = 20_000) -> Iterator[tuple[list, list[str]]]:
-    """(ids, texts) of all items, at most about ``most`` at a time: what one index holds and is sent to tasks."""
+def item_slices(items: DataFrame, most: int = 20_000, size: int = 16 << 20) -> Iterator[tuple[list, list[str]]]:
+    """(ids, texts) of all items, at most ``most`` and ``size`` bytes of text (or one item) at a time: what one
+    index holds and is sent to tasks. An index has fewer postings than bytes of text."""
     items = items.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text")
-    n = max(1, -(-items.count() // most))
-    for k in range(n):
-        rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k).orderBy("item_id", "text").collect()
-        yield [r[0] for r in rows], [r[1] for r in rows]
+    ids, texts, held = [], [], 0
+    for i, text in items.orderBy("item_id", "text").toLocalIterator():
+        n = len(text.encode("utf-8", "surrogatepass"))
+        if ids and (len(ids) == most or held + n > size):
+            yield ids, texts
+            ids, texts, held = [], [], 0
+        ids.append(i), texts.append(text)
+        held += n
+    yield ids, texts
+
+
+def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for lo, hi in chunks(b.column(0)):
+            words = split(b.column(0).slice(lo, hi - lo), space=BREAK)
+            h = words.hashes().view(np.int64)
+            each = [h[a:z] for a, z in zip(words.first[:-1], words.first[1:]) if z > a]
+            yield pa.RecordBatch.from_arrays([pa.array([len(w) for w in each], pa.int64()),
+                                              pa.array([np.unique(w) for w in each], pa.list_(pa.int64()))], ["n", "words"])
+
+
+def known_slices(items: DataFrame, **bounds) -> list[tuple[list, list[str], Known | None]]:
+    """The slices with the statistics of all items, so that scores do not depend on how items are cut."""
+    slices = list(item_slices(items, **bounds))
+    if len(slices) == 1:
+        return [(*slices[0], None)]
+    counted = items.where("item_id IS NOT NULL AND text IS NOT NULL").select("text").mapInArrow(_item_words, "n long, words array<long>")
+    number, length, longest = counted.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(1))).first()
+    df = counted.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("df")).toArrow()
+    word, times = df["word"].to_numpy().view(np.uint64), df["df"].to_numpy()
+    order = np.argsort(word)
+    word, times = word[order], times[order]
+    out = []
+    for ids, texts in slices:
+        own = np.unique(split(pa.array(texts, pa.string()), space=BREAK).hashes())
+        out.append((ids, texts, Known(number, float(length), longest, own, times[np.searchsorted(word, own)])))
+    return out
 
 
 def find_leaks(documents: DataFrame, items: DataFrame, terms: Terms = Terms()) -> DataFrame:
@@ -244,10 +372,10 @@ def find_leaks(documents: DataFrame, items: DataFrame, terms: Terms = Terms()) -
     parts = []
     docs = documents.select("doc_id", "text")
     key, item_key = docs.schema["doc_id"].dataType.simpleString(), items.schema["item_id"].dataType.simpleString()
-    for ids, texts in item_slices(items):
+    for ids, texts, known in known_slices(items):
 
-        def run(batches: Iterator[pa.RecordBatch], ids=ids, texts=texts) -> Iterator[pa.RecordBatch]:
-            index = Index(ids, texts, terms)
+        def run(batches: Iterator[pa.RecordBatch], ids=ids, texts=texts, known=known) -> Iterator[pa.RecordBatch]:
+            index = Index(ids, texts, terms, known)
             for b in batches:
                 for lo, hi in chunks(b.column(1)):
                     part = b.slice(lo, hi - lo)
@@ -271,10 +399,10 @@ def keep_clean(documents: DataFrame, items: DataFrame, terms: Terms = Terms()) -
     """The rows of ``documents`` that leak no item, all columns."""
     at = documents.columns.index("text")
     out = documents
-    for ids, texts in item_slices(items):
+    for ids, texts, known in known_slices(items):
 
-        def run(batches: Iterator[pa.RecordBatch], ids=ids, texts=texts) -> Iterator[pa.RecordBatch]:
-            index = Index(ids, texts, terms)
+        def run(batches: Iterator[pa.RecordBatch], ids=ids, texts=texts, known=known) -> Iterator[pa.RecordBatch]:
+            index = Index(ids, texts, terms, known)
             for b in batches:
                 for lo, hi in chunks(b.column(at)):
                     part = b.slice(lo, hi - lo)
