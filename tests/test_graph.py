@@ -37,6 +37,24 @@ def test_pairs_of_companies_of_any_size(spark, start):
     assert top == [(*k, w) for k, w in sorted(want.items(), key=lambda x: (-x[1], x[0]))[:9]]
 
 
+def test_repeated_pairs_are_whole_and_labelled(spark):
+    """Pairs that share several companies, also those in which nobody is a company's first member."""
+    rnd = random.Random(4)
+    rows = [("hot", f"P{i:02}") for i in range(60)] * 2 + [(f"C{rnd.randrange(20)}", f"P{rnd.randrange(60):02}") for _ in range(150)]
+    rows += [(c, p) for c in ("X1", "X2", "X3") for p in ("A first", "Y", "Z")] + [("X1", " "), ("X1", "unknown")]
+    teams = {}
+    for c, p in rows:
+        if p.strip() and p != "unknown":
+            teams.setdefault(c, set()).add(p)
+    want = {}
+    for c, people in sorted(teams.items()):
+        for pair in itertools.combinations(sorted(people), 2):
+            want.setdefault(pair, []).append(c)
+    got = {(r["source"], r["target"]): (r["weight"], r["companies"]) for r in graph.repeated_pairs(edges(spark, rows)).collect()}
+    assert got == {k: (len(v), "; ".join(v)) for k, v in want.items() if len(v) > 1}
+    assert got["Y", "Z"] == (3, "X1; X2; X3")
+
+
 def test_expansion_is_bounded_and_visits_once(spark):
     e = edges(spark, [("c1", "a"), ("c1", "b"), ("c2", "b"), ("c2", "c"), ("c3", "c"), ("c3", "d"), ("c4", "z")])
     seeds = spark.createDataFrame([("a",)], "person string")

@@ -108,6 +108,14 @@ def ag_pair_weight(t):
     return graph.pair_weight(t.affiliations, graph.pairs_with_first(t.affiliations))
 
 
+@query("ag_repeated_pairs", "affiliations", """
+m AS (SELECT DISTINCT company, person FROM affiliations)
+SELECT a.person AS source, b.person AS target, count(*) AS weight, string_agg(a.company, '; ' ORDER BY a.company) AS companies
+FROM m a JOIN m b ON a.company = b.company AND a.person < b.person GROUP BY ALL HAVING count(*) > 1""")
+def ag_repeated_pairs(t):
+    return graph.repeated_pairs(t.affiliations)
+
+
 def dedup_columns(df, *more):
     return df.select(
         "canonical", "rec_seq", "company_name", "validation_tier", "proof_url", "n_merged", "industry", "founded_year",

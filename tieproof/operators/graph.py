@@ -49,6 +49,32 @@ def pair_weight(edges: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
+def repeated_pairs(edges: DataFrame) -> DataFrame:
+    """``source, target, weight, companies`` (sorted, joined by "; ") of every pair that shares two or more companies.
+
+    An exact prefix filter: of two shared companies one at least is not the
+    commonest of either person (companies in one order, by members and name), so
+    pairs meet in a company that is the commonest of none of the two. Pairs that
+    share a single company are the member rows of ``shared_companies``.
+    """
+    m = shared_companies(edges)
+    last = m.groupBy("person").agg(F.max(F.struct("members", "company")).alias("last"))
+    rare = m.join(last, "person").where(F.col("company") != F.col("last.company")).select("company", "person")
+    left, right = rare.withColumnRenamed("person", "source"), rare.withColumnRenamed("person", "target")
+    pairs = left.join(right, "company").where("source < target").groupBy("source", "target").agg(
+        F.collect_list("company").alias("rare"))
+    # what else two people may share is the commonest company of either
+    last = last.select("person", F.col("last.company").alias("last"))
+    m = m.select("company", "person")
+    for one, other in (("source", "target"), ("target", "source")):
+        asked = last.select(F.col("person").alias(one), F.col("last").alias(f"last_{one}"))
+        held = m.select(F.col("person").alias(other), F.col("company").alias(f"last_{one}"), F.col("company").alias(f"held_{one}"))
+        pairs = pairs.join(asked, one).join(held, [other, f"last_{one}"], "left")
+    shared = F.array_compact(F.concat("rare", F.array_distinct(F.array("held_source", "held_target"))))
+    return pairs.withColumn("shared", F.array_sort(shared)).where(F.size("shared") > 1).select(
+        "source", "target", F.size("shared").cast("long").alias("weight"), F.concat_ws("; ", "shared").alias("companies"))
+
+
 def top_pairs(edges: DataFrame, k: int, start: int = 512) -> DataFrame:
     """``source, target, weight`` of the ``k`` pairs with most shared companies, ties by name.
 
