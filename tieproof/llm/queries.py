@@ -11,6 +11,7 @@ from tieproof.llm import (  # noqa: F401
     token_count,
     toxicity,
     url_filter,
+    whitening,
 )
 from tieproof.llm.tables import ORACLES, QUERIES
 
