@@ -2,6 +2,7 @@
 
 from tieproof.llm import (  # noqa: F401
     chat_format,
+    collocations,
     decontaminate,
     mixture,
     near_copies,
