@@ -7,6 +7,7 @@ from tieproof.llm import (  # noqa: F401
     mixture,
     near_copies,
     nearest,
+    order_minhash,
     quality,
     secrets,
     token_count,
