@@ -24,7 +24,7 @@ from tieproof.llm.tables import partitions, query, table
 TOKEN = r"[^\s]{1,4}"
 K, BIN_BITS, TUPLE = 3, 6, 2
 SIG_BITS = 24
-_UPPER, _LOWER = F.lit(-1 << 32), (1 << 32) - 1
+_UPPER, _LOWER = -1 << 32, (1 << 32) - 1
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -42,7 +42,7 @@ def _upper(v: Column) -> Column:
 
 
 def _packed(hash_: Column, position: Column) -> Column:
-    return hash_.bitwiseAND(_UPPER).bitwiseOR(position.cast("long"))
+    return hash_.bitwiseAND(F.lit(_UPPER)).bitwiseOR(position.cast("long"))
 
 
 def kmers(text: Column, k: int = K, token: str = TOKEN) -> Column:
