@@ -27,14 +27,16 @@ from tieproof.llm.words import LOWER, SPACE, Words, chunks, split
 from tieproof.llm.words import _mixed as mixed
 
 #: Occurrences that a task holds before it sends their summaries, and entries that a partition merges at once.
-LOCAL = 1 << 23
+LOCAL = 6 << 20
 MERGE = 1 << 20
 KEY_BITS = 40
 #: Bytes of text for each hash partition; there are four to a shuffle partition at least.
 TEXT_PER_PART = 1 << 24
 #: Bound of the bitmap of survivors, in bits (a power of two).
 BITMAP_BITS = 26
-TEXTS = 1 << 23
+TEXTS = 1 << 22
+#: Counted phrases that a task holds before it sends them.
+HELD = 1 << 20
 
 _CUT = np.zeros(256, np.int64)
 _CUT[[*b".,;:!?", *range(0x0A, 0x0E)]] = 1
@@ -206,10 +208,16 @@ def summaries(documents: DataFrame, longest: int, part_bits: int, missing: str,
     return documents.mapInArrow(run, "part int, kind int, mass long, hashes binary, counts binary")
 
 
+def _dealt(rows: DataFrame, part_bits: int, second: str) -> DataFrame:
+    """Rows by hash partition, a few of those to a task, however many there are."""
+    tasks = max(partitions(rows.sparkSession), (1 << part_bits) // 4)
+    return rows.repartition(tasks, "part").sortWithinPartitions("part", second)
+
+
 def survivors(documents: DataFrame, least: int, longest: int, part_bits: int, missing: str, local: int = LOCAL) -> DataFrame:
     """``gram``: shortened hashes of n-grams, among them all that occur ``least`` times."""
     parts = summaries(documents, longest, part_bits, missing, local)
-    dealt = parts.repartition("part").sortWithinPartitions("part", "kind")
+    dealt = _dealt(parts, part_bits, "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, mass, summary = None, 0, None
@@ -272,24 +280,73 @@ def _set(map_: np.ndarray, gram: np.ndarray) -> np.ndarray:
 # --- exact counts and scores -------------------------------------------------------
 
 
-def counts_of(documents: DataFrame, known: np.ndarray, longest: int, part_bits: int, missing: str, texts: int = TEXTS) -> DataFrame:
-    """``lang, phrase, f``: exact counts of the n-grams whose bits are set; the empty phrase counts all words."""
+def counts_of(documents: DataFrame, known: np.ndarray, least: int, longest: int, part_bits: int, missing: str,
+              texts: int = TEXTS) -> DataFrame:
+    """``lang, phrase, f``: exact counts of the phrases that occur ``least`` times; the empty phrase counts all words.
+
+    A task sends what it counted as one row per hash partition and language: the
+    phrases, a line each, and their counts. Partitions add them up by their text.
+    """
+
+    def sent(held: list[pa.Table], totals: dict[str, int]) -> pa.RecordBatch:
+        rows: list[list] = [[0] * len(totals), list(totals), [b""] * len(totals), [packed(np.array([n])) for n in totals.values()]]
+        if held:
+            t = pa.concat_tables(held)
+            gram, first, which = np.unique(t.column("gram").to_numpy(), return_index=True, return_inverse=True)
+            f = np.bincount(which, t.column("f").to_numpy(), len(gram)).astype(np.int64)
+            part = (gram >> np.uint64(64 - part_bits)).astype(np.int64)
+            t = t.select(["lang", "phrase"]).take(pa.array(first))
+            code, names = _langs(t.column("lang").combine_chunks(), missing)
+            order = np.lexsort((code, part))
+            part, code, f = part[order], code[order], f[order]
+            phrases = t.column("phrase").take(pa.array(order)).to_pylist()
+            start = np.flatnonzero(np.concatenate([[True], (part[1:] != part[:-1]) | (code[1:] != code[:-1])])) if len(part) else []
+            for lo, hi in zip(start, [*start[1:], len(part)]):
+                for column, value in zip(rows, (int(part[lo]), names[code[lo]], "\n".join(phrases[lo:hi]).encode(), packed(f[lo:hi]))):
+                    column.append(value)
+        types = (pa.int32(), pa.string(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types)], ["part", "lang", "phrases", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n_held, totals = [], 0, {}
         for chunk in _chunks(batches, texts, missing):
-            n_words = np.bincount(chunk.lang, minlength=len(chunk.names))
             names = pa.array(chunk.names, pa.string())
-            yield pa.RecordBatch.from_arrays([names, pa.array([""] * len(names), pa.string()), pa.array(n_words)], ["lang", "phrase", "f"])
+            for name, n in zip(chunk.names, np.bincount(chunk.lang, minlength=len(names)).tolist()):
+                totals[name] = totals.get(name, 0) + n
             for n, at, g in chunk.grams(longest):
                 hit = _set(known, g >> np.uint64(64 - KEY_BITS - part_bits))
                 at, g = at[hit], g[hit]
-                _, first, times = np.unique(g, return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays([
-                    names.take(pa.array(chunk.lang[at[first]])), chunk.phrases(at[first], n).cast(pa.string()), pa.array(times)],
-                    ["lang", "phrase", "f"])
+                gram, first, times = np.unique(g, return_index=True, return_counts=True)
+                held.append(pa.table({"gram": gram, "lang": names.take(pa.array(chunk.lang[at[first]])),
+                                      "phrase": chunk.phrases(at[first], n), "f": times}))
+                n_held += len(gram)
+            if n_held >= HELD:
+                yield sent(held, totals)
+                held, n_held, totals = [], 0, {}
+        yield sent(held, totals)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, total = None, {}
+
+        def out() -> pa.RecordBatch:
+            found = [(p.decode(), n) for p, n in total.items() if n >= least or (not p and n)]
+            return pa.RecordBatch.from_arrays([
+                pa.array([key[1]] * len(found), pa.string()), pa.array([p for p, _ in found], pa.string()),
+                pa.array([n for _, n in found], pa.int64())], ["lang", "phrase", "f"])
+
+        for b in batches:
+            for part, lang, phrases, counts in zip(*(c.to_pylist() for c in b.columns)):
+                if (part, lang) != key:
+                    if key is not None:
+                        yield out()
+                    key, total = (part, lang), {}
+                for p, n in zip(phrases.split(b"\n"), unpacked(counts).tolist()):
+                    total[p] = total.get(p, 0) + n
+        if key is not None:
+            yield out()
 
-    rows = documents.mapInArrow(run, "lang string, phrase string, f long")
-    return rows.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    rows = documents.mapInArrow(run, "part int, lang string, phrases binary, counts binary")
+    return _dealt(rows, part_bits, "lang").mapInArrow(add, "lang string, phrase string, f long")
 
 
 def frequent_phrases(documents: DataFrame, least: int = 100, longest: int = 5, missing: str = "und", most_bits: int = BITMAP_BITS,
@@ -302,15 +359,14 @@ def frequent_phrases(documents: DataFrame, least: int = 100, longest: int = 5, m
     texts are empty, rows without ``lang`` count as ``missing``, repeated rows
     count as often as they are there. An empty table has no rows.
 
-    Equal 64-bit hashes inside one chunk of texts are taken for equal phrases.
+    Equal 64-bit hashes inside one task are taken for equal phrases.
     """
     spark = documents.sparkSession
     docs = documents.select("text", F.col("lang").cast("string").alias("lang"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     part_bits = min(24, max(4 * partitions(spark), -(-size // TEXT_PER_PART)).bit_length())
-    known = bitmap(saved(survivors(docs, least, longest, part_bits, missing, local), light=True), most_bits)
-    found = counts_of(docs, known, longest, part_bits, missing, texts)
-    return found.where((F.col("f") >= least) | (F.col("phrase") == "")).where("f > 0")
+    known = bitmap(saved(survivors(docs, least, longest, part_bits, missing, local)), most_bits)
+    return counts_of(docs, known, least, longest, part_bits, missing, texts)
 
 
 def floor_ratio(factor: int, a: Column, n: Column, left: Column, right: Column) -> Column:
@@ -351,7 +407,7 @@ def scored(frequent: DataFrame, absorb: int = 100) -> DataFrame:
 
 def collocations(documents: DataFrame, least: int = 100, longest: int = 5, top: int = 2000, **options) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score``: the ``top`` phrases of each language by score, then count, then bytes."""
-    found = scored(saved(frequent_phrases(documents, least, longest, **options), light=True))
+    found = scored(saved(frequent_phrases(documents, least, longest, **options)))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
