@@ -148,3 +148,26 @@ def test_run_report(spark):
     got = {r["run_id"]: tuple(r)[1:] for r in logs.run_report(df).collect()}
     assert got == {1: ("unknown", 638, False, 9, "hang"), 2: ("unknown", 0, True, None, "wall"),
                    3: ("clean", 0, False, None, "healthy"), 4: ("crash", 0, False, None, "frozen")}
+
+
+@pytest.mark.parametrize("size", [1, 3, 100])
+def test_null_keys_are_keys_in_running_values(spark, size):
+    rows = [(None if i % 3 == 0 else i % 3, i, i * 7 % 11) for i in range(40)]
+    df = ordered.with_position(spark.createDataFrame(rows, "k int, o int, v int"), ["k"], ["o"])
+    got = {r["o"]: (r["total"], r["least"]) for r in ordered.running(
+        df, ["k"], {"total": ("sum", F.col("v")), "least": ("min", F.col("v"))}, size=size).collect()}
+    want = {}
+    for k in (None, 1, 2):
+        seen = []
+        for key, o, v in rows:
+            if key == k:
+                seen.append(v)
+                want[o] = (sum(seen), min(seen))
+    assert got == want
+
+
+def test_logs_without_a_session_are_a_session(spark):
+    rows = [(None, i, i, "ok" if i == 5 else "timeout") for i in range(9)] + [(1, 100, 1, "ok")]
+    log = spark.createDataFrame(rows, "session_id long, event_id long, s long, outcome string").withColumn("ts", F.timestamp_seconds("s"))
+    got = {r["event_id"]: (r["fail_streak"], r["breaker_open"]) for r in logs.fail_streaks(log, F.col("outcome") == "ok", size=4).collect()}
+    assert got == {**{i: (i + 1 if i < 5 else i - 5, i >= 4) for i in range(9)}, 100: (0, False)}

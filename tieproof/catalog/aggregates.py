@@ -100,18 +100,18 @@ w AS (SELECT a.person AS source, b.person AS target, count(*) AS weight FROM m a
   GROUP BY ALL)"""
 
 
-@query("ag_pair_weight", "affiliations", S_PAIRS + """,
-f AS (SELECT company, min(person) AS first FROM m GROUP BY company),
-a AS (SELECT DISTINCT first, person FROM m JOIN f USING (company) WHERE person <> first)
-SELECT source, target, weight FROM w JOIN a ON first = source AND person = target""")
+S_REPEATED = """
+m AS (SELECT DISTINCT company, person FROM affiliations)
+SELECT a.person AS source, b.person AS target, count(*) AS weight, string_agg(a.company, '; ' ORDER BY a.company) AS companies
+FROM m a JOIN m b ON a.company = b.company AND a.person < b.person GROUP BY ALL HAVING count(*) > 1"""
+
+
+@query("ag_pair_weight", "affiliations", S_REPEATED)
 def ag_pair_weight(t):
-    return graph.pair_weight(t.affiliations, graph.pairs_with_first(t.affiliations))
+    return graph.repeated_pairs(t.affiliations)
 
 
-@query("ag_repeated_pairs", "affiliations", """
-m AS (SELECT DISTINCT company, person FROM affiliations)
-SELECT a.person AS source, b.person AS target, count(*) AS weight, string_agg(a.company, '; ' ORDER BY a.company) AS companies
-FROM m a JOIN m b ON a.company = b.company AND a.person < b.person GROUP BY ALL HAVING count(*) > 1""")
+@query("ag_repeated_pairs", "affiliations", S_REPEATED)
 def ag_repeated_pairs(t):
     return graph.repeated_pairs(t.affiliations)
 

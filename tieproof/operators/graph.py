@@ -1,6 +1,7 @@
 """The person - company graph: vertices, edges, shared companies, bounded expansion.
 
 Pairs of people are never written out per company: rows of members state them,
+``repeated_pairs`` has all that share two or more, with their companies,
 ``pair_weight`` answers exactly for any pair, and ``top_pairs`` finds the heaviest.
 """
 
@@ -10,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tieproof.functions.text import strip, text
-from tieproof.session import shared_folder
+from tieproof.operators.ordered import with_position
+from tieproof.session import shared_folder, written
 
 NOT_NAMED = ("(unspecified)", "unknown")
 
@@ -31,18 +33,22 @@ def shared_companies(edges: DataFrame) -> DataFrame:
     return m.join(m.groupBy("company").agg(F.count("*").alias("members")), "company").where("members > 1")
 
 
-def pairs_with_first(edges: DataFrame) -> DataFrame:
-    """``source, target``: in each company its first member by name with every other; fewer pairs than members."""
-    m = members(edges)
-    first = m.groupBy("company").agg(F.min("person").alias("source"))
-    return m.join(first, "company").where("person <> source").select("source", F.col("person").alias("target")).distinct()
-
-
 def pair_weight(edges: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Exact number of shared companies of the given (source, target) pairs."""
+    """Exact number of shared companies of the given (source, target) pairs.
+
+    Of each pair the companies of the person with fewer of them are looked up
+    among those of the other, so a person in many companies costs nothing.
+    """
     m = members(edges)
-    left = pairs.join(m.withColumnRenamed("person", "source"), "source")
-    both = left.join(m.select(F.col("person").alias("target"), "company"), ["target", "company"], "left_semi")
+    degree = m.groupBy("person").agg(F.count("*").alias("degree"))
+    sized = pairs.select("source", "target").distinct()
+    for side in ("source", "target"):
+        sized = sized.join(degree.select(F.col("person").alias(side), F.col("degree").alias(f"{side}_degree")), side)
+    fewer = F.col("source_degree") <= F.col("target_degree")
+    sized = sized.select("source", "target", F.when(fewer, F.col("source")).otherwise(F.col("target")).alias("walked"),
+                         F.when(fewer, F.col("target")).otherwise(F.col("source")).alias("other"))
+    left = sized.join(m.withColumnRenamed("person", "walked"), "walked")
+    both = left.join(m.select(F.col("person").alias("other"), "company"), ["other", "company"], "left_semi")
     return (
         pairs.join(both.groupBy("source", "target").agg(F.count("*").alias("weight")), ["source", "target"], "left")
         .withColumn("weight", F.coalesce("weight", F.lit(0)))
@@ -50,54 +56,72 @@ def pair_weight(edges: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def repeated_pairs(edges: DataFrame) -> DataFrame:
-    """``source, target, weight, companies`` (sorted, joined by "; ") of every pair that shares two or more companies.
+    """``source, target, weight, companies`` (sorted, joined by "; ") of every pair that shares two or more companies."""
+    return _repeated(written(shared_companies(edges)))
+
+
+def _repeated(m: DataFrame, least: int = 2) -> DataFrame:
+    """:func:`repeated_pairs` of written ``shared_companies``, those that share ``least`` companies.
 
     An exact prefix filter: of two shared companies one at least is not the
     commonest of either person (companies in one order, by members and name), so
-    pairs meet in a company that is the commonest of none of the two. Pairs that
-    share a single company are the member rows of ``shared_companies``.
+    pairs meet in a company that is the commonest of none of the two; what else
+    they may share is the commonest company of either, which is looked up unless
+    two more would not be enough. Pairs that share a single company are the member
+    rows of ``shared_companies``.
     """
-    m = shared_companies(edges)
-    last = m.groupBy("person").agg(F.max(F.struct("members", "company")).alias("last"))
-    rare = m.join(last, "person").where(F.col("company") != F.col("last.company")).select("company", "person")
-    left, right = rare.withColumnRenamed("person", "source"), rare.withColumnRenamed("person", "target")
+    last = m.groupBy("person").agg(F.max(F.struct("members", "company"))["company"].alias("last"))
+    rare = m.join(last, "person").where("company <> last").select("company", "person", "last")
+    left = rare.select("company", F.col("person").alias("source"), F.col("last").alias("last_source"))
+    right = rare.select("company", F.col("person").alias("target"), F.col("last").alias("last_target"))
     pairs = left.join(right, "company").where("source < target").groupBy("source", "target").agg(
-        F.collect_list("company").alias("rare"))
-    # what else two people may share is the commonest company of either
-    last = last.select("person", F.col("last.company").alias("last"))
-    m = m.select("company", "person")
+        F.collect_list("company").alias("rare"), F.first("last_source").alias("last_source"), F.first("last_target").alias("last_target"))
+    if least > 3:
+        pairs = pairs.where(F.size("rare") >= least - 2)
     for one, other in (("source", "target"), ("target", "source")):
-        asked = last.select(F.col("person").alias(one), F.col("last").alias(f"last_{one}"))
         held = m.select(F.col("person").alias(other), F.col("company").alias(f"last_{one}"), F.col("company").alias(f"held_{one}"))
-        pairs = pairs.join(asked, one).join(held, [other, f"last_{one}"], "left")
+        pairs = pairs.join(held, [other, f"last_{one}"], "left")
     shared = F.array_compact(F.concat("rare", F.array_distinct(F.array("held_source", "held_target"))))
-    return pairs.withColumn("shared", F.array_sort(shared)).where(F.size("shared") > 1).select(
+    return pairs.withColumn("shared", F.array_sort(shared)).where(F.size("shared") >= max(least, 2)).select(
         "source", "target", F.size("shared").cast("long").alias("weight"), F.concat_ws("; ", "shared").alias("companies"))
 
 
-def top_pairs(edges: DataFrame, k: int, start: int = 512) -> DataFrame:
+def top_pairs(edges: DataFrame, k: int, start: int = 64) -> DataFrame:
     """``source, target, weight`` of the ``k`` pairs with most shared companies, ties by name.
 
-    A pair can't share more companies than either person has. Pairs are counted
-    among the people with the most companies only, and more of those are taken
-    until the k-th weight is above the degree of all the others.
+    A pair can't share more companies than either person has. The ``k``-th weight
+    among the ``start`` people with most companies is a bound: people with fewer
+    companies are in no heavier pair, so the exact pairs are those among the rest,
+    however many have the same degree. Where fewer than ``k`` pairs share two
+    companies, those that share one follow in the order of names. Only the bound
+    and a count reach the driver.
     """
-    m, degree = members(edges), degrees(edges)
     order = [F.desc("weight"), F.col("source"), F.col("target")]
-    while True:
-        few = degree.orderBy(F.desc("degree"), "person").limit(start + 1).collect()
-        people = [r["person"] for r in few[:start]]
-        rest = few[start]["degree"] if len(few) > start else 0
-        some = m.where(F.col("person").isin(people)) if rest else m
-        left, right = some.withColumnRenamed("person", "source"), some.withColumnRenamed("person", "target")
-        pairs = left.join(right, "company").where("source < target").groupBy("source", "target").agg(F.count("*").alias("weight"))
-        top = pairs.orderBy(*order).limit(k)
-        if not rest:
-            return top
-        rows = top.collect()
-        if len(rows) == k and rows[-1]["weight"] > rest:
-            return edges.sparkSession.createDataFrame(rows, top.schema)
-        start *= 2
+    m = written(shared_companies(edges))
+    degree = m.groupBy("person").agg(F.count("*").alias("degree"))
+    some = m.join(degree.orderBy(F.desc("degree"), "person").limit(start), "person", "left_semi")
+    first = _repeated(some).orderBy(*order).limit(k).agg(F.count("*").alias("n"), F.min("weight").alias("weight")).first()
+    least = first["weight"] if first["n"] == k else 2
+    able = m.join(degree.where(F.col("degree") >= least), "person", "left_semi") if least > 2 else m
+    top = written(_repeated(able, least).orderBy(*order).limit(k).select("source", "target", "weight"))
+    found = top.count()
+    if found == k:
+        return top.orderBy(*order)
+    single = _first_pairs(m, k + found).join(top, ["source", "target"], "left_anti").withColumn("weight", F.lit(1).cast("long"))
+    return top.union(single.select("source", "target", "weight")).orderBy(*order).limit(k)
+
+
+def _first_pairs(m: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` pairs by name of people who share a company.
+
+    Everybody but the last member of a company is the first of some pair, so the
+    first ``n`` of those are all that can be needed, whatever their companies hold.
+    """
+    last = m.groupBy("company").agg(F.max("person").alias("last"))
+    sources = m.join(last, "company").where("person <> last").select("person").distinct().orderBy("person").limit(n)
+    mine = m.join(sources, "person", "left_semi").select("company", F.col("person").alias("source"))
+    pairs = mine.join(m.select("company", F.col("person").alias("target")), "company").where("source < target")
+    return pairs.select("source", "target").distinct().orderBy("source", "target").limit(n)
 
 
 def degrees(edges: DataFrame) -> DataFrame:
@@ -148,26 +172,39 @@ def person_company(edges: DataFrame, order: Column) -> DataFrame:
     )
 
 
-def expand(edges: DataFrame, seeds: DataFrame, hops: int = 1) -> DataFrame:
-    """People reachable from ``seeds`` over shared companies, with the hop they appear at.
+def expand(edges: DataFrame, seeds: DataFrame, hops: int = 1, budget: int | None = None) -> DataFrame:
+    """People reachable from ``seeds`` over shared companies: ``person, hop, rank, via``.
 
-    Each hop joins the new people to companies not met before, and those to
-    people not met before; visited sets are anti joins. What a hop finds is
-    checkpointed: the next hop reads it several times.
+    Each hop joins the new people to companies not met before, and those to people
+    not met before. ``via`` is the first by name of the companies that lead to a
+    person, ``rank`` the place among the people of the hop: those that more of the
+    new companies lead to come first, then by name. With a ``budget`` only the
+    first that many of a hop are visited and lead further; the others may still
+    be met in a later hop. Seeds are hop 0, cut by the budget too, by name.
     """
-    shared_folder(edges.sparkSession)
-    m = members(edges)
-    frontier, met = seeds.select("person").distinct().checkpoint(), None
-    seen = frontier.withColumn("hop", F.lit(0))
-    for hop in range(1, hops + 1):
+    spark = edges.sparkSession
+    shared_folder(spark)
+    m = written(members(edges))
+    cut = lambda ranked: ranked if budget is None else ranked.where(F.col("rank") <= budget)
+    start = seeds.where(is_named(F.col("person"))).select("person").distinct()
+    start = start.withColumns({"hop": F.lit(0), "links": F.lit(0).cast("long"), "via": F.lit(None).cast("string")})
+    frontier, met, seen = cut(_ranked(start)).checkpoint(), None, None
+    for hop in range(hops + 1):
+        seen = frontier if seen is None else seen.union(frontier)
+        if hop == hops or frontier.isEmpty():
+            break
         reached = m.join(frontier, "person", "left_semi").select("company").distinct()
         if met is not None:
             reached = reached.join(met, "company", "left_anti")
         reached = reached.checkpoint()
         met = reached if met is None else met.union(reached)
-        fresh = m.join(reached, "company", "left_semi").select("person").distinct()
-        frontier = fresh.join(seen, "person", "left_anti").checkpoint()
-        seen = seen.union(frontier.withColumn("hop", F.lit(hop)))
-        if frontier.isEmpty():
-            break
-    return seen
+        fresh = m.join(reached, "company").join(seen, "person", "left_anti").groupBy("person").agg(
+            F.count("*").alias("links"), F.min("company").alias("via"))
+        frontier = cut(_ranked(fresh.withColumn("hop", F.lit(hop + 1)))).checkpoint()
+    return seen.select("person", "hop", "rank", "via")
+
+
+def _ranked(people: DataFrame) -> DataFrame:
+    """``person, hop, rank, via``: places by links and name, counted over ranges of the order."""
+    placed = with_position(people.withColumn("_less", -F.col("links")), [], ["_less", "person"])
+    return placed.select("person", "hop", (F.col("pos") + 1).alias("rank"), "via")

@@ -27,6 +27,16 @@ def micros(ts: str) -> Column:
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
+def join_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """An equi-join in which a null key finds the null key; the columns of ``left``, then the others of ``right``."""
+    names = {k: f"_right{i}" for i, k in enumerate(keys)}
+    right = right.withColumnsRenamed(names)
+    same = F.lit(True)
+    for k, n in names.items():
+        same = same & F.col(k).eqNullSafe(F.col(n))
+    return left.join(right, same, how).drop(*names.values())
+
+
 def _offsets(per_bucket: DataFrame, keys: list[str], bucket: str, aggs: dict[str, Column], *more: str) -> DataFrame:
     """Combine the summaries of all earlier buckets of a key; one row per key and bucket."""
     w = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
@@ -49,13 +59,9 @@ def with_position(df: DataFrame, keys: list[str], order: list[str], name: str =
     rows = written(dealt.withColumn("_at", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_at", 33)))
     runs = rows.groupBy(*keys, "_part").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
     before = _offsets(runs, keys, "_part", {"_before": F.sum("_n")}, "_first")
-    names = [f"_k{i}" for i in range(len(keys))]
-    runs = before.select(*[F.col(k).alias(m) for k, m in zip(keys, names)], F.col("_part").alias("_p"), "_first", "_before")
-    same = F.col("_part") == F.col("_p")
-    for k, m in zip(keys, names):
-        same = same & F.col(k).eqNullSafe(F.col(m))
     pos = F.coalesce("_before", F.lit(0)) + F.col("_at") - F.col("_first")
-    return rows.join(runs, same).withColumn(name, pos.cast("long")).drop("_at", "_part", "_p", "_first", "_before", *names)
+    placed = join_safe(rows, before, [*keys, "_part"]).withColumn(name, pos.cast("long"))
+    return placed.drop("_at", "_part", "_first", "_before")
 
 
 def blocks(pos: str = "pos", size: int = BLOCK) -> Column:
@@ -75,14 +81,15 @@ def running(
 ) -> DataFrame:
     """Running aggregates over all rows of the key up to the row (``upto=-1``: before it).
 
-    ``aggs`` maps a new column to ("max" | "min" | "sum", value); nulls do not count.
+    ``aggs`` maps a new column to ("max" | "min" | "sum", value); null values do not
+    count. Null keys are keys too.
     """
     rows = df.withColumns({"_b": blocks(pos, size), **{"_v_" + n: v for n, (_, v) in aggs.items()}})
     totals = rows.groupBy(*keys, "_b").agg(*[_COMBINE[k][0]("_v_" + n).alias("_t_" + n) for n, (k, _) in aggs.items()])
     before = _offsets(totals, keys, "_b", {"_o_" + n: _COMBINE[k][0]("_t_" + n) for n, (k, _) in aggs.items()})
     w = Window.partitionBy(*keys, "_b").orderBy(pos).rowsBetween(Window.unboundedPreceding, upto)
     out = rows.withColumns({"_l_" + n: _COMBINE[k][0]("_v_" + n).over(w) for n, (k, _) in aggs.items()})
-    out = out.join(before, [*keys, "_b"])
+    out = join_safe(out, before, [*keys, "_b"])
     combined = {}
     for n, (k, _) in aggs.items():
         mine, earlier = F.col("_l_" + n), F.col("_o_" + n)
