@@ -337,12 +337,38 @@ def test_leaks_do_not_depend_on_slices(spark):
 
     whole = found(decontaminate.known_slices(rows))
     for bounds in ({"most": 7}, {"size": 3000}):
-        slices = decontaminate.known_slices(rows, **bounds)
+        slices = list(decontaminate.known_slices(rows, **bounds))
         assert len(slices) > 5 and all(len(i) <= 7 or sum(len(t.encode()) for t in x) <= 3000 for i, x, _ in slices)
         got = found(slices)
         assert set(got) == set(whole) and all(got[k] == pytest.approx(whole[k]) for k in got)
 
 
+def test_leaks_over_many_slices(spark, monkeypatch):
+    """``find_leaks`` and ``keep_clean`` take slice after slice; the driver holds two of them."""
+    items = spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet").limit(60)
+    texts = {r.item_id: r.text for r in items.collect()}
+    docs = spark.createDataFrame(
+        [(i, f"before {t} after" if i % 3 else "nothing of it", "x") for i, t in texts.items()] + [(None, None, "y")],
+        "doc_id long, text string, item_id string")
+    whole = sorted(map(tuple, decontaminate.find_leaks(docs, items).drop("score").collect()))
+    clean = sorted((str(tuple(r)) for r in decontaminate.keep_clean(docs, items).collect()))
+    real, cut = decontaminate.item_slices, []
+
+    def small(rows, **_):
+        for part in real(rows, most=13):
+            cut.append(part)
+            yield part
+
+    monkeypatch.setattr(decontaminate, "item_slices", small)
+    assert sorted(map(tuple, decontaminate.find_leaks(docs, items).drop("score").collect())) == whole and len(cut) == 5
+    assert sorted((str(tuple(r)) for r in decontaminate.keep_clean(docs, items).collect())) == clean
+    assert {i for i, *_ in whole} == {i for i in texts if i % 3}
+    taken = []
+    monkeypatch.setattr(decontaminate, "item_slices", lambda rows, **_: (taken.append(1) or p for p in real(rows, most=5)))
+    next(decontaminate.known_slices(items))
+    assert len(taken) == 2
+
+
 def test_leaks_of_the_tables(spark):
     got = {(r.doc_id, r.item_id) for r in decontaminate.op10_decontamination(spark, FOLDER).collect()}
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").collect()
@@ -396,6 +422,29 @@ def test_near_copies(spark, monkeypatch, block):
     assert near_copies.near_copy_components(df.limit(0)).count() == 0 and near_copies.keep_one(df.limit(0)).count() == 0
 
 
+def test_links_through_rows_without_an_id(spark):
+    words = [f"w{i}" for i in range(200)]
+    share = lambda x, y: len(x & y) / len(x | y)
+    a, b, c = " ".join(words), " ".join(words[20:] + ["b1"]), " ".join(words[45:] + ["b1", "c1"])
+    assert share(shingle_set(a), shingle_set(b)) >= 0.8 <= share(shingle_set(b), shingle_set(c)) and share(shingle_set(a), shingle_set(c)) < 0.8
+    rows = [(1, a), (None, b), (3, c), (5, "quite another text of some words")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, near_copies.near_copy_components(df).collect()), key=repr) == plain_components(rows)
+    assert sorted(x.doc_id or 0 for x in near_copies.keep_one(df).collect()) == [0, 1, 5]
+    lone = [(None, a), (None, b), (None, "one two")]
+    got = near_copies.near_copy_components(spark.createDataFrame(lone, "doc_id long, text string")).collect()
+    assert [r.component_id for r in got] == [None] * 3
+
+
+def test_unrelated_texts_of_one_id_stay(spark):
+    rows = [(1, "first text of the id one", "a"), (1, "second and quite other text here", "b"), (1, "first text of the id one", "c"),
+            (2, "second and quite other text here", "d"), (3, "", "e"), (3, " ", "f"), (None, "first text of the id one", "g")]
+    kept = near_copies.keep_one(spark.createDataFrame(rows, "doc_id long, text string, row string"))
+    got = sorted((r.doc_id or 0, r.text) for r in kept.collect())
+    assert got == [(0, rows[0][1]), (1, rows[0][1]), (1, rows[1][1]), (3, ""), (3, " ")]
+    assert kept.columns == ["doc_id", "text", "row"]
+
+
 def test_near_copies_of_the_tables(spark):
     rows = [(x.doc_id, x.text) for x in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     got = near_copies.op8_near_copies(spark, "/root/testdata/sf0.001").collect()

@@ -178,6 +178,25 @@ def test_held_out_accuracy(spark, module, column, limit, least):
         assert r.predicted == int(r.score >= limit) and 0 <= r.score <= 1
 
 
+@pytest.mark.parametrize("module", [quality, toxicity])
+def test_samples_are_bounded_in_rows(spark, monkeypatch, module):
+    """One id on most of the rows is one row of the sample."""
+    rows = [(1, f"text number {i} of the one id") for i in range(500)] + [(i, f"another text {i}") for i in range(2, 40)]
+    docs = spark.createDataFrame([(i, t, 5) for i, t in rows], "doc_id long, text string, label int")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(1, 0), (None, 1), (3, None)], "doc_id long, label int")
+    seen = []
+    if module is quality:
+        real = quality.grow
+        monkeypatch.setattr(quality, "grow", lambda x, y, **o: seen.append(len(x)) or real(x, y, **o))
+        quality.fit(docs, labels, sample=11)
+        assert seen[0] <= 11
+    else:
+        real = toxicity.train
+        monkeypatch.setattr(toxicity, "train", lambda p, u, *a, **o: seen.append((len(p), len(u))) or real(p, u, *a, **o))
+        toxicity.fit(docs, labels, F.lit(True), positives=11, others=7)
+        assert seen[0][0] <= 11 and seen[0][1] == 7
+
+
 # --- toxicity -----------------------------------------------------------------
 
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tieproof.llm.tables import query, table
+from tieproof.llm.tables import query, saved, table
 from tieproof.llm.words import SPACE, Words, chunks, split
 
 #: Words are runs of letters, digits and bytes outside ASCII.
@@ -342,22 +342,28 @@ def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                               pa.array([np.unique(w) for w in each], pa.list_(pa.int64()))], ["n", "words"])
 
 
-def known_slices(items: DataFrame, **bounds) -> list[tuple[list, list[str], Known | None]]:
-    """The slices with the statistics of all items, so that scores do not depend on how items are cut."""
-    slices = list(item_slices(items, **bounds))
-    if len(slices) == 1:
-        return [(*slices[0], None)]
-    counted = items.where("item_id IS NOT NULL AND text IS NOT NULL").select("text").mapInArrow(_item_words, "n long, words array<long>")
+def known_slices(items: DataFrame, **bounds) -> Iterator[tuple[list, list[str], Known | None]]:
+    """The slices, one at a time, with the statistics of all items, so that scores do not depend on how items are cut.
+
+    The driver holds the slice at hand and the one after it; counts of words stay in
+    Spark, and of them only those of the slice's own words come back.
+    """
+    slices = item_slices(items, **bounds)
+    held = next(slices)
+    after = next(slices, None)
+    if after is None:
+        yield (*held, None)
+        return
+    spark = items.sparkSession
+    counted = saved(items.where("item_id IS NOT NULL AND text IS NOT NULL").select("text").mapInArrow(_item_words, "n long, words array<long>"))
     number, length, longest = counted.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(1))).first()
-    df = counted.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("df")).toArrow()
-    word, times = df["word"].to_numpy().view(np.uint64), df["df"].to_numpy()
-    order = np.argsort(word)
-    word, times = word[order], times[order]
-    out = []
-    for ids, texts in slices:
-        own = np.unique(split(pa.array(texts, pa.string()), space=BREAK).hashes())
-        out.append((ids, texts, Known(number, float(length), longest, own, times[np.searchsorted(word, own)])))
-    return out
+    counts = saved(counted.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("df")))
+    while held is not None:
+        own = np.unique(split(pa.array(held[1], pa.string()), space=BREAK).hashes())
+        df = counts.join(spark.createDataFrame(pa.table({"word": own.view(np.int64)})), "word").toArrow()
+        times = df["df"].to_numpy()[np.argsort(df["word"].to_numpy().view(np.uint64))]
+        yield (*held, Known(number, float(length), longest, own, times))
+        held, after = after, next(slices, None) if after is not None else None
 
 
 def find_leaks(documents: DataFrame, items: DataFrame, terms: Terms = Terms()) -> DataFrame:
@@ -387,8 +393,10 @@ def find_leaks(documents: DataFrame, items: DataFrame, terms: Terms = Terms()) -
                             pa.array(question), pa.array(answer), pa.array(first, pa.int32()),
                         ], ["doc_id", "item_id", "score", "question_overlap", "answer_overlap", "first_word"])
 
-        parts.append(docs.mapInArrow(run, f"doc_id {key}, item_id {item_key}, score double, question_overlap double, "
-                                          "answer_overlap double, first_word int"))
+        part = docs.mapInArrow(run, f"doc_id {key}, item_id {item_key}, score double, question_overlap double, "
+                                    "answer_overlap double, first_word int")
+        # written, so that the driver holds no slice longer than it is at work
+        parts.append(part if known is None else saved(part))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -411,6 +419,7 @@ def keep_clean(documents: DataFrame, items: DataFrame, terms: Terms = Terms()) -
                     yield part.filter(pa.array(keep))
 
         out = out.mapInArrow(run, documents.schema)
+        out = out if known is None else saved(out)
     return out
 
 

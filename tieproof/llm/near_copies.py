@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tieproof.llm.components import components
@@ -43,6 +43,20 @@ BLOCK = 256
 HUBS = 4
 
 
+def _row() -> Column:
+    """Tells apart the rows of one id."""
+    return F.xxhash64("text").alias("row")
+
+
+def _first_row() -> Column:
+    """The row with the smallest id, null ids last, ties by the hash of the text."""
+    return F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
+
+
+def _same_row(a: DataFrame, b: DataFrame) -> Column:
+    return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["row"] == b["row"])
+
+
 def _class_of(s: np.ndarray) -> int:
     """64 bits for the whole set; differing sets of a corpus of n share them with chance n * n / 2 ** 65."""
     return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
@@ -70,7 +84,7 @@ def frequent_shingles(documents: DataFrame, size: int, one_in: int = 16, least:
 
 
 def signatures(documents: DataFrame, size: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """``doc_id, n, cls, head, bits``: size of the set, its class, its first elements, and its bitmap."""
+    """``doc_id, row, n, cls, head, bits``: hash of the text, size of the set, its class, its first elements, its bitmap."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -87,12 +101,12 @@ def signatures(documents: DataFrame, size: int, percent: int, frequent: np.ndarr
                 heads = pa.ListArray.from_arrays(
                     pa.array(np.concatenate([[0], np.cumsum([len(x) for x in head])]), pa.int32()), pa.array(np.concatenate(head)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), heads, pa.array(bits, pa.binary())],
-                    ["doc_id", "n", "cls", "head", "bits"])
+                    [part.column(0), part.column(2), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), heads, pa.array(bits, pa.binary())],
+                    ["doc_id", "row", "n", "cls", "head", "bits"])
 
-    docs = documents.select("doc_id", "text")
+    docs = documents.select("doc_id", "text", _row())
     key = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {key}, n long, cls long, head array<long>, bits binary")
+    return docs.mapInArrow(run, f"doc_id {key}, row long, n long, cls long, head array<long>, bits binary")
 
 
 class Walker:
@@ -211,17 +225,13 @@ def links_in_groups(items: DataFrame, exact: bool, percent: int, block: int = BL
     return comp.toDF("a", "b").union(_by_key(both, ["grp", "p", "q"], exact, percent))
 
 
-def near_copy_components(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row of ``documents`` (``doc_id``, ``text``).
+def linked_rows(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id, row, n_shingles, key`` of every row of ``documents``: rows reachable by links share a ``key``.
 
-    Words are the runs of bytes other than white space, A-Z in lower case. The
-    set of a text are its distinct runs of ``size`` words; of a shorter text its
-    whole sequence; an empty or null text has none and is linked with nothing.
-    Two documents link if they share ``percent`` of the union. ``component_id`` is
-    the smallest id among all documents reachable by links; null ids are never the
-    smallest while another is there. Rows keep their number, repeated ids too.
+    ``row`` is a hash of the text, so rows of one id keep apart; ids, also null ones,
+    play no part in what is linked. The ``key`` of a text without words is null.
     """
-    docs = documents.select("doc_id", "text")
+    docs = documents.select("doc_id", "text", _row())
     signed = saved(signatures(docs, size, percent, frequent_shingles(docs, size)))
     classes = signed.where("n > 0").groupBy("cls").agg(
         F.first("n").alias("n"), F.first("head").alias("head"))
@@ -250,16 +260,16 @@ def near_copy_components(documents: DataFrame, size: int = 5, percent: int = 80)
         F.col("node").alias("cls"), F.col("component").alias("grp")), light=True)
     unit = unit.join(unit.groupBy("grp").agg(F.count("*").alias("members")), "grp")
 
-    named = signed.where("n > 0").select("doc_id", "cls").join(unit, "cls").groupBy("cls", "grp", "members").agg(
-        F.min("doc_id").alias("doc_id"))
-    texts = docs.join(named.hint("shuffle_hash"), "doc_id").select("cls", "grp", "text", "members")
+    named = signed.where("n > 0").select("doc_id", "row", "cls").join(unit, "cls").groupBy("cls", "grp", "members").agg(_first_row())
+    named = named.select("cls", "grp", "members", "first.doc_id", "first.row")
+    texts = docs.join(named.hint("shuffle_hash"), _same_row(docs, named)).select("cls", "grp", "text", "members")
 
     def whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi in chunks(b.column(2)):
                 part = b.slice(lo, hi - lo)
                 sets = shingles(split(part.column(2)), size)
-                # an id may stand at other texts too
+                # a hash may stand for other texts too
                 right = [i for i, (s, c) in enumerate(zip(sets, part.column(0).to_pylist())) if len(s) and _class_of(s) == c]
                 at = pa.array(right, pa.int64())
                 yield pa.RecordBatch.from_arrays([
@@ -269,9 +279,22 @@ def near_copy_components(documents: DataFrame, size: int = 5, percent: int = 80)
 
     sets = saved(texts.mapInArrow(whole_sets, "grp long, members long, cls long, n long, data binary").dropDuplicates(["cls"]))
     linked = components(links_in_groups(sets, True, percent), True)
-    named = signed.select("doc_id", F.col("n").alias("n_shingles"), "cls").join(
+    return signed.select("doc_id", "row", F.col("n").alias("n_shingles"), "cls").join(
         linked.withColumnRenamed("node", "cls"), "cls", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "cls").alias("key"))
+        "doc_id", "row", "n_shingles", F.coalesce("component", "cls").alias("key"))
+
+
+def near_copy_components(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row of ``documents`` (``doc_id``, ``text``).
+
+    Words are the runs of bytes other than white space, A-Z in lower case. The
+    set of a text are its distinct runs of ``size`` words; of a shorter text its
+    whole sequence; an empty or null text has none and is linked with nothing.
+    Two documents link if they share ``percent`` of the union. ``component_id`` is
+    the smallest id among all documents reachable by links; null ids are never the
+    smallest while another is there. Rows keep their number, repeated ids too.
+    """
+    named = linked_rows(documents, size, percent)
     # written, so that the join has an exchange of its own on either side and a large component can be split
     least = saved(named.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("component_id")), light=True)
     return named.join(least, "key", "left").select(
@@ -279,16 +302,21 @@ def near_copy_components(documents: DataFrame, size: int = 5, percent: int = 80)
 
 
 def keep_one(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``documents`` with the smallest id of each component, all columns.
+    """One row of each component of ``documents``, all columns: that with the smallest id.
 
-    Of rows with one id that with the smallest text stays; rows without an id stay.
+    Rows of one id are kept apart by a hash of their text; of rows equal in both one
+    stays. Rows without an id stay and link what they are near copies of. Rows
+    without words are linked with nothing.
     """
-    found = near_copy_components(documents, size, percent)
-    first = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = documents.join(first, "doc_id", "left_semi")
-    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
-    kept = kept.groupBy("doc_id").agg(F.min_by(row, F.coalesce("text", F.lit(""))).alias("row")).select("row.*")
-    return kept.union(documents.where("doc_id IS NULL"))
+    keyed = linked_rows(documents, size, percent).where("key IS NOT NULL AND doc_id IS NOT NULL")
+    kept = keyed.groupBy("key").agg(_first_row()).select("first.doc_id", "first.row")
+    held = documents.withColumn("_columns", F.struct(*[F.col(f"`{c}`") for c in documents.columns])).select("doc_id", "text", _row(), "_columns")
+    named = held.where("doc_id IS NOT NULL")
+    words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    one = named.where(words).join(kept, ["doc_id", "row"], "left_semi").select("doc_id", "row", "_columns")
+    one = one.union(named.where(~words).select("doc_id", "row", "_columns"))
+    one = one.groupBy("doc_id", "row").agg(F.min_by("_columns", F.xxhash64("_columns")).alias("_columns"))
+    return one.select("_columns.*").union(held.where("doc_id IS NULL").select("_columns.*"))
 
 
 @query("op8_near_copies")

@@ -137,9 +137,10 @@ def grow(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 4, rate: fl
 def fit(documents: DataFrame, labels: DataFrame, sample: int = 20_000, **options) -> Forest:
     """Trees grown on at most ``sample`` labelled documents (``labels``: ``doc_id``, ``label`` 0 or 1).
 
-    The sample has the labels with the smallest hashes of their ids, and so is at
-    most ``sample`` ids large where it is joined. Null labels teach nothing; of an
-    id that is labelled twice the smaller label counts.
+    The sample has the labels with the smallest hashes of their ids, and one row an
+    id: of an id with several rows that with the smallest statistics. So no more
+    than ``sample`` rows reach the driver. Null labels teach nothing; of an id that
+    is labelled twice the smaller label counts.
     """
     chosen = labels.where("label IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("label").alias("label"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
@@ -148,11 +149,13 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = 20_000, **options
         for b in batches:
             x = statistics(b.column(1))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.FixedSizeListArray.from_arrays(pa.array(x.reshape(-1)), len(FEATURES)).cast(pa.list_(pa.float32()))],
-                ["label", "x"])
+                [b.column(0), b.column(2), pa.FixedSizeListArray.from_arrays(pa.array(x.reshape(-1)), len(FEATURES)).cast(pa.list_(pa.float32()))],
+                ["label", "doc_id", "x"])
 
-    rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(F.col("label").cast("int"), "text")
-    got = rows.mapInArrow(run, "label int, x array<float>").toPandas()
+    rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(F.col("label").cast("int"), "text", "doc_id")
+    key = rows.schema["doc_id"].dataType.simpleString()
+    got = rows.mapInArrow(run, f"label int, doc_id {key}, x array<float>").groupBy("doc_id").agg(
+        F.first("label").alias("label"), F.min("x").alias("x")).toPandas()
     x = np.array(got.x.tolist(), np.float32).reshape(len(got), len(FEATURES))
     order = np.lexsort((*x.T, got.label.to_numpy()))
     return grow(x[order], got.label.to_numpy(float)[order], **options)

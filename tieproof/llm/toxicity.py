@@ -125,7 +125,8 @@ def fit(documents: DataFrame, labels: DataFrame, unlabelled: Column, positives:
     """Learns from at most ``positives`` toxic documents and ``others`` documents whose labels are not looked at.
 
     ``labels`` has ``doc_id`` and ``label``; ``unlabelled`` says which documents may
-    serve as unlabelled text. Both samples take the smallest hashes of the ids.
+    serve as unlabelled text. Both samples take the smallest hashes of the ids and
+    one row an id: of an id with several rows that with the smallest set of words.
     The class prior is the share of label 1 among ``labels`` unless it is given.
     Null ids and labels teach nothing.
     """
@@ -143,10 +144,12 @@ def fit(documents: DataFrame, labels: DataFrame, unlabelled: Column, positives:
                 part = b.slice(lo, hi - lo)
                 sets = list(_word_sets(split(part.column(1), space=BREAK)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], ["positive", "words"])
+                    [part.column(0), part.column(2), pa.array([s.tobytes() for s in sets], pa.binary())], ["positive", "doc_id", "words"])
 
-    rows = documents.select("doc_id", "text").join(F.broadcast(first.union(rest)), "doc_id").select("positive", "text")
-    got = rows.mapInArrow(run, "positive boolean, words binary").toPandas().sort_values(["positive", "words"])
+    rows = documents.select("doc_id", "text").join(F.broadcast(first.union(rest)), "doc_id").select("positive", "text", "doc_id")
+    key = rows.schema["doc_id"].dataType.simpleString()
+    got = rows.mapInArrow(run, f"positive boolean, doc_id {key}, words binary").groupBy("positive", "doc_id").agg(
+        F.min("words").alias("words")).toPandas().sort_values(["positive", "words"])
     sets = lambda flag: [np.frombuffer(x, np.uint64) for x in got.words[got.positive == flag]]
     return train(sets(True), sets(False), float(prior), **options)
 
