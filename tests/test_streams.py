@@ -8,7 +8,7 @@ from tieproof.config import Config
 from tieproof.plans import store
 from tieproof.session import scratch
 from tieproof.sources import writers
-from tieproof.streaming import jobs, run
+from tieproof.streaming import jobs, keyed, run
 from tieproof.streaming.ladder import levels, observations
 
 CFG = Config()
@@ -109,6 +109,17 @@ def test_levels_of_random_logs(spark):
     assert {level for level, _ in seen} == {1, 2, 3, 4, 5} and {resets for _, resets in seen} >= {0, 1, 2, 3}
 
 
+@pytest.mark.parametrize("size", [20, 64, 1000])
+def test_one_session_is_walked_in_blocks(spark, size):
+    """Most rows in one session, another one without a name; spells, resets and streaks cross block bounds."""
+    rnd = random.Random(9)
+    sessions = {1: random_log(rnd, 900), None: random_log(rnd, 120), 2: random_log(rnd, 30)}
+    calm = [(i, i * 1_000_000, 0, "call", "prompt_echoed" if i < 5 else "parsed") for i in range(300)]
+    sessions[3] = calm + [(300, 400_000_000, 0, "sample", "ok"), (301, 401_000_000, 0, "sample", "ok")]
+    got = played(spark, sessions, size=size)
+    assert all(got[s] == plain(rows) for s, rows in sessions.items())
+
+
 def test_levels_do_not_depend_on_batches(spark):
     rnd = random.Random(6)
     schema = "session_id long, event_id long, us long, round int, call string, fetch string"
@@ -141,6 +152,38 @@ def test_store_sink_over_three_batches_equals_one_merge(spark):
     assert got == sorted(tuple(r[c] for c in cols) for r in once.collect()) and len(got) == 7
 
 
+def store_rows(ids, firm):
+    schema = ("rec_seq long, company_name string, founder string, founders string, description string, affiliation_type string, "
+              "evidence string, proof_url string, source_url string, status string, verified boolean")
+    return [(i, f"Firm {firm(i)}", "Ann Lee", "", f"d{i}", "Alumni", "Ann Lee founded it in 1999",
+             "https://a.org/x", f"https://s{i % 3}", "active", False) for i in ids], schema
+
+
+def test_store_sink_rewrites_touched_buckets_only(spark):
+    import os
+
+    first, schema = store_rows(range(60), lambda i: 100 + i)
+    second, _ = store_rows(range(60, 62), lambda i: 105)
+    frame = lambda rows: spark.createDataFrame(rows, schema)
+    sink = jobs.StoreSink(scratch(spark), CFG, buckets=16)
+
+    def files():
+        return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, fs in os.walk(f"{sink.path}/store") for f in fs}
+
+    sink(frame(first), 0)
+    before, whole = files(), {r.name_key: r.description for r in sink.result(spark).collect()}
+    for _ in range(2):  # batch 7 follows batch 0, and is replayed
+        sink(frame(second), 7)
+        assert {f: t for f, t in files().items() if "version=0" in f} == before
+        now = sink.manifest(spark)
+        assert sorted(now.values()).count(7) == 1 and len(now) == len(sink.manifest(spark, 7)) > 8
+        got = {r.name_key: (r.description, r.n_sources) for r in sink.result(spark).collect()}
+        assert {k: d for k, (d, _) in got.items()} == whole and sorted(n for _, n in got.values())[-1] == 3
+    assert len([f for f in files() if "version=7" in f and f.endswith(".parquet") and "/." not in f]) == 1
+    sink(frame([]), 8)
+    assert sink.manifest(spark) == now
+
+
 def test_publish_counts_versions(spark):
     path = scratch(spark)
     writers.publish(spark.range(3), path)
@@ -175,3 +218,79 @@ def test_companies_of_any_size_are_rows(spark):
     assert set(writers.COMPANY_COLUMNS[1:]) <= set(flat.columns)
     got = {(r["company"], r["name"], r["pos"]): (r["member_count"], r["schools"]) for r in flat.collect()}
     assert got == {**{("A", f"P{i}", i + 1): (5, "S0; S1") for i in range(5)}, ("B", "Q", 1): (1, ""), ("C", None, None): (0, "")}
+
+
+# --- keyed state ----------------------------------------------------------------
+
+
+def fed(spark, rows, schema, parts, job):
+    """The log of ``job`` over ``rows`` cut into ``parts`` files, each a micro-batch; and of a replay from its checkpoint."""
+    path = scratch(spark)
+    for k in range(parts):
+        cut = rows[k * len(rows) // parts:(k + 1) * len(rows) // parts]
+        spark.createDataFrame(cut, schema).coalesce(1).write.parquet(f"{path}/{k:03}")
+    stream = run.follow(spark, f"{path}/*", schema, maxFilesPerTrigger="1", latestFirst="false")
+    base = scratch(spark)
+
+    def play():
+        job(stream).writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{base}/checkpoint").trigger(
+            availableNow=True).start(f"{base}/table").awaitTermination()
+        return sorted(map(tuple, spark.read.parquet(f"{base}/table").collect()), key=str)
+
+    first = play()
+    assert play() == first  # nothing new: nothing is said twice
+    return first
+
+
+def attempts_log(rows):
+    out, pool = [], {}
+    for key, event, second, outcome in rows:
+        failures, place = pool.get(key, (0, "new"))
+        failures += outcome != "ok"
+        now = ("promoted" if failures else "new") if outcome == "ok" else "parked" if failures > 5 else "demoted"
+        if now != place:
+            out.append((key, second * 1_000_000, event, now, failures))
+        pool[key] = failures, now
+    return sorted(out, key=str)
+
+
+def test_candidates_are_promoted_and_demoted_over_batches(spark):
+    rnd = random.Random(12)
+    rows = [(rnd.choice([None, 1, 1, 1, 2, 3]), i, i // 2, rnd.choice(["ok", "ok", "timeout", "empty"])) for i in range(120)]
+    for parts in (1, 4):
+        got = fed(spark, rows, "session_id long, event_id long, s long, outcome string", parts,
+                  lambda s: keyed.candidate_log(s.withColumn("ts", F.timestamp_seconds("s"))))
+        assert got == attempts_log(rows)
+    assert {"promoted", "demoted", "parked"} == {r[3] for r in got}
+
+
+def test_illegal_steps_are_rejected_over_batches(spark):
+    asked = [(1, "new"), (2, "verifying"), (1, "queued"), (2, "new"), (1, "verified"), (1, "verifying"), (2, "queued"), (1, "verified"),
+             (1, "queued"), (2, "verifying"), (2, "needs_human"), (2, "rejected"), (3, None), (2, "verified")]
+    rows = [(d, i, s) for i, (d, s) in enumerate(asked)]
+    place, want = {}, []
+    for d, i, s in rows:
+        was = place.get(d)
+        fits = s == "new" if was is None else s in keyed.ALLOWED.get(was, ())
+        want.append((d, i, s, was, fits))
+        place[d] = s if fits else was
+    for parts in (1, 5):
+        assert fed(spark, rows, "doc_id long, step int, state string", parts, keyed.state_log) == sorted(want, key=str)
+    assert place == {1: "verified", 2: "rejected", 3: None}
+
+
+def test_silent_runs_raise_alarms(spark):
+    minute = 60
+    rows = [(1, 0, 0, "a"), (2, 1, 0, "a"), (3, 2, 0, "SESSION ENDED"),
+            (1, 3, 10 * minute, "b"), (2, 4, 14 * minute, "b"), (4, 5, 20 * minute, "a"),
+            (2, 6, 28 * minute, "c"), (4, 7, 30 * minute, "b"), (1, 8, 50 * minute, "back"),
+            (4, 9, 55 * minute, "SESSION ENDED"), (2, 10, 55 * minute, "end"), (5, 11, 90 * minute, "clock")]
+    us = lambda m: m * minute * 1_000_000
+    want = sorted([
+        (1, us(25), "stalled", us(10)), (1, us(50), "resumed", us(10)), (1, us(65), "stalled", us(50)),
+        (2, us(43), "stalled", us(28)), (2, us(55), "resumed", us(28)), (2, us(70), "stalled", us(55)),
+        (4, us(45), "stalled", us(30)), (4, us(55), "resumed", us(30))], key=str)
+    for parts in (1, 4, 12):
+        got = fed(spark, rows, "run_id long, seq long, s long, line string", parts, lambda s: keyed.stall_alarms(
+            s.withColumn("ts", F.timestamp_seconds("s")).withWatermark("ts", "0 seconds"), ended=("SESSION ENDED",)))
+        assert got == want

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tieproof.config import Config
+from tieproof.operators.merge import admitted, backfill_founder
 from tieproof.operators.logs import STORE_TOTAL, WAITING, WALL_GONE, WALL_SEEN
 from tieproof.operators.stats import CALL_OUTCOMES
 from tieproof.plans import store as store_plan
-from tieproof.sources import writers
 
 C = F.col
 EPOCH_ROUNDS = 20
@@ -70,27 +71,64 @@ def watch(lines: DataFrame) -> DataFrame:
 
 
 class StoreSink:
-    """Merges micro-batches into a published store; each batch makes one new version.
+    """Merges micro-batches into a store in hash buckets; a batch rewrites the buckets that it touches and no others.
 
-    Every batch reads the version of the batch before it and writes its own, so
-    a batch that is replayed after a failure starts from the same rows again.
+    A manifest per batch says in which version each bucket is. A batch starts from
+    the manifest of the last batch before it, whatever its number, writes its
+    buckets under its own number and its manifest last; so a batch that is replayed
+    after a failure starts from the same rows again, and readers see the store
+    before it or after it. Versions that no manifest needs any more may be deleted.
     """
 
-    def __init__(self, path: str, cfg: Config):
-        self.path, self.cfg = path, cfg
+    def __init__(self, path: str, cfg: Config, buckets: int = 64):
+        self.path, self.cfg, self.buckets = path, cfg, buckets
+
+    def bucket(self, key: Column) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
+
+    def manifest(self, spark: SparkSession, before: int | None = None) -> dict[int, int]:
+        """Version of each bucket after the last batch (before the one given); one row a bucket, so a small list."""
+        try:
+            rows = spark.read.schema("bucket int, version long, batch_id long").parquet(f"{self.path}/manifest")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return {}
+        rows = rows if before is None else rows.where(C("batch_id") < before)
+        last = rows.agg(F.max("batch_id")).first()[0]
+        return {r["bucket"]: r["version"] for r in rows.where(C("batch_id") == F.lit(last)).collect()}
+
+    def _read(self, spark: SparkSession, name: str, versions: dict[int, int], schema: str | None = None) -> DataFrame | None:
+        out = None
+        for version in sorted(set(versions.values())):
+            reader = spark.read if schema is None else spark.read.schema(schema)
+            rows = reader.parquet(f"{self.path}/{name}/version={version}").where(
+                C("bucket").isin([b for b, v in versions.items() if v == version])).drop("bucket")
+            out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+        return out
+
+    def _write(self, df: DataFrame, name: str, batch_id: int) -> None:
+        df = df.withColumn("bucket", self.bucket(C("name_key"))).repartition("bucket")
+        df.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{name}/version={batch_id}")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        old = sources = None
-        if batch_id > 0:
-            old = writers.current(spark, f"{self.path}/store-{batch_id - 1}")
-            old = old.drop("validation_tier", "validation_issues")
-            sources = writers.current(spark, f"{self.path}/sources-{batch_id - 1}")
-        merged, rows, clash = store_plan.upsert(old, sources, batch, self.cfg)
-        clash.write.mode("overwrite").parquet(f"{self.path}/conflicts/batch_id={batch_id}")
-        writers.publish(rows, f"{self.path}/sources-{batch_id}")
-        writers.publish(merged, f"{self.path}/store-{batch_id}")
-        spark.range(batch_id, batch_id + 1).write.mode("append").parquet(f"{self.path}/batches")
+        versions = self.manifest(spark, batch_id)
+        named = admitted(backfill_founder(batch) if "people" in batch.columns else batch, self.cfg)
+        touched = {r[0] for r in named.select(self.bucket(C("name_key"))).distinct().collect()}
+        if touched:
+            mine = {b: v for b, v in versions.items() if b in touched}
+            old = self._read(spark, "store", mine)
+            sources = self._read(spark, "sources", mine, "name_key string, source_url string, bucket int")
+            if old is not None:
+                old = old.drop("validation_tier", "validation_issues")
+            merged, rows, clash = store_plan.upsert(old, sources, batch, self.cfg)
+            clash.write.mode("overwrite").parquet(f"{self.path}/conflicts/batch_id={batch_id}")
+            self._write(rows, "sources", batch_id)
+            self._write(merged, "store", batch_id)
+        after = list({**versions, **dict.fromkeys(touched, batch_id)}.items())
+        listed = spark.createDataFrame(after, "bucket int, version long")
+        listed.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/manifest/batch_id={batch_id}")
 
     def conflicts(self, spark: SparkSession) -> DataFrame:
         """Conflicts of each batch."""
@@ -98,5 +136,4 @@ class StoreSink:
 
     def result(self, spark: SparkSession) -> DataFrame:
         """The store after the last finished batch."""
-        last = spark.read.parquet(f"{self.path}/batches").agg(F.max("id").alias("id")).first()["id"]
-        return writers.current(spark, f"{self.path}/store-{last}")
+        return self._read(spark, "store", self.manifest(spark))
