@@ -15,6 +15,7 @@ from tieproof.catalog.scalars import S_FACTS
 from tieproof.functions import typing
 from tieproof.operators import graph, merge, stats
 from tieproof.plans import discover, extract, gate, migrate, repair, store
+from tieproof.session import written
 
 C = F.col
 
@@ -253,18 +254,36 @@ UNION ALL SELECT 'stage', funding_stage, count(*) FROM legacy_records WHERE fund
 UNION ALL SELECT 'top_funded', company_name, n FROM tf UNION ALL SELECT 'top_acquired', company_name, n FROM ta
 UNION ALL SELECT 'top_pair', pair, n FROM tp""")
 def job_ecosystem(t):
-    r, a = t.raw_records, t.affiliations
-    sections = stats.distribution(
-        r.withColumnsRenamed({"validation_tier": "tier"}), "tier", "status", "industry", "headquarters"
-    ).union(stats.distribution(a, "school", "role")).toDF("section", "key", "n")
-    decades = stats.decades(r).select(F.lit("decade").alias("section"), C("decade").cast("string").alias("key"), "n")
-    total = stats.totals(r).select(F.explode(F.array(*[
-        F.struct(F.lit("total").alias("section"), F.lit(k).alias("key"), C(c).alias("n"))
-        for k, c in (("records", "n_records"), ("funded", "n_funded"), ("funding", "total_funding"))
-    ])).alias("_t")).select("_t.*")
+    # each input is read once: what the report needs of it is written, in few columns, and counted by grouping sets
+    r = written(t.raw_records.select("company_name", "validation_tier", "status", "industry", "headquarters", "funding_total_usd", "founded_year"))
+    legacy = written(t.legacy_records.select("company_name", "funding_stage", "acquisition_amount_usd"))
+    a = written(t.affiliations.select("company", "person", "school", "role"))
+
+    def counted(df, **fields):
+        """Counts of every value of each field and of all rows, and the funding of all, in one aggregation."""
+        named = df.select(*[c.cast("string").alias(n) for n, c in fields.items()], C("funding_total_usd") if df is r else F.lit(0).alias("funding_total_usd"))
+        sets = [[C(n)] for n in fields] + [[]]
+        out = named.groupingSets(sets, *[C(n) for n in fields]).agg(
+            F.count("*").alias("n"), F.count_if(C("funding_total_usd") != 0).alias("funded"), F.sum("funding_total_usd").alias("funding"),
+            F.grouping_id(*[C(n) for n in fields]).alias("_id"))
+        width = len(fields)
+        section, key = F.lit(None).cast("string"), F.lit(None).cast("string")
+        for i, n in enumerate(fields):
+            mine = C("_id") == (1 << width) - 1 - (1 << (width - 1 - i))
+            section, key = F.when(mine, n).otherwise(section), F.when(mine, C(n)).otherwise(key)
+        total = F.array(*[F.struct(F.lit("total").alias("section"), F.lit(k).alias("key"), C(c).cast("long").alias("n"))
+                          for k, c in (("records", "n"), ("funded", "funded"), ("funding", "funding"))])
+        one = F.array(F.struct(section.alias("section"), key.alias("key"), C("n").cast("long").alias("n")))
+        rows = out.select(F.explode(F.when(C("_id") == (1 << width) - 1, total).otherwise(one)).alias("_t")).select("_t.*")
+        return rows if df is r else rows.where("section <> 'total'")
+
+    year = C("founded_year")
+    decade = F.when(year.between(1900, 2030), (F.floor(year / 10) * 10).cast("int"))
+    sections = counted(r, tier=C("validation_tier"), status=C("status"), industry=C("industry"), headquarters=C("headquarters"), decade=decade)
+    sections = sections.where("section <> 'decade' OR key IS NOT NULL").union(counted(a, school=C("school"), role=C("role")))
     several = graph.repeat_counts(a).agg(F.count("*").alias("n")).select(
         F.lit("total").alias("section"), F.lit("people_in_several").alias("key"), "n")
-    stages = stats.distribution(t.legacy_records.where("funding_stage <> ''").withColumnRenamed("funding_stage", "stage"), "stage")
+    stages = stats.distribution(legacy.where("funding_stage <> ''").withColumnRenamed("funding_stage", "stage"), "stage")
 
     def top(df, section, key, n, most):
         rows = df.select(F.lit(section).alias("section"), key.alias("key"), C(n).cast("long").alias("n")).where("n <> 0")
@@ -273,9 +292,9 @@ def job_ecosystem(t):
     pairs = graph.top_pairs(a, 15).select(
         F.lit("top_pair").alias("section"), F.concat("source", F.lit(" + "), "target").alias("key"), C("weight").alias("n"))
     return (
-        sections.union(decades).union(total).union(several).union(stages)
+        sections.union(several).union(stages)
         .union(top(r, "top_funded", C("company_name"), "funding_total_usd", 20))
-        .union(top(t.legacy_records, "top_acquired", C("company_name"), "acquisition_amount_usd", 10)).union(pairs)
+        .union(top(legacy, "top_acquired", C("company_name"), "acquisition_amount_usd", 10)).union(pairs)
     )
 
 

@@ -173,10 +173,10 @@ def jn_resume(t):
 
 @query("jn_unclear_pages", "verdicts", """
 SELECT v.doc_id, coalesce(CASE WHEN p.text <> '' THEN p.text END, concat('evidence ', v.doc_id)) AS page_text
-FROM verdicts v LEFT JOIN (SELECT * FROM documents WHERE lang = 'en') p ON p.doc_id = v.doc_id WHERE v.verdict = 'UNCLEAR'""")
+FROM verdicts v LEFT JOIN documents p ON p.doc_id = v.doc_id WHERE v.verdict = 'UNCLEAR'""")
 def jn_unclear_pages(t):
     v = t.verdicts.withColumn("evidence", F.concat(F.lit("evidence "), C("doc_id")))
-    return joins.pages_to_recheck(v, t.documents.where("lang = 'en'"), "doc_id").select("doc_id", "page_text")
+    return joins.pages_to_recheck(v, t.documents, "doc_id").select("doc_id", "page_text")
 
 
 _URL = "concat('https://page.example.net/', CAST(CAST(floor(rec_seq / 24) AS BIGINT) AS STRING))"

@@ -24,19 +24,22 @@ _SCHEMA = "rec_seq:bigint,company_name:string,founder:string,status:string"
 k AS (SELECT {s_name_key('company_name')} AS name_key, rec_seq, company_name, founder, status FROM raw_records)
 SELECT * FROM k WHERE name_key <> '' QUALIFY row_number() OVER (PARTITION BY name_key ORDER BY rec_seq DESC) = 1""")
 def src_records(t):
-    # Documents of a thousand records in the three layouts, in turn.
+    # Documents of five thousand records in the three layouts, in turn; each is a file written by one task, a record a line.
+    doc = F.floor(C("rec_seq") / 5000)
     row = F.to_json(F.struct("rec_seq", "company_name", "founder", "status"))
-    docs = t.raw_records.groupBy(F.floor(C("rec_seq") / 1000).alias("doc_no")).agg(
-        F.array_sort(F.collect_list(F.struct("rec_seq", "company_name", row.alias("j")))).alias("rows"))
-    plain = F.array_join(F.transform("rows", lambda r: r["j"]), ",")
-    named = F.array_join(
-        F.transform("rows", lambda r: F.concat(F.lit('"'), r["company_name"], F.lit('":'), r["j"])), ",")
-    content = (
-        F.when(C("doc_no") % 3 == 0, F.concat(F.lit("["), plain, F.lit("]")))
-        .when(C("doc_no") % 3 == 1, F.concat(F.lit('{"records":['), plain, F.lit('],"count":1}')))
-        .otherwise(F.concat(F.lit("{"), named, F.lit("}")))
-    )
-    return readers.parse_record_files(docs.select("doc_no", content.alias("content")), _SCHEMA)
+    rows = t.raw_records.select(doc.alias("doc"), "rec_seq", F.concat(
+        F.when(doc % 3 == 2, F.concat(F.lit('"'), "company_name", F.lit('":'))).otherwise(""), row).alias("line"))
+    first = rows.groupBy("doc").agg(F.min("rec_seq").alias("first"))
+    rows = rows.join(first, "doc").select("doc", "rec_seq", F.concat(F.when(C("rec_seq") > C("first"), ",").otherwise(""), "line").alias("value"))
+    opens = F.when(C("doc") % 3 == 0, "[").when(C("doc") % 3 == 1, '{"records":[').otherwise("{")
+    closes = F.when(C("doc") % 3 == 0, "]").when(C("doc") % 3 == 1, '],"count":{"of":"}"}}').otherwise("}")
+    edges = first.select("doc", F.explode(F.array(
+        F.struct(F.lit(-1).cast("long").alias("rec_seq"), opens.alias("value")),
+        F.struct(F.lit(1 << 62).alias("rec_seq"), closes.alias("value")))).alias("_e")).select("doc", "_e.*")
+    path = scratch(t.spark)
+    lines = rows.unionByName(edges).withColumn("doc", F.lpad(C("doc").cast("string"), 12, "0"))
+    lines.repartition("doc").sortWithinPartitions("doc", "rec_seq").select("doc", "value").write.partitionBy("doc").text(path)
+    return readers.read_records(t.spark, f"{path}/*", _SCHEMA)
 
 
 @query("src_verdict_log", "verdicts", """
@@ -55,9 +58,11 @@ def src_page_cache(t):
     stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
     content = F.concat(
         F.lit("URL: "), "url", F.lit("\nCAPTURED: "), stamp, F.lit("\n\nBody of\n"), "url")
-    good = t.visits.select(content.alias("content"))
-    bad = t.visits.select(F.concat(F.lit("no header "), "url").alias("content"))
-    return readers.parse_page_files(good.union(bad)).distinct()
+    good = t.visits.select(content.alias("value"))
+    bad = t.visits.select(F.concat(F.lit("no header "), "url").alias("value"))
+    path = scratch(t.spark)
+    good.union(bad).write.option("lineSep", "\x1e").text(path)
+    return readers.read_page_cache(t.spark, path, "\x1e").distinct()
 
 
 @query("src_overlay", "raw_records", S_OVERLAY + "SELECT * FROM o")
@@ -122,7 +127,9 @@ _FULL = ", ".join(f'{_s_full(f, _LEGACY)} AS "{n}"' for n, f in writers.FULL_COL
 
 @query("snk_csv_full", "legacy_records", f"SELECT {_FULL} FROM legacy_records ORDER BY lower(company_name), rec_seq")
 def snk_csv_full(t):
-    return writers.full_export(t.legacy_records.orderBy(F.lower("company_name"), "rec_seq"))
+    path = scratch(t.spark)
+    writers.write_full_csv(t.legacy_records, path)
+    return t.spark.read.csv(path, header=True, schema=", ".join(f"`{n}` string" for n in writers.FULL_COLUMNS), escape='"').na.fill("")
 
 
 def _company_records(t):
@@ -163,19 +170,22 @@ m AS (SELECT DISTINCT company, person FROM affiliations), z AS (SELECT company,
 SELECT 'nodes_people' AS name, concat('P:', person) AS row FROM (SELECT DISTINCT person FROM affiliations)
 UNION ALL SELECT 'nodes_companies', concat('C:', company_name, '|', tier, '|', status) FROM c
 UNION ALL SELECT 'edges_person_company', concat('P:', person, '|C:', company) FROM affiliations
+UNION ALL SELECT 'edges_person_person', concat('P:', a.person, '|P:', b.person, '|', count(*), '|', string_agg(a.company, '; ' ORDER BY a.company))
+  FROM m a JOIN m b ON a.company = b.company AND a.person < b.person GROUP BY a.person, b.person HAVING count(*) > 1
 UNION ALL SELECT 'edges_shared_company', concat(company, '|', person, '|', members) FROM m JOIN z USING (company) WHERE members > 1""")
 def snk_graph(t):
     path = scratch(t.spark)
     order = F.struct("company", "pos", "role")
     shown = {
         "nodes_people": ["id"], "nodes_companies": ["id", "tier", "status"], "edges_person_company": ["source", "target"],
-        "edges_shared_company": ["company", "person", "members"],
+        "edges_shared_company": ["company", "person", "members"], "edges_person_person": ["source", "target", "weight", "label"],
     }
     written = writers.write_graph({
         "nodes_people": graph.people(t.affiliations, order),
         "nodes_companies": graph.companies(t.raw_records),
         "edges_person_company": graph.person_company(t.affiliations, order),
         "edges_shared_company": graph.shared_companies(t.affiliations),
+        "edges_person_person": graph.person_person(t.affiliations),
         "nothing": t.affiliations.where("person IS NULL"),
     }, path)
     back = [

@@ -12,7 +12,7 @@ from tieproof.operators import graph, logs, process_tree, stats
 from tieproof.operators.merge import last_per_key
 from tieproof.session import scratch
 from tieproof.sources.shapes import Tables
-from tieproof.streaming import jobs, ladder, run
+from tieproof.streaming import jobs, keyed, ladder, run
 
 C = F.col
 
@@ -164,10 +164,70 @@ def st_states(t):
     return last_per_key(history, "doc_id", "step").select("doc_id", "state", (C("state") == "verified").alias("published"))
 
 
-@query("st_expand", "affiliations", """
-s AS (SELECT DISTINCT person FROM affiliations WHERE school = 'NATION_1'),
-c1 AS (SELECT DISTINCT company FROM affiliations WHERE person IN (SELECT person FROM s)),
-h1 AS (SELECT DISTINCT person FROM affiliations WHERE company IN (SELECT company FROM c1) AND person NOT IN (SELECT person FROM s))
-SELECT person, 0 AS hop FROM s UNION ALL SELECT person, 1 FROM h1""")
+EXPAND_BUDGET = 40
+
+
+def _s_hop(n: int) -> str:
+    """One hop more: companies not met, people not seen, the first of them by links and name."""
+    met = f"SELECT company FROM m{n - 1}" if n > 1 else "SELECT NULL WHERE false"
+    return f"""
+c{n} AS (SELECT DISTINCT company FROM m WHERE person IN (SELECT person FROM f{n - 1}) AND company NOT IN ({met})),
+m{n} AS (SELECT company FROM c{n} UNION ALL {met}),
+r{n} AS (SELECT person, {n} AS hop, row_number() OVER (ORDER BY count(*) DESC, person) AS rank, min(company) AS via FROM m
+  WHERE company IN (SELECT company FROM c{n}) AND person NOT IN (SELECT person FROM s{n - 1}) GROUP BY person),
+f{n} AS (SELECT * FROM r{n} WHERE rank <= {EXPAND_BUDGET}), s{n} AS (SELECT * FROM s{n - 1} UNION ALL SELECT * FROM f{n})"""
+
+
+@query("st_expand", "affiliations", f"""
+m AS (SELECT DISTINCT company, person FROM affiliations),
+f0 AS (SELECT * FROM (SELECT person, 0 AS hop, row_number() OVER (ORDER BY person) AS rank, CAST(NULL AS VARCHAR) AS via
+  FROM (SELECT DISTINCT person FROM affiliations WHERE school = 'NATION_1')) WHERE rank <= {EXPAND_BUDGET}),
+s0 AS (SELECT * FROM f0),{_s_hop(1)},{_s_hop(2)},{_s_hop(3)}
+SELECT person, hop, rank, via FROM s3""")
 def st_expand(t):
-    return graph.expand(t.affiliations, t.affiliations.where("school = 'NATION_1'").select("person"), hops=1)
+    seeds = t.affiliations.where("school = 'NATION_1'").select("person")
+    return graph.expand(t.affiliations, seeds, hops=3, budget=EXPAND_BUDGET)
+
+
+@query("st_candidate_log", "fetch_log", """
+x AS (SELECT *, sum(CAST(outcome <> 'ok' AS BIGINT)) OVER w AS attempts FROM fetch_log WINDOW w AS (PARTITION BY session_id ORDER BY ts, event_id)),
+y AS (SELECT *, CASE WHEN outcome <> 'ok' THEN CASE WHEN attempts > 5 THEN 'parked' ELSE 'demoted' END
+  WHEN attempts > 0 THEN 'promoted' ELSE 'new' END AS change FROM x)
+SELECT session_id, us, event_id, change, CAST(attempts AS BIGINT) AS attempts FROM (
+  SELECT *, epoch_us(ts) AS us, lag(change, 1, 'new') OVER (PARTITION BY session_id ORDER BY ts, event_id) AS was FROM y) WHERE change <> was""")
+def st_candidate_log(t):
+    return run.drain_to_table(keyed.candidate_log(Streamed(t, "events").fetch_log))
+
+
+@query("st_state_log", "verdicts", f"""
+a AS (SELECT doc_id, 1 AS step, 'new' AS state FROM documents UNION ALL SELECT doc_id, 2, 'queued' FROM documents WHERE lang <> 'de'
+  UNION ALL SELECT doc_id, 3, 'verifying' FROM verdicts UNION ALL SELECT doc_id, 4, {_STATE} FROM verdicts),
+d AS (SELECT doc_id, coalesce(lang <> 'de', false) AS queued FROM documents)
+SELECT a.doc_id, step, state, CASE WHEN d.doc_id IS NULL OR step = 1 THEN NULL WHEN step = 2 OR NOT queued THEN 'new'
+  WHEN step = 3 THEN 'queued' ELSE 'verifying' END AS before, coalesce(step = 1 OR queued, false) AS accepted
+FROM a LEFT JOIN d ON d.doc_id = a.doc_id""")
+def st_state_log(t):
+    s = Streamed(t, "documents", "labels")
+
+    def step(df, n, state):
+        return df.select("doc_id", F.lit(n).alias("step"), state.alias("state"))
+
+    asked = (
+        step(s.documents, 1, F.lit("new")).union(step(s.documents.where("lang <> 'de'"), 2, F.lit("queued")))
+        .union(step(s.verdicts, 3, F.lit("verifying"))).union(step(s.verdicts, 4, F.expr(_STATE)))
+    )
+    return run.drain_to_table(keyed.state_log(asked))
+
+
+@query("st_stall_alarms", "log_lines", """
+x AS (SELECT run_id, seq, epoch_us(ts) AS us, line, lag(epoch_us(ts)) OVER w AS was, lag(line) OVER w AS line_before, lead(seq) OVER w AS after
+  FROM log_lines WINDOW w AS (PARTITION BY run_id ORDER BY ts, seq)),
+g AS (SELECT * FROM x WHERE us > was + 900000000 AND line_before <> 'SESSION ENDED'),
+e AS (SELECT * FROM x WHERE after IS NULL AND line <> 'SESSION ENDED'
+  AND (us + 900000000) // 1000 < (SELECT max(epoch_us(ts)) FROM log_lines) // 1000)
+SELECT run_id, was + 900000000 AS us, 'stalled' AS alarm, was AS last_us FROM g
+UNION ALL SELECT run_id, us, 'resumed', was FROM g UNION ALL SELECT run_id, us + 900000000, 'stalled', us FROM e""")
+def st_stall_alarms(t):
+    lines = Streamed(t, "events").log_lines
+    lines = lines.withColumn("ts", C("ts").cast("timestamp")).withWatermark("ts", "0 seconds")
+    return run.drain_to_table(keyed.stall_alarms(lines, ended=logs.CLEAN_MARKERS))

@@ -138,12 +138,12 @@ def repeat_counts(edges: DataFrame) -> DataFrame:
 
 
 def people(edges: DataFrame, order: Column) -> DataFrame:
-    """One vertex per person with the attributes of its first edge."""
+    """One vertex per person with the attributes of its first edge, the graduation year too where edges have it."""
+    fields = [c for c in ("school", "role", "grad_year") if c in edges.columns]
     return (
         edges.where(is_named(F.col("person"))).groupBy(strip(F.col("person")).alias("label"))
-        .agg(F.min_by(F.struct("school", "role"), order).alias("_a"))
-        .select(F.concat(F.lit("P:"), F.col("label")).alias("id"), "label", F.lit("person").alias("type"),
-                "_a.school", "_a.role")
+        .agg(F.min_by(F.struct(*fields), order).alias("_a"))
+        .select(F.concat(F.lit("P:"), F.col("label")).alias("id"), "label", F.lit("person").alias("type"), "_a.*")
     )
 
 
@@ -172,6 +172,16 @@ def person_company(edges: DataFrame, order: Column) -> DataFrame:
     )
 
 
+def person_person(edges: DataFrame) -> DataFrame:
+    """Edges between people who share two or more companies, with weight and label (the companies, sorted).
+
+    Those who share one are the rows of ``shared_companies``.
+    """
+    return repeated_pairs(edges).select(
+        F.concat(F.lit("P:"), "source").alias("source"), F.concat(F.lit("P:"), "target").alias("target"),
+        F.lit("shared_company").alias("type"), "weight", F.col("companies").alias("label"))
+
+
 def expand(edges: DataFrame, seeds: DataFrame, hops: int = 1, budget: int | None = None) -> DataFrame:
     """People reachable from ``seeds`` over shared companies: ``person, hop, rank, via``.
 

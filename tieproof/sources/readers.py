@@ -11,33 +11,58 @@ from pyspark.sql import functions as F
 
 from tieproof.functions.names import name_key
 from tieproof.functions.text import strip, text
+from tieproof.operators.ordered import running, with_position
+from tieproof.session import written
 
 C = F.col
-LAYOUTS = ("list", "records", "keyed")
 
 
-def parse_record_files(files: DataFrame, schema: str) -> DataFrame:
-    """Records out of whole documents; later ones win under the same store key.
-
-    ``files``: ``doc_no`` (reading order) and ``content``. A document is a list,
-    an object with ``records``, or an object keyed by name; which one is seen
-    from the text. Documents are the unit of parallel work.
-    """
-    body = strip(C("content"))
-    as_list = F.from_json(body, f"array<struct<{schema}>>")
-    wrapped = F.from_json(body, f"struct<records:array<struct<{schema}>>>")["records"]
-    keyed = F.map_values(F.from_json(body, f"map<string,struct<{schema}>>"))
-    records = F.when(body.rlike(r"^\["), as_list).when(body.rlike(r'^\{\s*"records"\s*:\s*\['), wrapped).otherwise(keyed)
-    rows = files.select("doc_no", F.posexplode(records).alias("pos", "_r"))
+def latest_records(rows: DataFrame) -> DataFrame:
+    """Of records ``doc_no, pos, _r`` the last one under each store key; records without a key go."""
     rows = rows.withColumn("name_key", name_key(C("_r.company_name"))).where("name_key <> ''")
     return rows.groupBy("name_key").agg(F.max_by("_r", F.struct("doc_no", "pos")).alias("_r")).select("name_key", "_r.*")
 
 
+def split_records(spark: SparkSession, path: str) -> DataFrame:
+    """``doc_no, pos, json``: the records of JSON documents, whatever their size, as texts in their order.
+
+    A document is a list, an object with ``records`` as its first field, or an
+    object keyed by name. It is read in pieces that end at a brace, by as many tasks as it has
+    splits. Whether a piece begins inside a string, and how deep, is a running sum
+    over the pieces before it; where the depth falls back to that of the list a
+    record ends. So no task holds more of a document than its splits.
+    """
+    pieces = spark.read.option("lineSep", "}").text(path).select(
+        C("_metadata.file_path").alias("doc_no"), C("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_line"), "value")
+    pieces = with_position(pieces, ["doc_no"], ["_block", "_line"]).drop("_block", "_line")
+    plain = F.regexp_replace("value", r"(?s)\\.", "__")
+    pieces = pieces.withColumn("_plain", plain).withColumn("_quotes", F.length("_plain") - F.length(F.replace("_plain", F.lit('"'))))
+    pieces = running(pieces, ["doc_no"], {"_before": ("sum", C("_quotes"))}, upto=-1)
+    starts_inside, ends_inside = C("_before") % 2 == 1, (C("_before") + C("_quotes")) % 2 == 1
+    outside = F.regexp_replace(F.concat(F.when(starts_inside, '"').otherwise(""), C("_plain")), r'(?s)"[^"]*("|$)', "")
+    count = lambda c: F.length(outside) - F.length(F.replace(outside, F.lit(c)))
+    depth = count("{") + count("[") - count("]") - F.when(ends_inside, 0).otherwise(1)
+    pieces = written(running(pieces.withColumn("_by", depth), ["doc_no"], {"_depth": ("sum", C("_by"))}).drop("_plain"))
+    kind = F.when(C("value").rlike(r"^\s*\["), "list").when(C("value").rlike(r'^\s*\{\s*"records"\s*:\s*\['), "records").otherwise("keyed")
+    layout = pieces.where("pos = 0").select("doc_no", kind.alias("_layout"))
+    pieces = pieces.join(layout, "doc_no").withColumn("_base", F.when(C("_layout") == "records", 2).otherwise(1))
+    ends = ~ends_inside & (C("_depth") == C("_base"))
+    pieces = running(pieces.withColumn("_ends", ends), ["doc_no"], {"_no": ("sum", C("_ends").cast("long"))}, upto=-1)
+    whole = pieces.groupBy("doc_no", "_no", "_layout").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "value"))).alias("_p"), F.max("_ends").alias("_whole")).where("_whole")
+    body = F.concat(F.array_join(F.transform("_p", lambda x: x["value"]), "}"), F.lit("}"))
+    lead = {"list": r"^[\s\[,]*", "records": r'^(\s*\{\s*"records"\s*:\s*\[|[\s,]*)\s*', "keyed": r'(?s)^[\s{,]*"(?:[^"\\]|\\.)*"\s*:\s*'}
+    record = F.lit(None).cast("string")
+    for name, pattern in lead.items():
+        record = F.when(C("_layout") == name, F.regexp_replace(body, pattern, "")).otherwise(record)
+    return whole.select("doc_no", C("_no").alias("pos"), record.alias("json"))
+
+
 def read_records(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    files = spark.read.text(path, wholetext=True).select(
-        C("_metadata.file_path").alias("doc_no"), C("value").alias("content")
-    )
-    return parse_record_files(files, schema)
+    """Records of all documents under ``path``; later ones win under the same store key. Documents are in the order of their paths."""
+    rows = split_records(spark, path).select("doc_no", "pos", F.from_json("json", schema.replace(":", " ")).alias("_r"))
+    return latest_records(rows)
 
 
 def last_verdicts(lines: DataFrame) -> DataFrame:
@@ -59,8 +84,10 @@ def parse_page_files(files: DataFrame) -> DataFrame:
     )
 
 
-def read_page_cache(spark: SparkSession, path: str) -> DataFrame:
-    return parse_page_files(spark.read.text(path, wholetext=True).withColumnRenamed("value", "content"))
+def read_page_cache(spark: SparkSession, path: str, separator: str | None = None) -> DataFrame:
+    """Cached pages: a file each, or many in a file with a ``separator`` (one character) behind each."""
+    files = spark.read.text(path, wholetext=True) if separator is None else spark.read.text(path, lineSep=separator)
+    return parse_page_files(files.withColumnRenamed("value", "content"))
 
 
 BINDINGS = "results struct<bindings:array<struct<companyLabel:struct<value:string>,founderLabel:struct<value:string>>>>"

@@ -92,7 +92,7 @@ def full_export(df: DataFrame) -> DataFrame:
 
 def write_full_csv(df: DataFrame, path: str) -> None:
     """Sorted by lower-case name: a range partitioning, each task sorts its own range."""
-    full_export(df.orderBy(F.lower("company_name"), "rec_seq")).write.mode("overwrite").csv(path, header=True)
+    full_export(df.orderBy(F.lower("company_name"), "rec_seq")).write.mode("overwrite").csv(path, header=True, escape='"')
 
 
 def companies_flat(records: DataFrame, people: DataFrame) -> DataFrame:

@@ -100,12 +100,10 @@ def candidate_log(attempts: DataFrame, park_after: int = 5) -> DataFrame:
 
 # Steps that a record may take, from state to states; a record begins as new.
 ALLOWED = {
-    "new": ("queued", "verifying"),
-    "queued": ("verifying", "rejected"),
+    "new": ("queued",),
+    "queued": ("verifying",),
     "verifying": ("verified", "rejected", "needs_human"),
-    "needs_human": ("verifying", "verified", "rejected"),
-    "verified": ("verifying",),
-    "rejected": (),
+    "needs_human": ("verified", "rejected"),
 }
 
 
