@@ -37,6 +37,14 @@ def test_paths_without_final_slash_and_no_path(spark):
     check(spark, rules, list(enumerate(URLS)))
 
 
+def test_long_urls_and_rules_of_many_depths(spark):
+    rules = [("com", "/", "block"), ("com", "/a/a/", "allow"), ("h.com", "/a/a/a/b", "block"), ("x.h.com", "/a", "allow"),
+             ("h.com", "//", "block"), ("h.com", "", "allow"), ("d." * 5 + "com", "/a/", "block")]
+    paths = ["", "/", "/a", "/a/", "/a/a/", "/a/a/a/b", "/a/a/a/bc/d", "/a/a/a/a/b", "//", "///", "/a" * 20_000, "/a/a/a/b" + "/" * 20_000]
+    hosts = ["h.com", "x.h.com", "y.x.h.com", "d." * 5 + "com", "e." * 3_000 + "h.com", "com"]
+    check(spark, rules, list(enumerate(f"http://{h}{p}" for h in hosts for p in paths)))
+
+
 def test_empty(spark):
     check(spark, list(RULES), [])
     check(spark, [], [(1, "http://x.com/")])

@@ -4,7 +4,8 @@ Every url is expanded into host suffixes times path prefixes that end in a
 slash. The first bytes of an expression's SHA-256 are the join key, the whole
 digest confirms, and of the rules that fit the longest decides. Urls are judged
 once per distinct (host, path), so a url or host that fills the table costs one
-expansion. Built-in expressions only.
+expansion, and a url is expanded no deeper than the deepest rule, so the cost
+grows with its length alone. Built-in expressions only.
 """
 
 from __future__ import annotations
@@ -41,18 +42,18 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return _ascii_lower(host), path
 
 
-def _host_suffixes(host: Column) -> Column:
-    """The host and each part of it after a dot."""
+def _host_suffixes(host: Column, labels: int) -> Column:
+    """The host's last ``labels`` parts between dots and each shorter end of it."""
     parts = F.split(host, r"\.", -1)
     return F.array_distinct(F.transform(
-        F.sequence(F.lit(1), F.size(parts)),
+        F.sequence(F.greatest(F.size(parts) - labels + 1, F.lit(1)), F.size(parts)),
         lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."),
     ))
 
 
-def _path_prefixes(path: Column) -> Column:
-    """The empty prefix and each prefix that ends in a slash."""
-    parts = F.split(path, "/", -1)
+def _path_prefixes(path: Column, slashes: int) -> Column:
+    """The empty prefix and each prefix that ends in a slash and has ``slashes`` of them at most."""
+    parts = F.split(path, "/", slashes + 1)
     n = F.size(parts)
     return F.concat(
         F.array(F.lit("")),
@@ -76,7 +77,9 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
     wins, then the longer host, then ``block`` over other verdicts. Null parts of
     a rule are empty, a rule without a host fits nothing, repeated rules count
     once. Without a fitting rule: ``rule`` null, ``verdict`` the default. Repeated
-    rows stay repeated. No limit on the length of a url.
+    rows stay repeated. No limit on the length of a url; host ends with more
+    labels and path prefixes with more slashes than any rule has fit none, so
+    they are not tried.
 
     A rule path that does not end in a slash is found by the folder it is in and
     confirmed as a prefix of the whole path.
@@ -91,10 +94,14 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
     known = known.withColumn("digest", F.sha2(F.concat("rule_host", F.lit("\n"), _folder(F.col("rule_path"))), 256))
     known = known.withColumn("short", F.left("digest", F.lit(PREFIX_DIGITS)))
 
+    depth = known.agg(F.max(F.size(F.split("rule_host", r"\.", -1))).alias("labels"),
+                      F.max(F.size(F.split("rule_path", "/", -1)) - 1).alias("slashes")).first()
+    labels, slashes = depth["labels"] or 1, depth["slashes"] or 0
+
     urls = judged.where("host <> ''").select("host", "path").distinct()
-    tried = urls.select("host", "path", F.explode(_host_suffixes(F.col("host"))).alias("suffix")).select(
+    tried = urls.select("host", "path", F.explode(_host_suffixes(F.col("host"), labels)).alias("suffix")).select(
         "host", "path", F.explode(F.transform(
-            _path_prefixes(F.col("path")), lambda p: F.sha2(F.concat(F.col("suffix"), F.lit("\n"), p), 256)
+            _path_prefixes(F.col("path"), slashes), lambda p: F.sha2(F.concat(F.col("suffix"), F.lit("\n"), p), 256)
         )).alias("tried"))
     fits = tried.withColumn("short", F.left("tried", F.lit(PREFIX_DIGITS))).join(known, "short").where(
         (F.col("tried") == F.col("digest")) & F.startswith("path", F.col("rule_path")))
