@@ -112,7 +112,7 @@ def _rows(batch: pa.RecordBatch, at: int, dim: int) -> np.ndarray:
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 10, grid: Grid | None = None, block: int = 4096,
-           rows_per_task: int = 40_000) -> DataFrame:
+           rows_per_task: int = 40_000, queries_per_task: int = 20_000) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest found for each query row, by Euclidean distance.
 
     ``vectors`` has ``vec_id`` and ``embedding``. Vectors that are null, zero, of
@@ -126,8 +126,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, grid: Grid | None
     Copies: of equal vectors only the ``k + 1`` smallest ids can ever be among
     the nearest, so only those are indexed. Cells with more than ``block``
     vectors are cut by a hash of the id, and a probe visits all parts. What is
-    grouped is a share of cells of about ``rows_per_task`` rows; its answer to a
-    query is no more than ``k`` rows.
+    grouped is a share of cells of about ``rows_per_task`` rows with about
+    ``queries_per_task`` queries; a share is sent once for each such block of
+    queries. Its answer to a query is no more than ``k`` rows.
     """
     spark = vectors.sparkSession
     grid = grid or fit_grid(vectors, k=k)
@@ -163,18 +164,21 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, grid: Grid | None
     visits = queries.mapInArrow(probes, "cell long, vec_id long").distinct()
     sizes = index.groupBy("cell").agg(F.count("*").alias("n")).withColumn("parts", F.ceil(F.col("n") / block).cast("int"))
     shares = max(1, -(-index.count() // rows_per_task))
+    turns = max(1, -(-queries.count() // queries_per_task))
     share = lambda *c: F.pmod(F.xxhash64(*c), F.lit(shares)).cast("int")
+    turn = F.pmod(F.xxhash64("query_id"), F.lit(turns)).cast("int")
+    every_turn = F.explode(F.sequence(F.lit(0), F.lit(turns - 1))).alias("turn")
     part_of = F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int")
     parted = index.join(sizes.where("parts > 1").select("cell", "parts"), "cell", "left")
     parted = parted.select("cell", F.coalesce(part_of, F.lit(0)).alias("part"), "vec_id", "embedding").withColumn(
-        "share", share(F.col("cell"), F.col("part")))
+        "share", share(F.col("cell"), F.col("part"))).select("*", every_turn)
     asked = visits.join(sizes.select("cell", "parts"), "cell").select(
         "cell", "vec_id", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
     ).withColumn("share", share(F.col("cell"), F.col("part")))
     # the vectors of the queries go once to each share that they visit
     asked = asked.groupBy("share", "vec_id").agg(F.collect_set(F.struct("cell", "part")).alias("cells"))
     asked = asked.join(queries.select("vec_id", "embedding"), "vec_id").select(
-        "share", F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"), "cells")
+        "share", F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"), "cells").withColumn("turn", turn)
 
     def nearest(q: np.ndarray, x: np.ndarray, ids: np.ndarray, own: int) -> list[tuple[int, float]]:
         """Exact distances of the vectors that may be among the nearest, in order."""
@@ -205,15 +209,15 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, grid: Grid | None
                 out += [(q, v, d) for v, d in nearest(np.asarray(vector, float), x[at], ids[at], q)]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
-    found = parted.groupBy("share").cogroup(asked.groupBy("share")).applyInPandas(
+    found = parted.groupBy("share", "turn").cogroup(asked.groupBy("share", "turn")).applyInPandas(
         answer, "query_id long, vec_id long, score double")
     found = saved(found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score")))
 
     # a query whose cells hold too few vectors near it is compared with all of them, block by block
     full = found.where(F.col("score") <= grid.reach()).groupBy("query_id").agg(F.count("*").alias("n")).where(F.col("n") >= k)
     short = queries.join(full, queries["vec_id"] == full["query_id"], "left_anti").select(
-        F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
-    blocks = indexed.withColumn("share", F.pmod(F.xxhash64("vec_id"), F.lit(shares)).cast("int"))
+        F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector")).withColumn("turn", turn)
+    blocks = indexed.withColumn("share", share(F.col("vec_id"))).select("*", every_turn)
     asked_all = short.select("*", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("share"))
 
     def compare(have: pd.DataFrame, ask: pd.DataFrame) -> pd.DataFrame:
@@ -224,7 +228,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, grid: Grid | None
                 out += [(q, v, d) for v, d in nearest(np.asarray(vector, float), x, ids, q)]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
-    rest = blocks.groupBy("share").cogroup(asked_all.groupBy("share")).applyInPandas(
+    rest = blocks.groupBy("share", "turn").cogroup(asked_all.groupBy("share", "turn")).applyInPandas(
         compare, "query_id long, vec_id long, score double")
     every = found.unionByName(rest).groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
