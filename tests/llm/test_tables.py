@@ -79,6 +79,16 @@ def test_nearest_finds_ties_copies_and_leaves_bad_vectors_out(spark):
         assert found == sorted(found, key=lambda x: (x[1], x[0])) and q not in {i for i, _ in found}
 
 
+def test_nearest_does_not_depend_on_blocks_of_queries(spark):
+    r = np.random.default_rng(3)
+    # the last ones lie where cells hold too few, so they are compared with all
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([r.normal(size=(400, 5)), 40 * r.normal(size=(30, 5))]))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    one = nearest.search(df, F.col("vec_id") % 3 == 0, 10, rows_per_task=200).collect()
+    many = nearest.search(df, F.col("vec_id") % 3 == 0, 10, rows_per_task=200, queries_per_task=20).collect()
+    assert sorted(map(tuple, one)) == sorted(map(tuple, many)) and len(one) == 144 * 10
+
+
 def test_nearest_with_few_vectors(spark):
     schema = "vec_id long, embedding array<float>"
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [50.0, 1.0]), (10, [-70.0, 3.0])], schema)
@@ -171,6 +181,16 @@ def test_mixture(spark):
     assert [x.taken for x in mixture.mix(none).collect()] == [0, 0]
 
 
+def test_mixture_with_one_id_on_most_rows(spark):
+    r = random.Random(9)
+    rows = [(i, " ".join(["w"] * r.choice([1, 3, 20])), r.choice("ab")) for i in range(120)]
+    rows += [(7, "w w w", "a")] * 150 + [(None, " ".join(["w"] * r.choice([2, 9])), "a") for _ in range(150)]
+    check_mix(spark, rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert sorted(map(tuple, mixture.mix(df).collect()), key=repr) == sorted(
+        map(tuple, mixture.mix(df.repartition(5, "text"), per_slot=30).collect()), key=repr)
+
+
 def test_mixed_documents(spark):
     rows = [(i, "w " * (i % 7), "ab"[i % 2], "t", 1) for i in range(60)] + [(None, "a b", "a", "t", 1)] * 2
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, target string, mix_size int")

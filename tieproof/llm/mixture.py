@@ -74,20 +74,23 @@ def mix(documents: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float
     a source are shuffled by a hash of the id, ties by id, then size; repeated
     rows are documents of their own. With nothing to take, all is 0.
 
-    Running sums are built from slots: a slot is a range of the hash with about
-    ``per_slot`` rows at most, and there are as many as shuffle partitions, so one
-    source with most of the rows is summed by many tasks.
+    Running sums are built from slots: ranges of the whole order with about
+    ``per_slot`` rows each, at least as many as shuffle partitions. Repeated rows
+    and rows without an id are told apart by a row number, so a source or an id
+    that most rows have is summed by many tasks; as such rows are alike, which of
+    them comes first changes nothing.
     """
     spark = documents.sparkSession
     order = F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.lit("mix"))
-    docs = saved(documents.select("doc_id", "source", word_count(F.col("text")).alias("size")).withColumn("order", order))
+    docs = saved(documents.select("doc_id", "source", word_count(F.col("text")).alias("size")).withColumn(
+        "order", order).withColumn("row", F.monotonically_increasing_id()))
     sizes = saved(docs.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")))
     slots = max(partitions(spark), -(-(sizes.agg(F.sum("n")).first()[0] or 0) // per_slot))
     goals = saved(targets(sizes.drop("n"), weights, share, repeats)).withColumnRenamed("source", "name")
 
-    docs = docs.withColumn("slot", F.floor((F.shiftright("order", 32) + (1 << 31)) / (2.0 ** 32) * slots))
-    in_slot = Window.partitionBy("source", "slot").orderBy("order", "doc_id", "size").rowsBetween(
-        Window.unboundedPreceding, 0)
+    ahead = ["order", "doc_id", "size", "row"]
+    docs = saved(docs.repartitionByRange(slots, "source", *ahead).withColumn("slot", F.spark_partition_id()))
+    in_slot = Window.partitionBy("source", "slot").orderBy(*ahead).rowsBetween(Window.unboundedPreceding, 0)
     sums = docs.groupBy("source", "slot").agg(F.sum("size").alias("slot_size"))
     before = Window.partitionBy("source").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select(F.col("source").alias("s"), F.col("slot").alias("k"),
