@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tieproof.llm.tables import query, table
+from tieproof.llm.tables import partitions, query, table
 
 # --- schema fingerprints ------------------------------------------------------
 
@@ -162,13 +162,14 @@ def read(formatted: str) -> list[tuple[str, str]]:
     return turns
 
 
-def format_records(records: DataFrame, layouts: Sequence[Mapping] = LAYOUTS) -> DataFrame:
+def format_records(records: DataFrame, layouts: Sequence[Mapping] = LAYOUTS, order: str | None = None) -> DataFrame:
     """``conv_id, layout, formatted, loss_spans`` of every row of ``records`` (``conv_id``, ``record`` as JSON).
 
     Spans are (start, end) in code points of ``formatted``. A record that is null,
     no JSON object or of no known layout has null in all three. A null text or
     role is empty; a record without turns is an empty text. Rows keep their
-    number and ids. A record is what one task holds.
+    number and ids. A record is what one task holds. ``order`` names a column that
+    is carried along.
     """
     layouts = tuple(layouts)
 
@@ -179,63 +180,142 @@ def format_records(records: DataFrame, layouts: Sequence[Mapping] = LAYOUTS) ->
             for lo in range(0, b.num_rows, 512):
                 part = b.slice(lo, 512)
                 rows = [(name, *write(turns)) if name else (None, None, None)
-                        for name, turns in map(known.turns, part.column(1).to_pylist())]
+                        for name, turns in map(known.turns, part.column(0).to_pylist())]
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0), pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()),
+                    pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()),
                     pa.array([None if r[2] is None else [{"start": s, "end": e} for s, e in r[2]] for r in rows], kind),
-                ], ["conv_id", "layout", "formatted", "loss_spans"])
+                    *part.columns[1:],
+                ], ["layout", "formatted", "loss_spans", *part.schema.names[1:]])
+
+    rows = records.select("record", "conv_id", *([order] if order else []))
+    kept = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
+    done = rows.mapInArrow(run, "layout string, formatted string, loss_spans array<struct<start: int, end: int>>" + kept)
+    return done.select("conv_id", *([order] if order else []), "layout", "formatted", "loss_spans")
 
-    rows = records.select("conv_id", "record")
-    key = rows.schema["conv_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"conv_id {key}, layout string, formatted string, loss_spans array<struct<start: int, end: int>>")
 
+def as_record(turns: Sequence[tuple[str, str]]) -> str:
+    """Turns as JSON in the layout that their roles fit.
 
-def records_of(turns: DataFrame) -> DataFrame:
-    """``conv_id, record``: the rows of each conversation as one JSON record, in the layout that its roles fit.
+    A user with an answer becomes prompt and completion, a system text before
+    those two an instruction, a longer talk of the three usual roles a list of
+    human and gpt messages, and anything else a list of role and content.
+    """
+    roles, texts = [r for r, _ in turns], [t for _, t in turns]
+    if roles == ["user", "assistant"]:
+        record = dict(zip(("prompt", "completion"), texts))
+    elif roles == ["system", "user", "assistant"]:
+        record = dict(zip(("system", "instruction", "output"), texts))
+    elif len(turns) > 3 and {"system", "user", "assistant"}.issuperset(roles):
+        names = {"user": "human", "assistant": "gpt"}
+        record = {"conversations": [{"from": names.get(r, r), "value": t} for r, t in turns]}
+    else:
+        record = {"messages": [{"role": r, "content": t} for r, t in turns]}
+    return json.dumps(record, ensure_ascii=False)
+
+
+def records_of(turns: DataFrame, most_turns: int = 64, most_chars: int = 1 << 20) -> DataFrame:
+    """``conv_id, part, record``: conversations, rows by turn, as JSON records.
 
     Rows are ordered by turn (null first), ties by role and text; repeated rows
-    stay. A user with an answer becomes prompt and completion, a system text
-    before those two an instruction, a longer talk of the three usual roles a
-    list of human and gpt messages, and anything else a list of role and content.
+    stay. They are dealt out by ranges of that order and read one after the
+    other, so a conversation of any length is cut among tasks: a record ends with
+    its conversation or range, or after ``most_turns`` turns or ``most_chars``
+    characters. A formatted conversation is that of its records, in the order of
+    ``part``. Bounds of the ranges are sampled, so they know the first 64 characters
+    of a role and a text; rows that agree in these share a task.
     """
-    rows = turns.select("conv_id", F.struct(
-        "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).alias("t"))
-    talks = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("t"))
-    roles, text = F.array_join("t.role", ","), lambda k: F.col("t")[k]["text"]
-    usual = F.forall("t", lambda t: t["role"].isin("system", "user", "assistant"))
-    other_name = lambda r: F.when(r == "user", "human").when(r == "assistant", "gpt").otherwise(r)
-    record = (
-        F.when(roles == "user,assistant", F.to_json(F.struct(text(0).alias("prompt"), text(1).alias("completion"))))
-        .when(roles == "system,user,assistant", F.to_json(F.struct(
-            text(0).alias("system"), text(1).alias("instruction"), text(2).alias("output"))))
-        .when(usual & (F.size("t") > 3), F.to_json(F.struct(F.transform("t", lambda t: F.struct(
-            other_name(t["role"]).alias("from"), t["text"].alias("value"))).alias("conversations"))))
-        .otherwise(F.to_json(F.struct(F.transform("t", lambda t: F.struct(
-            t["role"].alias("role"), t["text"].alias("content"))).alias("messages"))))
-    )
-    return talks.select("conv_id", record.alias("record"))
-
-
-def digests(formatted: DataFrame) -> DataFrame:
-    """Turns and loss text read back from ``formatted`` and ``loss_spans``, as counts and hashes."""
+    rows = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    long_role = F.length("role") > 64
+    dealt = rows.repartitionByRange(
+        partitions(turns.sparkSession), "conv_id", "turn", F.left("role", F.lit(64)), long_role,
+        F.when(long_role, "").otherwise(F.left("text", F.lit(64))),
+    ).sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
+    kind = rows.schema["conv_id"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, records, held, chars = [], [], [], 0
+        last = None
         for b in batches:
-            rows = []
-            for text, spans in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                if text is None:
-                    rows.append((None,) * 5)
-                    continue
-                turns = read(text)
-                loss = "".join(unescape(text[s["start"]:s["end"]]) for s in spans)
-                whole = "".join(f"{r}\n{t}\n" for r, t in turns)
-                rows.append((len(turns), hashlib.sha256(whole.encode()).hexdigest(), len(loss),
-                             hashlib.sha256(loss.encode()).hexdigest(), len(text)))
-            cells = list(zip(*rows)) or [()] * 5
-            kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
-            names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(cells, kinds))], names)
+            id_type = b.column(0).type
+            for lo in range(0, b.num_rows, 512):
+                for conv, role, text in zip(*(c.to_pylist() for c in b.slice(lo, 512).columns)):
+                    if held and (conv != last or len(held) >= most_turns or chars >= most_chars):
+                        ids.append(last)
+                        records.append(as_record(held))
+                        held, chars = [], 0
+                    last = conv
+                    held.append((role, text))
+                    chars += len(text)
+                if records:
+                    yield pa.RecordBatch.from_arrays([pa.array(ids, id_type), pa.array(records, pa.string())], ["conv_id", "record"])
+                    ids, records = [], []
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([last], id_type), pa.array([as_record(held)], pa.string())], ["conv_id", "record"])
+
+    records = dealt.mapInArrow(run, f"conv_id {kind.simpleString()}, record string")
+    return records.select("conv_id", F.monotonically_increasing_id().alias("part"), "record")
+
+
+class Digest:
+    """Counts and hashes of a formatted text and its loss text, taken part by part."""
+
+    def __init__(self):
+        self.turns = self.loss_chars = self.chars = 0
+        self.whole, self.loss = hashlib.sha256(), hashlib.sha256()
+        self.known = True
+
+    def add(self, text: str | None, spans) -> Digest:
+        if text is None:
+            self.known = False
+            return self
+        for role, body in read(text):
+            self.turns += 1
+            self.whole.update(f"{role}\n{body}\n".encode())
+        for s in spans:
+            body = unescape(text[s["start"]:s["end"]])
+            self.loss_chars += len(body)
+            self.loss.update(body.encode())
+        self.chars += len(text)
+        return self
+
+    def values(self) -> tuple:
+        if not self.known:
+            return (None,) * 5
+        return self.turns, self.whole.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars
+
+
+def digests(formatted: DataFrame, order: str | None = None) -> DataFrame:
+    """Turns and loss text read back from ``formatted`` and ``loss_spans``, as counts and hashes.
+
+    One row for each row, or, with ``order``, for each ``conv_id``, whose rows are
+    then parts of one text in that order: they are read in one task, one part at a
+    time. Where a text is null, all is.
+    """
+    names = ["n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+    kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
 
+    def batch(ids, rows, id_type) -> pa.RecordBatch:
+        cells = list(zip(*rows)) or [()] * 5
+        return pa.RecordBatch.from_arrays([pa.array(ids, id_type), *(pa.array(c, k) for c, k in zip(cells, kinds))], ["conv_id", *names])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, digest = None, None
+        for b in batches:
+            id_type = b.column(0).type
+            for lo in range(0, b.num_rows, 512):
+                ids, rows = [], []
+                for conv, text, spans in zip(*(c.to_pylist() for c in b.slice(lo, 512).columns)):
+                    if digest is not None and (order is None or conv != last):
+                        ids.append(last)
+                        rows.append(digest.values())
+                        digest = None
+                    last, digest = conv, (digest or Digest()).add(text, spans)
+                yield batch(ids, rows, id_type)
+        if digest is not None:
+            yield batch([last], [digest.values()], id_type)
+
+    if order is not None:
+        formatted = formatted.repartition("conv_id").sortWithinPartitions("conv_id", order)
     rows = formatted.select("conv_id", "formatted", "loss_spans")
     key = rows.schema["conv_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"conv_id {key}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
@@ -265,4 +345,4 @@ def op6_chat_format(spark, folder):
         [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")],
         "conv_id long, turn long, role string, text string")
     turns = table(spark, folder, "conversations", "conv_id", "turn", "role", "text").unionByName(extra)
-    return digests(format_records(records_of(turns)))
+    return digests(format_records(records_of(turns), order="part"), order="part")
