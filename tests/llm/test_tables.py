@@ -251,12 +251,13 @@ def test_conversation_rows(spark):
     df = spark.createDataFrame([(*r, "x") for r in rows], "conv_id long, turn long, role string, text string, record string")
     layouts = {r.conv_id: r.layout for r in chat_format.format_records(chat_format.records_of(df)).collect()}
     assert layouts == {1: "prompt", 2: "messages", 3: "instruction", None: "messages", 4: "conversations", 5: "messages"}
-    assert same_conversations(chat_format.records_of(df), rows) == 6
+    assert same_conversations(chat_format.conversation_digests(df), rows) == 6
     assert chat_format.records_of(df.limit(0)).count() == 0
+    assert chat_format.conversation_digests(df.limit(0)).count() == 0
 
 
-def same_conversations(records, rows):
-    got = chat_format.digests(chat_format.format_records(records, order="part"), order="part").collect()
+def same_conversations(digests, rows):
+    got = digests.collect()
     for r in got:
         own = sorted((-1 if t is None else t, role or "", x or "") for c, t, role, x in rows if c == r.conv_id)
         assert r.n_turns == len(own)
@@ -266,19 +267,20 @@ def same_conversations(records, rows):
     return len(got)
 
 
-@pytest.mark.parametrize("turn", [None, 7, "own"])
-def test_a_conversation_with_most_rows(spark, turn):
+@pytest.mark.parametrize(("hot_id", "turn"), [(3, None), (3, 7), (3, "own"), (None, "own")])
+def test_a_conversation_with_most_rows(spark, hot_id, turn):
     """One conversation, its rows in many turns or all in one, is formatted by several tasks in small records."""
     r = random.Random(4)
-    rows = [(3, k if turn == "own" else turn, r.choice(["user", "assistant", "r" * 70 + "ab"[k % 2]]), f"{r.randrange(900)} </s> é")
+    rows = [(hot_id, k if turn == "own" else turn, r.choice(["user", "assistant", "r" * 70 + "ab"[k % 2]]), f"{r.randrange(900)} </s> é")
             for k in range(3000)]
     rows += [(k, 0, "user", "q") for k in range(100, 160)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
-    records = chat_format.records_of(df, most_turns=20, most_chars=150)
-    hot = records.where("conv_id = 3").select(F.shiftright("part", 33).alias("task"), "record").collect()
+    assert [r.conv_id for r in chat_format.hot_ids(df).collect()] == [hot_id]
+    records = chat_format.records_of(df, True, most_turns=20, most_chars=150)
+    hot = records.where(F.col("conv_id").eqNullSafe(F.lit(hot_id))).select(F.shiftright("part", 33).alias("task"), "record").collect()
     assert len({h.task for h in hot}) > 2
     assert max(len(chat_format.Layouts().turns(h.record)[1]) for h in hot) <= 20
-    assert same_conversations(records, rows) == 61
+    assert same_conversations(chat_format.conversation_digests(df, 20, 150), rows) == 61
 
 
 # --- leaks --------------------------------------------------------------------

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tieproof.llm.tables import partitions, query, table
+from tieproof.llm.tables import partitions, query, saved, table
 
 # --- schema fingerprints ------------------------------------------------------
 
@@ -213,23 +213,34 @@ def as_record(turns: Sequence[tuple[str, str]]) -> str:
     return json.dumps(record, ensure_ascii=False)
 
 
-def records_of(turns: DataFrame, most_turns: int = 64, most_chars: int = 1 << 20) -> DataFrame:
+def hot_ids(turns: DataFrame) -> DataFrame:
+    """``conv_id`` of conversations with more rows than a quarter of a task's share: fewer than four a task."""
+    counts = saved(turns.groupBy("conv_id").agg(F.count("*").alias("n")), light=True)
+    rows = counts.agg(F.sum("n")).first()[0] or 0
+    return counts.where(F.col("n") * F.lit(4 * partitions(turns.sparkSession)) > F.lit(rows)).select("conv_id")
+
+
+def records_of(turns: DataFrame, spread: bool = False, most_turns: int = 64, most_chars: int = 1 << 20) -> DataFrame:
     """``conv_id, part, record``: conversations, rows by turn, as JSON records.
 
     Rows are ordered by turn (null first), ties by role and text; repeated rows
-    stay. They are dealt out by ranges of that order and read one after the
-    other, so a conversation of any length is cut among tasks: a record ends with
-    its conversation or range, or after ``most_turns`` turns or ``most_chars``
-    characters. A formatted conversation is that of its records, in the order of
-    ``part``. Bounds of the ranges are sampled, so they know the first 64 characters
-    of a role and a text; rows that agree in these share a task.
+    stay. A record ends with its conversation, or after ``most_turns`` turns or
+    ``most_chars`` characters; a formatted conversation is that of its records in
+    the order of ``part``, and they follow each other in one partition. With
+    ``spread``, for conversations with many rows, rows are dealt out by ranges of
+    their order, so that a conversation is cut among tasks. Bounds of ranges are
+    sampled, so they know the first 64 characters of a role and a text; rows that
+    agree in these share a task.
     """
     rows = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    long_role = F.length("role") > 64
-    dealt = rows.repartitionByRange(
-        partitions(turns.sparkSession), "conv_id", "turn", F.left("role", F.lit(64)), long_role,
-        F.when(long_role, "").otherwise(F.left("text", F.lit(64))),
-    ).sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
+    if spread:
+        long_role = F.length("role") > 64
+        dealt = rows.repartitionByRange(
+            partitions(turns.sparkSession), "conv_id", "turn", F.left("role", F.lit(64)), long_role,
+            F.when(long_role, "").otherwise(F.left("text", F.lit(64))))
+    else:
+        dealt = rows.repartition("conv_id")
+    dealt = dealt.sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
     kind = rows.schema["conv_id"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,11 +295,11 @@ class Digest:
         return self.turns, self.whole.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars
 
 
-def digests(formatted: DataFrame, order: str | None = None) -> DataFrame:
+def digests(formatted: DataFrame, joined: bool = False) -> DataFrame:
     """Turns and loss text read back from ``formatted`` and ``loss_spans``, as counts and hashes.
 
-    One row for each row, or, with ``order``, for each ``conv_id``, whose rows are
-    then parts of one text in that order: they are read in one task, one part at a
+    One row for each row; with ``joined``, rows of one ``conv_id`` that follow each
+    other in a partition are parts of one text, of which a task holds one at a
     time. Where a text is null, all is.
     """
     names = ["n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
@@ -305,7 +316,7 @@ def digests(formatted: DataFrame, order: str | None = None) -> DataFrame:
             for lo in range(0, b.num_rows, 512):
                 ids, rows = [], []
                 for conv, text, spans in zip(*(c.to_pylist() for c in b.slice(lo, 512).columns)):
-                    if digest is not None and (order is None or conv != last):
+                    if digest is not None and not (joined and conv == last):
                         ids.append(last)
                         rows.append(digest.values())
                         digest = None
@@ -314,14 +325,26 @@ def digests(formatted: DataFrame, order: str | None = None) -> DataFrame:
         if digest is not None:
             yield batch([last], [digest.values()], id_type)
 
-    if order is not None:
-        formatted = formatted.repartition("conv_id").sortWithinPartitions("conv_id", order)
     rows = formatted.select("conv_id", "formatted", "loss_spans")
     key = rows.schema["conv_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"conv_id {key}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
                                 "formatted_chars long")
 
 
+def conversation_digests(turns: DataFrame, most_turns: int = 64, most_chars: int = 1 << 20) -> DataFrame:
+    """``digests`` of whole conversations, formatted record by record.
+
+    Conversations with many rows are formatted by many tasks; only their parts
+    are shuffled once more, as a hash over all of a conversation is one task's walk.
+    """
+    same = F.col("turns.conv_id").eqNullSafe(F.col("hot.conv_id"))
+    hot = F.broadcast(hot_ids(turns)).alias("hot")  # fewer than four rows a task
+    usual = records_of(turns.alias("turns").join(hot, same, "left_anti"), False, most_turns, most_chars)
+    large = records_of(turns.alias("turns").join(hot, same, "left_semi"), True, most_turns, most_chars)
+    parts = format_records(large, order="part").repartition("conv_id").sortWithinPartitions("conv_id", "part")
+    return digests(format_records(usual), joined=True).unionByName(digests(parts, joined=True))
+
+
 OP6_SQL = """
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -345,4 +368,4 @@ def op6_chat_format(spark, folder):
         [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")],
         "conv_id long, turn long, role string, text string")
     turns = table(spark, folder, "conversations", "conv_id", "turn", "role", "text").unionByName(extra)
-    return digests(format_records(records_of(turns), order="part"), order="part")
+    return conversation_digests(turns)
