@@ -171,3 +171,17 @@ def test_logs_without_a_session_are_a_session(spark):
     log = spark.createDataFrame(rows, "session_id long, event_id long, s long, outcome string").withColumn("ts", F.timestamp_seconds("s"))
     got = {r["event_id"]: (r["fail_streak"], r["breaker_open"]) for r in logs.fail_streaks(log, F.col("outcome") == "ok", size=4).collect()}
     assert got == {**{i: (i + 1 if i < 5 else i - 5, i >= 4) for i in range(9)}, 100: (0, False)}
+
+
+@pytest.mark.parametrize("size", [7, 40, 1000])
+def test_counts_of_the_last_rows(spark, size):
+    """Several frames in one pass, blocks smaller than a key, null keys and null values."""
+    r = random.Random(9)
+    rows = [(k, p, r.choice(["a", "b", None])) for k, n in (("x", 300), (None, 50), ("y", 3)) for p in range(n)]
+    df = spark.createDataFrame(rows, "key string, pos long, v string")
+    got = ordered.rolling_counts(df, ["key"], {"a7": (7, F.col("v") == "a"), "b2": (2, F.col("v") == "b")}, size=size).collect()
+    by_key = {k: [v for q, _, v in rows if q == k] for k in ("x", None, "y")}
+    assert len(got) == len(rows)
+    for g in got:
+        before = by_key[g.key][:g.pos + 1]
+        assert (g.a7, g.b2) == (before[-7:].count("a"), before[-2:].count("b"))

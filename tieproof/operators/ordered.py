@@ -101,24 +101,41 @@ def running(
     return out.drop("_b", *[p + n for n in aggs for p in ("_v_", "_t_", "_l_", "_o_")])
 
 
-def rolling(
-    df: DataFrame, keys: list[str], n: int, aggs: dict[str, Column], pos: str = "pos", size: int = BLOCK
-) -> DataFrame:
-    """Aggregates over the last ``n`` rows of the key, the row itself included.
-
-    The last n-1 rows of a block are repeated at the head of the next one.
-    """
+def _with_heads(df: DataFrame, n: int, pos: str, size: int) -> DataFrame:
+    """Rows by block ``_b``; the last n-1 rows of a block (``_own``) are repeated at the head of the next one."""
     if n > size:
         raise ValueError("the frame must not be longer than a block")
     own = blocks(pos, size)
     tail = F.col(pos) % size >= size - (n - 1)
     copies = F.when(tail, F.array(own, own + 1)).otherwise(F.array(own))
-    rows = df.withColumn("_own", own).withColumn("_b", F.explode(copies))
+    return df.withColumn("_own", own).withColumn("_b", F.explode(copies))
+
+
+def rolling(
+    df: DataFrame, keys: list[str], n: int, aggs: dict[str, Column], pos: str = "pos", size: int = BLOCK
+) -> DataFrame:
+    """Aggregates over the last ``n`` rows of the key, the row itself included."""
+    rows = _with_heads(df, n, pos, size)
     w = Window.partitionBy(*keys, "_b").orderBy(pos).rowsBetween(-(n - 1), 0)
     out = rows.withColumns({name: c.over(w) for name, c in aggs.items()})
     return out.where(F.col("_b") == F.col("_own")).drop("_b", "_own")
 
 
+def rolling_counts(
+    df: DataFrame, keys: list[str], counts: dict[str, tuple[int, Column]], pos: str = "pos", size: int = BLOCK
+) -> DataFrame:
+    """How many of the last n rows of the key meet a condition, for several (n, condition) in one pass.
+
+    A count is the difference of two running sums, whatever n is.
+    """
+    rows = _with_heads(df, max(n for n, _ in counts.values()), pos, size)
+    w = Window.partitionBy(*keys, "_b").orderBy(pos)
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    out = rows.withColumns({"_c_" + name: F.count_if(met).over(upto) for name, (_, met) in counts.items()})
+    out = out.withColumns({name: F.col("_c_" + name) - F.lag("_c_" + name, n, 0).over(w) for name, (n, _) in counts.items()})
+    return out.where(F.col("_b") == F.col("_own")).drop("_b", "_own", *["_c_" + name for name in counts])
+
+
 def trailing_count(
     df: DataFrame, keys: list[str], ts: str, seq: str, seconds: int, name: str, size: int = BLOCK
 ) -> DataFrame:

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tieproof.operators.ordered import BLOCK, rolling, running, with_position
+from tieproof.operators.ordered import BLOCK, rolling, rolling_counts, running, with_position
 from tieproof.session import written
 
 # Levels, times and limits of the ladder.
@@ -58,32 +58,24 @@ def _is(kind: str) -> Column:
     return F.col("kind") == kind
 
 
-def _placed(log: DataFrame, size: int) -> DataFrame:
-    """Rows with their place in the session, the calls and fetches so far, and the row before."""
-    rows = with_position(log, KEY, ORDER)
-    rows = running(rows, KEY, {k: ("sum", _is(k).cast("long")) for k in ("call", "fetch")}, size=size)
+def _placed(places: DataFrame, size: int) -> DataFrame:
+    """Rows with the calls and fetches so far, and the row before."""
+    rows = running(places, KEY, {k: ("sum", _is(k).cast("long")) for k in ("call", "fetch")}, size=size)
     return rolling(rows, KEY, 2, {"us_before": F.first("us"), "round_before": F.first("round")}, size=size)
 
 
 def _marks(rows: DataFrame, size: int) -> DataFrame:
-    """Rows at which the level may change: ``fires`` lists (level, rows its window needs)."""
-    parts = []
-    for kind in ("call", "fetch"):
-        own = rows.where(_is(kind)).withColumn("nth", F.col(kind) - 1)
-        fires = []
-        for level, (of, outcome, n, when) in RAISES.items():
-            if of == kind:
-                own = rolling(own, KEY, n, {f"in{level}": F.count_if(F.col("outcome") == outcome)}, pos="nth", size=size)
-                fires.append(F.when(when(F.col(f"in{level}")) & (F.col(kind) >= n), F.lit(level)))
-        parts.append(own.withColumn("fires", F.array_compact(F.array(*fires))))
-    rest = rows.where(~F.col("kind").isin("call", "fetch")).withColumn("fires", F.array().cast("array<int>"))
-    out = None
-    for p in (*parts, rest):
-        p = p.withColumn("tick", F.col("round") != F.col("round_before"))
-        asked = (F.size("fires") > 0) | F.col("tick") | ((F.col("outcome") == "ok") & F.col("kind").isin(*LOWERS))
-        p = p.where(asked).select(*KEY, "pos", "kind", "us", "us_before", "tick", "call", "fetch", "fires")
-        out = p if out is None else out.union(p)
-    return out
+    """Rows at which the level may change: ``fires`` lists (level, rows its window needs).
+
+    The windows of both kinds are counted in one pass over all rows.
+    """
+    nth = F.when(_is("call"), F.col("call") - 1).when(_is("fetch"), F.col("fetch") - 1).otherwise(F.col("pos"))
+    counts = {f"in{level}": (n, F.col("outcome") == outcome) for level, (_, outcome, n, _) in RAISES.items()}
+    counted = rolling_counts(rows.withColumn("nth", nth), [*KEY, "kind"], counts, pos="nth", size=size)
+    fires = [F.when(_is(of) & when(F.col(f"in{level}")) & (F.col(of) >= n), F.lit(level)) for level, (of, _, n, when) in RAISES.items()]
+    marked = counted.withColumns({"fires": F.array_compact(F.array(*fires)), "tick": F.col("round") != F.col("round_before")})
+    asked = (F.size("fires") > 0) | F.col("tick") | ((F.col("outcome") == "ok") & F.col("kind").isin(*LOWERS))
+    return marked.where(asked).select(*KEY, "pos", "kind", "us", "us_before", "tick", "call", "fetch", "fires")
 
 
 ENTRY = "level int, spell long, resets int, call long, fetch long, full_prompt int, sample int"
@@ -195,12 +187,12 @@ def levels(log: DataFrame, size: int = BLOCK) -> DataFrame:
     Rows without a session are a session of their own. ``size`` rows of a session
     are one task's work at most; results are the same for any.
     """
-    rows = _placed(log, size)
+    places = with_position(log, KEY, ORDER)
     name = F.coalesce(F.concat(F.lit("="), F.col("session_id").cast("string")), F.lit(""))
-    known = _known(_marks(rows, size).withColumns({"_s": name, "_blk": F.floor(F.col("pos") / size).cast("long")}))
+    known = _known(_marks(_placed(places, size), size).withColumns({"_s": name, "_blk": F.floor(F.col("pos") / size).cast("long")}))
     # the last mark so far, as one number: its place, its level, its resets
     code = F.col("pos") * 64 + F.col("at_level") * 8 + F.col("at_resets")
-    rows = rows.select(*KEY, "event_id", "kind", "pos", name.alias("_s")).join(known, ["_s", "pos"], "left")
+    rows = places.select(*KEY, "event_id", "kind", "pos", name.alias("_s")).join(known, ["_s", "pos"], "left")
     out = running(rows, KEY, {"code": ("max", code)}, size=size)
     last = F.coalesce(F.col("code") % 64, F.lit(NORMAL * 8))
     return out.select(*KEY, "event_id", "kind", F.shiftright(last.cast("int"), 3).alias("level"), (last % 8).cast("int").alias("resets"))
