@@ -142,3 +142,14 @@ def test_nested_records_are_stored(spark):
     got = store.upsert(None, None, batch.withColumns({
         "founders": F.lit(""), "status": F.lit("unknown"), "founded_year": F.lit("")}), CFG)[0].first()
     assert (got["founder"], got["affiliation_type"], got["evidence"]) == ("Ann Lee", "Faculty", "span of evidence here")
+
+
+def test_preferences_over_a_wide_order(spark):
+    """Real values beat vague ones beat blanks, however far apart the places in the order are; null keys are a key."""
+    far = 1 << 60
+    df = spark.createDataFrame(
+        [(None, far + 2, "Unknown", "s1", False), (None, 5, "", "s1", False), (None, far + 7, "real", None, False), (None, far + 8, "late", "", None),
+         ("k", far + 1, "unknown", "s1", False), ("k", 3, "Unknown", "s2", False), ("k", 0, None, "s2", False), ("z", 1, "0", "", False)],
+        "name_key string, rec_seq long, v string, source_url string, verified boolean")
+    got = {r["name_key"]: (r["v"], r["n_sources"], r["verified"], r["rec_seq"]) for r in merge.upsert_merge(df).collect()}
+    assert got == {None: ("real", 1, False, 5), "k": ("unknown", 2, True, 0), "z": ("0", 0, False, 1)}

@@ -113,3 +113,17 @@ def test_records_of_every_layout_are_gated_by_person(spark):
     got = {(r["doc_id"], r["company_name"], tuple(p["name"] for p in r["people"])) for r in extract_gate(df, Config()).collect()}
     both = ("Ann", "Cy")
     assert got == {(0, "Acme", both), (1, "Acme", both), (2, "Acme", both), (2, "Beta", both), (3, "Flat", ("Ann",))}
+
+
+def test_records_of_mixed_layouts(spark):
+    """Records beside and under ``records`` both count; fields of another kind are null."""
+    from tieproof.plans.extract import records_of
+
+    cases = {
+        '[{"records":[{"company_name":"A"}]},{"company_name":"C"}]': ["A", "C"], '{"records":null,"company_name":"Q"}': ["Q"],
+        '[{"company_name":"A","records":"x"},{"company_name":"B"}]': ["A", "B"], '{"records":[]}': [], "[]": [], "{}": [None],
+        '{"records":[{"company_name":5,"people":"x"}]}': ["5"], "[1,2]": None, "x": None, "": None,
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "p string")
+    got = {r["p"]: r["n"] for r in df.select("p", records_of(F.col("p"))["company_name"].alias("n")).collect()}
+    assert got == cases

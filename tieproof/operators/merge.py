@@ -187,25 +187,38 @@ def backfill_founder(df: DataFrame) -> DataFrame:
     })
 
 
-def upsert_merge(df: DataFrame, order: str = "rec_seq") -> DataFrame:
-    """One row per ``name_key``: blanks filled in the order of a whole number, sources counted.
+def merge_fields(df: DataFrame, order: str = "rec_seq") -> DataFrame:
+    """One row per ``name_key``: blanks filled in the order of a whole number of less than 61 bits.
 
     A real value beats "Unknown"; "Unknown" beats nothing, and the last spelling
     of it stays. All columns but lists are merged; lists are ``united``, as rows.
+    The preference among values is one number, so a text is kept beside eight bytes.
     """
-    o = F.col(order)
+    o = F.col(order).cast("long")
     aggs = [F.min(order).alias(order), F.count("*").alias("n_merged")]
     for f, kind in df.dtypes:
         if f in OWN or f == order or is_list(kind):
             continue
         c, shown = F.col(f), F.col(f).cast("string")
-        rank = F.when(shown.isin("", "0", "0.0", "false"), 2).when(shown.isin("Unknown", "unknown"), 1).otherwise(0)
-        preference_ = F.struct(rank, F.when(rank == 1, -o).otherwise(o))
+        vague = shown.isin("Unknown", "unknown")
+        preference_ = F.when(shown.isin("", "0", "0.0", "false"), F.lit(1 << 62) + o).when(vague, -o).otherwise(F.lit(-1 << 62) + o)
         aggs.append(F.min_by(c, F.when(c.isNotNull(), preference_)).alias(f))
-    source = F.when(~is_blank(F.col("source_url")), F.col("source_url"))
-    aggs += [F.count_distinct(source).alias("n_sources"), F.max(F.coalesce("verified", F.lit(False))).alias("_verified")]
-    merged = df.groupBy("name_key").agg(*aggs)
-    return merged.withColumn("verified", F.col("_verified") | (F.col("n_sources") >= 2)).drop("_verified")
+    aggs.append(F.max(F.coalesce("verified", F.lit(False))).alias("verified"))
+    return df.groupBy("name_key").agg(*aggs)
+
+
+def upsert_merge(df: DataFrame, order: str = "rec_seq") -> DataFrame:
+    """``merge_fields`` with the number of different sources; two of them verify a record.
+
+    Sources are counted apart, since a distinct count beside the fields would carry
+    all of them through one more grouping, by key and source.
+    """
+    sources = df.where(~is_blank(F.col("source_url"))).select("name_key", "source_url").distinct()
+    counts = sources.groupBy(F.col("name_key").alias("_k")).agg(F.count("*").alias("n_sources"))
+    merged = merge_fields(df, order)
+    merged = merged.join(counts, F.col("name_key").eqNullSafe(F.col("_k")), "left").drop("_k")
+    merged = merged.withColumn("n_sources", F.coalesce("n_sources", F.lit(0).cast("long")))
+    return merged.withColumn("verified", F.col("verified") | (F.col("n_sources") >= 2))
 
 
 def conflicts(df: DataFrame, fields=CONFLICT_FIELDS, order: str = "rec_seq") -> DataFrame:

@@ -17,9 +17,11 @@ RECORD = f"struct<company_name:string,person:string,span:string,people:array<{PE
 
 
 def records_of(payload: Column) -> Column:
-    """The records of a JSON text: a list, a list under ``records``, or a single one."""
-    wrapped = F.from_json(payload, f"records array<{RECORD}>")["records"]
-    return F.coalesce(wrapped, F.from_json(payload, f"array<{RECORD}>"))
+    """The records of a JSON text: a list, lists under ``records``, or a single one; the text is parsed once."""
+    either = RECORD.replace("struct<", f"struct<records:array<{RECORD}>,", 1)
+    fields = ("company_name", "person", "span", "people")
+    read = F.from_json(payload, f"array<{either}>")
+    return F.flatten(F.transform(read, lambda r: F.coalesce(r["records"], F.array(F.struct(*[r[f].alias(f) for f in fields])))))
 
 
 def people_of(record: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tieproof.config import Config
 from tieproof.functions import rules
 from tieproof.functions.text import is_blank
-from tieproof.operators.merge import admitted, backfill_founder, conflicts, upsert_merge
+from tieproof.operators.merge import admitted, backfill_founder, conflicts, merge_fields
 
 C = F.col
 
@@ -36,7 +36,7 @@ def upsert(
         both = store.withColumn("_from", F.lit(0)).unionByName(new, allowMissingColumns=True)
         rows = sources.union(rows).distinct()
     ordered = both.withColumn("_order", F.shiftleft(C("_from").cast("long"), 60) + C("rec_seq"))
-    merged = upsert_merge(ordered, "_order").drop("n_sources", "n_merged")
+    merged = merge_fields(ordered, "_order").drop("n_merged")
     counts = rows.groupBy("name_key").agg(F.count("*").alias("n_sources"))
     merged = merged.join(counts, "name_key", "left").withColumns({
         "n_sources": F.coalesce("n_sources", F.lit(0)),
