@@ -294,3 +294,19 @@ def test_silent_runs_raise_alarms(spark):
         got = fed(spark, rows, "run_id long, seq long, s long, line string", parts, lambda s: keyed.stall_alarms(
             s.withColumn("ts", F.timestamp_seconds("s")).withWatermark("ts", "0 seconds"), ended=("SESSION ENDED",)))
         assert got == want
+
+
+@pytest.mark.parametrize("slots", [1, 3])
+def test_keys_of_a_slot_share_state_and_timers(spark, monkeypatch, slots):
+    """One state holds many keys: some with rows, some whose time has passed, in the same batch and without rows."""
+    held = keyed.stateful
+    monkeypatch.setattr(keyed, "stateful", lambda *a, **k: held(*a, **k, slots=slots))
+    big = 1 << 60  # no double holds these keys
+    shown = [k for i in range(3) for k in range(40) if k % 4 >= i]
+    last = {k: 60 + 20 * at for at, k in enumerate(shown)}
+    rows = [(None if k == 0 else big + k, at, 60 + 20 * at, "line") for at, k in enumerate(shown)]
+    rows += [(big + 99, 900, 9000, "clock"), (big + 99, 901, 9001, "clock")]
+    want = sorted([(None if k == 0 else big + k, (s + 900) * 1_000_000, "stalled", s * 1_000_000) for k, s in last.items()], key=str)
+    for parts in (1, 3):
+        assert fed(spark, rows, "run_id long, seq long, s long, line string", parts, lambda s: keyed.stall_alarms(
+            s.withColumn("ts", F.timestamp_seconds("s")).withWatermark("ts", "0 seconds"))) == want

@@ -23,48 +23,64 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 Step = Callable[[tuple, tuple | None, Iterable[tuple], int | None], tuple[tuple | None, list[tuple], int | None]]
 
 
+#: Groups of keys. One state and one call of Python hold the keys of a slot, so a batch costs calls for slots, not for keys.
+SLOTS = 1 << 12
+
+
 def stateful(stream: DataFrame, keys: list[str], columns: list[str], order: list[str], step: Step, out: str, state: str,
-             event_time: str | None = None) -> DataFrame:
+             event_time: str | None = None, slots: int = SLOTS) -> DataFrame:
     """The log that ``step`` emits over the keys of ``stream``.
 
     ``columns`` are handed to the step as tuples in ``order``; times as whole
-    microseconds. ``out`` and ``state`` are schemas; rows are emitted behind the
-    key. With ``event_time`` (a column with a watermark) a timer, in microseconds,
-    calls the step without rows once the watermark has passed it.
+    microseconds, keys as text. ``out`` and ``state`` are schemas; rows are emitted
+    behind the key. With ``event_time`` (a column with a watermark) a timer, in
+    microseconds, calls the step without rows once the watermark has passed it.
+    Keys are dealt by hash into ``slots``; a batch rewrites the states of the slots it meets.
     """
     n = len(keys)
     names = [c.split()[0] for c in out.split(", ")]
     at = [columns.index(c) for c in order]
-
-    def run(key: tuple[Any, ...], frames: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
-        before = held.get if held.exists else None
-        if held.hasTimedOut:
-            rows, passed = [], held.getCurrentWatermarkMs() * 1000
-        else:
-            rows = [r for f in frames for r in f[columns].itertuples(index=False, name=None)]
-            rows, passed = sorted(rows, key=lambda r: tuple(r[i] for i in at)), None
-        after, emitted, timer = step(key, before, rows, passed)
-        if after is None:
-            if held.exists:
-                held.remove()
-        else:
-            held.update(after)
-            if timer is not None:
-                held.setTimeoutTimestamp(max(timer // 1000, held.getCurrentWatermarkMs() + 1))
+    shown = [*[f"_k{i}" for i in range(n)], *[f"_{c}" for c in columns]]
+
+    def run(slot: tuple[Any, ...], frames: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
+        places = {tuple(key): (timer, place) for key, timer, place in (held.get[0] if held.exists else ())}
+        clock = None if event_time is None else held.getCurrentWatermarkMs()
+        met: dict[tuple, list[tuple]] = {}
+        if not held.hasTimedOut:
+            for f in frames:
+                for r in f[shown].itertuples(index=False, name=None):
+                    met.setdefault(r[:n], []).append(r[n:])
+        due = [k for k, (timer, _) in places.items() if timer is not None and timer < clock and k not in met]
+        emitted = []
+        for key in (*met, *due):
+            rows = sorted(met.get(key, ()), key=lambda r: tuple(r[i] for i in at))
+            after, log, timer = step(key, places.get(key, (None, None))[1], rows, None if key in met else clock * 1000)
+            emitted += [(*key, *r) for r in log]
+            if after is None:
+                places.pop(key, None)
+            else:
+                places[key] = None if timer is None else max(timer // 1000, clock + 1), after
+        if places:
+            held.update(([(list(key), timer, place) for key, (timer, place) in places.items()],))
+            timers = [timer for timer, _ in places.values() if timer is not None]
+            if timers:
+                held.setTimeoutTimestamp(min(timers))
+        elif held.exists:
+            held.remove()
         if emitted:
-            yield pd.DataFrame([(*key, *r) for r in emitted], columns=[*keys, *names])
+            yield pd.DataFrame(emitted, columns=[*keys, *names])
 
     kinds = dict(stream.dtypes)
-    schema = ", ".join([f"{k} {kinds[k]}" for k in keys] + [out])
-    micro = [F.unix_micros(F.col(c).cast("timestamp")).alias(c) if kinds[c].startswith("timestamp") else F.col(c) for c in columns]
-    if event_time is None:
-        shown = stream.select(*keys, *[c for c in micro])
-        timeout = GroupStateTimeout.NoTimeout
-    else:
-        shown = stream.select(*keys, event_time, *[c.alias(f"_{name}") for c, name in zip(micro, columns)])
-        columns = [f"_{c}" for c in columns]
-        timeout = GroupStateTimeout.EventTimeTimeout
-    return shown.groupBy(*keys).applyInPandasWithState(run, schema, state, "append", timeout)
+    schema = ", ".join([f"{k} string" for k in keys] + [out])
+    held = f"places array<struct<key array<string>, timer long, place struct<{state}>>>"
+    micro = [F.unix_micros(F.col(c).cast("timestamp")) if kinds[c].startswith("timestamp") else F.col(c) for c in columns]
+    rows = stream.select(
+        F.pmod(F.xxhash64(*keys), F.lit(slots)).cast("int").alias("_slot"),
+        *[F.col(k).cast("string").alias(f"_k{i}") for i, k in enumerate(keys)],
+        *[c.alias(f"_{name}") for c, name in zip(micro, columns)], *([] if event_time is None else [event_time]))
+    timeout = GroupStateTimeout.NoTimeout if event_time is None else GroupStateTimeout.EventTimeTimeout
+    log = rows.groupBy("_slot").applyInPandasWithState(run, schema, held, "append", timeout)
+    return log.select(*[F.col(k).cast(kinds[k]).alias(k) for k in keys], *names)
 
 
 # --- failed candidates ------------------------------------------------------------
