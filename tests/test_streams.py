@@ -310,3 +310,15 @@ def test_keys_of_a_slot_share_state_and_timers(spark, monkeypatch, slots):
     for parts in (1, 3):
         assert fed(spark, rows, "run_id long, seq long, s long, line string", parts, lambda s: keyed.stall_alarms(
             s.withColumn("ts", F.timestamp_seconds("s")).withWatermark("ts", "0 seconds"))) == want
+
+
+def test_states_are_those_of_slots(spark):
+    path = scratch(spark)
+    spark.range(400).select(F.col("id").alias("doc_id"), F.lit(1).alias("step"), F.lit("new").alias("state")).write.parquet(path)
+    stream = run.follow(spark, path, "doc_id long, step int, state string")
+    log = keyed.stateful(stream, ["doc_id"], ["step"], ["step"], lambda key, place, rows, passed: ((1,), [(len(rows),)], None),
+                         "n int", "n int", slots=7)
+    query = log.writeStream.format("memory").queryName("slots").option("checkpointLocation", scratch(spark)).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) == 7
+    assert spark.table("slots").agg(F.count("*"), F.count_distinct("doc_id"), F.sum("n")).first() == (400, 400, 400)
