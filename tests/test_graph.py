@@ -55,6 +55,31 @@ def test_repeated_pairs_are_whole_and_labelled(spark):
     assert got["Y", "Z"] == (3, "X1; X2; X3")
 
 
+@pytest.mark.parametrize("few", [0, 2, 9, 32, 100])
+def test_pairs_meet_the_same_in_small_and_large_companies(spark, few):
+    rnd = random.Random(11)
+    rows = [(f"H{h}", f"P{i:02}") for h in range(3) for i in range(h * 5, 40)] * 2
+    rows += [(f"C{rnd.randrange(25):02}", f"P{rnd.randrange(45):02}") for _ in range(120)]
+    teams, want = {}, {}
+    for c, p in rows:
+        teams.setdefault(c, set()).add(p)
+    for c, people in sorted(teams.items()):
+        for pair in itertools.combinations(sorted(people), 2):
+            want.setdefault(pair, []).append(c)
+    e = edges(spark, rows)
+    got = {(r["source"], r["target"]): (r["weight"], r["companies"]) for r in graph.repeated_pairs(e, few).collect()}
+    assert got == {k: (len(v), "; ".join(v)) for k, v in want.items() if len(v) > 1}
+    ranked = sorted(want.items(), key=lambda x: (-len(x[1]), x[0]))
+    assert [tuple(r) for r in graph.top_pairs(e, 25, 6, few).collect()] == [(*k, len(v)) for k, v in ranked[:25]]
+
+
+def test_pairs_of_small_companies_are_shuffled_once(spark):
+    """They meet in one join and are counted in one grouping; companies are looked up only where some are large."""
+    rows = [(f"C{i % 7}", f"P{i % 5}") for i in range(35)]
+    plan = graph.repeated_pairs(edges(spark, rows))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and plan.count("Aggregate") == 1
+
+
 @pytest.mark.parametrize("k", [1, 4, 30, 500])
 @pytest.mark.parametrize("shape", ["ring", "alone", "twice", "none", "hot"])
 def test_top_pairs_where_degrees_are_tied(spark, shape, k):
