@@ -112,6 +112,26 @@ def test_expansion_keeps_its_budget(spark):
     assert free == {"a": 0, **{f"b{i}": 1 for i in range(6)}, "d": 2, "e": 2, "f": 2}
 
 
+def test_expansion_counts_repeated_edges_once(spark):
+    rows = [("c1", "a"), ("c1", "b"), ("c1", "b"), ("c1", "b"), ("c1", "d"), ("c2", "a"), ("c2", "d")]
+    seeds = spark.createDataFrame([("a",)], "person string")
+    got = sorted(tuple(r) for r in graph.expand(edges(spark, rows * 2), seeds, 1, 1).collect())
+    assert got == [("a", 0, 1, None), ("d", 1, 1, "c1")]
+
+
+def test_expansion_shuffles_no_edges_for_a_few_people(spark):
+    """What a hop found is small and known to be, so the hop's plan sends it to the edges; before, both sides were shuffled."""
+    made = []
+    real = graph.written
+    graph.written = lambda df: made.append(df._jdf.queryExecution().executedPlan().toString()) or real(df)
+    try:
+        e = edges(spark, [(f"c{i % 50}", f"p{i % 70}") for i in range(400)])
+        graph.expand(e, spark.createDataFrame([("p1",)], "person string"), 2, 3).count()
+    finally:
+        graph.written = real
+    assert not any("SortMergeJoin" in plan for plan in made) and "Exchange" not in made[0]
+
+
 def test_expansion_is_bounded_and_visits_once(spark):
     e = edges(spark, [("c1", "a"), ("c1", "b"), ("c2", "b"), ("c2", "c"), ("c3", "c"), ("c3", "d"), ("c4", "z")])
     seeds = spark.createDataFrame([("a",)], "person string")
