@@ -112,6 +112,17 @@ def test_expansion_keeps_its_budget(spark):
     assert free == {"a": 0, **{f"b{i}": 1 for i in range(6)}, "d": 2, "e": 2, "f": 2}
 
 
+def test_graph_files_take_vertices_and_members_at_hand(spark):
+    """Written vertices and members serve all files of the graph, which then read no edges for them again."""
+    rows = [("c1", "a"), ("c1", "b"), ("c2", "a"), ("c2", "b"), ("c3", "b")]
+    e = edges(spark, rows).withColumns({"school": F.concat(F.lit("s of "), "company"), "role": F.lit("r")})
+    vertices, shared = graph.written(graph.people(e, F.col("company"))), graph.written(graph.shared_companies(e))
+    got = {tuple(r) for r in graph.person_company(e, F.col("company"), vertices).select("source", "target", "school").collect()}
+    assert got == {(f"P:{p}", f"C:{c}", "s of c1") for c, p in rows}
+    pairs = graph.person_person(e.where("false"), shared).collect()
+    assert [tuple(r) for r in pairs] == [("P:a", "P:b", "shared_company", 2, "c1; c2")]
+
+
 def test_expansion_counts_repeated_edges_once(spark):
     rows = [("c1", "a"), ("c1", "b"), ("c1", "b"), ("c1", "b"), ("c1", "d"), ("c2", "a"), ("c2", "d")]
     seeds = spark.createDataFrame([("a",)], "person string")
