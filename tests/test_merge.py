@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -153,3 +155,31 @@ def test_preferences_over_a_wide_order(spark):
         "name_key string, rec_seq long, v string, source_url string, verified boolean")
     got = {r["name_key"]: (r["v"], r["n_sources"], r["verified"], r["rec_seq"]) for r in merge.upsert_merge(df).collect()}
     assert got == {None: ("real", 1, False, 5), "k": ("unknown", 2, True, 0), "z": ("0", 0, False, 1)}
+
+
+def test_conflicts_are_those_of_a_walk_in_order(spark):
+    rnd = random.Random(8)
+    words = [None, "", "unknown", "0", "false", "Unknown", "a", "b", "c"]
+    rows = [(rnd.choice([None, "k1", "k1", "k1", "k2", "k3"]), i, rnd.choice(words), rnd.choice(words), rnd.choice([None, 0, 1, 2])) for i in range(400)]
+    want, kept = {}, {}
+    for key, _, *cells in rows:
+        for field, v in zip(("industry", "status", "founded_year"), cells):
+            v = None if v is None else str(v)
+            if key is None or v in (None, "", "unknown"):
+                continue
+            first = kept.setdefault((key, field), v)
+            if v != first and not {v, first} & {"0", "false"}:
+                want[key, field, first, v] = want.get((key, field, first, v), 0) + 1
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "name_key string, rec_seq long, industry string, status string, founded_year int")
+    assert {tuple(r)[:4]: r["n"] for r in merge.conflicts(df).collect()} == want
+
+
+def test_records_of_one_file_are_merged_by_many_tasks(spark):
+    """A small file is one task; its records are spread before they are sorted or become a row a field."""
+    df = spark.range(200).coalesce(1).select(
+        F.concat(F.lit("k"), F.col("id") % 9).alias("name_key"), F.col("id").alias("rec_seq"), F.lit("x").alias("industry"),
+        F.lit(True).alias("verified"))
+    for out in (merge.merge_fields(df), merge.conflicts(df)):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "RepartitionByExpression" in plan and plan.index("Aggregate") < plan.index("RepartitionByExpression")
