@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tieproof.config import Config
-from tieproof.operators.merge import admitted, backfill_founder
 from tieproof.operators.logs import STORE_TOTAL, WAITING, WALL_GONE, WALL_SEEN
 from tieproof.operators.stats import CALL_OUTCOMES
 from tieproof.plans import store as store_plan
@@ -114,15 +113,15 @@ class StoreSink:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         versions = self.manifest(spark, batch_id)
-        named = admitted(backfill_founder(batch) if "people" in batch.columns else batch, self.cfg)
-        touched = {r[0] for r in named.select(self.bucket(C("name_key"))).distinct().collect()}
+        new = store_plan.prepared(batch, self.cfg)
+        touched = {r[0] for r in new.select(self.bucket(C("name_key"))).distinct().collect()}
         if touched:
             mine = {b: v for b, v in versions.items() if b in touched}
             old = self._read(spark, "store", mine)
             sources = self._read(spark, "sources", mine, "name_key string, source_url string, bucket int")
             if old is not None:
                 old = old.drop("validation_tier", "validation_issues")
-            merged, rows, clash = store_plan.upsert(old, sources, batch, self.cfg)
+            merged, rows, clash = store_plan.merged_with(old, sources, new, self.cfg)
             clash.write.mode("overwrite").parquet(f"{self.path}/conflicts/batch_id={batch_id}")
             self._write(rows, "sources", batch_id)
             self._write(merged, "store", batch_id)
