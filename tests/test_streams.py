@@ -322,3 +322,16 @@ def test_states_are_those_of_slots(spark):
     query.awaitTermination()
     assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) == 7
     assert spark.table("slots").agg(F.count("*"), F.count_distinct("doc_id"), F.sum("n")).first() == (400, 400, 400)
+
+
+def test_more_documents_than_slots_add_no_states(spark):
+    path, table, n = scratch(spark), scratch(spark), 6000
+    second = "struct(2 AS step, IF(id % 3 = 0, 'verified', 'queued') AS state)"  # a third of the documents ask for a step that is not allowed
+    spark.range(n).selectExpr("id AS doc_id", f"inline(array(struct(1 AS step, 'new' AS state), {second}))").write.parquet(path)
+    log = keyed.state_log(run.follow(spark, path, "doc_id long, step int, state string"))
+    query = log.writeStream.format("parquet").option("checkpointLocation", scratch(spark)).trigger(availableNow=True).start(table)
+    query.awaitTermination()
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) < n
+    got = sorted(map(tuple, spark.read.parquet(table).collect()), key=str)
+    assert got == sorted([(i, 1, "new", None, True) for i in range(n)]
+                         + [(i, 2, "queued" if i % 3 else "verified", "new", i % 3 > 0) for i in range(n)], key=str)
