@@ -335,3 +335,30 @@ def test_more_documents_than_slots_add_no_states(spark):
     got = sorted(map(tuple, spark.read.parquet(table).collect()), key=str)
     assert got == sorted([(i, 1, "new", None, True) for i in range(n)]
                          + [(i, 2, "queued" if i % 3 else "verified", "new", i % 3 > 0) for i in range(n)], key=str)
+
+
+def test_states_of_a_slot_are_lists_of_fields(spark):
+    """States outlive batches with all fields, null or not; a key costs few bytes, since a batch hands over all keys of a slot that it meets."""
+    path, table, n = scratch(spark), scratch(spark), 20000
+
+    def step(key, state, rows, passed):
+        count, odd, last = state or (0, None, None)
+        after = count + len(rows), True if int(key[0]) % 2 else None, rows[-1][1]
+        return (None if rows[-1][1] == "gone" else after), [(count, odd, last)], None
+
+    said = "CASE WHEN id % 5 = 0 THEN 'gone' WHEN id % 3 = 0 THEN NULL ELSE concat('w', id % 3) END AS word"
+    for k in range(3):
+        spark.range(n).selectExpr("id AS a", "IF(id % 4 = 0, NULL, id % 4) AS b", f"{k} AS step", said).coalesce(1).write.parquet(f"{path}/{k}")
+    stream = run.follow(spark, f"{path}/*", "a long, b long, step int, word string", maxFilesPerTrigger="1")
+    log = keyed.stateful(stream, ["a", "b"], ["step", "word"], ["step"], step, "count long, odd boolean, last string",
+                         "count long, odd boolean, last string", slots=8)
+    query = log.writeStream.format("parquet").option("checkpointLocation", scratch(spark)).trigger(availableNow=True).start(table)
+    query.awaitTermination()
+    want = []
+    for i in range(n):
+        gone, word = i % 5 == 0, f"w{i % 3}" if i % 3 else None
+        want += [(i, i % 4 or None, *((0, None, None) if k == 0 or gone else (k, True if i % 2 else None, word))) for k in range(3)]
+    assert sorted(map(tuple, spark.read.parquet(table).collect()), key=str) == sorted(want, key=str)
+    assert len(query.recentProgress) == 3
+    states = query.recentProgress[-1]["stateOperators"][0]
+    assert states["memoryUsedBytes"] < 150 * n

@@ -35,7 +35,8 @@ def stateful(stream: DataFrame, keys: list[str], columns: list[str], order: list
     microseconds, keys as text. ``out`` and ``state`` are schemas; rows are emitted
     behind the key. With ``event_time`` (a column with a watermark) a timer, in
     microseconds, calls the step without rows once the watermark has passed it.
-    Keys are dealt by hash into ``slots``; a batch rewrites the states of the slots it meets.
+    Keys are dealt by hash into ``slots``; a batch rewrites the states of the slots it meets,
+    so a state is one list for each of its fields, which costs little to hand over and to keep.
     """
     n = len(keys)
     names = [c.split()[0] for c in out.split(", ")]
@@ -43,26 +44,27 @@ def stateful(stream: DataFrame, keys: list[str], columns: list[str], order: list
     shown = [*[f"_k{i}" for i in range(n)], *[f"_{c}" for c in columns]]
 
     def run(slot: tuple[Any, ...], frames: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
-        places = {tuple(key): (timer, place) for key, timer, place in (held.get[0] if held.exists else ())}
+        places = {r[:n]: r[n:] for r in zip(*held.get)} if held.exists else {}  # key -> timer and state
         clock = None if event_time is None else held.getCurrentWatermarkMs()
         met: dict[tuple, list[tuple]] = {}
         if not held.hasTimedOut:
             for f in frames:
                 for r in f[shown].itertuples(index=False, name=None):
                     met.setdefault(r[:n], []).append(r[n:])
-        due = [k for k, (timer, _) in places.items() if timer is not None and timer < clock and k not in met]
+        due = [] if clock is None else [k for k, (timer, *_) in places.items() if timer is not None and timer < clock and k not in met]
         emitted = []
         for key in (*met, *due):
             rows = sorted(met.get(key, ()), key=lambda r: tuple(r[i] for i in at))
-            after, log, timer = step(key, places.get(key, (None, None))[1], rows, None if key in met else clock * 1000)
+            before = places.get(key)
+            after, log, timer = step(key, None if before is None else before[1:], rows, None if key in met else clock * 1000)
             emitted += [(*key, *r) for r in log]
             if after is None:
                 places.pop(key, None)
             else:
-                places[key] = None if timer is None else max(timer // 1000, clock + 1), after
+                places[key] = None if timer is None else max(timer // 1000, clock + 1), *after
         if places:
-            held.update(([(list(key), timer, place) for key, (timer, place) in places.items()],))
-            timers = [timer for timer, _ in places.values() if timer is not None]
+            held.update(tuple(map(list, zip(*[(*key, *place) for key, place in places.items()]))))
+            timers = [] if clock is None else [timer for timer, *_ in places.values() if timer is not None]
             if timers:
                 held.setTimeoutTimestamp(min(timers))
         elif held.exists:
@@ -72,7 +74,8 @@ def stateful(stream: DataFrame, keys: list[str], columns: list[str], order: list
 
     kinds = dict(stream.dtypes)
     schema = ", ".join([f"{k} string" for k in keys] + [out])
-    held = f"places array<struct<key array<string>, timer long, place struct<{state}>>>"
+    fields = [f.split() for f in [*[f"k{i} string" for i in range(n)], "timer long", *state.split(", ")]]
+    held = ", ".join(f"_{i}_{name} array<{kind}>" for i, (name, kind) in enumerate(fields))
     micro = [F.unix_micros(F.col(c).cast("timestamp")) if kinds[c].startswith("timestamp") else F.col(c) for c in columns]
     rows = stream.select(
         F.pmod(F.xxhash64(*keys), F.lit(slots)).cast("int").alias("_slot"),
